@@ -70,6 +70,6 @@ def int_string_id(col: Column, data_type: T.DataType) -> Column:
 def whitespace_tokens(col: Column, cap: int | None = None) -> Column:
     """Number of whitespace-separated tokens, at most ``cap``; 0 for a null or blank text."""
     count = F.when(F.coalesce(strip(col), F.lit("")) == "", F.lit(0)).otherwise(
-        F.size(F.split(strip(col), r"(?U)\s+"))
+        F.size(F.split(strip(col), f"[{WHITESPACE}]+"))
     )
     return count if cap is None else F.least(count, F.lit(cap))

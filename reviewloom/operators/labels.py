@@ -27,15 +27,20 @@ def keep_positive(df: DataFrame, labels: DataFrame, key: str, label: str) -> Dat
     return positive_only(joined, "_label").select(*df.columns)
 
 
-def train_classifier(labelled: DataFrame, text: str, label: str, features: int = 1 << 14) -> PipelineModel:
-    """Bag of words and logistic regression on a labelled set of a few thousand texts."""
+def train_classifier(labelled: DataFrame, text: str, label: str, path: str, features: int = 1 << 14) -> PipelineModel:
+    """Bag of words and logistic regression on a labelled set of a few thousand texts.
+
+    The model is saved at ``path`` and loaded from there: scoring jobs share it, and a loaded
+    model does not drag its training table along into the tasks.
+    """
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\s+"),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
         IDF(inputCol="_counts", outputCol="_weights"),
         LogisticRegression(featuresCol="_weights", labelCol=label, predictionCol="_prediction", maxIter=20, regParam=0.01),
     ]
-    return Pipeline(stages=stages).fit(labelled)
+    Pipeline(stages=stages).fit(labelled).write().save(path)
+    return PipelineModel.load(path)
 
 
 def classify(df: DataFrame, model: PipelineModel, label: str = "label") -> DataFrame:

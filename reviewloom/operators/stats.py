@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from reviewloom.sources.event_log import INFERRED, OOM_FALLBACK
@@ -13,13 +13,43 @@ _LENGTHS = "batch_snapshot.text_token_length_mappings"
 _BATCH_SIZE = "batch_snapshot.batch_snapshot_summary.batch_size"
 
 
-def p95(value: Column) -> Column:
-    """Exact 95th percentile with linear interpolation, truncated to an integer; 0 without rows.
+def length_summary(rows: DataFrame, by: Sequence[str], lengths: Mapping[str, Column]) -> DataFrame:
+    """Per group and named length: ``count_<name>``, ``total_<name>`` and the exact ``p95_<name>``.
 
-    Lengths have few distinct values; the aggregate keeps a count per distinct value and
-    combines these before the shuffle.
+    The 95th percentile interpolates linearly and is truncated to an integer. Lengths have few
+    distinct values, so the rows shrink to a histogram before the shuffle; the window then runs
+    over one row per distinct length, not over the rows of a group.
     """
-    return F.coalesce(F.floor(F.percentile(value, 0.95)), F.lit(0)).cast("bigint")
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), c.cast("bigint").alias("length")) for n, c in lengths.items()])
+    long = rows.select(*by, F.explode(pairs).alias("_p")).select(*by, "_p.name", "_p.length").where("length IS NOT NULL")
+    histogram = long.groupBy(*by, "name", "length").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*by, "name")
+    ranked = histogram.select(
+        "*",
+        F.sum("n").over(whole.orderBy("length").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+        F.sum("n").over(whole).alias("_total"),
+    )
+    place = 0.95 * (F.col("_total") - 1)
+    below = F.floor(place)
+    above = F.least(below + 1, F.col("_total") - 1)
+    found = ranked.groupBy(*by, "name", "_total").agg(
+        F.min(F.when(F.col("_upto") > below, F.col("length"))).alias("_low"),
+        F.min(F.when(F.col("_upto") > above, F.col("length"))).alias("_high"),
+        F.sum(F.col("length") * F.col("n")).alias("_sum"),
+    )
+    share = place - below
+    span = F.col("_high") - F.col("_low")
+    # Measured from the nearer end, as numpy does it, so that truncation falls on the same side.
+    p95 = F.floor(F.when(share >= 0.5, F.col("_high") - span * (1 - share)).otherwise(F.col("_low") + span * share))
+    wide = []
+    for n in lengths:
+        mine = F.col("name") == n
+        wide += [
+            F.coalesce(F.max(F.when(mine, F.col("_total"))), F.lit(0)).alias(f"count_{n}"),
+            F.coalesce(F.max(F.when(mine, F.col("_sum"))), F.lit(0)).alias(f"total_{n}"),
+            F.coalesce(F.max(F.when(mine, F.col("_p95"))), F.lit(0)).alias(f"p95_{n}"),
+        ]
+    return found.withColumn("_p95", p95).groupBy(*by).agg(*wide)
 
 
 def events_by_type(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -52,33 +82,31 @@ def inconsistent_batches(events: DataFrame) -> DataFrame:
 
 
 def interval_statistics(events: DataFrame, by: Sequence[str], **applied) -> DataFrame:
-    """One row of statistics per interval over its inferred batches; one explode, one shuffle.
+    """One row of statistics per interval over its inferred batches.
 
     A batch whose stored size differs from its array is an error. ``applied`` adds the settings
     in force as constant columns.
     """
+    inferred = events.where(F.col("event_type") == INFERRED)
+    held, stored = F.coalesce(F.size(_LENGTHS), F.lit(0)), F.coalesce(F.col(_BATCH_SIZE), F.lit(0))
     checked = F.when(
-        F.coalesce(F.col(_BATCH_SIZE), F.lit(0)) != F.coalesce(F.size(_LENGTHS), F.lit(0)),
+        stored != held,
         F.raise_error(F.concat(F.lit("batch size differs from its array: event "), F.col("event_id").cast("string"))).cast("bigint"),
-    ).otherwise(F.col(_BATCH_SIZE))
-    rows = events.where(F.col("event_type") == INFERRED).select(
-        *by, "positive_text_count", "negative_text_count", checked.alias("batch_size"), F.posexplode_outer(_LENGTHS).alias("pos", "length")
+    ).otherwise(stored)
+    batches = inferred.groupBy(*by).agg(
+        F.coalesce(F.sum(checked), F.lit(0)).alias("inferred_total_text_count"),
+        F.coalesce(F.sum("positive_text_count"), F.lit(0)).alias("positive_text_count"),
+        F.coalesce(F.sum("negative_text_count"), F.lit(0)).alias("negative_text_count"),
     )
-
-    def per_batch(name: str) -> Column:
-        first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-        return F.coalesce(F.sum(F.when(first, F.col(name))), F.lit(0))
-
-    sums = rows.groupBy(*by).agg(
-        per_batch("batch_size").alias("inferred_total_text_count"),
-        per_batch("positive_text_count").alias("positive_text_count"),
-        per_batch("negative_text_count").alias("negative_text_count"),
-        F.coalesce(F.sum("length.text_length"), F.lit(0)).alias("total_text_length"),
-        F.coalesce(F.sum("length.token_length"), F.lit(0)).alias("total_token_length"),
-        p95(F.col("length.text_length")).alias("p95_text_length"),
-        p95(F.col("length.token_length")).alias("p95_token_length"),
+    texts = inferred.select(*by, F.explode(_LENGTHS).alias("_e"))
+    lengths = length_summary(
+        texts, by, {"text_length": F.col("_e.text_length"), "token_length": F.col("_e.token_length")}
+    )
+    # Both sides have one row per interval.
+    joined = batches.join(lengths, list(by), "left").na.fill(
+        0, ["total_text_length", "p95_text_length", "total_token_length", "p95_token_length"]
     )
-    return sums.select(
+    return joined.select(
         *by,
         "inferred_total_text_count",
         "positive_text_count",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.ids import MAX_HASHED_ID_LENGTH, hashed_review_id
 from reviewloom.functions.time import parse_time_of_day, parse_timestamp
-from reviewloom.operators.filters import drop_blank
+from reviewloom.operators.filters import drop_blank, normalise_ids
 from reviewloom.operators.joins import remap_options
 from reviewloom.operators.labels import keep_positive
 from reviewloom.sources.dataset import Dataset, indexed_name, require_columns
@@ -46,7 +46,8 @@ def postprocess(
         options_spec["PRODUCT_NAME"]: indexed_name(name["PRODUCT_OPTION_NAME"], 1),
         options_spec["PRODUCT_OPTION_NAME"]: indexed_name(name["PRODUCT_OPTION_VALUE"], 1),
     }
-    remapped = remap_options(df, options, columns, options_spec["EXPORT_PLATFORM_PRODUCT_ID"])
+    product_id = options_spec["EXPORT_PLATFORM_PRODUCT_ID"]
+    remapped = remap_options(df, normalise_ids(options, [product_id]), columns, product_id)
     texts = drop_blank(remapped, [name["REVIEW_CONTENTS"]])
     # Labels belong to the original ids, so they are attached before those are replaced.
     given = labels.select(F.col(key).cast("string").alias(review_id), F.col(label).alias("_label"))

@@ -488,11 +488,10 @@ def interval_stats(spark, d):
 
 @query
 def p95_length(spark, d):
-    li = v.table(spark, d, "lineitem")
-    return li.groupBy("l_returnflag").agg(
-        stats.p95(F.col("l_quantity")).alias("p95_quantity"),
-        stats.p95(F.col("l_extendedprice")).alias("p95_price"),
+    docs = v.table(spark, d, "documents").select(
+        "lang", F.length("text").alias("chars"), text.whitespace_tokens(F.col("text")).alias("tokens")
     )
+    return stats.length_summary(docs, ["lang"], {"chars": F.col("chars"), "tokens": F.col("tokens")})
 
 
 @query
@@ -769,7 +768,7 @@ def rules_identity(spark, d):
 def classify_text(spark, d):
     docs = v.table(spark, d, "documents").select("doc_id", "text")
     given = docs.join(v.table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
-    model = labels.train_classifier(given, "text", "quality")
+    model = labels.train_classifier(given, "text", "quality", scratch_path(spark, "classifier"))
     return labels.classify(docs, model).select("doc_id", "label")
 
 

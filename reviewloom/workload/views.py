@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.text import whitespace_tokens
 from reviewloom.operators.schema import widen_array
+from reviewloom.operators.stats import length_summary
 from reviewloom.session import apply_required_conf, scratch_path
 from reviewloom.sources import event_log, pages
 
@@ -248,12 +249,13 @@ def events_by_kind_path(spark: SparkSession, sf_dir: str) -> str:
 
 
 def monthly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Interval statistics of the order lines: one row per return flag and month."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_returnflag").alias("series"), F.trunc("l_shipdate", "MM").alias("month")).agg(
-        F.count(F.lit(1)).alias("text_count"),
-        F.floor(F.percentile(F.col("l_extendedprice").cast("bigint"), 0.95)).cast("bigint").alias("p95_text_length"),
+    """Interval statistics of the order lines: one row per return flag and month, prices as lengths."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("series"), F.trunc("l_shipdate", "MM").alias("month"),
+        F.floor(F.col("l_extendedprice") / 100).alias("length"),
     )
+    summary = length_summary(li, ["series", "month"], {"text_length": F.col("length")})
+    return summary.select("series", "month", F.col("count_text_length").alias("text_count"), "p95_text_length")
 
 
 def source_a_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
