@@ -55,21 +55,35 @@ def star_default(col: Column, data_type: T.DataType) -> Column:
     return F.coalesce(col, F.lit(DEFAULT_STAR_RATING).cast(data_type))
 
 
+def is_number(col: Column, data_type: T.DataType) -> Column:
+    """True where :func:`int_string_id` finds a number."""
+    if isinstance(data_type, T.IntegralType):
+        return col.isNotNull()
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return col.isNotNull() & ~F.isnan(col)
+    source = strip(col) if isinstance(data_type, T.StringType) else col
+    return source.try_cast("decimal(38,10)").isNotNull()
+
+
 def int_string_id(col: Column, data_type: T.DataType) -> Column:
     """Numeric text to integer text; null where it is no number; an error where it has a fraction."""
     if isinstance(data_type, T.IntegralType):
         return col.cast("string")
+    error = F.raise_error(F.concat(F.lit("id is not an integer: "), col.cast("string"))).cast("string")
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        whole = F.when(~F.isnan(col), col.try_cast("bigint"))
+        return F.when(whole != col, error).otherwise(whole.cast("string"))
     source = strip(col) if isinstance(data_type, T.StringType) else col
     number = source.try_cast("decimal(38,10)")
-    return F.when(
-        number != F.floor(number),
-        F.raise_error(F.concat(F.lit("id is not an integer: "), col.cast("string"))).cast("string"),
-    ).otherwise(F.floor(number).cast("decimal(28,0)").cast("string"))
+    general = F.when(number != F.floor(number), error).otherwise(F.floor(number).cast("decimal(28,0)").cast("string"))
+    if isinstance(data_type, T.StringType):
+        # Plain digits, which is nearly every id, need no decimal arithmetic.
+        return F.coalesce(source.try_cast("bigint").cast("string"), general)
+    return general
 
 
 def whitespace_tokens(col: Column, cap: int | None = None) -> Column:
     """Number of whitespace-separated tokens, at most ``cap``; 0 for a null or blank text."""
-    count = F.when(F.coalesce(strip(col), F.lit("")) == "", F.lit(0)).otherwise(
-        F.size(F.split(strip(col), f"[{WHITESPACE}]+"))
-    )
+    stripped = F.coalesce(strip(col), F.lit(""))
+    count = F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, r"(?U)\s+")))
     return count if cap is None else F.least(count, F.lit(cap))

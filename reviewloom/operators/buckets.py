@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.operators.ordering import number_rows
+from reviewloom.session import stage
 
 # Fixed value: share of its tokens a bucket may keep when it has to be split again.
 RESPLIT_RATIO = 0.7
@@ -44,14 +45,17 @@ def fill_buckets(histogram: Iterable[tuple[int, int]], cap: int, ratio: float) -
 
 
 def token_buckets(df: DataFrame, tokens: str, ordinal: str, cap: int, ratio: float) -> DataFrame:
-    """Adds the 0-based ``bucket`` of every row.
+    """``(ordinal, tokens, bucket)`` with the 0-based bucket of every row; ``ordinal`` is unique.
 
-    Only the histogram of token counts comes to the driver; it has one row per token count and
-    token counts are truncated. Rows are numbered in parallel and look their bucket up by range.
+    Token counts are staged next to their ordinals, because they are needed three times and texts
+    are not. Only the histogram of token counts comes to the driver; it has one row per token
+    count and token counts are truncated. Rows are numbered in parallel and look their bucket up
+    by range.
     """
     spark = df.sparkSession
-    histogram = df.groupBy(F.col(tokens).cast("bigint").alias("t")).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = sorted((row["t"], row["n"]) for row in histogram)
+    counted = stage(df.select(F.col(ordinal), F.col(tokens).cast("bigint").alias(tokens)), "token-counts")
+    histogram = counted.groupBy(tokens).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = sorted((row[tokens], row["n"]) for row in histogram)
     starts, total = {}, 0
     for t, n in counts:
         starts[t] = total
@@ -60,13 +64,13 @@ def token_buckets(df: DataFrame, tokens: str, ordinal: str, cap: int, ratio: flo
         [(t, starts[t] + first, starts[t] + first + rows, bucket, per) for t, first, rows, bucket, per in fill_buckets(counts, cap, ratio)],
         "_t bigint, _from bigint, _to bigint, _bucket bigint, _per bigint",
     )
-    numbered = number_rows(df, [F.col(tokens), F.col(ordinal)], "_rank")
+    numbered = number_rows(counted, [F.col(tokens), F.col(ordinal)], "_rank")
     rank = F.col("_rank") - 1
     joined = numbered.join(
         F.broadcast(runs), (F.col(tokens) == F.col("_t")) & (rank >= F.col("_from")) & (rank < F.col("_to"))
     )
     bucket = F.col("_bucket") + F.floor((rank - F.col("_from")) / F.col("_per"))
-    return joined.withColumn("bucket", bucket).select(*df.columns, "bucket")
+    return joined.select(ordinal, tokens, bucket.alias("bucket"))
 
 
 def resplit_buckets(bucketed: DataFrame, tokens: str, ordinal: str, ratio: float = RESPLIT_RATIO) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.functions.text import int_string_id, is_valid
+from reviewloom.functions.text import int_string_id, is_number, is_valid
 from reviewloom.operators.schema import existing
 
 
@@ -26,8 +26,10 @@ def normalise_ids(df: DataFrame, names: Iterable[object], drop_invalid: bool = T
     columns = existing(df, names)
     if not columns:
         return df
-    result = df.withColumns({c: int_string_id(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns})
-    return result.dropna(subset=columns) if drop_invalid else result
+    kinds = {c: df.schema[c].dataType for c in columns}
+    if drop_invalid:
+        df = df.where(reduce(Column.__and__, [is_number(F.col(f"`{c}`"), k) for c, k in kinds.items()]))
+    return df.withColumns({c: int_string_id(F.col(f"`{c}`"), k) for c, k in kinds.items()})
 
 
 def filter_rows(df: DataFrame, filters: Mapping[str, object], contains: bool = True) -> DataFrame:

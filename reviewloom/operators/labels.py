@@ -39,7 +39,9 @@ def train_classifier(labelled: DataFrame, text: str, label: str, path: str, feat
         IDF(inputCol="_counts", outputCol="_weights"),
         LogisticRegression(featuresCol="_weights", labelCol=label, predictionCol="_prediction", maxIter=20, regParam=0.01),
     ]
-    Pipeline(stages=stages).fit(labelled).write().save(path)
+    # The training set is small; spread it so that every core has a share of each iteration.
+    spread = labelled.select(text, label).repartition(labelled.sparkSession.sparkContext.defaultParallelism)
+    Pipeline(stages=stages).fit(spread).write().save(path)
     return PipelineModel.load(path)
 
 

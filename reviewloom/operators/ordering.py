@@ -25,7 +25,8 @@ def number_rows(
     spreads over many tasks), sorted per partition and staged together with their position.
     Partition sizes then give every partition's first number. The joined table of sizes has one
     row per shuffle partition, which is what makes its broadcast safe. ``total`` names a column
-    for the row count of the whole table.
+    for the row count of the whole table. Range partitioning looks at its input twice, so hand
+    in a table rather than a long plan.
     """
     placed = (
         df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())

@@ -10,6 +10,7 @@ from reviewloom.operators.filters import drop_blank, normalise_ids
 from reviewloom.operators.joins import simple_join
 from reviewloom.operators.rules import RuleContext, apply_rule
 from reviewloom.operators.schema import export_order, prefix_columns, project_by_priority, reindex
+from reviewloom.session import stage
 from reviewloom.sources.dataset import Dataset, check_created_columns, check_order_ids, indexed_name
 from reviewloom.sources.declared import BUYER_LABEL_NAME, BUYER_LABEL_VALUE, EXPORT_LAYOUT, Source
 
@@ -40,9 +41,14 @@ def join_mappings(
     """Reviews ⟕ id map ⟕ option map, with the two mapping tables joined first.
 
     The option join looks at mapping columns only, so both orders give the same rows, and this
-    one shuffles the reviews once (or not at all when the mapping is small).
+    one shuffles the reviews once. The mapping is staged, which tells the planner its real size:
+    below the broadcast threshold the reviews are not shuffled at all, above it both sides are,
+    and hot products are split.
     """
-    mapping = simple_join(id_map, option_map, {m["EXPORT_PLATFORM_PRODUCT_ID"]: o["EXPORT_PLATFORM_PRODUCT_ID"]}, "LEFT")
+    mapping = stage(
+        simple_join(id_map, option_map, {m["EXPORT_PLATFORM_PRODUCT_ID"]: o["EXPORT_PLATFORM_PRODUCT_ID"]}, "LEFT"),
+        "product-mapping",
+    )
     return simple_join(reviews, mapping, {r["PRODUCT_ID"]: m["SCRAPING_PLATFORM_PRODUCT_ID"]}, "LEFT")
 
 
@@ -58,7 +64,7 @@ def preprocess(
     reviews_spec: Dataset | None = None,
     layout: Dataset = EXPORT_LAYOUT,
 ) -> DataFrame:
-    """One lazy plan from the inputs to the export table. ``orders`` is optional."""
+    """From the inputs to the export table. ``orders`` is optional."""
     reviews_spec = reviews_spec or source.dataset
     check_created_columns(reviews_spec)
     review_df, r = clean_input(reviews, reviews_spec, REVIEW_KEYS, REVIEW_KEYS, REVIEW)

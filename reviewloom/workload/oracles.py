@@ -9,6 +9,8 @@ from reviewloom.functions.text import WHITESPACE
 from reviewloom.workload.queries import BUCKET_CAP, CHUNK_SIZE, PADDING_RATIO, TOKEN_CAP
 
 WS = WHITESPACE
+# Token separators: the same without the four separator controls.
+SPACES = "".join(c for c in WHITESPACE if not "\x1c" <= c <= "\x1f")
 
 # Views
 
@@ -72,7 +74,7 @@ CV = r"""cv AS (
 TL = f"""tl AS (
   SELECT doc_id // 4 AS batch_id, n_chars AS text_length,
          CAST(CASE WHEN coalesce(trim(text, '{WS}'), '') = '' THEN 0
-                   ELSE len(string_split_regex(trim(text, '{WS}'), '[{WS}]+')) END AS BIGINT) AS token_length,
+                   ELSE len(string_split_regex(trim(text, '{WS}'), '[{SPACES}]+')) END AS BIGINT) AS token_length,
          CASE WHEN doc_id % 6 = 0 THEN 0 ELSE 1 END AS label
   FROM documents),
 ev AS (
@@ -101,7 +103,7 @@ MS = f"""ms AS (
   FROM lineitem GROUP BY 1, 2)"""
 
 TK = f"""tk AS (
-  SELECT doc_id, CAST(least(len(string_split_regex(trim(text, '{WS}'), '[{WS}]+')), {TOKEN_CAP}) AS BIGINT) AS tokens
+  SELECT doc_id, CAST(least(len(string_split_regex(trim(text, '{WS}'), '[{SPACES}]+')), {TOKEN_CAP}) AS BIGINT) AS tokens
   FROM documents WHERE trim(text, '{WS}') <> '')"""
 
 
@@ -430,7 +432,7 @@ stops AS (SELECT term, min(page) AS stop FROM repeated WHERE seen > 1 GROUP BY t
     "interval_stats": sql(TL, INFERRED, f"SELECT week, {STATS} FROM inferred GROUP BY week"),
     "p95_length": f"""WITH t AS (SELECT lang, length(text) AS chars,
         CAST(CASE WHEN trim(text, '{WS}') = '' THEN 0
-             ELSE len(string_split_regex(trim(text, '{WS}'), '[{WS}]+')) END AS BIGINT) AS tokens FROM documents)
+             ELSE len(string_split_regex(trim(text, '{WS}'), '[{SPACES}]+')) END AS BIGINT) AS tokens FROM documents)
         SELECT lang, count(*) AS count_chars, CAST(sum(chars) AS BIGINT) AS total_chars, {p95("chars")} AS p95_chars,
                count(*) AS count_tokens, CAST(sum(tokens) AS BIGINT) AS total_tokens, {p95("tokens")} AS p95_tokens
         FROM t GROUP BY lang""",
@@ -525,7 +527,7 @@ a AS (SELECT series, n, avg(delta) FILTER (i >= 0 AND i >= n - 4) - avg(delta) F
     "star_default": sql(RV, "SELECT review_id, coalesce(nullif(star_rating, ''), '5') AS star_rating FROM rv"),
     "token_count": f"""WITH t AS (SELECT doc_id, length(text) AS text_length,
         CASE WHEN coalesce(trim(text, '{WS}'), '') = '' THEN 0
-             ELSE len(string_split_regex(trim(text, '{WS}'), '[{WS}]+')) END AS tokens FROM documents)
+             ELSE len(string_split_regex(trim(text, '{WS}'), '[{SPACES}]+')) END AS tokens FROM documents)
         SELECT doc_id, CAST(text_length AS BIGINT) AS text_length, CAST(tokens AS BIGINT) AS tokens,
                CAST(least(tokens, {TOKEN_CAP}) AS BIGINT) AS tokens_capped FROM t""",
     "rule_writer_from_buyer": sql(RF, OH, RULE_INPUT, 'SELECT * REPLACE (order_history__buyer_name AS "리뷰_작성자명") FROM ri'),

@@ -12,7 +12,7 @@ from reviewloom.functions import json as js
 from reviewloom.operators import buckets, dedupe, filters, joins, labels, ordering, rules, schema, stats, tuning, upsert
 from reviewloom.operators import pages as page_ops
 from reviewloom.plans import finalize, hide, ingest, postprocess, preprocess, tune
-from reviewloom.session import scratch_path
+from reviewloom.session import scratch_path, stage
 from reviewloom.sources import event_log, tables
 from reviewloom.sources import pages as page_source
 from reviewloom.sources.dataset import Dataset
@@ -828,7 +828,9 @@ def finalize_split(spark, d):
 @query
 def job_finalize(spark, d):
     name = EXPORT_LAYOUT.columns
-    done = _postprocessed(spark, d).select(*[name[k] for k in ("REVIEW_ID", "PRODUCT_ID", "REVIEW_CONTENTS")], "구매옵션_옵션값1")
+    wanted = [name[k] for k in ("REVIEW_ID", "PRODUCT_ID", "REVIEW_CONTENTS")]
+    # Stages hand over tables: finalize starts from the written result of postprocess.
+    done = stage(_postprocessed(spark, d).select(*wanted, "구매옵션_옵션값1"), "postprocessed")
     numbered = finalize.export_chunks(done, name["PRODUCT_ID"], [name["REVIEW_ID"], "구매옵션_옵션값1"], 50)
     outcome = finalize.with_outcome(numbered, _outcomes(numbered))
     return outcome.drop("chunk_count")
