@@ -48,17 +48,38 @@ def get_key(record: Column, key: str, embedded_in: Iterable[str] = ()) -> Column
     return F.try_variant_get(here, variant_path(rest), "variant")
 
 
-def leaf_text(value: Column) -> Column:
-    """Cleaned text of a scalar VARIANT; null for null, missing, object and array values."""
-    leaf = embedded(value)
-    return F.when(
-        ~F.schema_of_variant(leaf).rlike("^(OBJECT|ARRAY)<"), clean_text(F.try_variant_get(leaf, "$", "string"))
-    )
+def _is_item(key: str) -> bool:
+    """An array item: not searched for embedded JSON, and an array in it stays one value."""
+    return key.rsplit(".", 1)[-1].isdigit()
+
+
+def _may_be_container(text: Column) -> Column:
+    return F.coalesce(text.rlike(r'^\s*[\[{"]'), F.lit(False))
+
+
+def _is_container(value: Column, key: str) -> Column:
+    if _is_item(key):
+        return F.schema_of_variant(value).startswith("OBJECT<")
+    return F.schema_of_variant(embedded(value)).rlike("^(OBJECT|ARRAY)<")
+
 
+def leaf_text(value: Column, key: str) -> Column:
+    """Cleaned text of the scalar at ``key``; null for null, missing, object and array values.
 
-def has_leaf(value: Column) -> Column:
+    Only texts that start like an object, an array or a quoted text are parsed.
+    """
+    text = F.try_variant_get(value, "$", "string")
+    if _is_item(key):
+        return F.when(_may_be_container(text) & _is_container(value, key), F.lit(None)).otherwise(clean_text(text))
+    parsed = F.try_variant_get(embedded(value), "$", "string")
+    plain = F.when(F.trim(text) != "null", clean_text(text))
+    return F.when(_may_be_container(text), F.when(~_is_container(value, key), clean_text(parsed))).otherwise(plain)
+
+
+def has_leaf(value: Column, key: str) -> Column:
     """True where the key exists and its value is a scalar (JSON null counts)."""
-    return F.coalesce(~F.schema_of_variant(embedded(value)).rlike("^(OBJECT|ARRAY)<"), F.lit(False))
+    text = F.try_variant_get(value, "$", "string")
+    return value.isNotNull() & ~F.when(_may_be_container(text), _is_container(value, key)).otherwise(F.lit(False))
 
 
 def target_keys(
@@ -72,10 +93,10 @@ def target_keys(
     """One text column per wanted key; absent keys give ``missing`` (null by default)."""
     columns = []
     for key, name in key_map.items():
-        value = leaf_text(get_key(F.col(record), key, embedded_in))
+        found = get_key(F.col(record), key, embedded_in)
+        value = leaf_text(found, key)
         if missing is not None:
-            present = has_leaf(get_key(F.col(record), key, embedded_in))
-            value = F.when(present, value).otherwise(F.lit(missing))
+            value = F.when(has_leaf(found, key), value).otherwise(F.lit(missing))
         columns.append(value.alias(name))
     return df.select(*keep, *columns)
 
@@ -83,7 +104,7 @@ def target_keys(
 def missing_keys(df: DataFrame, record: str, keys: Sequence[str], embedded_in: Iterable[str] = ()) -> DataFrame:
     """Folded names of the wanted keys that at least one record lacks: one pass, one row of counts."""
     counts = df.agg(
-        *[F.count_if(~has_leaf(get_key(F.col(record), k, embedded_in))).alias(f"k{i}") for i, k in enumerate(keys)]
+        *[F.count_if(~has_leaf(get_key(F.col(record), k, embedded_in), k)).alias(f"k{i}") for i, k in enumerate(keys)]
     )
     pairs = F.array(
         *[F.struct(F.lit(k).alias("key"), F.col(f"k{i}").alias("records_without")) for i, k in enumerate(keys)]

@@ -120,6 +120,14 @@ def interval_statistics(events: DataFrame, by: Sequence[str], **applied) -> Data
     )
 
 
+def dated_statistics(events: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Interval statistics with the count and last timestamp of all events behind them."""
+    facts = events.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("event_count"), F.max("timestamp").alias("last_timestamp")
+    )
+    return facts.join(interval_statistics(events, by), list(by), "left")
+
+
 def ratio_or_zero(numerator: str, denominator: str) -> Column:
     n, d = F.col(numerator).cast("double"), F.col(denominator).cast("double")
     return F.when(d > 0, n / d).otherwise(F.lit(0.0))

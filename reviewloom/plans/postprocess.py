@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +12,15 @@ from reviewloom.functions.ids import MAX_HASHED_ID_LENGTH, hashed_review_id
 from reviewloom.functions.time import parse_time_of_day, parse_timestamp
 from reviewloom.operators.filters import drop_blank, normalise_ids
 from reviewloom.operators.joins import remap_options
-from reviewloom.operators.labels import keep_positive
+from reviewloom.operators.labels import classify, positive_only
 from reviewloom.sources.dataset import Dataset, indexed_name, require_columns
 from reviewloom.sources.declared import EXPORT_LAYOUT
 
+LABEL = "_label"
+
+# (table, review id column, contents column) -> table with a LABEL column.
+Labeller = Callable[[DataFrame, str, str], DataFrame]
+
 
 def hash_ids(df: DataFrame, review_id: str, date: str, time: str, length: int = MAX_HASHED_ID_LENGTH) -> DataFrame:
     """Replace ids by timestamp and hash digits; rows whose id, date or time cannot be read go."""
@@ -28,28 +36,45 @@ def hash_ids(df: DataFrame, review_id: str, date: str, time: str, length: int =
     return valid.withColumn(review_id, hashed_review_id(F.col(f"`{review_id}`"), parsed_date, parsed_time, length))
 
 
+def given_labels(labels: DataFrame, key: str, label: str = "label") -> Labeller:
+    """Labels from a table, by review id as it is before hashing."""
+
+    def attach(df: DataFrame, review_id: str, contents: str) -> DataFrame:
+        table = labels.select(F.col(key).cast("string").alias(review_id), F.col(label).alias(LABEL))
+        return df.join(table, review_id, "left")
+
+    return attach
+
+
+def predicted_labels(model: PipelineModel) -> Labeller:
+    """Labels from a classifier, scored in the row itself."""
+
+    def attach(df: DataFrame, review_id: str, contents: str) -> DataFrame:
+        text = model.stages[0].getInputCol()
+        return classify(df.withColumn(text, F.col(f"`{contents}`")), model, LABEL).drop(text)
+
+    return attach
+
+
 def postprocess(
     df: DataFrame,
     options: DataFrame,
     options_spec: Dataset,
-    labels: DataFrame,
-    key: str,
-    label: str = "label",
+    labeller: Labeller,
     layout: Dataset = EXPORT_LAYOUT,
     hashed_length: int = MAX_HASHED_ID_LENGTH,
 ) -> DataFrame:
-    """``labels`` has the review id before hashing as ``key``, and a 0/1 ``label``."""
+    """Remap options, keep positive reviews, hash ids."""
     name = layout.columns
-    review_id = name["REVIEW_ID"]
+    review_id, contents = name["REVIEW_ID"], name["REVIEW_CONTENTS"]
+    product_id = options_spec["EXPORT_PLATFORM_PRODUCT_ID"]
     columns = {
-        options_spec["EXPORT_PLATFORM_PRODUCT_ID"]: name["PRODUCT_ID"],
+        product_id: name["PRODUCT_ID"],
         options_spec["PRODUCT_NAME"]: indexed_name(name["PRODUCT_OPTION_NAME"], 1),
         options_spec["PRODUCT_OPTION_NAME"]: indexed_name(name["PRODUCT_OPTION_VALUE"], 1),
     }
-    product_id = options_spec["EXPORT_PLATFORM_PRODUCT_ID"]
     remapped = remap_options(df, normalise_ids(options, [product_id]), columns, product_id)
-    texts = drop_blank(remapped, [name["REVIEW_CONTENTS"]])
-    # Labels belong to the original ids, so they are attached before those are replaced.
-    given = labels.select(F.col(key).cast("string").alias(review_id), F.col(label).alias("_label"))
-    positive = keep_positive(texts, given, review_id, "_label")
+    # Labels may belong to the original ids, so they are attached before those are replaced.
+    labelled = labeller(drop_blank(remapped, [contents]), review_id, contents)
+    positive = positive_only(labelled, LABEL).select(*[F.col(f"`{c}`") for c in df.columns])
     return hash_ids(positive, review_id, name["REVIEW_CREATED_DATE"], name["REVIEW_CREATED_TIME"], hashed_length)

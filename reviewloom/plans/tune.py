@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.operators.stats import interval_statistics, outcome_counts
+from reviewloom.operators.stats import dated_statistics, interval_statistics, outcome_counts, stale_statistics
 from reviewloom.operators.tuning import trend_forecast, updated_ratio
 
 
@@ -25,3 +25,14 @@ def tune(events: DataFrame, series: Sequence[str], interval: str, previous_ratio
         *series, F.col(f"last.{interval}").alias("last_interval"), F.round(ratio, 6).alias("memory_usage_ratio")
     )
     return forecast.select(*series, "interval_count", F.col("forecast").alias("max_text_length")).join(ratios, list(series))
+
+
+def refresh_statistics(recorded: DataFrame, events: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Recorded interval statistics, with every interval that disagrees with the log computed anew.
+
+    ``recorded`` carries ``event_count`` and ``last_timestamp`` next to the statistics. Intervals
+    the log no longer has are left out.
+    """
+    stale = stale_statistics(recorded, events, by).select(*by)
+    kept = recorded.join(stale, list(by), "left_anti")
+    return kept.unionByName(dated_statistics(events.join(stale, list(by), "left_semi"), by))

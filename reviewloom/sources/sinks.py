@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.operators.upsert import upsert
+from reviewloom.session import stage
 from reviewloom.sources.tables import path_exists
 
 
@@ -41,21 +42,32 @@ def save(df: DataFrame, path: str, pk: str | None, overwrite: bool = False, writ
     spark = df.sparkSession
     if not pk or pk not in df.columns:
         return False
-    if not write_empty and df.isEmpty():
-        return False
     current = read_current(spark, path)
-    if current is None or current.isEmpty():
-        merged = df
-    elif pk not in current.columns:
+    if current is None:
+        first = f"{path}/version=1"
+        df.write.mode("overwrite").parquet(first)
+        if not write_empty and spark.read.schema(df.schema).parquet(first).isEmpty():
+            _unfinish(spark, first)
+            return False
+        return True
+    if pk not in current.columns:
         return False
-    else:
-        merged = upsert(current, df, pk, overwrite)
-    versions = _versions(spark, path)
-    number = versions[-1] + 1 if versions else 1
-    merged.write.mode("overwrite").parquet(f"{path}/version={number}")
+    # The upsert looks at the new rows twice, once at their keys only.
+    new = stage(df, "new-rows")
+    if new.isEmpty() and not write_empty:
+        return False
+    merged = new if current.isEmpty() else upsert(current, new, pk, overwrite)
+    merged.write.mode("overwrite").parquet(f"{path}/version={_versions(spark, path)[-1] + 1}")
     return True
 
 
+def _unfinish(spark: SparkSession, version: str) -> None:
+    """Take the success marker away, so that the version does not count."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{version}/_SUCCESS")
+    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(marker, False)
+
+
 def chunk_file_name(prefix: str, chunk, chunk_count):
     """``prefix_03_of_12``: both numbers padded to the width of the count."""
     width = F.length(chunk_count.cast("string"))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from reviewloom.operators.stats import interval_statistics
+from reviewloom.operators.stats import dated_statistics
 from reviewloom.sources.event_log import stream_events
 
 
@@ -26,11 +25,7 @@ def statistics_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        events = prepare(batch)
-        facts = events.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("event_count"), F.max("timestamp").alias("last_timestamp")
-        )
-        stats = facts.join(interval_statistics(events, by), list(by), "left")
+        stats = dated_statistics(prepare(batch), by)
         stats.write.mode("overwrite").parquet(f"{table}/run={batch_id}")
 
     query = (

@@ -802,9 +802,8 @@ def job_preprocess_without_orders(spark, d):
 
 
 def _postprocessed(spark, d):
-    return postprocess.postprocess(
-        job_preprocess(spark, d), v.declared_option_map(spark, d), OPTION_MAP, v.labels(spark, d), "review_id"
-    )
+    given = postprocess.given_labels(v.labels(spark, d), "review_id")
+    return postprocess.postprocess(job_preprocess(spark, d), v.declared_option_map(spark, d), OPTION_MAP, given)
 
 
 @query
