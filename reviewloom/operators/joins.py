@@ -23,10 +23,34 @@ def _kind(how: str) -> str:
     return JOIN_KINDS[how]
 
 
-def _condition(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> Column:
+_LEFT, _RIGHT = "l.", "r."
+
+
+def _of(side: str, name: str) -> Column:
+    return F.col(f"`{side}{name}`")
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Mapping[str, str], how: str) -> DataFrame:
+    """The join with every column marked by its side.
+
+    Adaptive execution can split a hot partition on either side of an inner join, and on the
+    kept side of a left join, but not in a full join and not on the other side of a right join.
+    Those two are therefore put together from a join that can be split, and the right rows
+    without a partner: an anti join against the distinct left keys, which are combined before
+    their shuffle.
+    """
+    kind = _kind(how)
     if not keys:
         raise ValueError("a join needs at least one key")
-    return reduce(Column.__and__, [left[f"`{a}`"] == right[f"`{b}`"] for a, b in keys.items()])
+    marked_left = left.toDF(*[_LEFT + c for c in left.columns])
+    marked_right = right.toDF(*[_RIGHT + c for c in right.columns])
+    same = reduce(Column.__and__, [_of(_LEFT, a) == _of(_RIGHT, b) for a, b in keys.items()])
+    if kind in ("left", "inner"):
+        return marked_left.join(marked_right, same, kind)
+    matched = marked_left.join(marked_right, same, "left" if kind == "full" else "inner")
+    partners = marked_left.select(*[_of(_LEFT, a) for a in keys]).distinct()
+    alone = marked_right.join(partners, same, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 def simple_join(left: DataFrame, right: DataFrame, keys: Mapping[str, str], how: str) -> DataFrame:
@@ -34,7 +58,7 @@ def simple_join(left: DataFrame, right: DataFrame, keys: Mapping[str, str], how:
     clash = sorted(set(left.columns) & set(right.columns))
     if clash:
         raise ValueError(f"both sides have {clash}")
-    return left.join(right, _condition(left, right, keys), _kind(how))
+    return _joined(left, right, keys, how).toDF(*left.columns, *right.columns)
 
 
 def named_join(
@@ -55,7 +79,7 @@ def named_join(
     lists the own columns, every key once per side, then both copies. ``drop_common`` leaves the
     renamed copies out; the leading side keeps its own.
     """
-    kind = _kind(how)
+    _kind(how)
     lcols = list(dict.fromkeys(left.columns if left_columns is None else left_columns))
     rcols = list(dict.fromkeys(right.columns if right_columns is None else right_columns))
     if not keys or not lcols or not rcols:
@@ -68,26 +92,26 @@ def named_join(
     right_only = [c for c in rcols if c not in lcols and c not in rkeys]
     common = [c for c in lcols if c in rcols and c not in lkeys and c not in rkeys]
 
-    def of(side: DataFrame, names: Sequence[str]) -> list[Column]:
-        return [side[f"`{c}`"] for c in names]
+    def own(side: str, names: Sequence[str]) -> list[Column]:
+        return [_of(side, c).alias(c) for c in names]
 
-    def copies(side: DataFrame, name: str) -> list[Column]:
-        return [] if drop_common else [side[f"`{c}`"].alias(f"{c}__{name}") for c in common]
+    def copies(side: str, name: str) -> list[Column]:
+        return [] if drop_common else [_of(side, c).alias(f"{c}__{name}") for c in common]
 
     if how == "LEFT":
-        columns = of(left, left.columns) + of(right, right_only) + copies(right, right_name)
+        columns = own(_LEFT, left.columns) + own(_RIGHT, right_only) + copies(_RIGHT, right_name)
     elif how == "RIGHT":
-        columns = of(right, right.columns) + of(left, left_only) + copies(left, left_name)
+        columns = own(_RIGHT, right.columns) + own(_LEFT, left_only) + copies(_LEFT, left_name)
     elif how == "INNER":
-        columns = of(left, left.columns) + of(right, right_only) + copies(left, left_name) + copies(right, right_name)
+        columns = own(_LEFT, left.columns) + own(_RIGHT, right_only) + copies(_LEFT, left_name) + copies(_RIGHT, right_name)
     else:
         key_pairs = [
-            side[f"`{k}`"].alias(f"{k}__{name}")
+            _of(side, k).alias(f"{k}__{name}")
             for a, b in keys.items()
-            for side, k, name in ((left, a, left_name), (right, b, right_name))
+            for side, k, name in ((_LEFT, a, left_name), (_RIGHT, b, right_name))
         ]
-        columns = of(left, left_only) + of(right, right_only) + key_pairs + copies(left, left_name) + copies(right, right_name)
-    return left.join(right, _condition(left, right, keys), kind).select(*columns)
+        columns = own(_LEFT, left_only) + own(_RIGHT, right_only) + key_pairs + copies(_LEFT, left_name) + copies(_RIGHT, right_name)
+    return _joined(left, right, keys, how).select(*columns)
 
 
 def remap_options(

@@ -10,6 +10,7 @@ from reviewloom.plans.finalize import export_chunks, split_outcomes
 from reviewloom.plans.ingest import ingest
 from reviewloom.plans.postprocess import Labeller, postprocess
 from reviewloom.plans.preprocess import preprocess
+from reviewloom.session import staging
 from reviewloom.sources.dataset import Dataset
 from reviewloom.sources.declared import EXPORT_LAYOUT, OPTION_MAP, Source
 from reviewloom.sources.pages import read_pages
@@ -31,8 +32,9 @@ class Workspace:
 
 def run_ingest(spark: SparkSession, space: Workspace, source: Source, landing: str, name: str = "reviews") -> None:
     """Landed pages to the source table; rows already there win."""
-    rows = ingest(read_pages(spark, landing), source)
-    save(rows, space.table(name), source.pk_column(), overwrite=False)
+    with staging(spark):
+        rows = ingest(read_pages(spark, landing), source)
+        save(rows, space.table(name), source.pk_column(), overwrite=False)
 
 
 def run_preprocess(
@@ -46,42 +48,44 @@ def run_preprocess(
 ) -> None:
     """Source tables and mappings to the export table. The mappings must exist."""
     orders = read_current(spark, space.table("orders")) if orders_source else None
-    rows = preprocess(
-        source,
-        _current(spark, space.table("reviews")),
-        load(spark, id_map, id_map_spec, required=True),
-        load(spark, option_map, OPTION_MAP, required=True),
-        id_map_spec,
-        OPTION_MAP,
-        orders=orders,
-        orders_spec=orders_source.dataset if orders is not None else None,
-    )
-    save(rows, space.table("preprocessed"), EXPORT_LAYOUT["REVIEW_ID"], overwrite=False)
+    with staging(spark):
+        rows = preprocess(
+            source,
+            _current(spark, space.table("reviews")),
+            load(spark, id_map, id_map_spec, required=True),
+            load(spark, option_map, OPTION_MAP, required=True),
+            id_map_spec,
+            OPTION_MAP,
+            orders=orders,
+            orders_spec=orders_source.dataset if orders is not None else None,
+        )
+        save(rows, space.table("preprocessed"), EXPORT_LAYOUT["REVIEW_ID"], overwrite=False)
 
 
 def run_postprocess(spark: SparkSession, space: Workspace, option_map: str, labeller: Labeller) -> None:
-    rows = postprocess(
-        _current(spark, space.table("preprocessed")), load(spark, option_map, OPTION_MAP, required=True), OPTION_MAP, labeller
-    )
-    save(rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"], overwrite=False)
+    options = load(spark, option_map, OPTION_MAP, required=True)
+    with staging(spark):
+        rows = postprocess(_current(spark, space.table("preprocessed")), options, OPTION_MAP, labeller)
+        save(rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"], overwrite=False)
 
 
 def run_chunks(spark: SparkSession, space: Workspace, size: int) -> DataFrame:
-    """Write the chunk files to upload and return the numbered rows."""
+    """Write the chunk files to upload and return their rows."""
     rows = _current(spark, space.table("postprocessed"))
     ties = [c for c in rows.columns if c != EXPORT_LAYOUT["PRODUCT_ID"]]
-    numbered = export_chunks(rows, EXPORT_LAYOUT["PRODUCT_ID"], ties, size)
-    write_chunks(numbered, space.table("chunks"))
-    return numbered
+    with staging(spark):
+        write_chunks(export_chunks(rows, EXPORT_LAYOUT["PRODUCT_ID"], ties, size), space.table("chunks"))
+    return spark.read.parquet(space.table("chunks"))
 
 
 def run_finalize(spark: SparkSession, space: Workspace, outcomes: DataFrame) -> None:
     """Split the uploaded chunks by their ``(chunk, succeeded)`` outcome."""
     numbered = spark.read.parquet(space.table("chunks")).drop("row_number", "chunk_count")
     success, failed = split_outcomes(numbered, outcomes)
-    write_outcomes(
-        success.drop("chunk"), failed.drop("chunk"), space.table("success"), space.table("failed"), EXPORT_LAYOUT["REVIEW_ID"]
-    )
+    with staging(spark):
+        write_outcomes(
+            success.drop("chunk"), failed.drop("chunk"), space.table("success"), space.table("failed"), EXPORT_LAYOUT["REVIEW_ID"]
+        )
 
 
 def _current(spark: SparkSession, path: str) -> DataFrame:

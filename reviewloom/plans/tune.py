@@ -24,7 +24,10 @@ def tune(events: DataFrame, series: Sequence[str], interval: str, previous_ratio
     ratios = latest.select(
         *series, F.col(f"last.{interval}").alias("last_interval"), F.round(ratio, 6).alias("memory_usage_ratio")
     )
-    return forecast.select(*series, "interval_count", F.col("forecast").alias("max_text_length")).join(ratios, list(series))
+    texts = forecast.select(*series, "interval_count", F.col("forecast").alias("max_text_length"))
+    # One row per series on both sides: put them side by side by an aggregate.
+    both = texts.unionByName(ratios, allowMissingColumns=True)
+    return both.groupBy(*series).agg(*[F.max(c).alias(c) for c in both.columns if c not in series])
 
 
 def refresh_statistics(recorded: DataFrame, events: DataFrame, by: Sequence[str]) -> DataFrame:

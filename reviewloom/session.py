@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +56,32 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+# Paths handed out since the innermost `staging` block began.
+_open_blocks: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open_blocks:
+        _open_blocks[-1].append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends.
+
+    Whatever is to outlive the block must have been written elsewhere by then.
+    """
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _open_blocks.pop():
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
