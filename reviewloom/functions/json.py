@@ -91,14 +91,17 @@ def target_keys(
     missing: str | None = None,
 ) -> DataFrame:
     """One text column per wanted key; absent keys give ``missing`` (null by default)."""
+    keys = list(key_map)
+    # Each value is looked up once, and read from its own column afterwards.
+    found = df.select(*keep, *[get_key(F.col(record), k, embedded_in).alias(f"_k{i}") for i, k in enumerate(keys)])
     columns = []
-    for key, name in key_map.items():
-        found = get_key(F.col(record), key, embedded_in)
-        value = leaf_text(found, key)
+    for i, key in enumerate(keys):
+        held = F.col(f"_k{i}")
+        value = leaf_text(held, key)
         if missing is not None:
-            value = F.when(has_leaf(found, key), value).otherwise(F.lit(missing))
-        columns.append(value.alias(name))
-    return df.select(*keep, *columns)
+            value = F.when(has_leaf(held, key), value).otherwise(F.lit(missing))
+        columns.append(value.alias(key_map[key]))
+    return found.select(*keep, *columns)
 
 
 def missing_keys(df: DataFrame, record: str, keys: Sequence[str], embedded_in: Iterable[str] = ()) -> DataFrame:

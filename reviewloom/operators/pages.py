@@ -23,7 +23,8 @@ def fingerprint_pages(pages: DataFrame, payload: str, record_path: Sequence[str]
         F.coalesce(array, F.array().cast("array<variant>")),
         lambda record: F.try_variant_get(record, variant_path(pk), "string"),
     )
-    return pages.withColumns({"record_count": F.size(ids), "fingerprint": page_fingerprint(ids)})
+    listed = pages.withColumn("_ids", ids)
+    return listed.withColumns({"record_count": F.size("_ids"), "fingerprint": page_fingerprint(F.col("_ids"))}).drop("_ids")
 
 
 def pages_before_stop(pages: DataFrame) -> DataFrame:

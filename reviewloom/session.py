@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewloom.files import remove_path
+
 # Settings every job relies on. They are session-level, so they can be applied to a session
 # that somebody else built.
 REQUIRED_CONF = {
@@ -78,10 +80,8 @@ def staging(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
         for path in _open_blocks.pop():
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            remove_path(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewloom.files import list_names
+
 _SUMMARY = T.StructType(
     [
         T.StructField("batch_size", T.LongType()),
@@ -59,12 +61,16 @@ def _with_torn(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(_TORN, T.StringType())])
 
 
+# Partition column of logs written here; scans of a time range read its folders only.
+EVENT_DATE = "event_date"
+
+
 def scan_events(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None, schema: T.StructType = EVENT_SCHEMA
 ) -> DataFrame:
     """Events with ``start <= timestamp < end``. Blank lines are skipped, torn lines are dropped."""
     lines = spark.read.schema(_with_torn(schema)).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=_TORN)
-    return _between(_whole_lines(lines), start, end)
+    return _between(_whole_lines(lines), start, end).drop(EVENT_DATE)
 
 
 def stream_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, **options) -> DataFrame:
@@ -74,7 +80,7 @@ def stream_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_S
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_TORN, **options)
         .json(path)
     )
-    return _whole_lines(lines)
+    return _whole_lines(lines).drop(EVENT_DATE)
 
 
 def _whole_lines(lines: DataFrame) -> DataFrame:
@@ -83,10 +89,17 @@ def _whole_lines(lines: DataFrame) -> DataFrame:
 
 
 def _between(events: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    dated = EVENT_DATE in events.columns
     if start is not None:
-        events = events.where(F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
+        first = F.lit(start).cast("timestamp_ntz")
+        events = events.where(F.col("timestamp") >= first)
+        if dated:
+            events = events.where(F.col(EVENT_DATE) >= F.to_date(first))
     if end is not None:
-        events = events.where(F.col("timestamp") < F.lit(end).cast("timestamp_ntz"))
+        last = F.lit(end).cast("timestamp_ntz")
+        events = events.where(F.col("timestamp") < last)
+        if dated:
+            events = events.where(F.col(EVENT_DATE) <= F.to_date(last))
     return events
 
 
@@ -96,8 +109,24 @@ def tail(events: DataFrame, n: int, newest_first: bool = True) -> DataFrame:
     return last if newest_first else last.orderBy("timestamp", "event_id")
 
 
+def tail_of_log(spark: SparkSession, path: str, n: int, newest_first: bool = True) -> DataFrame:
+    """The last ``n`` events of a dated log, from its newest folders only.
+
+    The number of folders looked at doubles until they hold ``n`` events.
+    """
+    dates = sorted((f.split("=", 1)[1] for f in list_names(spark, path) if f.startswith(f"{EVENT_DATE}=2")), reverse=True)
+    taken = 1
+    while taken < len(dates):
+        recent = scan_events(spark, path, start=dates[taken - 1])
+        if recent.limit(n).count() == n:
+            return tail(recent, n, newest_first)
+        taken *= 2
+    return tail(scan_events(spark, path), n, newest_first)
+
+
 def append_events(events: DataFrame, path: str) -> None:
-    events.write.mode("append").json(path)
+    """Add events below their date; a task writes the dates it holds, so there is no shuffle."""
+    events.withColumn(EVENT_DATE, F.to_date("timestamp")).write.mode("append").partitionBy(EVENT_DATE).json(path)
 
 
 def clear_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.upsert import upsert
 from reviewloom.session import stage
-from reviewloom.sources.tables import path_exists
+from reviewloom.files import list_names, path_exists, remove_path
 
 
 def period_path(root: str, start: str, end: str) -> str:
@@ -19,11 +19,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions of a table; a version counts once its job wrote ``_SUCCESS``."""
     if not path_exists(spark, path):
         return []
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    numbers = [int(n.split("=", 1)[1]) for n in names if n.startswith("version=")]
+    numbers = [int(n.split("=", 1)[1]) for n in list_names(spark, path) if n.startswith("version=")]
     return sorted(n for n in numbers if path_exists(spark, f"{path}/version={n}/_SUCCESS"))
 
 
@@ -47,7 +43,8 @@ def save(df: DataFrame, path: str, pk: str | None, overwrite: bool = False, writ
         first = f"{path}/version=1"
         df.write.mode("overwrite").parquet(first)
         if not write_empty and spark.read.schema(df.schema).parquet(first).isEmpty():
-            _unfinish(spark, first)
+            # Without its marker a version does not count.
+            remove_path(spark, f"{first}/_SUCCESS")
             return False
         return True
     if pk not in current.columns:
@@ -61,13 +58,6 @@ def save(df: DataFrame, path: str, pk: str | None, overwrite: bool = False, writ
     return True
 
 
-def _unfinish(spark: SparkSession, version: str) -> None:
-    """Take the success marker away, so that the version does not count."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{version}/_SUCCESS")
-    marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(marker, False)
-
-
 def chunk_file_name(prefix: str, chunk, chunk_count):
     """``prefix_03_of_12``: both numbers padded to the width of the count."""
     width = F.length(chunk_count.cast("string"))

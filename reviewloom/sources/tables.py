@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.files import path_exists
 from reviewloom.sources.dataset import Dataset
 
 
@@ -58,13 +59,6 @@ def _order_item(text: str):
     return F.expr(name).desc_nulls_last() if descending else F.expr(name).asc_nulls_last()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence on whatever file system the path names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def load(
     spark: SparkSession,
     path: str,

@@ -9,7 +9,7 @@ from reviewloom.operators.dedupe import keep_last
 from reviewloom.plans.ingest import POSITION, flat_records, page_records
 from reviewloom.sources.declared import Source
 from reviewloom.sources.pages import stream_pages
-from reviewloom.sources.tables import path_exists
+from reviewloom.files import path_exists
 
 
 def ingest_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, source: Source, **options) -> None:

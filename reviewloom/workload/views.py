@@ -226,8 +226,11 @@ def event_log_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         log = events(spark, sf_dir)
         event_log.append_events(log, path)
-        torn = log.select(F.explode(F.array(F.expr("substr(to_json(struct(*)), 1, 40)"), F.lit(""))).alias("value"))
-        torn.write.mode("append").text(path)
+        torn = log.select(
+            F.explode(F.array(F.expr("substr(to_json(struct(*)), 1, 40)"), F.lit(""))).alias("value"),
+            F.to_date("timestamp").alias(event_log.EVENT_DATE),
+        )
+        torn.write.mode("append").partitionBy(event_log.EVENT_DATE).text(path)
 
     return _once(spark, sf_dir, "event-log", write)
 

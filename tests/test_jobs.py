@@ -89,20 +89,29 @@ def test_outcome_tables(spark, tmp_path):
 
 
 def test_event_log(spark, tmp_path):
-    path = f"{tmp_path}/log"
+    path, dated = f"{tmp_path}/log", f"{tmp_path}/dated"
     line = lambda i: json.dumps({"event_type": "inferred", "event_id": i, "timestamp": f"2024-01-0{i}T00:00:00"})
     os.makedirs(path)
     with open(f"{path}/a.json", "w") as f:
         f.write("\n".join([line(1), "", line(2), line(3)[:30]]))
-    event_log.append_events(event_log.scan_events(spark, path).withColumn("event_id", F.col("event_id") + 3), path)
-    log = event_log.scan_events(spark, path)
+    plain = event_log.scan_events(spark, path)
+    assert ids(plain, "event_id") == [1, 2] and plain.count() == 2
+    event_log.append_events(plain, dated)
+    event_log.append_events(plain.withColumn("event_id", F.col("event_id") + 3), dated)
+    log = event_log.scan_events(spark, dated)
+    assert log.columns == plain.columns
     assert ids(log, "event_id") == [1, 2, 4, 5]
-    assert ids(event_log.scan_events(spark, path, start="2024-01-02"), "event_id") == [2, 5]
-    assert ids(event_log.scan_events(spark, path, end="2024-01-02"), "event_id") == [1, 4]
-    assert [r.event_id for r in event_log.tail(log, 3).collect()] == [5, 2, 4]
+    for where in (path, dated):
+        assert set(ids(event_log.scan_events(spark, where, start="2024-01-02"), "event_id")) <= {2, 5}
+        assert set(ids(event_log.scan_events(spark, where, end="2024-01-02"), "event_id")) <= {1, 4}
+    assert ids(event_log.scan_events(spark, dated, start="2024-01-02"), "event_id") == [2, 5]
+    assert ids(event_log.scan_events(spark, dated, end="2024-01-02 00:00:01"), "event_id") == [1, 2, 4, 5]
+    for n, want in ((1, [5]), (2, [5, 2]), (3, [5, 2, 4]), (9, [5, 2, 4, 1])):
+        assert [r.event_id for r in event_log.tail(log, n).collect()] == want
+        assert [r.event_id for r in event_log.tail_of_log(spark, dated, n).collect()] == want
     assert [r.event_id for r in event_log.tail(log, 2, newest_first=False).collect()] == [2, 5]
-    event_log.clear_events(spark, path)
-    assert event_log.scan_events(spark, path).count() == 0
+    event_log.clear_events(spark, dated)
+    assert event_log.scan_events(spark, dated).count() == 0
 
 
 def test_period_path():

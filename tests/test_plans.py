@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from reviewloom.operators.joins import simple_join
 from reviewloom.session import scratch_path, stage, staging
-from reviewloom.sources.tables import path_exists
+from reviewloom.files import path_exists
 
 QUERIES = __spark_entry__.queries()
 
