@@ -16,15 +16,18 @@ MAX_HASHED_ID_LENGTH = 16
 def sha256_digits(text: Column, digits: int) -> Column:
     """SHA-256 of a text as a 256-bit integer modulo ``10**digits``, left-padded with zeros.
 
-    The hex digest is taken in eight 32-bit words; the running remainder stays below
-    10**4 * 2**32, so 64-bit arithmetic is exact and everything is generated code.
+    The hex digest is taken in words of 48 bits; the running remainder stays below 10**4 * 2**48,
+    so 64-bit arithmetic is exact and everything is generated code.
     """
+    if not 1 <= digits <= 4:
+        raise ValueError(f"1 to 4 digits, got {digits}")
     digest = F.sha2(text, 256)
     modulus = F.lit(10**digits).cast("bigint")
     rest = F.lit(0).cast("bigint")
-    for start in range(1, 65, 8):
-        word = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
-        rest = (rest * F.lit(2**32) + word) % modulus
+    for start in range(0, 64, 12):
+        width = min(12, 64 - start)
+        word = F.conv(F.substring(digest, start + 1, width), 16, 10).cast("bigint")
+        rest = (rest * F.lit(16**width).cast("bigint") + word) % modulus
     return F.lpad(rest.cast("string"), digits, "0")
 
 

@@ -20,9 +20,27 @@ def length_summary(rows: DataFrame, by: Sequence[str], lengths: Mapping[str, Col
     distinct values, so the rows shrink to a histogram before the shuffle; the window then runs
     over one row per distinct length, not over the rows of a group.
     """
-    pairs = F.array(*[F.struct(F.lit(n).alias("name"), c.cast("bigint").alias("length")) for n, c in lengths.items()])
-    long = rows.select(*by, F.explode(pairs).alias("_p")).select(*by, "_p.name", "_p.length").where("length IS NOT NULL")
-    histogram = long.groupBy(*by, "name", "length").agg(F.count(F.lit(1)).alias("n"))
+    entries = F.array(*[_entry(name, length, F.lit(1)) for name, length in lengths.items()])
+    return _summaries(rows.select(*by, F.explode(entries).alias("_e")), by, list(lengths))
+
+
+def _entry(name: str, length: Column, weight: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("name"), length.cast("bigint").alias("length"), weight.cast("bigint").alias("weight")
+    )
+
+
+def _summaries(entries: DataFrame, by: Sequence[str], names: Sequence[str], latest: Mapping[str, str] | None = None) -> DataFrame:
+    """Count, total and percentile per group and name of weighted entries ``_e(name, length, weight)``.
+
+    ``latest`` carries the maximum of further columns along: output name to column.
+    """
+    latest = latest or {}
+    histogram = (
+        entries.where("_e.length IS NOT NULL")
+        .groupBy(*by, F.col("_e.name").alias("name"), F.col("_e.length").alias("length"))
+        .agg(F.sum("_e.weight").alias("n"), *[F.max(c).alias(o) for o, c in latest.items()])
+    )
     whole = Window.partitionBy(*by, "name")
     ranked = histogram.select(
         "*",
@@ -36,20 +54,21 @@ def length_summary(rows: DataFrame, by: Sequence[str], lengths: Mapping[str, Col
         F.min(F.when(F.col("_upto") > below, F.col("length"))).alias("_low"),
         F.min(F.when(F.col("_upto") > above, F.col("length"))).alias("_high"),
         F.sum(F.col("length") * F.col("n")).alias("_sum"),
+        *[F.max(o).alias(o) for o in latest],
     )
     share = place - below
     span = F.col("_high") - F.col("_low")
     # Measured from the nearer end, as numpy does it, so that truncation falls on the same side.
     p95 = F.floor(F.when(share >= 0.5, F.col("_high") - span * (1 - share)).otherwise(F.col("_low") + span * share))
     wide = []
-    for n in lengths:
+    for n in names:
         mine = F.col("name") == n
         wide += [
             F.coalesce(F.max(F.when(mine, F.col("_total"))), F.lit(0)).alias(f"count_{n}"),
             F.coalesce(F.max(F.when(mine, F.col("_sum"))), F.lit(0)).alias(f"total_{n}"),
             F.coalesce(F.max(F.when(mine, F.col("_p95"))), F.lit(0)).alias(f"p95_{n}"),
         ]
-    return found.withColumn("_p95", p95).groupBy(*by).agg(*wide)
+    return found.withColumn("_p95", p95).groupBy(*by).agg(*wide, *[F.max(o).alias(o) for o in latest])
 
 
 def events_by_type(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -82,50 +101,64 @@ def inconsistent_batches(events: DataFrame) -> DataFrame:
 
 
 def interval_statistics(events: DataFrame, by: Sequence[str], **applied) -> DataFrame:
-    """One row of statistics per interval over its inferred batches.
+    """One row of statistics per interval over its inferred batches; the log is read once.
 
-    A batch whose stored size differs from its array is an error. ``applied`` adds the settings
-    in force as constant columns.
+    Batch counts travel through the same histogram as the lengths, as entries with a weight. A
+    batch whose stored size differs from its array is an error. ``applied`` adds the settings in
+    force as constant columns.
     """
     inferred = events.where(F.col("event_type") == INFERRED)
+    rows = _summaries(inferred.select(*by, F.explode(_batch_entries()).alias("_e")), by, _STATISTICS)
+    return rows.select(*by, *_statistics(), *[F.lit(v).alias(k) for k, v in applied.items()])
+
+
+def dated_statistics(events: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Interval statistics with the count and last timestamp of all events of the interval."""
+    own = F.when(F.col("event_type") == INFERRED, _batch_entries()).otherwise(F.array().cast(_ENTRY_TYPE))
+    entries = F.concat(own, F.array(_entry("event", F.lit(0), F.lit(1))))
+    rows = _summaries(
+        events.select(*by, "timestamp", F.explode(entries).alias("_e")),
+        by,
+        [*_STATISTICS, "event"],
+        latest={"last_timestamp": "timestamp"},
+    )
+    return rows.select(*by, F.col("count_event").alias("event_count"), "last_timestamp", *_statistics())
+
+
+_STATISTICS = ("text_length", "token_length", "batch", "positive", "negative")
+_ENTRY_TYPE = "array<struct<name:string,length:bigint,weight:bigint>>"
+
+
+def _batch_entries() -> Column:
+    """All a batch contributes: its lengths one by one, and its counts as weights."""
     held, stored = F.coalesce(F.size(_LENGTHS), F.lit(0)), F.coalesce(F.col(_BATCH_SIZE), F.lit(0))
     checked = F.when(
         stored != held,
         F.raise_error(F.concat(F.lit("batch size differs from its array: event "), F.col("event_id").cast("string"))).cast("bigint"),
     ).otherwise(stored)
-    batches = inferred.groupBy(*by).agg(
-        F.coalesce(F.sum(checked), F.lit(0)).alias("inferred_total_text_count"),
-        F.coalesce(F.sum("positive_text_count"), F.lit(0)).alias("positive_text_count"),
-        F.coalesce(F.sum("negative_text_count"), F.lit(0)).alias("negative_text_count"),
-    )
-    texts = inferred.select(*by, F.explode(_LENGTHS).alias("_e"))
-    lengths = length_summary(
-        texts, by, {"text_length": F.col("_e.text_length"), "token_length": F.col("_e.token_length")}
-    )
-    # Both sides have one row per interval.
-    joined = batches.join(lengths, list(by), "left").na.fill(
-        0, ["total_text_length", "p95_text_length", "total_token_length", "p95_token_length"]
-    )
-    return joined.select(
-        *by,
-        "inferred_total_text_count",
-        "positive_text_count",
-        "negative_text_count",
-        ratio_or_zero("total_text_length", "inferred_total_text_count").alias("avg_text_length"),
-        "p95_text_length",
-        ratio_or_zero("total_token_length", "inferred_total_text_count").alias("avg_token_length"),
-        "p95_token_length",
+    lengths = F.coalesce(F.col(_LENGTHS), F.array().cast("array<struct<text_length:bigint,token_length:bigint>>"))
+    return F.concat(
+        F.transform(lengths, lambda e: _entry("text_length", e["text_length"], F.lit(1))),
+        F.transform(lengths, lambda e: _entry("token_length", e["token_length"], F.lit(1))),
+        F.array(
+            _entry("batch", F.lit(0), checked),
+            _entry("positive", F.lit(0), F.coalesce("positive_text_count", F.lit(0))),
+            _entry("negative", F.lit(0), F.coalesce("negative_text_count", F.lit(0))),
+        ),
+    ).cast(_ENTRY_TYPE)
+
+
+def _statistics() -> list[Column]:
+    return [
+        F.col("count_batch").alias("inferred_total_text_count"),
+        F.col("count_positive").alias("positive_text_count"),
+        F.col("count_negative").alias("negative_text_count"),
+        ratio_or_zero("total_text_length", "count_batch").alias("avg_text_length"),
+        F.col("p95_text_length"),
+        ratio_or_zero("total_token_length", "count_batch").alias("avg_token_length"),
+        F.col("p95_token_length"),
         ratio_or_zero("total_token_length", "total_text_length").alias("token_to_text_ratio"),
-        *[F.lit(v).alias(k) for k, v in applied.items()],
-    )
-
-
-def dated_statistics(events: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Interval statistics with the count and last timestamp of all events behind them."""
-    facts = events.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("event_count"), F.max("timestamp").alias("last_timestamp")
-    )
-    return facts.join(interval_statistics(events, by), list(by), "left")
+    ]
 
 
 def ratio_or_zero(numerator: str, denominator: str) -> Column:

@@ -12,11 +12,22 @@ from reviewloom.operators.tuning import trend_forecast, updated_ratio
 
 
 def tune(events: DataFrame, series: Sequence[str], interval: str, previous_ratio: float) -> DataFrame:
-    """Per series: the text length to allow next, and the memory ratio after the latest interval."""
+    """Both settings straight from the event log."""
     by = [*series, interval]
-    stats = interval_statistics(events, by)
-    forecast = trend_forecast(stats, series, interval, "p95_text_length")
-    outcomes = outcome_counts(events, by)
+    return tune_recorded(
+        interval_statistics(events, by), outcome_counts(events, by), series, interval, previous_ratio
+    )
+
+
+def tune_recorded(
+    statistics: DataFrame, outcomes: DataFrame, series: Sequence[str], interval: str, previous_ratio: float
+) -> DataFrame:
+    """Per series: the text length to allow next, and the memory ratio after the latest interval.
+
+    ``statistics`` has ``p95_text_length`` per interval, ``outcomes`` the inferred and
+    out-of-memory counts; recorded statistics need no second look at the log.
+    """
+    forecast = trend_forecast(statistics, series, interval, "p95_text_length")
     latest = outcomes.groupBy(*series).agg(
         F.max(F.struct(interval, "inferred_count", "oom_count")).alias("last")
     )

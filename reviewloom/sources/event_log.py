@@ -125,8 +125,13 @@ def tail_of_log(spark: SparkSession, path: str, n: int, newest_first: bool = Tru
 
 
 def append_events(events: DataFrame, path: str) -> None:
-    """Add events below their date; a task writes the dates it holds, so there is no shuffle."""
-    events.withColumn(EVENT_DATE, F.to_date("timestamp")).write.mode("append").partitionBy(EVENT_DATE).json(path)
+    """Add events below their date.
+
+    Rebalancing gathers a date's events into files of a good size, and splits a date that holds
+    most of them.
+    """
+    dated = events.withColumn(EVENT_DATE, F.to_date("timestamp")).hint("rebalance", EVENT_DATE)
+    dated.write.mode("append").partitionBy(EVENT_DATE).json(path)
 
 
 def clear_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> None:

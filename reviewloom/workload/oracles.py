@@ -79,8 +79,8 @@ TL = f"""tl AS (
   FROM documents),
 ev AS (
   SELECT batch_id AS event_id, CASE WHEN batch_id % 9 = 0 THEN 'oom_fallback' ELSE 'inferred' END AS event_type,
-         TIMESTAMP '2024-01-01' + to_days(CAST(batch_id AS INT)) AS timestamp,
-         CAST(date_trunc('week', TIMESTAMP '2024-01-01' + to_days(CAST(batch_id AS INT))) AS DATE) AS week,
+         TIMESTAMP '2024-01-01' + to_hours(batch_id) AS timestamp,
+         CAST(TIMESTAMP '2024-01-01' + to_hours(batch_id) AS DATE) AS day,
          count(*) AS n, max(token_length) AS max_tokens, CAST(sum(token_length) AS BIGINT) AS total_tokens,
          count(*) FILTER (label = 1) AS positive_text_count, count(*) FILTER (label = 0) AS negative_text_count
   FROM tl GROUP BY batch_id)"""
@@ -157,7 +157,7 @@ STATS = f"""count(*) AS inferred_total_text_count, count(*) FILTER (label = 1) A
        {p95("token_length")} AS p95_token_length,
        CAST(sum(token_length) AS DOUBLE) / CAST(sum(text_length) AS DOUBLE) AS token_to_text_ratio"""
 
-INFERRED = "inferred AS (SELECT tl.*, ev.week, ev.timestamp FROM tl JOIN ev ON ev.event_id = tl.batch_id WHERE event_type = 'inferred')"
+INFERRED = "inferred AS (SELECT tl.*, ev.day, ev.timestamp FROM tl JOIN ev ON ev.event_id = tl.batch_id WHERE event_type = 'inferred')"
 
 OLD_NEW = """o AS (SELECT CAST(CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS VARCHAR) AS order_id, o_totalprice AS total,
                    o_orderdate AS ordered_at FROM orders),
@@ -429,7 +429,7 @@ stops AS (SELECT term, min(page) AS stop FROM repeated WHERE seen > 1 GROUP BY t
     "label_counts": sql(
         TL, "SELECT event_id AS batch_id, positive_text_count, negative_text_count FROM ev"
     ),
-    "interval_stats": sql(TL, INFERRED, f"SELECT week, {STATS} FROM inferred GROUP BY week"),
+    "interval_stats": sql(TL, INFERRED, f"SELECT day, {STATS} FROM inferred GROUP BY day"),
     "p95_length": f"""WITH t AS (SELECT lang, length(text) AS chars,
         CAST(CASE WHEN trim(text, '{WS}') = '' THEN 0
              ELSE len(string_split_regex(trim(text, '{WS}'), '[{SPACES}]+')) END AS BIGINT) AS tokens FROM documents)
@@ -455,9 +455,9 @@ stops AS (SELECT term, min(page) AS stop FROM repeated WHERE seen > 1 GROUP BY t
     ),
     "ratio_update": sql(
         TL,
-        """oc AS (SELECT week, count(*) FILTER (event_type = 'inferred') AS inferred_count,
-                 count(*) FILTER (event_type = 'oom_fallback') AS oom_count FROM ev GROUP BY week)""",
-        f"SELECT week, inferred_count, oom_count, round(CAST({RATIO} AS DOUBLE), 6) AS ratio FROM oc",
+        """oc AS (SELECT day, count(*) FILTER (event_type = 'inferred') AS inferred_count,
+                 count(*) FILTER (event_type = 'oom_fallback') AS oom_count FROM ev GROUP BY day)""",
+        f"SELECT day, inferred_count, oom_count, round(CAST({RATIO} AS DOUBLE), 6) AS ratio FROM oc",
     ),
     "ema": sql(
         MS,
@@ -475,9 +475,9 @@ a AS (SELECT series, n, avg(delta) FILTER (i >= 0 AND i >= n - 4) - avg(delta) F
     ),
     "stats_rescan": sql(
         TL,
-        "w AS (SELECT week, count(*) AS n, max(timestamp) AS last FROM ev GROUP BY week)",
-        """SELECT week, n - 1 AS event_count, n AS log_event_count, last - to_days(1) AS last_timestamp, last AS log_last_timestamp
-        FROM w WHERE weekofyear(week) % 2 = 0""",
+        "w AS (SELECT day, count(*) AS n, max(timestamp) AS last FROM ev GROUP BY day)",
+        """SELECT day, n - 1 AS event_count, n AS log_event_count, last - to_hours(1) AS last_timestamp, last AS log_last_timestamp
+        FROM w WHERE dayofmonth(day) % 2 = 0""",
     ),
     "row_audit": sql(
         RV,
@@ -571,11 +571,11 @@ op AS (SELECT CAST(export_product_id AS VARCHAR) AS eid, product_name, option_na
     "job_tune": sql(
         TL,
         INFERRED,
-        f"""ds AS (SELECT 'all' AS series, CAST(timestamp AS DATE) AS day,
+        f"""ds AS (SELECT 'all' AS series, timestamp AS hour,
               {p95("text_length")} AS p95_text_length FROM inferred GROUP BY 1, 2)""",
-        chunked("ds", "series", "day", "p95_text_length"),
+        chunked("ds", "series", "hour", "p95_text_length"),
         TREND,
-        """oc AS (SELECT CAST(timestamp AS DATE) AS last_interval, count(*) FILTER (event_type = 'inferred') AS inferred_count,
+        """oc AS (SELECT timestamp AS last_interval, count(*) FILTER (event_type = 'inferred') AS inferred_count,
                  count(*) FILTER (event_type = 'oom_fallback') AS oom_count FROM ev GROUP BY 1 ORDER BY 1 DESC LIMIT 1)""",
         f"""SELECT series, interval_count, forecast AS max_text_length, last_interval,
         round(CAST({RATIO} AS DOUBLE), 6) AS memory_usage_ratio FROM fc, oc""",
@@ -584,8 +584,8 @@ op AS (SELECT CAST(export_product_id AS VARCHAR) AS eid, product_name, option_na
     "stream_interval_stats": sql(
         TL,
         INFERRED,
-        f"""w AS (SELECT week, count(*) AS event_count, max(timestamp) AS last_timestamp FROM ev GROUP BY week),
-st AS (SELECT week, {STATS} FROM inferred GROUP BY week)""",
-        "SELECT w.event_count, w.last_timestamp, w.week, st.* EXCLUDE (week) FROM w LEFT JOIN st ON st.week = w.week",
+        f"""w AS (SELECT day, count(*) AS event_count, max(timestamp) AS last_timestamp FROM ev GROUP BY day),
+st AS (SELECT day, {STATS} FROM inferred GROUP BY day)""",
+        "SELECT w.event_count, w.last_timestamp, w.day, st.* EXCLUDE (day) FROM w LEFT JOIN st ON st.day = w.day",
     ),
 }

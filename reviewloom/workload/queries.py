@@ -478,13 +478,13 @@ def label_counts(spark, d):
     return stats.label_counts(v.text_lengths(spark, d), "batch_id", "label")
 
 
-def _weekly(events):
-    return events.withColumn("week", F.date_trunc("WEEK", "timestamp").cast("date"))
+def _daily(events):
+    return events.withColumn("day", F.to_date("timestamp"))
 
 
 @query
 def interval_stats(spark, d):
-    return stats.interval_statistics(_weekly(_log(spark, d)), ["week"])
+    return stats.interval_statistics(_daily(_log(spark, d)), ["day"])
 
 
 @query
@@ -517,8 +517,8 @@ def trend_forecast(spark, d):
 
 @query
 def ratio_update(spark, d):
-    weekly = stats.outcome_counts(_weekly(_log(spark, d)), ["week"])
-    return weekly.withColumn("ratio", F.round(tuning.updated_ratio(F.col("inferred_count"), F.col("oom_count"), 0.7), 6))
+    daily = stats.outcome_counts(_daily(_log(spark, d)), ["day"])
+    return daily.withColumn("ratio", F.round(tuning.updated_ratio(F.col("inferred_count"), F.col("oom_count"), 0.7), 6))
 
 
 @query
@@ -541,16 +541,16 @@ def adaptive_alpha(spark, d):
 
 @query
 def stats_rescan(spark, d):
-    # Recorded facts that miss the newest event of every second week.
-    weekly = _weekly(_log(spark, d))
-    facts = weekly.groupBy("week").agg(F.count(F.lit(1)).alias("event_count"), F.max("timestamp").alias("last_timestamp"))
-    short = F.weekofyear("week") % 2 == 0
+    # Recorded facts that miss the newest event of every second day.
+    daily = _daily(_log(spark, d))
+    facts = daily.groupBy("day").agg(F.count(F.lit(1)).alias("event_count"), F.max("timestamp").alias("last_timestamp"))
+    short = F.dayofmonth("day") % 2 == 0
     recorded = facts.select(
-        "week",
+        "day",
         F.when(short, F.col("event_count") - 1).otherwise(F.col("event_count")).alias("event_count"),
-        F.when(short, F.expr("timestampadd(DAY, -1, last_timestamp)")).otherwise(F.col("last_timestamp")).alias("last_timestamp"),
+        F.when(short, F.expr("timestampadd(HOUR, -1, last_timestamp)")).otherwise(F.col("last_timestamp")).alias("last_timestamp"),
     )
-    return stats.stale_statistics(recorded, weekly, ["week"])
+    return stats.stale_statistics(recorded, daily, ["day"])
 
 
 @query
@@ -845,8 +845,8 @@ def job_ingest(spark, d):
 
 @query
 def job_tune(spark, d):
-    daily = _log(spark, d).withColumns({"series": F.lit("all"), "day": F.to_date("timestamp")})
-    return tune.tune(daily, ["series"], "day", 0.7)
+    hourly = _log(spark, d).withColumns({"series": F.lit("all"), "hour": F.date_trunc("HOUR", "timestamp").cast("timestamp_ntz")})
+    return tune.tune(hourly, ["series"], "hour", 0.7)
 
 
 # Streams
@@ -864,5 +864,5 @@ def stream_ingest_pages(spark, d):
 def stream_interval_stats(spark, d):
     v.apply_required_conf(spark)
     table, checkpoint = scratch_path(spark, "statistics"), scratch_path(spark, "statistics-checkpoint")
-    stream_stats.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["week"], _weekly)
+    stream_stats.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily)
     return stream_stats.read_statistics(spark, table).drop("run")

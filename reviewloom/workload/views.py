@@ -180,7 +180,7 @@ def text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batches as events, one a day; every ninth one ran out of memory."""
+    """The batches as events, one an hour; every ninth one ran out of memory."""
     batches = text_lengths(spark, sf_dir).groupBy("batch_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "text_length", "token_length"))).alias("entries"),
         F.count_if(F.col("label") == 1).alias("positive_text_count"),
@@ -195,7 +195,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.select(
         F.when(F.col("batch_id") % 9 == 0, F.lit(event_log.OOM_FALLBACK)).otherwise(F.lit(event_log.INFERRED)).alias("event_type"),
         F.col("batch_id").alias("event_id"),
-        F.expr("timestampadd(DAY, batch_id, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("timestamp"),
+        F.expr("timestampadd(HOUR, batch_id, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("timestamp"),
         F.struct(
             summary.alias("batch_snapshot_summary"),
             F.transform("entries", lambda e: F.struct(e["text_length"], e["token_length"]))
@@ -230,7 +230,7 @@ def event_log_path(spark: SparkSession, sf_dir: str) -> str:
             F.explode(F.array(F.expr("substr(to_json(struct(*)), 1, 40)"), F.lit(""))).alias("value"),
             F.to_date("timestamp").alias(event_log.EVENT_DATE),
         )
-        torn.write.mode("append").partitionBy(event_log.EVENT_DATE).text(path)
+        torn.hint("rebalance", event_log.EVENT_DATE).write.mode("append").partitionBy(event_log.EVENT_DATE).text(path)
 
     return _once(spark, sf_dir, "event-log", write)
 
