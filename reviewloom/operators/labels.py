@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 NEGATIVE = 0
 POSITIVE = 1
 
+# Tasks per pass over the training set.
+TRAINING_PARTITIONS = 32
+
 
 def positive_only(df: DataFrame, label: str) -> DataFrame:
     """Rows labelled positive. A row without a label is an error, not a negative."""
@@ -39,8 +42,9 @@ def train_classifier(labelled: DataFrame, text: str, label: str, path: str, feat
         IDF(inputCol="_counts", outputCol="_weights"),
         LogisticRegression(featuresCol="_weights", labelCol=label, predictionCol="_prediction", maxIter=20, regParam=0.01),
     ]
-    # The training set is small; spread it so that every core has a share of each iteration.
-    spread = labelled.select(text, label).repartition(labelled.sparkSession.sparkContext.defaultParallelism)
+    # The training set is small; spread it over a few cores, which all share each iteration.
+    cores = min(labelled.sparkSession.sparkContext.defaultParallelism, TRAINING_PARTITIONS)
+    spread = labelled.select(text, label).repartition(cores)
     Pipeline(stages=stages).fit(spread).write().save(path)
     return PipelineModel.load(path)
 

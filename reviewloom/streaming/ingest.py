@@ -16,7 +16,9 @@ def ingest_stream(spark: SparkSession, landing: str, table: str, checkpoint: str
     """Process the pages that arrived since the last run, then stop.
 
     A micro-batch overwrites its own ``batch`` folder, so a repeated batch leaves the same rows.
-    Nothing already written is rewritten: the cost of a run is that of its new pages.
+    Nothing already written is rewritten: the cost of a run is that of its new pages. The stop
+    rule of paged sources looks at a whole term and is left to the batch job; a page landed twice
+    changes nothing here, because its keys are the same.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -580,7 +580,7 @@ op AS (SELECT CAST(export_product_id AS VARCHAR) AS eid, product_name, option_na
         f"""SELECT series, interval_count, forecast AS max_text_length, last_interval,
         round(CAST({RATIO} AS DOUBLE), 6) AS memory_usage_ratio FROM fc, oc""",
     ),
-    "stream_ingest_pages": INGESTED,
+    "stream_ingest": INGESTED,
     "stream_interval_stats": sql(
         TL,
         INFERRED,

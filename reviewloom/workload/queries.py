@@ -26,8 +26,8 @@ from reviewloom.sources.declared import (
     SOURCE_B_ID_MAP,
     SOURCE_B_REVIEWS,
 )
-from reviewloom.streaming import ingest as stream_ingest
-from reviewloom.streaming import interval_stats as stream_stats
+from reviewloom.streaming import ingest as page_stream
+from reviewloom.streaming import interval_stats as statistics_stream
 from reviewloom.workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -853,16 +853,16 @@ def job_tune(spark, d):
 
 
 @query
-def stream_ingest_pages(spark, d):
+def stream_ingest(spark, d):
     v.apply_required_conf(spark)
     table, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-checkpoint")
-    stream_ingest.ingest_stream(spark, v.landed_path(spark, d), table, checkpoint, SOURCE_B_REVIEWS)
-    return stream_ingest.read_ingested(spark, table, SOURCE_B_REVIEWS)
+    page_stream.ingest_stream(spark, v.landed_path(spark, d), table, checkpoint, SOURCE_B_REVIEWS)
+    return page_stream.read_ingested(spark, table, SOURCE_B_REVIEWS)
 
 
 @query
 def stream_interval_stats(spark, d):
     v.apply_required_conf(spark)
     table, checkpoint = scratch_path(spark, "statistics"), scratch_path(spark, "statistics-checkpoint")
-    stream_stats.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily)
-    return stream_stats.read_statistics(spark, table).drop("run")
+    statistics_stream.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily)
+    return statistics_stream.read_statistics(spark, table).drop("run")
