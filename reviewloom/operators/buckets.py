@@ -64,7 +64,7 @@ def token_buckets(df: DataFrame, tokens: str, ordinal: str, cap: int, ratio: flo
         [(t, starts[t] + first, starts[t] + first + rows, bucket, per) for t, first, rows, bucket, per in fill_buckets(counts, cap, ratio)],
         "_t bigint, _from bigint, _to bigint, _bucket bigint, _per bigint",
     )
-    numbered = number_rows(counted, [F.col(tokens), F.col(ordinal)], "_rank")
+    numbered = number_rows(counted, [F.col(tokens), F.col(ordinal)], "_rank", scanned=True)
     rank = F.col("_rank") - 1
     joined = numbered.join(
         F.broadcast(runs), (F.col(tokens) == F.col("_t")) & (rank >= F.col("_from")) & (rank < F.col("_to"))

@@ -16,21 +16,28 @@ MAX_CHUNK_SIZE = 500
 _POSITION_BITS = 33
 
 
+def _with_place_in_files(df: DataFrame, scanned: bool) -> DataFrame:
+    """Add file and row index. Range partitioning looks at its input twice, and both looks have to
+    see the same places, so anything but a plain table scan is staged first."""
+    table = df if scanned else stage(df, "to-number")
+    return table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
 def number_rows(
-    df: DataFrame, order: Sequence[Column], name: str = "row_number", total: str | None = None
+    df: DataFrame, order: Sequence[Column], name: str = "row_number", total: str | None = None, scanned: bool = False
 ) -> DataFrame:
-    """1-based row number in ``order``, which must be total up to rows that are equal anyway.
-
-    The rows are range-partitioned on the whole order (so one product with a third of the rows
-    spreads over many tasks), sorted per partition and staged together with their position.
-    Partition sizes then give every partition's first number. The joined table of sizes has one
-    row per shuffle partition, which is what makes its broadcast safe. ``total`` names a column
-    for the row count of the whole table. Range partitioning looks at its input twice, so hand
-    in a table rather than a long plan.
+    """1-based row number in ``order``; rows equal in it keep the order of the table's files.
+
+    The rows are range-partitioned on the whole order and their place in the files, so that one
+    product, or one group of equal copies, with a third of the rows spreads over many tasks. They
+    are sorted per partition and staged together with their position. Partition sizes then give
+    every partition's first number. The joined table of sizes has one row per shuffle partition,
+    which is what makes its broadcast safe. ``total`` names a column for the row count of the
+    whole table. ``scanned`` says that ``df`` comes straight from Parquet files.
     """
-    placed = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
-    )
+    placed_in = [F.col("_file"), F.col("_row")]
+    ranged = _with_place_in_files(df, scanned).repartitionByRange(*order, *placed_in).sortWithinPartitions(*order, *placed_in)
+    placed = ranged.drop("_file", "_row").withColumn("_place", F.monotonically_increasing_id())
     staged = stage(placed, "numbered")
     staged = staged.withColumns(
         {
@@ -51,14 +58,14 @@ def number_rows(
     return numbered.withColumn(name, F.col("_offset") + F.col("_pos") + 1).drop("_place", "_part", "_pos", "_offset")
 
 
-def number_chunks(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
+def number_chunks(df: DataFrame, order: Sequence[Column], size: int, scanned: bool = False) -> DataFrame:
     """Cut the ordered table into chunks of ``size`` rows.
 
     Adds ``row_number``, the 1-based ``chunk`` and the ``chunk_count`` of the table.
     """
     if not 1 <= size <= MAX_CHUNK_SIZE:
         raise ValueError(f"a chunk holds 1 to {MAX_CHUNK_SIZE} rows, got {size}")
-    numbered = number_rows(df, order, total="_rows")
+    numbered = number_rows(df, order, total="_rows", scanned=scanned)
     return numbered.withColumns(
         {"chunk": F.floor((F.col("row_number") - 1) / size) + 1, "chunk_count": F.ceil(F.col("_rows") / size)}
     ).drop("_rows")

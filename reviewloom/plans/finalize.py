@@ -11,10 +11,15 @@ from reviewloom.operators.ordering import MAX_CHUNK_SIZE, chunk_manifest, number
 from reviewloom.sources.sinks import chunk_file_name
 
 
-def export_chunks(df: DataFrame, product_id: str, ties: Sequence[str], size: int = MAX_CHUNK_SIZE) -> DataFrame:
-    """Stable order by product (missing products last); ``ties`` stand for the input order."""
+def export_chunks(
+    df: DataFrame, product_id: str, ties: Sequence[str] = (), size: int = MAX_CHUNK_SIZE, scanned: bool = False
+) -> DataFrame:
+    """Stable order by product (missing products last), then by ``ties``, then as in the files.
+
+    ``scanned`` says that ``df`` comes straight from Parquet files.
+    """
     order: list[Column] = [F.col(f"`{product_id}`").asc_nulls_last(), *[F.col(f"`{c}`").asc_nulls_last() for c in ties]]
-    return number_chunks(df, order, size)
+    return number_chunks(df, order, size, scanned)
 
 
 def manifest(numbered: DataFrame, prefix: str) -> DataFrame:

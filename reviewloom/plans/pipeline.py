@@ -72,9 +72,8 @@ def run_postprocess(spark: SparkSession, space: Workspace, option_map: str, labe
 def run_chunks(spark: SparkSession, space: Workspace, size: int) -> DataFrame:
     """Write the chunk files to upload and return their rows."""
     rows = _current(spark, space.table("postprocessed"))
-    ties = [c for c in rows.columns if c != EXPORT_LAYOUT["PRODUCT_ID"]]
     with staging(spark):
-        write_chunks(export_chunks(rows, EXPORT_LAYOUT["PRODUCT_ID"], ties, size), space.table("chunks"))
+        write_chunks(export_chunks(rows, EXPORT_LAYOUT["PRODUCT_ID"], size=size, scanned=True), space.table("chunks"))
     return spark.read.parquet(space.table("chunks"))
 
 

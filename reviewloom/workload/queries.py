@@ -574,7 +574,7 @@ _FACT_TIES = ["review_id", "order_id", "created_at", "star_rating", "amount"]
 
 
 def _chunked(spark, d):
-    return finalize.export_chunks(v.reviews_fact(spark, d), "product_id", _FACT_TIES, CHUNK_SIZE)
+    return finalize.export_chunks(v.reviews_fact(spark, d), "product_id", _FACT_TIES, CHUNK_SIZE, scanned=True)
 
 
 @query
@@ -831,7 +831,7 @@ def job_finalize(spark, d):
     wanted = [name[k] for k in ("REVIEW_ID", "PRODUCT_ID", "REVIEW_CONTENTS")]
     # Stages hand over tables: finalize starts from the written result of postprocess.
     done = stage(_postprocessed(spark, d).select(*wanted, "구매옵션_옵션값1"), "postprocessed")
-    numbered = finalize.export_chunks(done, name["PRODUCT_ID"], [name["REVIEW_ID"], "구매옵션_옵션값1"], 50)
+    numbered = finalize.export_chunks(done, name["PRODUCT_ID"], [name["REVIEW_ID"], "구매옵션_옵션값1"], 50, scanned=True)
     outcome = finalize.with_outcome(numbered, _outcomes(numbered))
     return outcome.drop("chunk_count")
 

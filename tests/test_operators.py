@@ -229,6 +229,26 @@ def test_numbering_with_a_hot_key(spark):
     assert {r.n for r in numbered} == {3000}
 
 
+def test_equal_copies_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        copies = spark.range(4000).select(F.lit("same").alias("p"), F.lit(1).alias("v"))
+        numbered = ordering.number_rows(copies, [F.col("p"), F.col("v")])
+        numbers = sorted(r.row_number for r in numbered.collect())
+        staged = spark.read.parquet(*numbered.inputFiles())
+        sizes = [r["count"] for r in staged.groupBy("_metadata.file_path").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert numbers == list(range(1, 4001))
+    assert len(sizes) == 4 and max(sizes) < 2000
+
+
+def test_numbering_keeps_the_order_of_a_table(spark, tmp_path):
+    spark.range(500).select((F.col("id") % 5).alias("p"), "id").coalesce(1).write.parquet(f"{tmp_path}/t")
+    numbered = ordering.number_rows(spark.read.parquet(f"{tmp_path}/t"), [F.col("p")], scanned=True)
+    assert [r.id for r in numbered.orderBy("row_number").collect()] == sorted(range(500), key=lambda i: (i % 5, i))
+
+
 def test_chunks(spark):
     df = spark.range(1201).select(F.when(F.col("id") < 3, F.lit(None)).otherwise(F.lit("p")).alias("p"), "id")
     numbered = export_chunks(df, "p", ["id"], 500)
