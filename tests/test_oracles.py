@@ -5,7 +5,8 @@ import pytest
 
 import __spark_entry__
 
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+from reviewloom.workload.oracles import ORACLES
+from reviewloom.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +15,7 @@ def con(sf_dir):
 
 
 def test_every_oracle_belongs_to_a_query():
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"classify_text"}
 
