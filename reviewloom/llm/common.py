@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +42,7 @@ def steps(lengths: np.ndarray, limit: int = STEP_BYTES) -> Iterator[tuple[int, i
 def text_steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of an Arrow batch with their texts as UTF-8 bytes; a null text counts as empty."""
     texts = batch.column(column).cast(pa.binary())
-    lengths = texts.fill_null(b"").cast(pa.large_binary())
-    sizes = np.array([len(t) for t in lengths.to_pylist()], dtype=np.int64) if len(lengths) else np.zeros(0, np.int64)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     for low, high in steps(sizes, limit):
         yield batch.slice(low, high - low), [t or b"" for t in texts.slice(low, high - low).to_pylist()]
 

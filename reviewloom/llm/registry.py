@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.llm.common import table
 from reviewloom.llm.token_records import token_records
+from reviewloom.llm.warc import warc_pages
+from reviewloom.llm.word_tokens import word_tokens
 
 
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +18,19 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return warc_pages(table(spark, sf_dir, "pages")).select(*fields)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op2_warc": op2_warc,
+    "op5_bpe": op5_bpe,
 }
 
 ORACLES: dict[str, str] = {}
