@@ -84,7 +84,7 @@ class Words:
     """Words of some texts: hash and text number of each, in order.
 
     ``separators`` is a table of 256 booleans, true for bytes between words. Words are runs of the
-    other bytes and never cross texts. ``lower`` folds A-Z.
+    other bytes and never cross texts. ``lower`` folds A-Z first.
     """
 
     def __init__(self, texts: list[bytes], separators: np.ndarray, lower: bool = True):
@@ -92,15 +92,15 @@ class Words:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.data = np.frombuffer(joined, np.uint8)
         self.text_start = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]) if len(texts) else np.zeros(0, np.int64)
-        inside = np.zeros(len(self.data) + 2, bool)
-        inside[1:-1] = ~separators[self.data]
+        data = self.data
+        if lower:
+            data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+        inside = np.zeros(len(data) + 2, bool)
+        inside[1:-1] = ~separators[data]
         # the bytes between texts are none of theirs, whatever the separators are
         inside[self.text_start[1:]] = False
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.starts, self.ends = edges[0::2], edges[1::2]
-        data = self.data
-        if lower:
-            data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
         self.hashes = span_hashes(prefix_hashes(data), self.starts, self.ends)
         self.text_of = np.searchsorted(self.text_start, self.starts, "right") - 1
         self.counts = np.bincount(self.text_of, minlength=len(texts))

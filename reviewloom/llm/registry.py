@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.llm.common import table
+from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.token_records import token_records
+from reviewloom.llm.url_templates import Rule, judge_urls
 from reviewloom.llm.warc import warc_pages
 from reviewloom.llm.word_tokens import word_tokens
 
@@ -23,14 +25,54 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_pages(table(spark, sf_dir, "pages")).select(*fields)
 
 
+# Fixed rules of the url query.
+URL_RULES = [
+    Rule("com/", block=False),
+    Rule("example.com/en/", block=True),
+    Rule("www.example.com/en/", block=False),
+    Rule("net/es/", block=True),
+    Rule("net/fr/", block=True),
+]
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_warc": op2_warc,
+    "op4_url_templates": op4_url_templates,
     "op5_bpe": op5_bpe,
+    "op7_positional_index": op7_positional_index,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # windows of 13 words, or of the whole item where it is shorter, joined as texts
+    "op7_positional_index": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+        b AS (
+            SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+        bw AS (SELECT item_id, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM bw),
+        dp AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win) WHERE len(w) >= m),
+        dw AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS s FROM dp),
+        hit AS (SELECT doc_id, i, win.m AS m, item_id FROM dw JOIN win ON dw.s = win.s AND dw.m = win.m),
+        pos AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)""",
+}
