@@ -20,6 +20,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -40,8 +41,8 @@ TRAILER = b"\n"
 # Records of one file; a reader holds a file in memory.
 RECORDS_PER_FILE = 4096
 
-# Entries that a worker's table of encoded pieces may reach before it starts anew.
-MEMO_ENTRIES = 400_000
+# Entries that a worker's table of encoded pieces may reach; then only those of the texts at hand stay.
+MEMO_ENTRIES = 250_000
 
 # Letters whose class no Unicode version changes. A run of text with other characters than these and
 # ASCII is handed to the tokenizer as it stands.
@@ -52,6 +53,16 @@ _RUNS = re.compile(r"\s*\S+|\s+")
 _PIECES = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter a byte-level vocabulary writes for each byte: itself where it is visible, else the next one from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def masked_checksum(data: bytes) -> int:
     crc = zlib.crc32(data)
     return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
@@ -71,8 +82,18 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size(True) <= 1 << 16 else 4
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
         self.memo: dict[str, bytes] = {}
 
+    def _ids(self, piece: str) -> bytes:
+        if _PLAIN.fullmatch(piece) and not any(s in piece for s in self.specials):
+            # a piece that the tokenizer would not split any further: only its merges are left to do
+            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = [t.id for t in self.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return np.array(ids, f"<u{self.width}").tobytes()
+
     def pieces(self, text: str) -> list[str]:
         if _PLAIN.fullmatch(text) and not any(s in text for s in self.specials):
             return _PIECES.findall(text)
@@ -83,16 +104,20 @@ class PieceEncoder:
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Little-endian ids of each text."""
         split = list(map(self.pieces, texts))
+        used = set(chain.from_iterable(split))
         if len(self.memo) > MEMO_ENTRIES:
-            self.memo = {}
-        new = list(set(chain.from_iterable(split)).difference(self.memo))
-        for low in range(0, len(new), 20_000):
-            part = new[low : low + 20_000]
-            for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[piece] = np.array(encoding.ids, f"<u{self.width}").tobytes()
+            self.memo = {p: self.memo[p] for p in used.intersection(self.memo)}
+        for piece in used.difference(self.memo):
+            self.memo[piece] = self._ids(piece)
         return [b"".join(map(self.memo.__getitem__, p)) for p in split]
 
 
+@lru_cache(maxsize=1)
+def _encoder(tokenizer_file: str) -> PieceEncoder:
+    """One encoder per Python worker, which runs many tasks."""
+    return PieceEncoder(tokenizer_file)
+
+
 def frame(payload: bytes) -> bytes:
     """A record without its trailer, which the sink writes."""
     length = struct.pack("<Q", len(payload))
@@ -139,7 +164,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_file: str, end_id: int)
     """
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_file)
+        encoder = _encoder(tokenizer_file)
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
         for batch in batches:
             for rows, texts in text_steps(batch):
