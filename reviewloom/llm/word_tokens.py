@@ -13,11 +13,14 @@ an empty table gives an empty one; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from reviewloom.llm.common import text_steps
 from reviewloom.session import stage
 
 # Words of the table that every task holds, at most.
-SHARED_WORDS = 1 << 18
+SHARED_WORDS = 1 << 17
 
 # Counts are compared in steps of 2^(1/4).
 _STEPS_PER_DOUBLING = 4
@@ -33,6 +36,7 @@ _STEPS_PER_DOUBLING = 4
 _BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
 
 
+@lru_cache(maxsize=1)
 def _tokenizer(tokenizer_file: str):
     from tokenizers import Tokenizer
 
@@ -97,45 +101,63 @@ def word_table(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_WORDS)
     return coded.join(decode(coded, "word", tokenizer_file), "word")
 
 
+class _WordTable:
+    """Ids and decoded text of words: the shared ones for good, rarer ones until there are too many."""
+
+    def __init__(self, shared: bytes, tokenizer_file: str):
+        self.tokenizer = _tokenizer(tokenizer_file)
+        self.ids: dict[bytes, bytes] = {}
+        self.texts: dict[bytes, bytes] = {}
+        for batch in pa.ipc.open_stream(shared):
+            words = batch.column("word").cast(pa.binary()).to_pylist()
+            self.ids.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(words, batch.column("ids").to_pylist(), strict=True))
+            self.texts.update(zip(words, batch.column("decoded").cast(pa.binary()).to_pylist(), strict=True))
+        self.shared = len(self.ids)
+
+    def learn(self, split: list[list[bytes]]) -> None:
+        """Encode the words that the table lacks."""
+        if len(self.ids) > 2 * self.shared + 50_000:
+            for word in list(self.ids)[self.shared :]:
+                del self.ids[word], self.texts[word]
+        new = list(set(chain.from_iterable(split)).difference(self.ids))
+        for low in range(0, len(new), 5000):
+            part = new[low : low + 5000]
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            for word, encoding in zip(part, found, strict=True):
+                self.ids[word] = np.array(encoding.ids, "<u4").tobytes()
+                self.texts[word] = " ".join(encoding.tokens).encode()
+
+
+_tables: dict[str, _WordTable] = {}
+
+
+def _table_of(key: str, held: Broadcast, tokenizer_file: str) -> _WordTable:
+    """The worker's table of a broadcast; a worker runs many tasks and keeps the last one."""
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = _WordTable(held.value, tokenizer_file)
+    return _tables[key]
+
+
 def encode_documents(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids (binary, little-endian u32) and decoded text of every row."""
     spark = docs.sparkSession
     shared = word_table(docs, tokenizer_file, limit).toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, shared.schema) as writer:
-        writer.write_table(shared)
+        writer.write_table(shared, max_chunksize=10_000)
     held = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
+    key = uuid.uuid4().hex
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_file)
-        ids_by_word: dict[bytes, bytes] = {}
-        text_by_word: dict[bytes, bytes] = {}
-
-        def add(words: list[bytes], ids: Iterator, texts: Iterator) -> None:
-            for word, i, text in zip(words, ids, texts, strict=True):
-                ids_by_word[word] = np.array(i, "<u4").tobytes()
-                text_by_word[word] = text
-
-        for part in pa.ipc.open_stream(held.value):
-            words, texts = part.column("word").cast(pa.binary()), part.column("decoded").cast(pa.binary())
-            add(words.to_pylist(), part.column("ids").to_pylist(), texts.to_pylist())
-        shared_count = len(ids_by_word)
-        rare: list[bytes] = []
+        known = _table_of(key, held, tokenizer_file)
         for batch in batches:
             for rows, texts in text_steps(batch):
                 split = [t.split() for t in texts]
-                new = list(set(chain.from_iterable(split)).difference(ids_by_word))
-                if len(rare) > shared_count // 2 + 50_000:
-                    for word in rare:
-                        del ids_by_word[word], text_by_word[word]
-                    new = list(set(chain.from_iterable(split)).difference(ids_by_word))
-                    rare = []
-                found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-                add(new, (e.ids for e in found), (" ".join(e.tokens).encode() for e in found))
-                rare += new
-                ids = [b"".join(map(ids_by_word.__getitem__, words)) for words in split]
+                known.learn(split)
+                ids = [b"".join(map(known.ids.__getitem__, words)) for words in split]
                 # a word of characters that the tokenizer drops has no pieces and no place in the text
-                decoded = [b" ".join(filter(None, map(text_by_word.__getitem__, words))) for words in split]
+                decoded = [b" ".join(filter(None, map(known.texts.__getitem__, words))) for words in split]
                 columns = [
                     rows.column("doc_id"),
                     pa.array([len(i) // 4 for i in ids], pa.int64()),
