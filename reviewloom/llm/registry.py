@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.llm.common import table
+from reviewloom.llm.divergence_rules import divergence_rules
 from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.token_records import token_records
 from reviewloom.llm.url_templates import Rule, judge_urls
@@ -43,6 +44,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op4_url_templates": op4_url_templates,
     "op5_bpe": op5_bpe,
+    "op6_divergence_rules": op6_divergence_rules,
     "op7_positional_index": op7_positional_index,
 }
 
