@@ -101,7 +101,8 @@ class Words:
         inside[self.text_start[1:]] = False
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         self.starts, self.ends = edges[0::2], edges[1::2]
-        self.hashes = span_hashes(prefix_hashes(data), self.starts, self.ends)
+        self.sums = prefix_hashes(data)
+        self.hashes = span_hashes(self.sums, self.starts, self.ends)
         self.text_of = np.searchsorted(self.text_start, self.starts, "right") - 1
         self.counts = np.bincount(self.text_of, minlength=len(texts))
         self.first = np.concatenate([[0], np.cumsum(self.counts)])

@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm.common import table
+from reviewloom.llm.byte_cnn import language_id
+from reviewloom.llm.common import id_crc, table
 from reviewloom.llm.divergence_rules import divergence_rules
+from reviewloom.llm.factorization import toxicity
 from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.token_records import token_records
 from reviewloom.llm.url_templates import Rule, judge_urls
@@ -26,6 +28,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_pages(table(spark, sf_dir, "pages")).select(*fields)
 
 
+def op3_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=id_crc() % 5 == 0)
+
+
 # Fixed rules of the url query.
 URL_RULES = [
     Rule("com/", block=False),
@@ -52,13 +58,19 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"), held_out=id_crc() % 3 == 1)
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_warc": op2_warc,
+    "op3_factorization": op3_factorization,
     "op4_url_templates": op4_url_templates,
     "op5_bpe": op5_bpe,
     "op6_divergence_rules": op6_divergence_rules,
     "op7_positional_index": op7_positional_index,
+    "op10_byte_cnn": op10_byte_cnn,
 }
 
 ORACLES: dict[str, str] = {
