@@ -9,6 +9,7 @@ from reviewloom.llm.byte_cnn import language_id
 from reviewloom.llm.common import id_crc, table
 from reviewloom.llm.divergence_rules import divergence_rules
 from reviewloom.llm.factorization import toxicity
+from reviewloom.llm.jaccard_join import jaccard_components
 from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.token_records import token_records
 from reviewloom.llm.url_templates import Rule, judge_urls
@@ -58,6 +59,10 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), held_out=id_crc() % 3 == 1)
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_divergence_rules": op6_divergence_rules,
     "op7_positional_index": op7_positional_index,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_byte_cnn": op10_byte_cnn,
 }
 
