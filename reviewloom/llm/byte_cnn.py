@@ -170,13 +170,14 @@ def fit(texts: list[bytes], labels: list[str]) -> Network:
 
 def train(docs: DataFrame, learnable: Column) -> Network:
     """Fit to documents with a language that are ``learnable`` (a condition on doc_id): at most ``MAX_TRAIN`` of them."""
-    named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learnable).select("doc_id", "lang", "text")
+    named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & learnable).select("doc_id", "lang", "text")
+    chosen = named.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
     # a long text is thinned to evenly spread stretches before it is moved; the windows are cut from those
     stretch, count = 2 * WINDOW_BYTES, F.floor(F.length("text") / WINDOWS_PER_TEXT).cast("int")
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_TEXT - 1)), lambda k: F.substring(F.col("text"), k * count + 1, F.lit(stretch)))
     thin = F.when(F.length("text") > WINDOWS_PER_TEXT * stretch, F.array_join(spread, " ")).otherwise(F.col("text"))
-    chosen = named.select("doc_id", "lang", thin.alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(MAX_TRAIN)
-    rows = sorted(chosen.collect(), key=lambda r: (r["doc_id"], r["text"]))
+    texts = named.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("lang", thin.alias("text"))).alias("r"))
+    rows = texts.orderBy("doc_id").select("r.*").collect()
     return fit([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 
 

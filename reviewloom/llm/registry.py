@@ -11,6 +11,7 @@ from reviewloom.llm.divergence_rules import divergence_rules
 from reviewloom.llm.factorization import toxicity
 from reviewloom.llm.jaccard_join import jaccard_components
 from reviewloom.llm.positional_index import contamination
+from reviewloom.llm.substring_dedup import removed_bytes
 from reviewloom.llm.token_records import token_records
 from reviewloom.llm.url_templates import Rule, judge_urls
 from reviewloom.llm.warc import warc_pages
@@ -63,6 +64,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_bytes(table(spark, sf_dir, "documents"))
+
+
 def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), held_out=id_crc() % 3 == 1)
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op6_divergence_rules": op6_divergence_rules,
     "op7_positional_index": op7_positional_index,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_cnn": op10_byte_cnn,
 }
 
