@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewloom.llm.common import text_steps
 
@@ -182,19 +183,21 @@ def train(docs: DataFrame, learnable: Column) -> Network:
 
 
 def detect(docs: DataFrame, network: Network) -> DataFrame:
-    """doc_id, lang_pred, score of every whole text."""
+    """``docs`` with lang_pred and score of every whole text; columns of these names are replaced."""
     held = docs.sparkSession.sparkContext.broadcast(network)
+    columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_steps(batch):
                 names, scores = held.value.predict(texts)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(names, pa.string()), pa.array(scores)], [*columns, "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(predicted, "doc_id long, lang_pred string, score double")
+    source = docs.select(*columns)
+    return source.mapInArrow(predicted, T.StructType(list(source.schema.fields)).add("lang_pred", "string").add("score", "double"))
 
 
 def language_id(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred, score; held-out documents teach nothing."""
-    found = detect(docs, train(docs, ~held_out))
+    found = detect(docs.select("doc_id", "text"), train(docs, ~held_out)).drop("text")
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +84,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_byte_cnn": op10_byte_cnn,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
