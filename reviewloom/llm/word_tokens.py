@@ -106,6 +106,7 @@ class _WordTable:
 
     def __init__(self, shared: bytes, tokenizer_file: str):
         self.tokenizer = _tokenizer(tokenizer_file)
+        self.pieces = {i: p for p, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.ids: dict[bytes, bytes] = {}
         self.texts: dict[bytes, bytes] = {}
         for batch in pa.ipc.open_stream(shared):
@@ -125,7 +126,7 @@ class _WordTable:
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for word, encoding in zip(part, found, strict=True):
                 self.ids[word] = np.array(encoding.ids, "<u4").tobytes()
-                self.texts[word] = " ".join(encoding.tokens).encode()
+                self.texts[word] = " ".join(map(self.pieces.__getitem__, encoding.ids)).encode()
 
 
 _tables: dict[str, _WordTable] = {}
