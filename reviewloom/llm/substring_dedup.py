@@ -5,8 +5,9 @@ substring with the smallest hash, the leftmost of equals. Equal windows have equ
 judged apart from all others. Consecutive windows with one anchor make a span of at most 84 bytes; a document is cut into
 some 1/18 as many spans as it has bytes.
 
-1. Anchors that one document alone has cannot repeat. Their hashes are counted in packed rows, and a bitmap of fixed size keeps those that may repeat.
-2. Spans of such anchors go to the task of their anchor, each distinct span of a step once, with the smallest and largest doc_id that has it.
+1. A window holds its anchor and at least 17 more bytes to its left or to its right. Where neither of these two strings of 33 bytes, the span's
+   probes, is in another document, no window of the span repeats. Hashes of probes are counted in packed rows, and a bitmap of fixed size keeps those that may repeat.
+2. Spans with such a probe go to the task of their anchor, each distinct span of a step once, with the smallest and largest doc_id that has it.
 3. A task lines the spans of each anchor up and cuts them where any of them differ; the pieces become symbols. The suffix array of all the
    symbols, with the lengths of common prefixes, puts equal windows next to each other, and gives each window the smallest document that has it.
 4. What was found for a span is joined to all its occurrences, which stay rows of their own, so a span that a third of all documents share is no hot group.
@@ -19,7 +20,7 @@ bytes, not at characters; ``cut_texts`` widens what stays to whole characters.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +36,17 @@ LENGTH = 50
 ANCHOR = 16
 PLACES = LENGTH - ANCHOR + 1
 
-# Anchors of a task, about.
+# Probes or anchors of a task, about.
 TASK_ANCHORS = 400_000
 # Spans of one suffix array, about; those of an anchor stay together.
 SUFFIX_SPANS = 8192
 
-# Bits of the bitmap of anchors that may repeat.
-FILTER_BITS = 26
+# Bytes beside the anchor that a window holds on one side at least, and bits of the bitmap of probes that may repeat.
+BESIDE = PLACES // 2
+FILTER_BITS = 27
+
+# Bits of the bitmap of texts with a removed range.
+KEY_BITS = 24
 
 _POSITION_BITS = 28
 _POSITION = np.uint64((1 << _POSITION_BITS) - 1)
@@ -59,6 +64,8 @@ class Spans:
         n = len(self.data)
         if n < LENGTH:
             self._set(np.zeros((5, 0), np.int64), np.zeros(n + 1, np.uint64))
+            self.has_left = self.has_right = np.zeros(0, bool)
+            self.left_probes = self.right_probes = np.zeros(0, np.uint64)
             return
         if n > int(_POSITION):
             raise ValueError("a step of texts is too long for its positions")
@@ -85,6 +92,9 @@ class Spans:
         where = anchor_at[starts]
         self._set(np.stack([text_of[starts], starts, where - starts, lasts + LENGTH - starts, starts - (ends - sizes)[text_of[starts]]]), sums)
         self.anchors = anchors[where]
+        self.has_left, self.has_right = self.left >= BESIDE, self.length - self.left >= ANCHOR + BESIDE
+        self.left_probes = mixed(span_hashes(sums, where[self.has_left] - BESIDE, where[self.has_left] + ANCHOR) ^ np.uint64(1))
+        self.right_probes = span_hashes(sums, where[self.has_right], where[self.has_right] + ANCHOR + BESIDE)
 
     def _set(self, fields: np.ndarray, sums: np.ndarray) -> None:
         self.text_of, self.starts, self.left, self.length, self.place = fields
@@ -120,15 +130,15 @@ def _ids_of(rows: pa.RecordBatch) -> np.ndarray:
     return rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-class AnchorFilter:
-    """Bitmap of anchors: their first bits name a task's segment, their last ones the place in it."""
+class ProbeFilter:
+    """Bitmap of probes: their first bits name a task's segment, their last ones the place in it."""
 
     def __init__(self, bits: int):
         self.bits, self.inner = bits, FILTER_BITS - bits
         self.packed = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
 
-    def segment_of(self, anchors: np.ndarray) -> np.ndarray:
-        return (anchors >> np.uint64(64 - self.bits)).astype(np.int64)
+    def segment_of(self, probes: np.ndarray) -> np.ndarray:
+        return (probes >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def segment(self, low_bits: np.ndarray) -> bytes:
         marks = np.zeros(1 << self.inner, np.uint8)
@@ -139,37 +149,42 @@ class AnchorFilter:
         size = len(packed)
         self.packed[segment * size : (segment + 1) * size] = np.frombuffer(packed, np.uint8)
 
-    def may_repeat(self, anchors: np.ndarray) -> np.ndarray:
-        slot = (self.segment_of(anchors) << self.inner) | (anchors & np.uint64((1 << self.inner) - 1)).astype(np.int64)
+    def _holds(self, probes: np.ndarray) -> np.ndarray:
+        slot = (self.segment_of(probes) << self.inner) | (probes & np.uint64((1 << self.inner) - 1)).astype(np.int64)
         return (self.packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
 
+    def may_repeat(self, spans: Spans) -> np.ndarray:
+        """Numbers of the spans with a probe of the bitmap."""
+        out = np.zeros(len(spans.starts), bool)
+        out[spans.has_left] = self._holds(spans.left_probes)
+        out[spans.has_right] |= self._holds(spans.right_probes)
+        return np.flatnonzero(out)
+
 
-def repeated_anchors(docs: DataFrame, spans: int) -> AnchorFilter:
-    """The anchors that more than one document may have. What comes to the driver is the bitmap, whose size is fixed."""
-    out = AnchorFilter(min(FILTER_BITS - 6, max(4, (-(-spans // TASK_ANCHORS) - 1).bit_length())))
+def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
+    """The probes that more than one document may have. What comes to the driver is the bitmap, whose size is fixed."""
+    out = ProbeFilter(min(FILTER_BITS - 6, max(4, (-(-spans // TASK_ANCHORS) - 1).bit_length())))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_steps(batch):
                 cut = Spans(texts)
                 ids = _ids_of(rows)[cut.text_of]
-                order = np.lexsort((ids, cut.anchors))
-                anchors, ids = cut.anchors[order], ids[order]
+                probes, ids = np.concatenate([cut.left_probes, cut.right_probes]), np.concatenate([ids[cut.has_left], ids[cut.has_right]])
+                order = np.lexsort((ids, probes))
+                probes, ids = probes[order], ids[order]
                 once = np.ones(len(order), bool)
-                once[1:] = (anchors[1:] != anchors[:-1]) | (ids[1:] != ids[:-1])
-                anchors = anchors[once]
-                # 40 bits and the segment tell most anchors apart; mistaking some costs time only
-                short = np.ascontiguousarray(anchors.view(np.uint8).reshape(-1, 8)[:, :5])
-                yield _packed_rows(out.segment_of(anchors), {"anchors": short})
+                once[1:] = (probes[1:] != probes[:-1]) | (ids[1:] != ids[:-1])
+                probes = probes[once]
+                # 32 bits and the segment tell most probes apart; mistaking some costs time only
+                yield _packed_rows(out.segment_of(probes), {"probes": probes.astype(np.uint32)})
 
     def several(group: pa.Table) -> pa.Table:
-        values = np.zeros((sum(map(len, group.column("anchors").to_pylist())) // 5, 8), np.uint8)
-        values[:, :5] = _unpacked(group, "anchors", "u1").reshape(-1, 5)
-        values = np.sort(values.view("<u8")[:, 0])
-        twice = values[1:][values[1:] == values[:-1]]
+        values = np.sort(_unpacked(group, "probes", "<u4"))
+        twice = values[1:][values[1:] == values[:-1]].astype(np.uint64)
         return pa.table({"bucket": [group.column("bucket")[0].as_py()], "packed": pa.array([out.segment(twice)], pa.binary())})
 
-    rows = docs.select("doc_id", "text").mapInArrow(packed, "bucket long, anchors binary")
+    rows = docs.select("doc_id", "text").mapInArrow(packed, "bucket long, probes binary")
     for row in rows.groupBy("bucket").applyInArrow(several, "bucket long, packed binary").toLocalIterator():
         out.put(row["bucket"], bytes(row["packed"]))
     return out
@@ -285,9 +300,9 @@ def _family_windows(data, offset, left, length, family, low, high) -> tuple[np.n
     return owner[lo], at[lo] - begin[owner[lo]], at[hi] - begin[owner[lo]], value[lo]
 
 
-def repeated_spans(docs: DataFrame, anchors: AnchorFilter, spans: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFrame:
     """span, lo, hi, first_doc of all spans with windows that a smaller document has."""
-    held = docs.sparkSession.sparkContext.broadcast(anchors)
+    held = docs.sparkSession.sparkContext.broadcast(probes)
     tasks = max(16, -(-spans // TASK_ANCHORS))
     names = ["spans", "anchors", "low", "high", "left", "length"]
 
@@ -295,7 +310,7 @@ def repeated_spans(docs: DataFrame, anchors: AnchorFilter, spans: int) -> DataFr
         for batch in batches:
             for rows, texts in text_steps(batch):
                 cut = Spans(texts)
-                kept = np.flatnonzero(held.value.may_repeat(cut.anchors))
+                kept = held.value.may_repeat(cut)
                 first, low, high = _distinct(cut, kept, _ids_of(rows)[cut.text_of])
                 bucket = (mixed(cut.anchors[first]) % np.uint64(tasks)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -316,15 +331,15 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """
     known = docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select("doc_id", "text")
     spans = (known.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (PLACES // 2)
-    anchors = repeated_anchors(known, spans)
-    found = repeated_spans(known, anchors, spans)
-    held = docs.sparkSession.sparkContext.broadcast(anchors)
+    probes = repeated_probes(known, spans)
+    found = repeated_spans(known, probes, spans)
+    held = docs.sparkSession.sparkContext.broadcast(probes)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_steps(batch):
                 cut = Spans(texts)
-                kept = np.flatnonzero(held.value.may_repeat(cut.anchors))
+                kept = held.value.may_repeat(cut)
                 text = pa.array(cut.text_of[kept])
                 arrays = [rows.column("doc_id").take(text), rows.column("key").take(text), pa.array(cut.place[kept]), pa.array(cut.hashes[kept].view(np.int64))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "place", "span"])
@@ -348,11 +363,40 @@ def merged(runs: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
+def _key_bits(runs: DataFrame) -> np.ndarray:
+    """Bitmap of fixed size of the keys' first bits."""
+    shift = 64 - KEY_BITS
+    word, bit = F.shiftrightunsigned("key", shift + 6), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {shift}) & 63 as int))")
+    held = runs.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (KEY_BITS - 6), np.int64)
+    out[held.column("word").to_numpy().astype(np.int64)] = held.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
 def with_runs(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column ``repeated_runs`` (null where nothing repeats)."""
-    runs = stage(repeated_runs(docs), "repeated-runs").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("runs").alias("repeated_runs"))
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    return docs.join(runs, same, "left").drop("_id", "_key")
+    """``docs`` with the column ``repeated_runs`` (null where nothing repeats).
+
+    Only documents that may have a range, by a bitmap of fixed size, are moved to be joined.
+    """
+    docs = docs.drop("repeated_runs")
+    runs = stage(repeated_runs(docs), "repeated-runs")
+    held = docs.sparkSession.sparkContext.broadcast(_key_bits(runs))
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+
+    def part(marked: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bits = batch.column("_key").to_numpy().view(np.uint64) >> np.uint64(64 - KEY_BITS)
+                found = (held.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) > 0
+                yield batch.filter(pa.array(found == marked))
+
+        return rows
+
+    of_key = runs.select(F.col("doc_id").alias("_id"), F.col("key").alias("_found"), F.col("runs").alias("repeated_runs"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_found"))
+    joined = keyed.mapInArrow(part(True), keyed.schema).join(of_key, same, "left").select(*docs.columns, "repeated_runs")
+    others = keyed.mapInArrow(part(False), keyed.schema).select(*docs.columns, F.lit(None).cast(of_key.schema["repeated_runs"].dataType).alias("repeated_runs"))
+    return joined.union(others)
 
 
 def removed_bytes(docs: DataFrame) -> DataFrame:
