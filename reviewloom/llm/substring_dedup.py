@@ -38,6 +38,8 @@ PLACES = LENGTH - ANCHOR + 1
 
 # Probes or anchors of a task, about.
 TASK_ANCHORS = 400_000
+# Text that one numpy step cuts into spans; it needs some 100 bytes for each.
+STEP_BYTES = 1 << 20
 # Spans of one suffix array, about; those of an anchor stay together.
 SUFFIX_SPANS = 8192
 
@@ -167,7 +169,7 @@ def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, texts in text_steps(batch):
+            for rows, texts in text_steps(batch, limit=STEP_BYTES):
                 cut = Spans(texts)
                 ids = _ids_of(rows)[cut.text_of]
                 probes, ids = np.concatenate([cut.left_probes, cut.right_probes]), np.concatenate([ids[cut.has_left], ids[cut.has_right]])
@@ -308,7 +310,7 @@ def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFram
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, texts in text_steps(batch):
+            for rows, texts in text_steps(batch, limit=STEP_BYTES):
                 cut = Spans(texts)
                 kept = held.value.may_repeat(cut)
                 first, low, high = _distinct(cut, kept, _ids_of(rows)[cut.text_of])
@@ -337,7 +339,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, texts in text_steps(batch):
+            for rows, texts in text_steps(batch, limit=STEP_BYTES):
                 cut = Spans(texts)
                 kept = held.value.may_repeat(cut)
                 text = pa.array(cut.text_of[kept])
