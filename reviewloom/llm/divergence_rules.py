@@ -19,6 +19,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from reviewloom.session import stage
 # Fixed values of the base rules.
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -42,10 +44,10 @@ MAX_WORD_DISTANCE = 0.60
 # Character classes: name and pattern. What none of them takes is the last class.
 CLASSES = {
     "lower": "\\p{Ll}",
+    "blank": "[\\s\\p{Z}]",
     "upper": "\\p{Lu}",
     "letter": "[\\p{Lo}\\p{Lm}\\p{Lt}]",
     "digit": "\\p{N}",
-    "blank": "[\\s\\p{Z}]",
     "mark": "[.,;:!?'\"()\\-]",
 }
 _CLASS_NAMES = [*CLASSES, "rest"]
@@ -101,29 +103,35 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return repeated.withColumn("base_failed", failed)
 
 
-def _class_counts(text: Column) -> dict[str, Column]:
-    """Characters of each class."""
-    length = F.length(text).cast("long")
-    counts = {name: length - F.length(F.regexp_replace(text, pattern + "+", "")) for name, pattern in CLASSES.items()}
-    return counts | {"rest": length - reduce(lambda a, b: a + b, counts.values())}
+def _with_class_counts(rows: DataFrame) -> DataFrame:
+    """Adds the number of characters of each class in ``text``.
+
+    Each class is taken out of what the ones before left, so only the first, most frequent one reads the whole text.
+    """
+    rows = rows.withColumn("_left", F.coalesce(F.col("text"), F.lit("")))
+    for name, pattern in CLASSES.items():
+        rows = rows.withColumn("_rest", F.regexp_replace("_left", pattern + "+", ""))
+        rows = rows.withColumn(name, (F.length("_left") - F.length("_rest")).cast("long")).drop("_left").withColumnRenamed("_rest", "_left")
+    return rows.withColumn("rest", F.length("_left").cast("long")).drop("_left")
 
 
 def references(docs: DataFrame) -> list[dict]:
     """Per language: share of each character class and of each common word. At most ``MAX_LANGUAGES`` entries."""
     labelled = docs.where(F.col("lang").isNotNull())
-    counts = _class_counts(F.coalesce(F.col("text"), F.lit(""))) | {"n_words": F.size(_words(F.col("text"))).cast("long")}
-    sums = [F.sum(column).alias(name) for name, column in counts.items()]
-    languages = labelled.groupBy("lang").agg(*sums).where(F.col("n_words") >= MIN_REFERENCE)
-    largest = languages.orderBy(F.desc("n_words"), "lang").limit(MAX_LANGUAGES).collect()
-    words = labelled.where(F.col("lang").isin([r["lang"] for r in largest])).select("lang", F.explode(_words(F.col("text"))).alias("word"))
-    by_word = words.groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    words = labelled.select("lang", F.explode(_words(F.col("text"))).alias("word"))
+    by_word = stage(words.groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n")), "language-words")
+    largest = by_word.groupBy("lang").agg(F.sum("n").alias("n_words")).where(F.col("n_words") >= MIN_REFERENCE)
+    largest = largest.orderBy(F.desc("n_words"), "lang").limit(MAX_LANGUAGES).collect()
+    names = [r["lang"] for r in largest]
+    sums = [F.sum(name).alias(name) for name in _CLASS_NAMES]
+    classes = {r["lang"]: r for r in _with_class_counts(labelled.where(F.col("lang").isin(names))).groupBy("lang").agg(*sums).collect()}
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    common = by_word.withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= COMMON_WORDS).collect()
+    common = by_word.where(F.col("lang").isin(names)).withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= COMMON_WORDS).collect()
     out = []
     for row in largest:
-        letters = sum(row[name] for name in _CLASS_NAMES)
+        letters = sum(classes[row["lang"]][name] for name in _CLASS_NAMES)
         shares = {c["word"]: c["n"] / row["n_words"] for c in common if c["lang"] == row["lang"]}
-        out.append({"lang": row["lang"], "classes": [row[name] / letters for name in _CLASS_NAMES], "words": shares})
+        out.append({"lang": row["lang"], "classes": [classes[row["lang"]][name] / letters for name in _CLASS_NAMES], "words": shares})
     return out
 
 
@@ -179,7 +187,7 @@ def divergence_rules(docs: DataFrame) -> DataFrame:
     """
     source = docs.select("doc_id", "lang", "text")
     found = references(source)
-    counted = base_counts(source).withColumns(_class_counts(F.coalesce(F.col("text"), F.lit("")))).drop("text")
+    counted = _with_class_counts(base_counts(source)).drop("text")
     if found:
         compared = (F.col("n_words") >= MIN_COMPARED) & (F.col("lang").isNull() | F.col("lang").isin([r["lang"] for r in found]))
         listed = sorted({word for r in found for word in r["words"]})
@@ -192,4 +200,5 @@ def divergence_rules(docs: DataFrame) -> DataFrame:
     far = (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
     judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return judged.select("doc_id", *counts, "kept", "class_distance", "word_distance")
+    # written, so that a filter on the result is not pushed into the nested expressions above
+    return stage(judged.select("doc_id", *counts, "kept", "class_distance", "word_distance"), "quality")
