@@ -20,7 +20,7 @@ own, in the class of their text; null ids count only where no other id is in the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ GROUPS = 256
 LEAF = 32
 TILE = 2048
 
+_MOST = np.iinfo(np.uint16).max
+
 # Postings of a task, shingles in the table of frequent ones, and the documents of a numpy step that make one frequent.
 BUCKET_POSTINGS = 400_000
 FREQUENT = 1 << 17
@@ -191,10 +193,14 @@ def _filter_bits(fps: DataFrame) -> np.ndarray:
     return out
 
 
-def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, n, shingles and point of the classes in ``wanted`` (fp, fp2, n_shingles, rep)."""
+def _once_each(docs: DataFrame, wanted: DataFrame, kind: str, made: Callable[[np.ndarray], np.ndarray], label: str) -> DataFrame:
+    """rep, n and what ``made`` gives for the shingles of each class in ``wanted`` (fp, fp2, n_shingles, rep), once.
+
+    The texts are read where they lie; only rows that the bitmap lets pass are moved.
+    """
     held = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
-    schema = "fp long, fp2 long, n_shingles long, shingles array<long>, point binary"
+    arrow = pa.binary() if kind == "binary" else pa.list_(pa.int64())
+    key = ["fp", "fp2", "n_shingles"]
 
     def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,21 +215,20 @@ def _members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 cut = np.searchsorted(text_of, np.arange(len(texts) + 1))
                 for low in range(0, len(chosen), 256):
                     part = chosen[low : low + 256]
-                    lists = [hashes[cut[t] : cut[t + 1]] for t in part]
-                    points = [point(x).tobytes() for x in lists]
-                    arrays = [pa.array(x[part]) for x in (fp, fp2, sizes)]
-                    arrays += [pa.array([x.view(np.int64) for x in lists], pa.list_(pa.int64())), pa.array(points, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(arrays, ["fp", "fp2", "n_shingles", "shingles", "point"])
+                    values = [made(hashes[cut[t] : cut[t + 1]]) for t in part]
+                    values = [v.tobytes() for v in values] if kind == "binary" else values
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x[part]) for x in (fp, fp2, sizes)), pa.array(values, arrow)], [*key, "made"])
 
-    key = ["fp", "fp2", "n_shingles"]
-    once = docs.select("text").mapInArrow(picked, schema).join(wanted, key)
-    once = once.groupBy("rep").agg(F.first(F.struct("n_shingles", "shingles", "point")).alias("m"))
-    return stage(once.select("rep", F.col("m.n_shingles").alias("n"), "m.shingles", "m.point"), "members")
+    rows = docs.select("text").mapInArrow(picked, f"fp long, fp2 long, n_shingles long, made {kind}")
+    once = rows.groupBy(*key).agg(F.first("made").alias("made")).join(wanted, key)
+    return stage(once.select("rep", F.col("n_shingles").alias("n"), "made"), label)
 
 
 def point(hashes: np.ndarray) -> np.ndarray:
     """Counts of a set's shingles per group."""
-    return np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    counts = np.bincount((hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    # one kind for all points: counts beyond it would lower the bound, so such a point says nothing and is never pruned
+    return np.where((counts > _MOST).any(), _MOST, counts).astype(np.uint16)
 
 
 class Node:
@@ -267,7 +272,7 @@ def candidate_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, s
         a, b = waiting.pop()
         if a.label is not None and a.label == b.label or 4 * a.largest < 3 * b.smallest or 4 * b.largest < 3 * a.smallest:
             continue
-        if 7 * int(np.minimum(a.high, b.high).sum()) < 3 * (a.smallest + b.smallest):
+        if 7 * int(np.minimum(a.high, b.high).sum(dtype=np.int64)) < 3 * (a.smallest + b.smallest):
             continue
         if a is b and a.children:
             waiting += [(a.children[0], a.children[0]), (a.children[1], a.children[1]), (a.children[0], a.children[1])]
@@ -288,7 +293,7 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
     """a, b: candidate pairs of each block in ``rows`` (shingle, rep, label, n, point, tiles)."""
 
     def pairs(group: pa.Table) -> pa.Table:
-        points = np.frombuffer(b"".join(group.column("point").to_pylist()), np.uint32).reshape(-1, GROUPS)
+        points = np.frombuffer(b"".join(group.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
         n, label, rep, tile = (group.column(c).to_numpy() for c in ("n", "label", "rep", "tile"))
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         found = candidate_pairs(points, n, label, None if i == j else (tile == j).astype(int))
@@ -302,13 +307,29 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
     return narrow.groupBy("shingle", "i", "j").applyInArrow(pairs, "a long, b long")
 
 
-def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar."""
-    sizes = [members.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}")) for s in "ab"]
-    fitting = pairs.join(sizes[0], "a").join(sizes[1], "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na").select("a", "b", "na", "nb")
-    sets = [members.select(F.col("rep").alias(s), F.col("shingles").alias(f"s{s}")) for s in "ab"]
+def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sizes and points leave them a chance."""
+    sides = [points.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("made").alias(f"p{s}")) for s in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na").select("a", "b", "na", "nb", "pa", "pb")
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb"))
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            fits = 7 * np.minimum(own, other).sum(1, dtype=np.int64) >= 3 * total
+            yield batch.select(["a", "b"]).filter(pa.array(fits))
+
+    return both.mapInArrow(kept, "a long, b long")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar. Only the sets of their classes are made."""
+    either = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+    wanted = stage(classes.join(either, "rep", "left_semi"), f"{label}-classes")
+    sets = _once_each(docs, wanted, "array<long>", lambda hashes: hashes.view(np.int64), f"{label}-sets")
+    sides = [sets.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("made").alias(f"s{s}")) for s in "ab"]
     overlap = F.size(F.array_intersect("sa", "sb"))
-    return fitting.join(sets[0], "a").join(sets[1], "b").where(7 * overlap >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+    return pairs.join(sides[0], "a").join(sides[1], "b").where(7 * overlap >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -320,11 +341,12 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = _blocks(docs, postings, _frequent(docs))
     blocks = stage(shared.join(reps.where("rep is not null").select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
     wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi")
-    members = _members(docs, wanted)
+    points = _once_each(docs, stage(wanted, "block-classes"), "binary", point, "points")
     # one comparison a class: with the smallest class of all its blocks
     centres = blocks.groupBy("shingle").agg(F.min("rep").alias("b"))
     star = blocks.join(centres, "shingle").groupBy(F.col("rep").alias("a")).agg(F.min("b").alias("b")).where("a <> b")
-    near = stage(connected(_verified(star, members).select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-labels")
+    likely = stage(_bounded(star, points), "star-pairs")
+    near = stage(connected(_verified(docs, likely, reps, "star").select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-labels")
     labelled = blocks.join(near.withColumnRenamed("node", "rep"), "rep", "left").select("shingle", "rep", F.coalesce("root", "rep").alias("label"))
     labelled = stage(labelled, "labelled-blocks")
     # blocks of the same members are one; their sums of hashes tell
@@ -332,9 +354,9 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     mixed_blocks = labelled.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m"), *marks).where("l <> h")
     single = mixed_blocks.groupBy("m", "mark0", "mark1").agg(F.min("shingle").alias("shingle"))
     single = single.select("shingle", F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
-    rows = labelled.join(single, "shingle").join(members.select("rep", "n", "point"), "rep")
+    rows = labelled.join(single, "shingle").join(points.select("rep", "n", F.col("made").alias("point")), "rep")
     pairs = stage(_tree_pairs(rows).distinct(), "tree-pairs")
-    links = _verified(pairs, members).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = _verified(docs, pairs, reps, "tree").select(F.col("a").alias("u"), F.col("b").alias("v"))
     links = links.union(near.select(F.col("node").alias("u"), F.col("root").alias("v")))
     groups = stage(connected(links).select(F.col("node").alias("rep"), F.col("root").alias("label")), "components")
     return sets.join(reps, key, "left").select("doc_id", "n_shingles", "rep"), groups
