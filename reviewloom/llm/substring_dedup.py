@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewloom.llm.common import mixed, prefix_hashes, span_hashes, text_steps
 from reviewloom.llm.suffix_grouping import suffix_array
@@ -375,77 +376,75 @@ def _key_bits(runs: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def with_runs(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column ``repeated_runs`` (null where nothing repeats).
+def _map_with_runs(docs: DataFrame, function: Callable[[pa.RecordBatch, list, list], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
+    """``function`` of slices of ``docs`` and the merged ranges of their texts.
 
-    Only documents that may have a range, by a bitmap of fixed size, are moved to be joined.
+    Only documents that may have a range, by a bitmap of fixed size, are moved to be joined; the others are mapped where they lie.
     """
-    docs = docs.drop("repeated_runs")
     runs = stage(repeated_runs(docs), "repeated-runs")
     held = docs.sparkSession.sparkContext.broadcast(_key_bits(runs))
     keyed = docs.withColumn("_key", F.xxhash64("text"))
 
-    def part(marked: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bits = batch.column("_key").to_numpy().view(np.uint64) >> np.uint64(64 - KEY_BITS)
-                found = (held.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) > 0
-                yield batch.filter(pa.array(found == marked))
+    def marked(batch: pa.RecordBatch, wanted: bool) -> pa.RecordBatch:
+        bits = batch.column("_key").to_numpy().view(np.uint64) >> np.uint64(64 - KEY_BITS)
+        found = (held.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) > 0
+        return batch.filter(pa.array(found == wanted))
 
-        return rows
+    def to_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield marked(batch, True)
+
+    def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_steps(marked(batch, False)):
+                yield function(rows, texts, [[]] * len(texts))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_steps(batch):
+                yield function(rows, texts, [merged(r) for r in rows.column("_runs").to_pylist()])
 
-    of_key = runs.select(F.col("doc_id").alias("_id"), F.col("key").alias("_found"), F.col("runs").alias("repeated_runs"))
+    of_key = runs.select(F.col("doc_id").alias("_id"), F.col("key").alias("_found"), F.col("runs").alias("_runs"))
     same = (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_found"))
-    joined = keyed.mapInArrow(part(True), keyed.schema).join(of_key, same, "left").select(*docs.columns, "repeated_runs")
-    others = keyed.mapInArrow(part(False), keyed.schema).select(*docs.columns, F.lit(None).cast(of_key.schema["repeated_runs"].dataType).alias("repeated_runs"))
-    return joined.union(others)
+    met = keyed.mapInArrow(to_join, keyed.schema).join(of_key, same, "left").select(*docs.columns, "_runs")
+    return met.mapInArrow(joined, schema).union(keyed.mapInArrow(without, schema))
 
 
 def removed_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, texts in text_steps(batch):
-                out = []
-                for text, runs in zip(texts, rows.column("repeated_runs").to_pylist(), strict=True):
-                    ranges = merged(runs)
-                    edges = [0, *(e for r in ranges for e in r), len(text)]
-                    kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                    out.append((len(text), len(text) - len(kept), len(ranges), hashlib.sha256(kept).hexdigest()))
-                columns = zip(*out, strict=True)
-                kinds = [pa.int64()] * 3 + [pa.string()]
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
+    def digests(rows: pa.RecordBatch, texts: list[bytes], ranges: list) -> pa.RecordBatch:
+        out = []
+        for text, cut in zip(texts, ranges, strict=True):
+            edges = [0, *(e for r in cut for e in r), len(text)]
+            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+            out.append((len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
+        kinds = [pa.int64()] * 3 + [pa.string()]
+        return pa.RecordBatch.from_arrays([rows.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True))], names)
 
-    marked = with_runs(docs.select("doc_id", "text"))
-    return marked.mapInArrow(digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _map_with_runs(docs.select("doc_id", "text"), digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes cut from ``text``; a character of which a byte stays is kept whole."""
     columns = [c for c in docs.columns if c != "text"]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, texts in text_steps(batch):
-                out: list[str | None] = []
-                present = rows.column("text").is_valid().to_pylist()
-                for text, there, runs in zip(texts, present, rows.column("repeated_runs").to_pylist(), strict=True):
-                    follows = lambda at, t=text: at < len(t) and t[at] & 0xC0 == 0x80
-                    edges = [0]
-                    for begin, end in merged(runs):
-                        # a removed range loses its partial characters at both ends
-                        while follows(begin):
-                            begin += 1
-                        while follows(end):
-                            end -= 1
-                        if begin < end:
-                            edges += [begin, end]
-                    edges.append(len(text))
-                    out.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode() if there else None)
-                kept = rows.select(columns)
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(out, pa.string())], [*columns, "text"])
-
-    schema = docs.select(*columns, "text").schema
-    return with_runs(docs).mapInArrow(cut, schema).select(*docs.columns)
+    def cut(rows: pa.RecordBatch, texts: list[bytes], ranges: list) -> pa.RecordBatch:
+        out: list[str | None] = []
+        for text, there, runs in zip(texts, rows.column("text").is_valid().to_pylist(), ranges, strict=True):
+            follows = lambda at, t=text: at < len(t) and t[at] & 0xC0 == 0x80
+            edges = [0]
+            for begin, end in runs:
+                # a removed range loses its partial characters at both ends
+                while follows(begin):
+                    begin += 1
+                while follows(end):
+                    end -= 1
+                if begin < end:
+                    edges += [begin, end]
+            edges.append(len(text))
+            out.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode() if there else None)
+        return pa.RecordBatch.from_arrays([*rows.select(columns).columns, pa.array(out, pa.string())], [*columns, "text"])
+
+    return _map_with_runs(docs, cut, docs.select(*columns, "text").schema).select(*docs.columns)
