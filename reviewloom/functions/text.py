@@ -55,31 +55,48 @@ def star_default(col: Column, data_type: T.DataType) -> Column:
     return F.coalesce(col, F.lit(DEFAULT_STAR_RATING).cast(data_type))
 
 
+# Numbers as text: whole ones, also with an empty fraction, of any length; any number without exponent; any number.
+_WHOLE = r"^[+-]?\d+(\.0*)?$"
+_PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+# Beyond it a double doesn't tell neighbouring integers apart.
+_EXACT_DOUBLE = float(1 << 53)
+
+
 def is_number(col: Column, data_type: T.DataType) -> Column:
-    """True where :func:`int_string_id` finds a number."""
-    if isinstance(data_type, T.IntegralType):
+    """True where :func:`int_string_id` finds a number, or raises because it is no exact integer."""
+    if isinstance(data_type, (T.IntegralType, T.DecimalType)):
         return col.isNotNull()
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return col.isNotNull() & ~F.isnan(col)
-    source = strip(col) if isinstance(data_type, T.StringType) else col
-    return source.try_cast("decimal(38,10)").isNotNull()
+    return F.coalesce(strip(col.cast("string")).rlike(_NUMBER), F.lit(False))
 
 
 def int_string_id(col: Column, data_type: T.DataType) -> Column:
-    """Numeric text to integer text; null where it is no number; an error where it has a fraction."""
+    """Numeric text to integer text, of any length; null where it is no number.
+
+    A fraction, at any place, is an error, and so is a double (or a text with an exponent) that is not an exact integer.
+    """
     if isinstance(data_type, T.IntegralType):
         return col.cast("string")
     error = F.raise_error(F.concat(F.lit("id is not an integer: "), col.cast("string"))).cast("string")
+    if isinstance(data_type, T.DecimalType):
+        return F.when(col != F.floor(col), error).otherwise(F.floor(col).cast("decimal(38,0)").cast("string"))
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        whole = F.when(~F.isnan(col), col.try_cast("bigint"))
-        return F.when(whole != col, error).otherwise(whole.cast("string"))
-    source = strip(col) if isinstance(data_type, T.StringType) else col
-    number = source.try_cast("decimal(38,10)")
-    general = F.when(number != F.floor(number), error).otherwise(F.floor(number).cast("decimal(28,0)").cast("string"))
-    if isinstance(data_type, T.StringType):
-        # Plain digits, which is nearly every id, need no decimal arithmetic.
-        return F.coalesce(source.try_cast("bigint").cast("string"), general)
-    return general
+        return F.when(col.isNotNull() & ~F.isnan(col), _exact(col.cast("double"), error))
+    source = strip(col.cast("string"))
+    # the digits are taken as they stand: sign and leading zeros are all that changes
+    digits = F.regexp_replace(F.regexp_replace(source, r"\.0*$", ""), r"^([+-]?)0+(?=\d)", "$1")
+    whole = F.when(digits.isin("-0", "+0"), "0").otherwise(F.regexp_replace(digits, r"^\+", ""))
+    other = F.when(source.rlike(_PLAIN), F.when(source.rlike(r"^[+-]?\.0+$"), "0").otherwise(error)).otherwise(_exact(source.try_cast("double"), error))
+    # Plain digits, which is nearly every id, need no pattern.
+    return F.coalesce(source.try_cast("bigint").cast("string"), F.when(source.rlike(_WHOLE), whole).when(source.rlike(_NUMBER), other))
+
+
+def _exact(number: Column, error: Column) -> Column:
+    exact = (F.abs(number) <= _EXACT_DOUBLE) & (number == F.floor(number))
+    return F.when(exact, number.cast("bigint").cast("string")).otherwise(error)
 
 
 def whitespace_tokens(col: Column, cap: int | None = None) -> Column:

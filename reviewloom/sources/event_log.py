@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,31 +61,61 @@ def _with_torn(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(_TORN, T.StringType())])
 
 
+# Spark's name of the folder for null partition values.
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
 # Partition column of logs written here; scans of a time range read its folders only.
 EVENT_DATE = "event_date"
 
 
 def scan_events(
-    spark: SparkSession, path: str, start: str | None = None, end: str | None = None, schema: T.StructType = EVENT_SCHEMA
+    spark: SparkSession, path: str, start: str | None = None, end: str | None = None, schema: T.StructType = EVENT_SCHEMA, strict: bool = True
 ) -> DataFrame:
-    """Events with ``start <= timestamp < end``. Blank lines are skipped, torn lines are dropped."""
-    lines = spark.read.schema(_with_torn(schema)).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=_TORN)
-    return _between(_whole_lines(lines), start, end).drop(EVENT_DATE)
+    """Events with ``start <= timestamp < end``. Blank lines are skipped.
 
+    Torn lines, which are no JSON, go. A line that is JSON but no event of the schema is an error, unless ``strict`` is off;
+    :func:`rejected_lines` lists both kinds.
+    """
+    return _between(_events(spark.read.text(path), schema, strict), start, end).drop(EVENT_DATE)
 
-def stream_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, **options) -> DataFrame:
-    """The same log as a stream of files."""
-    lines = (
-        spark.readStream.schema(_with_torn(schema))
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_TORN, **options)
-        .json(path)
-    )
-    return _whole_lines(lines).drop(EVENT_DATE)
+
+def rejected_lines(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
+    """file, line, reason of the lines that are no events: ``torn``, ``misfit`` (a value of another type) or ``untyped``."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    parsed = lines.where(F.trim("line") != "").withColumn("e", _parsed(F.col("line"), schema))
+    reason = F.when(_torn(F.col("e")), "torn").when(_misfit(F.col("e")), F.when(F.col("e")[_TORN].isNotNull(), "misfit").otherwise("untyped"))
+    return parsed.select("file", "line", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def _parsed(line: Column, schema: T.StructType) -> Column:
+    # whole lines are parsed whatever columns are wanted later, so that the same lines are always rejected
+    return F.from_json(line, _with_torn(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _TORN})
+
+
+def _torn(event: Column) -> Column:
+    return event[_TORN].isNotNull() & F.try_parse_json(event[_TORN]).isNull()
 
 
-def _whole_lines(lines: DataFrame) -> DataFrame:
-    # Every event has a type; naming it here lets a plain count read something besides torn lines.
-    return lines.where(F.col(_TORN).isNull() & F.col("event_type").isNotNull()).drop(_TORN)
+def _misfit(event: Column) -> Column:
+    return F.when(event[_TORN].isNull(), event["event_type"].isNull()).otherwise(F.try_parse_json(event[_TORN]).isNotNull())
+
+
+def _events(lines: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """Events of the text ``lines``. A line is parsed once: as an array of one event or none, which is then exploded."""
+    error = F.raise_error(F.concat(F.lit("no event of the log's schema: "), F.col("value"))).cast("boolean")
+
+    def whole(event: Column) -> Column:
+        fits = event[_TORN].isNull() & event["event_type"].isNotNull()
+        return F.when(_misfit(event), error).otherwise(fits) if strict else fits
+
+    dated = [EVENT_DATE] if EVENT_DATE in lines.columns else []
+    event = F.filter(F.array(_parsed(F.col("value"), schema)), whole)
+    return lines.where(F.trim("value") != "").select(*dated, F.explode(event).alias("e")).select("e.*", *dated).drop(_TORN)
+
+
+def stream_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA, **options) -> DataFrame:
+    """The same log as a stream of files."""
+    return _events(spark.readStream.options(**options).text(path), schema).drop(EVENT_DATE)
 
 
 def _between(events: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -114,7 +144,8 @@ def tail_of_log(spark: SparkSession, path: str, n: int, newest_first: bool = Tru
 
     The number of folders looked at doubles until they hold ``n`` events.
     """
-    dates = sorted((f.split("=", 1)[1] for f in list_names(spark, path) if f.startswith(f"{EVENT_DATE}=2")), reverse=True)
+    folders = [f.split("=", 1)[1] for f in list_names(spark, path) if f.startswith(f"{EVENT_DATE}=")]
+    dates = sorted((f for f in folders if f != _NO_DATE), reverse=True)
     taken = 1
     while taken < len(dates):
         recent = scan_events(spark, path, start=dates[taken - 1])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.files import path_exists
@@ -94,24 +95,34 @@ def merge_directory(
 ) -> DataFrame | None:
     """Wanted columns of every file below ``path`` as text; ``None`` when no file has any of them.
 
+    All rows of a file that has a wanted column stay, also those whose wanted cells are empty; files without one go.
     One scan with merged schemas, however many files there are. The natural order of the file
     names is kept as ``file_order``, digits padded so that ``part_2`` comes before ``part_10``.
     CSV files may have different headers: each record is read by its own file's header.
     """
     if fmt == "csv":
         raw = spark.read.options(**{"header": True, "singleVariantColumn": "record", **options}).csv(path)
-        found = raw.select(*[F.try_variant_get("record", f"$['{c}']", "string").alias(c) for c in wanted], _file_order())
-        present = raw.agg(*[F.count_if(F.try_variant_get("record", f"$['{c}']", "variant").isNotNull()).alias(c) for c in wanted]).first()
+        # a record has the columns of its file's header, the empty ones too
+        has = [F.try_variant_get("record", f"$['{c}']", "variant").isNotNull() for c in wanted]
+        found = raw.where(reduce(Column.__or__, has, F.lit(False)))
+        present = found.agg(*[F.count_if(h).alias(c) for h, c in zip(has, wanted, strict=True)]).first()
         existing = [c for c in wanted if present[c]]
-    else:
-        merged = spark.read.options(**{"mergeSchema": True, **options}).format(fmt).load(path)
-        existing = [c for c in dict.fromkeys(wanted) if c in merged.columns]
-        found = merged.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in existing], _file_order())
+        values = [F.try_variant_get("record", f"$['{c}']", "string").alias(c) for c in existing]
+        return found.select(*values, _file_order()) if existing else None
+    reader = spark.read.options(**options).format(fmt)
+    merged = spark.read.options(**{"mergeSchema": True, **options}).format(fmt).load(path)
+    existing = [c for c in dict.fromkeys(wanted) if c in merged.columns]
     if not existing:
         return None
-    return found.select(*existing, "file_order").where(F.coalesce(*existing).isNotNull())
+    found = merged.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in existing], _file_order(), F.col("_metadata.file_path").alias("_file"))
+    # only a file that shows no wanted value at all has to be asked for its columns
+    empty = found.groupBy("_file").agg(F.max(F.coalesce(*existing).isNotNull()).alias("_some")).where(~F.col("_some"))
+    without = [r["_file"] for r in empty.collect() if not set(existing) & set(reader.load(r["_file"]).columns)]
+    kept = found.where(~F.col("_file").isin(without)) if without else found
+    return kept.select(*existing, "file_order")
 
 
 def _file_order():
-    padded = F.regexp_replace(F.col("_metadata.file_path"), r"(\d+)", "000000000000000$1")
-    return F.regexp_replace(padded, r"0*(\d{16})(?!\d)", "$1").alias("file_order")
+    # 40 digits hold any number a file name is likely to have; a longer run sorts behind them
+    padded = F.regexp_replace(F.col("_metadata.file_path"), r"(\d+)", "0" * 39 + "$1")
+    return F.regexp_replace(padded, r"0*(\d{40})(?!\d)", "$1").alias("file_order")

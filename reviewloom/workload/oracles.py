@@ -273,9 +273,10 @@ ORACLES: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM o WHERE n.order_id IS NOT DISTINCT FROM o.order_id)""",
     ),
     "upsert_conflicts": sql(OLD_NEW, "SELECT DISTINCT order_id FROM o WHERE order_id IN (SELECT order_id FROM n)"),
-    "dir_column_merge": """SELECT CAST(event_id AS VARCHAR) AS event_id,
-        CASE WHEN event_type IN ('click', 'view', 'purchase') THEN CAST(value AS VARCHAR) END AS value,
-        CASE WHEN event_type <> 'purchase' THEN props END AS props FROM events""",
+    "dir_column_merge": """WITH m AS (SELECT *, coalesce(event_type IN ('click', 'view', 'error', 'signup'), false) AS listed FROM events)
+        SELECT CASE WHEN listed OR user_id % 3 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
+        CASE WHEN event_type IN ('click', 'view') OR NOT listed AND user_id % 3 <> 0 THEN CAST(value AS VARCHAR) END AS value,
+        CASE WHEN listed THEN props END AS props FROM m""",
     "event_log_scan": sql(
         TL,
         """SELECT event_id, event_type, timestamp, n AS batch_size, max_tokens, total_tokens, CAST(n AS INT) AS text_count,
@@ -518,9 +519,9 @@ a AS (SELECT series, n, avg(delta) FILTER (i >= 0 AND i >= n - 4) - avg(delta) F
         strftime(ts, '%H:%M:%S') AS serial_time_text FROM events""",
     "join_date_time": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS joined FROM events",
     "title_contents": sql(RV, f"SELECT review_id, {MERGED} AS contents FROM rv"),
-    "int_string_id": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS buyer_id, o_totalprice
+    "int_string_id": """SELECT CASE WHEN o_orderpriority = '3-MEDIUM' THEN '9' || lpad(CAST(o_orderkey AS VARCHAR), 44, '0') ELSE CAST(o_orderkey AS VARCHAR) END AS order_id, CAST(o_custkey AS VARCHAR) AS buyer_id, o_totalprice
         FROM orders WHERE o_orderpriority NOT IN ('2-HIGH', '5-LOW')""",
-    "int_string_id_keep": """SELECT CASE WHEN o_orderpriority NOT IN ('2-HIGH', '5-LOW') THEN CAST(o_orderkey AS VARCHAR) END AS order_id,
+    "int_string_id_keep": """SELECT CASE WHEN o_orderpriority = '3-MEDIUM' THEN '9' || lpad(CAST(o_orderkey AS VARCHAR), 44, '0') WHEN o_orderpriority NOT IN ('2-HIGH', '5-LOW') THEN CAST(o_orderkey AS VARCHAR) END AS order_id,
         CAST(o_custkey AS VARCHAR) AS buyer_id, o_totalprice FROM orders""",
     "hash_review_id": f"""SELECT event_id, strftime(ts, '%Y%m%d%H%M') || {hashed('CAST(event_id AS VARCHAR)')} AS review_id
         FROM events WHERE event_type <> 'error'""",

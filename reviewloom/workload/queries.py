@@ -694,6 +694,8 @@ def _raw_ids(spark, d):
         F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(k.cast("string"), F.lit(".0")))
         .when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.lit("no-"), k.cast("string")))
         .when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
+        # ids of more digits than any number type holds
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit("+009"), F.lpad(k.cast("string"), 44, "0"), F.lit(".000")))
         .otherwise(F.concat(F.lit(" "), k.cast("string")))
     )
     return v.table(spark, d, "orders").select(raw.alias("order_id"), F.col("o_custkey").cast("double").alias("buyer_id"), "o_totalprice")

@@ -246,7 +246,11 @@ def events_by_kind_path(spark: SparkSession, sf_dir: str) -> str:
         e = table(spark, sf_dir, "events")
         e.where(F.col("event_type").isin("click", "view")).select("event_id", "value", "props").write.parquet(f"{path}/part_2")
         e.where(F.col("event_type").isin("error", "signup")).select("event_id", "props").write.parquet(f"{path}/part_10")
-        e.where(F.col("event_type") == "purchase").select("value", "event_id").write.parquet(f"{path}/part_1")
+        # all other events; a third of them has neither id nor value, so whole rows are empty
+        others = ~F.coalesce(F.col("event_type").isin("click", "view", "error", "signup"), F.lit(False))
+        empty = F.when(F.col("user_id") % 3 != 0, F.col("event_id"))
+        e.where(others).select(F.when(empty.isNotNull(), F.col("value")).alias("value"), empty.alias("event_id")).write.parquet(f"{path}/part_1")
+        e.select(F.col("ts").alias("unwanted")).write.parquet(f"{path}/part_3")
 
     return _once(spark, sf_dir, "parts", write)
 

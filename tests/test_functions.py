@@ -50,6 +50,14 @@ def test_integer_ids(spark):
     assert one(spark, cases, "string", text.int_string_id) == ["1", "7", None, None, "12", "1000", None]
     assert one(spark, [1.0, float("nan"), None], "double", text.int_string_id) == ["1", None, None]
     assert one(spark, [9007199254740993], "bigint", text.int_string_id) == ["9007199254740993"]
+    long = "1234567890" * 5
+    assert one(spark, [long, f"-00{long}.0", "-0.", "+7", "0007", ".0", "1.5e1"], "string", text.int_string_id) == [long, f"-{long}", "0", "7", "7", "0", "15"]
+    for bad in ("1.00000000001", "1e-3", "1e30", ".5", f"{long}.5"):
+        with pytest.raises(Exception, match="not an integer"):
+            one(spark, [bad], "string", text.int_string_id)
+    for bad in (1e19, float("inf"), 0.5):
+        with pytest.raises(Exception, match="not an integer"):
+            normalise_ids(spark.createDataFrame([(bad,)], "a double"), ["a"]).collect()
     df = spark.createDataFrame([(c,) for c in cases], "a string")
     assert sorted(r.a for r in normalise_ids(df, ["a"]).collect()) == ["1", "1000", "12", "7"]
     assert normalise_ids(df, ["a"], drop_invalid=False).count() == len(cases)

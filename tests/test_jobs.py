@@ -63,6 +63,28 @@ def test_directory_merge(spark, tmp_path, fmt):
     assert tables.merge_directory(spark, f"{tmp_path}/{fmt}/*", ["nowhere"], fmt) is None
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_directory_merge_keeps_empty_rows(spark, tmp_path, fmt):
+    some = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, z string").coalesce(1)
+    nothing = spark.createDataFrame([(None, "y"), (None, "y")], "a int, z string").coalesce(1)
+    for name, part in (("p1", some), ("p2", nothing), ("p3", nothing.select("z"))):
+        part.write.options(header=True).format(fmt).save(f"{tmp_path}/{fmt}/{name}")
+    merged = tables.merge_directory(spark, f"{tmp_path}/{fmt}/*", ["a", "b"], fmt)
+    assert [r.a for r in merged.orderBy("file_order", F.col("a").asc_nulls_last()).collect()] == ["1", "3", None, None, None]
+
+
+def test_event_log_rejects(spark, tmp_path):
+    lines = ['{"event_type": "inferred", "event_id": 1}', '{"event_type": "inf', "", '{"event_type": "inferred", "event_id": 2.5}', '{"event_id": 3}']
+    spark.createDataFrame([(x,) for x in lines[:3]], "value string").coalesce(1).write.text(f"{tmp_path}/torn")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_path}/bad")
+    assert [r.event_id for r in event_log.scan_events(spark, f"{tmp_path}/torn").collect()] == [1]
+    with pytest.raises(Exception, match="no event of the log's schema"):
+        event_log.scan_events(spark, f"{tmp_path}/bad").collect()
+    assert event_log.scan_events(spark, f"{tmp_path}/bad", strict=False).count() == 1
+    rejected = {(r.reason, r.line) for r in event_log.rejected_lines(spark, f"{tmp_path}/bad").collect()}
+    assert rejected == {("torn", lines[1]), ("misfit", lines[3]), ("untyped", lines[4])}
+
+
 def test_upsert_table(spark, tmp_path):
     path = f"{tmp_path}/t"
     table = lambda data: spark.createDataFrame(data, "id string, v string")
