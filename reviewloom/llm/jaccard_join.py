@@ -1,7 +1,7 @@
 """Similarity join of documents by their 5-word shingles, Jaccard at least 3/4, and the groups it links.
 
 Documents with equal sets are one class from the start. Of the classes, only those that share a shingle among their first n - ceil(3n/4) + 1
-in a global order can be similar; the order puts frequent shingles last. A shingle there that several classes have makes a block.
+in a global order can be similar; the order puts frequent shingles last, and of the others those of short words, which meet by chance. A shingle there that several classes have makes a block.
 
 1. Each class is compared with one other class of its blocks; what is similar gets one label. This takes large groups of near copies together at the
    cost of one comparison a class.
@@ -54,8 +54,8 @@ _FACTORS = np.random.default_rng(77).integers(1, 1 << 63, SHINGLE_WORDS, dtype=n
 _SALTS = np.random.default_rng(78).integers(1, 1 << 63, 2, dtype=np.uint64)
 
 
-def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Text numbers and hashes of the distinct shingles, sorted by both."""
+def sized_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text numbers and hashes of the distinct shingles, sorted by both, and the bytes of their words."""
     words = Words(texts, BLANKS)
     places = np.maximum(words.counts - (SHINGLE_WORDS - 1), (words.counts > 0).astype(np.int64))
     text_of = np.repeat(np.arange(len(texts)), places)
@@ -66,11 +66,18 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for k in range(SHINGLE_WORDS):
         total = total + np.where(size > k, padded[start + k] * _FACTORS[k], np.uint64(0))
     hashes = mixed(total)
+    running = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
+    sizes = running[start + size] - running[start]
     order = np.lexsort((hashes, text_of))
-    text_of, hashes = text_of[order], hashes[order]
+    text_of, hashes, sizes = text_of[order], hashes[order], sizes[order]
     first = np.ones(len(hashes), bool)
     first[1:] = (text_of[1:] != text_of[:-1]) | (hashes[1:] != hashes[:-1])
-    return text_of[first], hashes[first]
+    return text_of[first], hashes[first], sizes[first]
+
+
+def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Text numbers and hashes of the distinct shingles, sorted by both."""
+    return sized_shingles(texts)[:2]
 
 
 def fingerprints(text_of: np.ndarray, hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,16 +145,16 @@ def _blocks(docs: DataFrame, postings: int, frequent: tuple[np.ndarray, np.ndarr
         known, counts = held.value
         for batch in batches:
             for _, texts in text_steps(batch):
-                text_of, hashes = shingles(texts)
+                text_of, hashes, size = sized_shingles(texts)
                 sizes, fp, _ = fingerprints(text_of, hashes, len(texts))
                 # equal sets of a step send one posting list
                 first = np.zeros(len(texts), bool)
                 first[np.unique(fp, return_index=True)[1]] = True
                 keep = first[text_of]
-                text_of, hashes = text_of[keep], hashes[keep]
+                text_of, hashes, size = text_of[keep], hashes[keep], size[keep]
                 at, there = _lookup(known, hashes)
                 count = np.where(there, counts[at] if len(counts) else 0, 0)
-                order = np.lexsort((hashes, count, text_of))
+                order = np.lexsort((hashes, -size, count, text_of))
                 text_of, hashes, count = text_of[order], hashes[order], count[order]
                 place = np.arange(len(text_of)) - np.searchsorted(text_of, text_of)
                 in_prefix = place <= sizes[text_of] - -(-3 * sizes[text_of] // 4)
