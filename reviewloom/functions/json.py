@@ -26,7 +26,8 @@ def variant_path(key: str) -> str:
     """Dotted key with 1-based array positions to a JSON path with 0-based ones."""
     steps = []
     for part in key.split("."):
-        steps.append(f"[{int(part) - 1}]" if part.isdigit() else f"['{part}']")
+        quote = '"' if "'" in part else "'"
+        steps.append(f"[{int(part) - 1}]" if part.isdigit() else f"[{quote}{part}{quote}]")
     return "$" + "".join(steps)
 
 

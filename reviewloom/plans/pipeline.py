@@ -34,7 +34,7 @@ def run_ingest(spark: SparkSession, space: Workspace, source: Source, landing: s
     """Landed pages to the source table; rows already there win."""
     with staging(spark):
         rows = ingest(read_pages(spark, landing), source)
-        save(rows, space.table(name), source.pk_column(), overwrite=False)
+        _save(rows, space.table(name), source.pk_column())
 
 
 def run_preprocess(
@@ -59,14 +59,14 @@ def run_preprocess(
             orders=orders,
             orders_spec=orders_source.dataset if orders is not None else None,
         )
-        save(rows, space.table("preprocessed"), EXPORT_LAYOUT["REVIEW_ID"], overwrite=False)
+        _save(rows, space.table("preprocessed"), EXPORT_LAYOUT["REVIEW_ID"])
 
 
 def run_postprocess(spark: SparkSession, space: Workspace, option_map: str, labeller: Labeller) -> None:
     options = load(spark, option_map, OPTION_MAP, required=True)
     with staging(spark):
         rows = postprocess(_current(spark, space.table("preprocessed")), options, OPTION_MAP, labeller)
-        save(rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"], overwrite=False)
+        _save(rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"])
 
 
 def run_chunks(spark: SparkSession, space: Workspace, size: int) -> DataFrame:
@@ -87,6 +87,12 @@ def run_finalize(spark: SparkSession, space: Workspace, outcomes: DataFrame) ->
         )
 
 
+def _save(rows: DataFrame, path: str, key: str) -> None:
+    """Upsert; rows already there win. Rows that could not be saved are an error, for the next stage would miss them."""
+    if not save(rows, path, key, overwrite=False) and not rows.isEmpty():
+        raise ValueError(f"nothing was saved at {path}: no column {key}")
+
+
 def _current(spark: SparkSession, path: str) -> DataFrame:
     table = read_current(spark, path)
     if table is None:

@@ -37,10 +37,13 @@ def hash_ids(df: DataFrame, review_id: str, date: str, time: str, length: int =
 
 
 def given_labels(labels: DataFrame, key: str, label: str = "label") -> Labeller:
-    """Labels from a table, by review id as it is before hashing."""
+    """Labels from a table, by review id as it is before hashing. An id may repeat its label; different ones are an error."""
 
     def attach(df: DataFrame, review_id: str, contents: str) -> DataFrame:
-        table = labels.select(F.col(key).cast("string").alias(review_id), F.col(label).alias(LABEL))
+        ids = labels.groupBy(F.col(key).cast("string").alias(review_id)).agg(F.min(label).alias("_low"), F.max(label).alias("_high"))
+        error = F.raise_error(F.concat(F.lit("labels differ for id "), F.col(f"`{review_id}`")))
+        one = F.when(F.col("_low") != F.col("_high"), error.cast(ids.schema["_low"].dataType)).otherwise(F.col("_low"))
+        table = ids.select(f"`{review_id}`", one.alias(LABEL))
         return df.join(table, review_id, "left")
 
     return attach

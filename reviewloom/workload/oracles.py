@@ -531,6 +531,14 @@ a AS (SELECT series, n, avg(delta) FILTER (i >= 0 AND i >= n - 4) - avg(delta) F
              ELSE len(string_split_regex(trim(text, '{WS}'), '[{SPACES}]+')) END AS tokens FROM documents)
         SELECT doc_id, CAST(text_length AS BIGINT) AS text_length, CAST(tokens AS BIGINT) AS tokens,
                CAST(least(tokens, {TOKEN_CAP}) AS BIGINT) AS tokens_capped FROM t""",
+    "classify_text": f"""WITH d AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '[{SPACES}]+'), lambda x: x <> '')) AS w FROM documents),
+        t AS (SELECT d.doc_id, w, quality FROM d JOIN labels USING (doc_id)),
+        v AS (SELECT w, count(*) FILTER (quality = 0) AS n0, count(*) FILTER (quality = 1) AS n1 FROM t GROUP BY w),
+        z AS (SELECT sum(n0) AS s0, sum(n1) AS s1, count(*) AS k FROM v),
+        p AS (SELECT count(*) FILTER (quality = 0) AS d0, count(*) FILTER (quality = 1) AS d1 FROM documents JOIN labels USING (doc_id)),
+        s AS (SELECT doc_id, sum(ln((n1 + 1) / (s1 + k)) - ln((n0 + 1) / (s0 + k))) AS x FROM d JOIN v USING (w), z GROUP BY doc_id)
+        SELECT documents.doc_id, CAST(coalesce(x, 0) + ln(d1 + 1) - ln(d0 + 1) > 0 AS INT) AS label
+        FROM documents LEFT JOIN s USING (doc_id), p""",
     "rule_writer_from_buyer": sql(RF, OH, RULE_INPUT, 'SELECT * REPLACE (order_history__buyer_name AS "리뷰_작성자명") FROM ri'),
     "rule_star_override": sql(RF, OH, RULE_INPUT, 'SELECT * REPLACE (5 AS "리뷰_별점") FROM ri'),
     "rules_identity": sql(RF, OH, RULE_INPUT, "SELECT * FROM ri"),
