@@ -134,7 +134,7 @@ def _ids_of(rows: pa.RecordBatch) -> np.ndarray:
 
 
 class ProbeFilter:
-    """Bitmap of probes: their first bits name a task's segment, their last ones the place in it."""
+    """Bitmap of probes: their first bits name a task's segment, the last 32 two places in it."""
 
     def __init__(self, bits: int):
         self.bits, self.inner = bits, FILTER_BITS - bits
@@ -145,16 +145,24 @@ class ProbeFilter:
 
     def segment(self, low_bits: np.ndarray) -> bytes:
         marks = np.zeros(1 << self.inner, np.uint8)
-        marks[(low_bits & np.uint64((1 << self.inner) - 1)).astype(np.int64)] = 1
+        for places in self._places(low_bits):
+            marks[places] = 1
         return np.packbits(marks, bitorder="little").tobytes()
 
     def put(self, segment: int, packed: bytes) -> None:
         size = len(packed)
         self.packed[segment * size : (segment + 1) * size] = np.frombuffer(packed, np.uint8)
 
+    def _places(self, low_bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spread = (low_bits * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
+        return (low_bits & np.uint64((1 << self.inner) - 1)).astype(np.int64), (spread >> np.uint64(32 - self.inner)).astype(np.int64)
+
     def _holds(self, probes: np.ndarray) -> np.ndarray:
-        slot = (self.segment_of(probes) << self.inner) | (probes & np.uint64((1 << self.inner) - 1)).astype(np.int64)
-        return (self.packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+        out = np.ones(len(probes), bool)
+        for places in self._places(probes & np.uint64(0xFFFFFFFF)):
+            slot = (self.segment_of(probes) << self.inner) | places
+            out &= (self.packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 > 0
+        return out
 
     def may_repeat(self, spans: Spans) -> np.ndarray:
         """Numbers of the spans with a probe of the bitmap."""
@@ -229,20 +237,47 @@ def _windows_of(group: pa.Table) -> pa.Table:
         while end < len(varied) and family[varied[end]] == family[varied[end - 1]]:
             end += 1
         part = varied[at:end]
-        which, lo, hi, doc = _family_windows(data, offset[part], left[part], length[part], family[part], low[part], high[part])
-        parts.append((part[which], lo, hi, doc))
+        lines = _lines(data, offset[part], left[part], length[part])
+        met = _meeting(lines, left[part], length[part], family[part])
+        # no other span of the family shares a window with these
+        quiet = part[~met]
+        quiet = quiet[low[quiet] < high[quiet]]
+        parts.append((quiet, np.zeros(len(quiet), np.int64), length[quiet] - LENGTH, low[quiet]))
+        if met.any():
+            part = part[met]
+            which, lo, hi, doc = _family_windows(lines[met], left[part], length[part], family[part], low[part], high[part])
+            parts.append((part[which], lo, hi, doc))
         at = end
     which, lo, hi, doc = map(np.concatenate, zip(*parts, strict=True))
     return pa.table({"span": hashes[which].view(np.int64), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32), "first_doc": doc})
 
 
-def _family_windows(data, offset, left, length, family, low, high) -> tuple[np.ndarray, ...]:
-    """Runs of windows with the same smallest document, below the span's largest one: span number, lo, hi, document."""
-    count, width, middle = len(offset), len(_COLUMNS), PLACES - 1
-    begin, end = middle - left, middle - left + length
+def _lines(data: np.ndarray, offset: np.ndarray, left: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A line per span, with the anchors below each other; 256 where a span has no byte."""
+    count, width = len(offset), len(_COLUMNS)
     lines = np.full((count, width), 256, np.uint16)
-    cells = np.repeat(np.arange(count) * width + begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+    cells = np.repeat(np.arange(count) * width + PLACES - 1 - left - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
     lines.reshape(-1)[cells] = _gather(data, offset, length)
+    return lines
+
+
+def _meeting(lines: np.ndarray, left: np.ndarray, length: np.ndarray, family: np.ndarray) -> np.ndarray:
+    """Spans that share a probe with another span of their family; the others share no window."""
+    sums = prefix_hashes(lines.astype(np.uint8).reshape(-1))
+    anchor = np.arange(len(lines)) * lines.shape[1] + PLACES - 1
+    out = np.zeros(len(lines), bool)
+    for there, begin, end in ((left >= BESIDE, -BESIDE, ANCHOR), (length - left >= ANCHOR + BESIDE, 0, ANCHOR + BESIDE)):
+        which = np.flatnonzero(there)
+        probes = span_hashes(sums, anchor[which] + begin, anchor[which] + end) ^ mixed(family[which].astype(np.uint64))
+        _, same, count = np.unique(probes, return_inverse=True, return_counts=True)
+        out[which] |= count[same] > 1
+    return out
+
+
+def _family_windows(lines, left, length, family, low, high) -> tuple[np.ndarray, ...]:
+    """Runs of windows with the same smallest document, below the span's largest one: span number, lo, hi, document."""
+    count, width, middle = len(lines), len(_COLUMNS), PLACES - 1
+    begin, end = middle - left, middle - left + length
     heads = np.flatnonzero(np.concatenate([[True], family[1:] != family[:-1]]))
     head_of = np.cumsum(np.concatenate([[True], family[1:] != family[:-1]])) - 1
     varies = np.logical_or.reduceat((lines != lines[heads][head_of]) | (lines == 256), heads, axis=0)
