@@ -30,17 +30,22 @@ def _entry(name: str, length: Column, weight: Column) -> Column:
     )
 
 
-def _summaries(entries: DataFrame, by: Sequence[str], names: Sequence[str], latest: Mapping[str, str] | None = None) -> DataFrame:
-    """Count, total and percentile per group and name of weighted entries ``_e(name, length, weight)``.
+def _summaries(entries: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Count, total and percentile per group and name of weighted entries ``_e(name, length, weight)``."""
+    return _from_histogram(_histogram(entries, by), by, names)
 
-    ``latest`` carries the maximum of further columns along: output name to column.
-    """
-    latest = latest or {}
-    histogram = (
+
+def _histogram(entries: DataFrame, by: Sequence[str], latest: Mapping[str, str] | None = None) -> DataFrame:
+    """Weight per group, name and length. ``latest`` carries the maximum of further columns along: output name to column."""
+    return (
         entries.where("_e.length IS NOT NULL")
         .groupBy(*by, F.col("_e.name").alias("name"), F.col("_e.length").alias("length"))
-        .agg(F.sum("_e.weight").alias("n"), *[F.max(c).alias(o) for o, c in latest.items()])
+        .agg(F.sum("_e.weight").alias("n"), *[F.max(c).alias(o) for o, c in (latest or {}).items()])
     )
+
+
+def _from_histogram(histogram: DataFrame, by: Sequence[str], names: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
+    """Count, total and percentile per group and name, and the maxima in the columns ``latest``."""
     whole = Window.partitionBy(*by, "name")
     ranked = histogram.select(
         "*",
@@ -114,14 +119,20 @@ def interval_statistics(events: DataFrame, by: Sequence[str], **applied) -> Data
 
 def dated_statistics(events: DataFrame, by: Sequence[str]) -> DataFrame:
     """Interval statistics with the count and last timestamp of all events of the interval."""
+    return statistics_of_histograms(dated_histogram(events, by), by)
+
+
+def dated_histogram(events: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What the statistics of events come from, in a form that can be merged: by, name, length, n, last_timestamp."""
     own = F.when(F.col("event_type") == INFERRED, _batch_entries()).otherwise(F.array().cast(_ENTRY_TYPE))
     entries = F.concat(own, F.array(_entry("event", F.lit(0), F.lit(1))))
-    rows = _summaries(
-        events.select(*by, "timestamp", F.explode(entries).alias("_e")),
-        by,
-        [*_STATISTICS, "event"],
-        latest={"last_timestamp": "timestamp"},
-    )
+    return _histogram(events.select(*by, "timestamp", F.explode(entries).alias("_e")), by, {"last_timestamp": "timestamp"})
+
+
+def statistics_of_histograms(histograms: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row of dated statistics per interval, however many histograms hold a part of it."""
+    merged = histograms.groupBy(*by, "name", "length").agg(F.sum("n").alias("n"), F.max("last_timestamp").alias("last_timestamp"))
+    rows = _from_histogram(merged, by, [*_STATISTICS, "event"], ["last_timestamp"])
     return rows.select(*by, F.col("count_event").alias("event_count"), "last_timestamp", *_statistics())
 
 

@@ -1,4 +1,4 @@
-"""Incremental interval statistics: one row per interval of the events that are new in a run."""
+"""Incremental interval statistics: each run adds a histogram of its new events, reading merges them to one row per interval."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.operators.stats import dated_statistics
+from reviewloom.operators.stats import dated_histogram, statistics_of_histograms
 from reviewloom.sources.event_log import stream_events
 
 
@@ -19,14 +19,13 @@ def statistics_stream(
     prepare: Callable[[DataFrame], DataFrame] = lambda events: events,
     **options,
 ) -> None:
-    """Statistics of every micro-batch, with the count and last timestamp of its events.
+    """Histograms of every micro-batch, which can be merged: an interval may arrive in any number of batches and runs.
 
     The stream checkpoint takes the place of a byte cursor. A repeated batch overwrites itself.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stats = dated_statistics(prepare(batch), by)
-        stats.write.mode("overwrite").parquet(f"{table}/run={batch_id}")
+        dated_histogram(prepare(batch), by).write.mode("overwrite").parquet(f"{table}/run={batch_id}")
 
     query = (
         stream_events(spark, log, **options)
@@ -38,5 +37,6 @@ def statistics_stream(
     query.awaitTermination()
 
 
-def read_statistics(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table)
+def read_statistics(spark: SparkSession, table: str, by: Sequence[str]) -> DataFrame:
+    """One row per interval with the count and last timestamp of its events."""
+    return statistics_of_histograms(spark.read.parquet(table), by)

@@ -866,5 +866,6 @@ def stream_ingest(spark, d):
 def stream_interval_stats(spark, d):
     v.apply_required_conf(spark)
     table, checkpoint = scratch_path(spark, "statistics"), scratch_path(spark, "statistics-checkpoint")
-    statistics_stream.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily)
-    return statistics_stream.read_statistics(spark, table).drop("run")
+    # a few files a batch, so that days arrive in several batches
+    statistics_stream.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily, maxFilesPerTrigger=16)
+    return statistics_stream.read_statistics(spark, table, ["day"])
