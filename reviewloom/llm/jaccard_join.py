@@ -1,7 +1,7 @@
 """Similarity join of documents by their 5-word shingles, Jaccard at least 3/4, and the groups it links.
 
 Documents with equal sets are one class from the start. Of the classes, only those that share a shingle among their first n - ceil(3n/4) + 1
-in a global order can be similar; the order puts frequent shingles last, and of the others those of short words, which meet by chance. A shingle there that several classes have makes a block.
+in a global order can be similar; the order puts shingles that several classes have last, and of those the ones of short words, which meet by chance. A shingle there that several classes have makes a block.
 
 1. Each class is compared with one other class of its blocks; what is similar gets one label. This takes large groups of near copies together at the
    cost of one comparison a class.
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.llm.common import BLANKS, Words, mixed, text_steps
 from reviewloom.llm.components import connected
+from reviewloom.llm.substring_dedup import ProbeFilter, packed_rows, unpacked
 from reviewloom.session import stage
 
 SHINGLE_WORDS = 5
@@ -40,10 +41,10 @@ TILE = 2048
 
 _MOST = np.iinfo(np.uint16).max
 
-# Postings of a task, shingles in the table of frequent ones, and the documents of a numpy step that make one frequent.
+# Postings of a task, frequent shingles that every task knows, and the largest number of the bitmap's segments, as a power of two.
 BUCKET_POSTINGS = 400_000
 FREQUENT = 1 << 17
-FREQUENT_IN_STEP = 3
+FILTER_SHIFT = 20
 # Documents that make a shingle's postings spread over tasks.
 SPREAD_AT = 2000
 
@@ -102,30 +103,44 @@ def _sets(docs: DataFrame) -> DataFrame:
     return stage(docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n_shingles long, fp long, fp2 long"), "shingle-sets")
 
 
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and counts of frequent shingles, at most ``FREQUENT``: those of the highest counts.
+def _repeated_shingles(docs: DataFrame, total: int) -> tuple[ProbeFilter, np.ndarray]:
+    """A bitmap, of fixed size, of the shingles that several sets may have, and the keys of very frequent ones, at most ``FREQUENT``.
 
-    The table only shapes the global order, so a shingle that is missing here costs time, not links.
+    Both only shape the order and the dealing of postings: a shingle that is wrongly in the bitmap, or missing among the frequent ones, costs time, not links.
     """
+    out = ProbeFilter(min(FILTER_SHIFT, max(4, (-(-total // BUCKET_POSTINGS) - 1).bit_length())))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_steps(batch):
-                hashes, counts = np.unique(shingles(texts)[1], return_counts=True)
-                many = counts >= FREQUENT_IN_STEP
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[many].view(np.int64)), pa.array(counts[many])], ["h", "n"])
-
-    counts = stage(docs.select("text").mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "frequent-shingles")
-    step = F.floor(F.log2("n") * 4).cast("int")
-    total, reached = 0, 1 << 30
-    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):
-        if (total := total + row["count"]) > FREQUENT:
-            break
-        reached = row["step"]
-    held = counts.where(step >= reached).orderBy("h").toArrow()
-    hashes, n = (held.column(c).to_numpy().astype(np.int64) for c in ("h", "n"))
-    order = np.argsort(hashes.view(np.uint64))
-    return hashes.view(np.uint64)[order], n[order]
+                text_of, hashes = shingles(texts)
+                hashes = np.sort(hashes[_first_of_each(fingerprints(text_of, hashes, len(texts))[1])[text_of]])
+                yield packed_rows(out.segment_of(hashes), {"shingles": hashes.astype(np.uint32)})
+
+    def several(group: pa.Table) -> pa.Table:
+        values, counts = np.unique(unpacked(group, "shingles", "<u4"), return_counts=True)
+        marks = out.segment(values[counts > 1].astype(np.uint64))
+        hot = values[counts > SPREAD_AT].tobytes()
+        return pa.table({"bucket": [group.column("bucket")[0].as_py()], "packed": pa.array([marks], pa.binary()), "hot": pa.array([hot], pa.binary())})
+
+    rows = docs.select("text").mapInArrow(packed, "bucket long, shingles binary")
+    keys: list[np.ndarray] = [np.zeros(0, np.int64)]
+    for row in rows.groupBy("bucket").applyInArrow(several, "bucket long, packed binary, hot binary").toLocalIterator():
+        out.put(row["bucket"], bytes(row["packed"]))
+        if sum(map(len, keys)) < FREQUENT:
+            keys.append((row["bucket"] << 32) | np.frombuffer(row["hot"], "<u4").astype(np.int64))
+    return out, np.sort(np.concatenate(keys))[:FREQUENT]
+
+
+def _first_of_each(fps: np.ndarray) -> np.ndarray:
+    """Marks the first text of each fingerprint."""
+    first = np.zeros(len(fps), bool)
+    first[np.unique(fps, return_index=True)[1]] = True
+    return first
+
+
+def _key_of(repeated: ProbeFilter, hashes: np.ndarray) -> np.ndarray:
+    return (repeated.segment_of(hashes) << 32) | (hashes & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _lookup(sorted_values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,32 +150,32 @@ def _lookup(sorted_values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray,
     return at, sorted_values[at] == wanted
 
 
-def _blocks(docs: DataFrame, postings: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """shingle, fp: prefix shingles that several sets have."""
+def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndarray]) -> DataFrame:
+    """shingle, fp: prefix shingles that several sets have.
+
+    In the order, shingles of one set alone come first; they make no block, so only the others of a prefix are sent.
+    """
     spark = docs.sparkSession
     buckets = max(1, -(-postings // BUCKET_POSTINGS))
-    held = spark.sparkContext.broadcast(frequent)
+    held = spark.sparkContext.broadcast(repeated)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = held.value
+        known, hot = held.value
         for batch in batches:
             for _, texts in text_steps(batch):
                 text_of, hashes, size = sized_shingles(texts)
                 sizes, fp, _ = fingerprints(text_of, hashes, len(texts))
                 # equal sets of a step send one posting list
-                first = np.zeros(len(texts), bool)
-                first[np.unique(fp, return_index=True)[1]] = True
-                keep = first[text_of]
+                keep = _first_of_each(fp)[text_of]
                 text_of, hashes, size = text_of[keep], hashes[keep], size[keep]
-                at, there = _lookup(known, hashes)
-                count = np.where(there, counts[at] if len(counts) else 0, 0)
-                order = np.lexsort((hashes, -size, count, text_of))
-                text_of, hashes, count = text_of[order], hashes[order], count[order]
+                several = known.holds(hashes)
+                order = np.lexsort((hashes, -size, several, text_of))
+                text_of, hashes, several = text_of[order], hashes[order], several[order]
                 place = np.arange(len(text_of)) - np.searchsorted(text_of, text_of)
-                in_prefix = place <= sizes[text_of] - -(-3 * sizes[text_of] // 4)
-                text_of, hashes, count = text_of[in_prefix], hashes[in_prefix], count[in_prefix]
+                sent = several & (place <= sizes[text_of] - -(-3 * sizes[text_of] // 4))
+                text_of, hashes = text_of[sent], hashes[sent]
                 owner = fp[text_of].view(np.uint64)
-                salt = np.where(count > SPREAD_AT, mixed(owner), np.uint64(0))
+                salt = np.where(_lookup(hot, _key_of(known, hashes))[1], mixed(owner), np.uint64(0))
                 bucket = ((mixed(hashes ^ _SALTS[0]) + salt) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
@@ -170,7 +185,7 @@ def _blocks(docs: DataFrame, postings: int, frequent: tuple[np.ndarray, np.ndarr
                 yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(p, pa.binary()) for p in parts)], ["bucket", "hashes", "owners"])
 
     def shared(group: pa.Table) -> pa.Table:
-        known, counts = held.value
+        known, hot = held.value
         join = lambda name: np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint64)
         hashes, owners = join("hashes"), join("owners")
         order = np.lexsort((owners, hashes))
@@ -182,8 +197,7 @@ def _blocks(docs: DataFrame, postings: int, frequent: tuple[np.ndarray, np.ndarr
         many[1:] = hashes[1:] == hashes[:-1]
         many[:-1] |= many[1:]
         # spread shingles have their other owners elsewhere
-        at, there = _lookup(known, hashes)
-        many |= there & (counts[at] > SPREAD_AT if len(counts) else False)
+        many |= _lookup(hot, _key_of(known, hashes))[1]
         return pa.table({"shingle": hashes[many].view(np.int64), "fp": owners[many].view(np.int64)})
 
     rows = docs.select("text").mapInArrow(packed, "bucket long, hashes binary, owners binary")
@@ -216,9 +230,7 @@ def _once_each(docs: DataFrame, wanted: DataFrame, kind: str, made: Callable[[np
                 sizes, fp, fp2 = fingerprints(text_of, hashes, len(texts))
                 bits = fp.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
                 maybe = (held.value[(bits >> np.uint64(6)).astype(np.int64)].view(np.uint64) >> (bits & np.uint64(63))) & np.uint64(1) > 0
-                first = np.zeros(len(texts), bool)
-                first[np.unique(fp, return_index=True)[1]] = True
-                chosen = np.flatnonzero(maybe & first & (sizes > 0))
+                chosen = np.flatnonzero(maybe & _first_of_each(fp) & (sizes > 0))
                 cut = np.searchsorted(text_of, np.arange(len(texts) + 1))
                 for low in range(0, len(chosen), 256):
                     part = chosen[low : low + 256]
@@ -344,8 +356,8 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = _sets(docs)
     key = ["fp", "fp2", "n_shingles"]
     reps = stage(sets.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    postings = sets.agg(F.sum(F.floor(F.col("n_shingles") / 4) + 1)).first()[0] or 0
-    shared = _blocks(docs, postings, _frequent(docs))
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    shared = _blocks(docs, total // 4, _repeated_shingles(docs, total))
     blocks = stage(shared.join(reps.where("rep is not null").select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
     wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi")
     points = _once_each(docs, stage(wanted, "block-classes"), "binary", point, "points")

@@ -112,7 +112,7 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return data[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
 
 
-def _packed_rows(bucket: np.ndarray, columns: dict[str, np.ndarray], data: np.ndarray | None = None, lengths: np.ndarray | None = None) -> pa.RecordBatch:
+def packed_rows(bucket: np.ndarray, columns: dict[str, np.ndarray], data: np.ndarray | None = None, lengths: np.ndarray | None = None) -> pa.RecordBatch:
     """One row per bucket, in ascending order of ``bucket``, with each column's values (and the spans' bytes) packed."""
     found, first = np.unique(bucket, return_index=True)
     cuts = np.append(first, len(bucket))
@@ -125,7 +125,7 @@ def _packed_rows(bucket: np.ndarray, columns: dict[str, np.ndarray], data: np.nd
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _unpacked(group: pa.Table, name: str, kind: str) -> np.ndarray:
+def unpacked(group: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
 
 
@@ -157,7 +157,7 @@ class ProbeFilter:
         spread = (low_bits * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
         return (low_bits & np.uint64((1 << self.inner) - 1)).astype(np.int64), (spread >> np.uint64(32 - self.inner)).astype(np.int64)
 
-    def _holds(self, probes: np.ndarray) -> np.ndarray:
+    def holds(self, probes: np.ndarray) -> np.ndarray:
         out = np.ones(len(probes), bool)
         for places in self._places(probes & np.uint64(0xFFFFFFFF)):
             slot = (self.segment_of(probes) << self.inner) | places
@@ -167,8 +167,8 @@ class ProbeFilter:
     def may_repeat(self, spans: Spans) -> np.ndarray:
         """Numbers of the spans with a probe of the bitmap."""
         out = np.zeros(len(spans.starts), bool)
-        out[spans.has_left] = self._holds(spans.left_probes)
-        out[spans.has_right] |= self._holds(spans.right_probes)
+        out[spans.has_left] = self.holds(spans.left_probes)
+        out[spans.has_right] |= self.holds(spans.right_probes)
         return np.flatnonzero(out)
 
 
@@ -188,10 +188,10 @@ def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
                 once[1:] = (probes[1:] != probes[:-1]) | (ids[1:] != ids[:-1])
                 probes = probes[once]
                 # 32 bits and the segment tell most probes apart; mistaking some costs time only
-                yield _packed_rows(out.segment_of(probes), {"probes": probes.astype(np.uint32)})
+                yield packed_rows(out.segment_of(probes), {"probes": probes.astype(np.uint32)})
 
     def several(group: pa.Table) -> pa.Table:
-        values = np.sort(_unpacked(group, "probes", "<u4"))
+        values = np.sort(unpacked(group, "probes", "<u4"))
         twice = values[1:][values[1:] == values[:-1]].astype(np.uint64)
         return pa.table({"bucket": [group.column("bucket")[0].as_py()], "packed": pa.array([out.segment(twice)], pa.binary())})
 
@@ -213,10 +213,10 @@ def _distinct(spans: Spans, keep: np.ndarray, ids: np.ndarray) -> tuple[np.ndarr
 
 def _windows_of(group: pa.Table) -> pa.Table:
     """span, lo, hi, first_doc: windows lo to hi of a span, whose strings the smallest document first_doc also has."""
-    hashes, anchors = _unpacked(group, "spans", "<u8"), _unpacked(group, "anchors", "<u8")
-    low, high = _unpacked(group, "low", "<i8"), _unpacked(group, "high", "<i8")
-    left, length = _unpacked(group, "left", "u1").astype(np.int64), _unpacked(group, "length", "u1").astype(np.int64)
-    data = _unpacked(group, "data", "u1")
+    hashes, anchors = unpacked(group, "spans", "<u8"), unpacked(group, "anchors", "<u8")
+    low, high = unpacked(group, "low", "<i8"), unpacked(group, "high", "<i8")
+    left, length = unpacked(group, "left", "u1").astype(np.int64), unpacked(group, "length", "u1").astype(np.int64)
+    data = unpacked(group, "data", "u1")
     offset = np.cumsum(length) - length
     order = np.lexsort((hashes, anchors))
     begins = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
@@ -355,7 +355,7 @@ def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFram
                 first, bucket = first[order], bucket[order]
                 lengths = cut.length[first]
                 columns = [cut.hashes[first], cut.anchors[first], low[order], high[order], cut.left[first].astype(np.uint8), lengths.astype(np.uint8)]
-                yield _packed_rows(bucket, dict(zip(names, columns, strict=True)), _gather(cut.data, cut.starts[first], lengths), lengths)
+                yield packed_rows(bucket, dict(zip(names, columns, strict=True)), _gather(cut.data, cut.starts[first], lengths), lengths)
 
     schema = "bucket long, " + ", ".join(f"{n} binary" for n in [*names, "data"])
     rows = docs.select("doc_id", "text").mapInArrow(packed, schema)
