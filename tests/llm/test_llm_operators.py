@@ -433,7 +433,7 @@ def near_copies(count, seed):
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_components(spark, odd, empty, monkeypatch, small):
     if small:  # many tasks, tiles and spread postings
-        for name, value in (("TILE", 40), ("LEAF", 2), ("BUCKET_POSTINGS", 500), ("SPREAD_AT", 4), ("FREQUENT_IN_STEP", 2)):
+        for name, value in (("TILE", 40), ("LEAF", 2), ("BUCKET_POSTINGS", 500), ("SPREAD_AT", 4)):
             monkeypatch.setattr(jaccard_join, name, value)
     names = ("doc_id", "n_shingles", "component_id")
     rows = near_copies(25, seed=3 + small)
