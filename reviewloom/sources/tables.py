@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -49,15 +50,36 @@ def scan(df: DataFrame, spec: ScanSpec | None = None) -> DataFrame:
             raise ValueError(f"selected columns are not grouped: {loose}")
         df = df.select(*keys).distinct()
     if spec.order_by and spec.order_by.strip():
-        df = df.orderBy(*[_order_item(item) for item in spec.order_by.split(",")])
+        df = df.orderBy(*[_order_item(item) for item in _order_items(spec.order_by)])
     return df if columns == ["*"] else df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def _order_item(text: str):
-    words = text.split()
-    descending = len(words) > 1 and words[-1].upper() == "DESC"
-    name = " ".join(words[:-1]) if words[-1].upper() in ("ASC", "DESC") else text.strip()
-    return F.expr(name).desc_nulls_last() if descending else F.expr(name).asc_nulls_last()
+def _order_items(text: str) -> list[str]:
+    """The items of an ORDER BY text: commas within brackets or quotes don't part them."""
+    items, depth, quote = [""], 0, ""
+    for c in text:
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        depth += 0 if quote else (c in "([") - (c in ")]")
+        if c == "," and not depth and not quote:
+            items.append("")
+        else:
+            items[-1] += c
+    return items
+
+
+_ORDER = re.compile(r"^(.*?)(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?$", re.IGNORECASE | re.DOTALL)
+
+
+def _order_item(text: str) -> Column:
+    """One item with its direction; nulls come last unless it says otherwise."""
+    expression, direction, nulls = _ORDER.match(text.strip()).groups()
+    item, first = F.expr(expression), (nulls or "LAST").upper() == "FIRST"
+    if (direction or "ASC").upper() == "DESC":
+        return item.desc_nulls_first() if first else item.desc_nulls_last()
+    return item.asc_nulls_first() if first else item.asc_nulls_last()
 
 
 def load(

@@ -53,6 +53,14 @@ def test_scan_spec(spark, tmp_path):
         tables.scan(got, tables.ScanSpec(select=["id", "v"], group_by="id"))
 
 
+def test_order_by_text(spark):
+    df = spark.createDataFrame([(1, None), (2, "b,c"), (3, "a"), (None, "a")], "id int, v string")
+    ids_of = lambda order: [r.id for r in tables.scan(df, tables.ScanSpec(order_by=order)).collect()]
+    assert ids_of("coalesce(v, 'zz') desc, id") == [1, 2, 3, None]
+    assert ids_of("v NULLS FIRST, id DESC NULLS FIRST") == [1, None, 3, 2]
+    assert ids_of("replace(v, ',', 'x') DESC, id") == [2, 3, None, 1]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
 def test_directory_merge(spark, tmp_path, fmt):
     for name, columns in (("part_10", "a,b"), ("part_2", "b,a"), ("part_1", "c,a"), ("part_3", "z")):
