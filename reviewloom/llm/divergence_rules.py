@@ -25,9 +25,9 @@ from reviewloom.session import stage
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-SYMBOLS = "#*$%&|<>"
-_BLANK = " \t\n\x0b\f\r"
+SYMBOLS = "[#*$%&|<>]+"
 _BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
+_VISIBLE = "[^ \\t\\n\\x0B\\f\\r]"
 
 # Words of a language's reference, and languages with one.
 COMMON_WORDS = 25
@@ -81,19 +81,19 @@ def _repeat_words(prepared: DataFrame) -> DataFrame:
     return placed.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)).drop("_at")
 
 
-def _dropped(text: Column, characters: str) -> Column:
-    """Characters of ``text`` that are among ``characters``."""
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def _dropped(text: Column, runs: str) -> Column:
+    """Characters of ``text`` in matches of a pattern."""
+    return F.length(text) - F.length(F.regexp_replace(text, runs, ""))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to ``text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, _BLANK, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_VISIBLE))
     counted = docs.withColumns({"words": _words(F.col("text")), "_lines": lines}).withColumns(
         {
             "n_words": F.size("words").cast("long"),
-            "word_chars": (F.length(text) - _dropped(text, _BLANK)).cast("long"),
+            "word_chars": (F.length(text) - _dropped(text, _BLANKS)).cast("long"),
             "n_symbols": _dropped(text, SYMBOLS).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         }
