@@ -9,7 +9,7 @@ in a global order can be similar; the order puts shingles that several classes h
    point of its counts per group, and a node holds the maxima below it. The overlap of two classes, or of anything below two nodes, is at most the summed minima of
    their coordinates; node pairs whose bound is too small, or that have one label, are not entered. A block that is too
    large for a task is dealt into tiles, and every pair of tiles is a task.
-3. Surviving pairs are verified by their shingles, and the links joined into components.
+3. Surviving pairs are bound once more by points of as many groups as they have shingles, verified by their shingles, and the links joined into components.
 
 No link between classes is lost by this: pairs of one label need no comparison to stay together. Shingles are 64-bit hashes. Postings travel in packed rows; those of
 very frequent shingles are spread by class.
@@ -250,6 +250,20 @@ def point(hashes: np.ndarray) -> np.ndarray:
     return np.where((counts > _MOST).any(), _MOST, counts).astype(np.uint16)
 
 
+def fine_point(hashes: np.ndarray) -> np.ndarray:
+    """The same over about as many groups as the set has shingles, a power of two, in bytes."""
+    groups = max(GROUPS, 1 << (max(1, len(hashes)) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.where((counts > 255).any(), 255, counts).astype(np.uint8)
+
+
+def fine_overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """At most so many shingles are in both sets: the finer point is folded to the groups of the other."""
+    size = min(len(a), len(b))
+    a, b = (x.reshape(-1, size).sum(0, dtype=np.int64) for x in (a, b))
+    return int(np.minimum(a, b).sum())
+
+
 class Node:
     """A node of the R-tree: maxima of its points, range of their sizes, and their label if they have one only."""
 
@@ -327,16 +341,16 @@ def _tree_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sizes and points leave them a chance."""
+    """The pairs ``a, b`` whose sizes and fine points leave them a chance."""
     sides = [points.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("made").alias(f"p{s}")) for s in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na").select("a", "b", "na", "nb", "pa", "pb")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb"))
+            points = [[np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()] for c in ("pa", "pb")]
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            fits = 7 * np.minimum(own, other).sum(1, dtype=np.int64) >= 3 * total
-            yield batch.select(["a", "b"]).filter(pa.array(fits))
+            overlap = np.fromiter(map(fine_overlap, *points), np.int64, batch.num_rows)
+            yield batch.select(["a", "b"]).filter(pa.array(7 * overlap >= 3 * total))
 
     return both.mapInArrow(kept, "a long, b long")
 
@@ -360,11 +374,13 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = _blocks(docs, total // 4, _repeated_shingles(docs, total))
     blocks = stage(shared.join(reps.where("rep is not null").select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
     wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi")
-    points = _once_each(docs, stage(wanted, "block-classes"), "binary", point, "points")
+    both = _once_each(docs, stage(wanted, "block-classes"), "binary", lambda x: np.concatenate([point(x).view(np.uint8), fine_point(x)]), "points")
+    points = both.select("rep", "n", F.substring("made", 1, 2 * GROUPS).alias("made"))
+    fine = both.select("rep", "n", F.expr(f"substring(made, {2 * GROUPS + 1})").alias("made"))
     # one comparison a class: with the smallest class of all its blocks
     centres = blocks.groupBy("shingle").agg(F.min("rep").alias("b"))
     star = blocks.join(centres, "shingle").groupBy(F.col("rep").alias("a")).agg(F.min("b").alias("b")).where("a <> b")
-    likely = stage(_bounded(star, points), "star-pairs")
+    likely = stage(_bounded(star, fine), "star-pairs")
     near = stage(connected(_verified(docs, likely, reps, "star").select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-labels")
     labelled = blocks.join(near.withColumnRenamed("node", "rep"), "rep", "left").select("shingle", "rep", F.coalesce("root", "rep").alias("label"))
     labelled = stage(labelled, "labelled-blocks")
@@ -374,7 +390,7 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     single = mixed_blocks.groupBy("m", "mark0", "mark1").agg(F.min("shingle").alias("shingle"))
     single = single.select("shingle", F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
     rows = labelled.join(single, "shingle").join(points.select("rep", "n", F.col("made").alias("point")), "rep")
-    pairs = stage(_tree_pairs(rows).distinct(), "tree-pairs")
+    pairs = stage(_bounded(stage(_tree_pairs(rows).distinct(), "tree-pairs"), fine), "likely-pairs")
     links = _verified(docs, pairs, reps, "tree").select(F.col("a").alias("u"), F.col("b").alias("v"))
     links = links.union(near.select(F.col("node").alias("u"), F.col("root").alias("v")))
     groups = stage(connected(links).select(F.col("node").alias("rep"), F.col("root").alias("label")), "components")
