@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from reviewloom.functions.ids import MAX_HASHED_ID_LENGTH, hashed_review_id
 from reviewloom.functions.time import parse_time_of_day, parse_timestamp
 from reviewloom.operators.filters import drop_blank, normalise_ids
 from reviewloom.operators.joins import remap_options
-from reviewloom.operators.labels import classify, positive_only
+from reviewloom.operators.labels import WordModel, classify, positive_only
 from reviewloom.sources.dataset import Dataset, indexed_name, require_columns
 from reviewloom.sources.declared import EXPORT_LAYOUT
 
@@ -49,12 +49,12 @@ def given_labels(labels: DataFrame, key: str, label: str = "label") -> Labeller:
     return attach
 
 
-def predicted_labels(model: PipelineModel) -> Labeller:
-    """Labels from a classifier, scored in the row itself."""
+def predicted_labels(model: WordModel) -> Labeller:
+    """Labels from a classifier, by the text of each row."""
 
     def attach(df: DataFrame, review_id: str, contents: str) -> DataFrame:
-        text = model.stages[0].getInputCol()
-        return classify(df.withColumn(text, F.col(f"`{contents}`")), model, LABEL).drop(text)
+        text = "_classified"
+        return classify(df.withColumn(text, F.col(f"`{contents}`")), replace(model, text=text), LABEL).drop(text)
 
     return attach
 

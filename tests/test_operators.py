@@ -173,6 +173,19 @@ def test_missing_label_is_an_error(spark):
     assert rows(labels.keep_positive(df, full, "id", "label")) == [("1", "a")]
 
 
+@pytest.mark.parametrize("held", [1 << 16, 3])
+def test_classifier_knows_every_word(spark, tmp_path, monkeypatch, held):
+    """263000 words of two balanced texts each, and 40 words of one text each, which alone decide."""
+    monkeypatch.setattr(labels, "HELD_WORDS", held)
+    filler = spark.range(263).select(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(999)), lambda i: F.concat(F.lit("f"), F.col("id") * 1000 + i)), " ").alias("t"))
+    common = filler.crossJoin(spark.range(2).select(F.col("id").cast("int").alias("y")))
+    deciding = spark.range(40).select(F.concat(F.lit("Only"), F.col("id")).alias("t"), (F.col("id") % 2).cast("int").alias("y"))
+    model = labels.train_classifier(common.unionByName(deciding), "t", "y", f"{tmp_path}/model")
+    assert model.size == 263_040
+    asked = deciding.unionByName(frame(spark, [(None, 0), ("  ", 0), ("unheard", 0), ("f1 f1 only1", 1), ("only2\u2003only4 f7\nONLY3", 0)], "t string, y int"))
+    assert all(r.y == r.label for r in labels.classify(asked, model).collect())
+
+
 # Duplicates and pages
 
 
