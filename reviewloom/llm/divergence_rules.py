@@ -5,9 +5,9 @@ its histogram of character classes and its histogram of common words are compare
 Jensen-Shannon distance; a document far from every language goes. Short documents, and languages with
 little text, are not compared.
 
-References cover all documents: one aggregate of classes and one of words per language. They hold ``COMMON_WORDS`` words for each of at most
-``MAX_LANGUAGES`` languages, the largest ones; documents of a language beyond them are not compared. So the references
-have a fixed bound, and meet the documents as literals. Everything about a document is computed in its own row, without a shuffle.
+References cover all documents: one aggregate of classes and one of words per language. They hold 7 shares and ``COMMON_WORDS`` words for every
+language with ``MIN_REFERENCE`` words, and meet the documents as one literal that is looped over, so the plan does not grow with the
+languages. Everything about a document is computed in its own row, without a shuffle.
 
 Cases: a null text has no words and fails the base rules; documents without lang are compared with all references; repeated rows are
 judged alike; ties between common words go to the smaller word; an empty table gives an empty one; other columns are ignored.
@@ -15,6 +15,8 @@ judged alike; ties between common words go to the smaller word; an empty table g
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,9 +31,8 @@ SYMBOLS = "[#*$%&|<>]+"
 _BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
 _VISIBLE = "[^ \\t\\n\\x0B\\f\\r]"
 
-# Words of a language's reference, and languages with one.
+# Words of a language's reference.
 COMMON_WORDS = 25
-MAX_LANGUAGES = 16
 
 # Words a document and a language need to be compared.
 MIN_COMPARED = 50
@@ -116,21 +117,24 @@ def _with_class_counts(rows: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame) -> list[dict]:
-    """Per language: share of each character class and of each common word. At most ``MAX_LANGUAGES`` entries."""
+    """Per language with enough words: share of each character class and of each common word."""
     labelled = docs.where(F.col("lang").isNotNull())
     words = labelled.select("lang", F.explode(_words(F.col("text"))).alias("word"))
     by_word = stage(words.groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n")), "language-words")
-    largest = by_word.groupBy("lang").agg(F.sum("n").alias("n_words")).where(F.col("n_words") >= MIN_REFERENCE)
-    largest = largest.orderBy(F.desc("n_words"), "lang").limit(MAX_LANGUAGES).collect()
-    names = [r["lang"] for r in largest]
+    enough = by_word.groupBy("lang").agg(F.sum("n").alias("n_words")).where(F.col("n_words") >= MIN_REFERENCE)
+    enough = enough.orderBy(F.desc("n_words"), "lang").collect()
+    names = [r["lang"] for r in enough]
     sums = [F.sum(name).alias(name) for name in _CLASS_NAMES]
     classes = {r["lang"]: r for r in _with_class_counts(labelled.where(F.col("lang").isin(names))).groupBy("lang").agg(*sums).collect()}
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    common = by_word.where(F.col("lang").isin(names)).withColumn("place", F.row_number().over(by_count)).where(F.col("place") <= COMMON_WORDS).collect()
+    placed = by_word.where(F.col("lang").isin(names)).withColumn("place", F.row_number().over(by_count))
+    common = defaultdict(dict)
+    for row in placed.where(F.col("place") <= COMMON_WORDS).collect():
+        common[row["lang"]][row["word"]] = row["n"]
     out = []
-    for row in largest:
+    for row in enough:
         letters = sum(classes[row["lang"]][name] for name in _CLASS_NAMES)
-        shares = {c["word"]: c["n"] / row["n_words"] for c in common if c["lang"] == row["lang"]}
+        shares = {word: n / row["n_words"] for word, n in common[row["lang"]].items()}
         out.append({"lang": row["lang"], "classes": [classes[row["lang"]][name] / letters for name in _CLASS_NAMES], "words": shares})
     return out
 
@@ -146,26 +150,45 @@ def _distance(twice_divergence: Column) -> Column:
     return F.sqrt(F.greatest(twice_divergence / 2, F.lit(0.0)))
 
 
-def _class_distance(reference: dict) -> Column:
+def _literal(found: list[dict], listed: list[str]) -> Column:
+    """The references as one foldable value: classes and total share of words per language, and per place in ``listed`` the languages with that word."""
+    holders = defaultdict(list)
+    for k, reference in enumerate(found):
+        for word, share in reference["words"].items():
+            holders[word].append({"k": k, "q": share})
+    languages = [{"classes": r["classes"], "total": float(sum(r["words"].values()))} for r in found]
+    value = {"languages": languages, "holders": [holders[word] for word in listed]}
+    kind = "languages array<struct<classes:array<double>,total:double>>, holders array<array<struct<k:int,q:double>>>"
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _class_distance(known: Column) -> Column:
+    """Distance of the class counts from those of the nearest language."""
     total = reduce(lambda a, b: a + b, [F.col(name) for name in _CLASS_NAMES])
-    parts = [_part(F.col(name) / total, F.lit(share)) for name, share in zip(_CLASS_NAMES, reference["classes"], strict=True)]
-    return _distance(reduce(lambda a, b: a + b, parts))
 
+    def distance(language: Column) -> Column:
+        parts = [_part(F.col(name) / total, F.get(language["classes"], F.lit(k))) for k, name in enumerate(_CLASS_NAMES)]
+        return _distance(reduce(lambda a, b: a + b, parts))
+
+    return F.array_min(F.transform(known["languages"], distance))
+
+
+def _word_distance(known: Column) -> tuple[Column, Column]:
+    """What each listed word adds for each language that has it (``_gains``), and from that the distance of the counts in ``_runs`` (place in the listed words, n) from the common words of the nearest language and the rest of its words."""
 
-def _word_distance(reference: dict, listed: list[str]) -> Column:
-    """Distance of the counts in ``_runs`` (place in ``listed``, n) from a language's common words and the rest of its words."""
-    shares = F.array(*[F.lit(reference["words"].get(word, 0.0)) for word in listed])
-    total = float(sum(reference["words"].values()))
+    def gains(run: Column) -> Column:
+        p = run["n"] / F.col("n_words")
+        gain = lambda h: F.struct(h["k"].alias("k"), (_part(p, h["q"]) - h["q"]).alias("d"), p.alias("p"))
+        return F.transform(F.get(known["holders"], run["place"]), gain)
 
-    def add(state: Column, run: Column) -> Column:
-        p, q = run["n"] / F.col("n_words"), F.get(shares, run["place"])
-        gain = F.struct((state["d"] + _part(p, q) - q).alias("d"), (state["p"] + p).alias("p"))
-        return F.when(q > 0, gain).otherwise(state)
+    def distance(language: Column, k: Column) -> Column:
+        add = lambda state, x: F.when(x["k"] == k, F.struct((state["d"] + x["d"]).alias("d"), (state["p"] + x["p"]).alias("p"))).otherwise(state)
+        total = language["total"]
+        # a common word that the document lacks adds its share
+        finish = lambda state: state["d"] + total + _part(F.greatest(1 - state["p"], F.lit(0.0)), F.greatest(1 - total, F.lit(0.0)))
+        return _distance(F.aggregate("_gains", F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p")), add, finish))
 
-    start = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("p"))
-    # a common word that the document lacks adds its share
-    finish = lambda state: state["d"] + total + _part(F.greatest(1 - state["p"], F.lit(0.0)), F.lit(max(0.0, 1 - total)))
-    return _distance(F.aggregate("_runs", start, add, finish))
+    return F.flatten(F.transform("_runs", gains)), F.array_min(F.transform(known["languages"], distance))
 
 
 def _with_runs(rows: DataFrame, listed: list[str]) -> DataFrame:
@@ -192,9 +215,11 @@ def divergence_rules(docs: DataFrame) -> DataFrame:
         compared = (F.col("n_words") >= MIN_COMPARED) & (F.col("lang").isNull() | F.col("lang").isin([r["lang"] for r in found]))
         listed = sorted({word for r in found for word in r["words"]})
         runs = _with_runs(counted, listed)
-        # the second value keeps least() legal with one reference
-        nearest = {"class_distance": F.least(F.lit(1.0), *map(_class_distance, found)), "word_distance": F.least(F.lit(1.0), *[_word_distance(r, listed) for r in found])}
-        judged = runs.withColumns({name: F.when(compared, distance) for name, distance in nearest.items()})
+        known = _literal(found, listed)
+        gains, word_distance = _word_distance(known)
+        nearest = {"class_distance": F.least(F.lit(1.0), _class_distance(known)), "word_distance": F.least(F.lit(1.0), word_distance)}
+        measured = runs.withColumn("_gains", F.when(compared, gains))
+        judged = measured.withColumns({name: F.when(compared, distance) for name, distance in nearest.items()})
     else:
         judged = counted.withColumns({name: F.lit(None).cast("double") for name in ("class_distance", "word_distance")})
     far = (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)

@@ -340,6 +340,19 @@ def test_quality_distances(documents):
             assert got == pytest.approx(min(distance(words, ref) for ref in shares.values()), abs=1e-6)
 
 
+def test_quality_compares_every_language(spark):
+    """Twenty languages; documents of the smallest, of none, and of the smallest in name only."""
+    text = lambda k, n: " ".join(f"{'abcdefghijklmnopqrst'[k]}{'abcdefghij'[(i * i + k) % 10]}{'xyz'[i % 3]}" for i in range(n))
+    rows = [(100 * k + i, f"l{k:02}", text(k, 250 - k)) for k in range(20) for i in range(6)]
+    rows += [(5000, None, text(19, 120)), (5001, "l19", " ".join(str(10_000 + i * 37) for i in range(80))), (5002, "none", text(19, 120))]
+    found = {r["doc_id"]: r for r in divergence_rules(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    own, unnamed, odd_one, unknown = (found[i] for i in (1900, 5000, 5001, 5002))
+    assert own["word_distance"] is not None and own["word_distance"] < 0.2
+    assert unnamed["word_distance"] < 0.3
+    assert odd_one["word_distance"] > 0.6 and not odd_one["kept"]
+    assert unknown["word_distance"] is None
+
+
 def test_quality_keeps_good_documents(documents, spark, sf_dir):
     good = table(spark, sf_dir, "labels").where("quality = 1")
     judged = divergence_rules(documents).where("not base_failed").join(good, "doc_id")
