@@ -12,7 +12,7 @@ def _key(df: DataFrame, pk: str) -> tuple[Column, Column]:
     return F.coalesce(text, F.lit("")), text.isNull()
 
 
-def _without_keys_of(df: DataFrame, other: DataFrame, pk: str) -> DataFrame:
+def without_keys_of(df: DataFrame, other: DataFrame, pk: str) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other``; a null key matches a null key.
 
     ``other`` is reduced to distinct keys first (combined before the shuffle), so a key that
@@ -33,8 +33,8 @@ def upsert(old: DataFrame, new: DataFrame, pk: str, overwrite: bool) -> DataFram
     old = old.withColumn(pk, old[pk].cast("string"))
     new = new.withColumn(pk, new[pk].cast("string"))
     if overwrite:
-        return _without_keys_of(old, new, pk).unionByName(new, allowMissingColumns=True)
-    return old.unionByName(_without_keys_of(new, old, pk), allowMissingColumns=True)
+        return without_keys_of(old, new, pk).unionByName(new, allowMissingColumns=True)
+    return old.unionByName(without_keys_of(new, old, pk), allowMissingColumns=True)
 
 
 def conflicting_keys(old: DataFrame, new: DataFrame, pk: str) -> DataFrame:

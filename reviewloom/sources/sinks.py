@@ -1,13 +1,13 @@
-"""Sinks: versioned upsert tables, bounded chunk files, success and failure tables, period folders."""
+"""Sinks: upsert tables, bounded chunk files, success and failure tables, period folders."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.operators.upsert import upsert
-from reviewloom.session import stage
-from reviewloom.files import list_names, path_exists, remove_path
+from reviewloom.sources.upsert_table import read_current, save
+
+__all__ = ["chunk_file_name", "period_path", "read_current", "save", "write_chunks", "write_outcomes"]
 
 
 def period_path(root: str, start: str, end: str) -> str:
@@ -15,49 +15,6 @@ def period_path(root: str, start: str, end: str) -> str:
     return f"{root.rstrip('/')}/period={start} ~ {end}"
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished versions of a table; a version counts once its job wrote ``_SUCCESS``."""
-    if not path_exists(spark, path):
-        return []
-    numbers = [int(n.split("=", 1)[1]) for n in list_names(spark, path) if n.startswith("version=")]
-    return sorted(n for n in numbers if path_exists(spark, f"{path}/version={n}/_SUCCESS"))
-
-
-def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest finished version of an upsert table, ``None`` before the first one."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/version={versions[-1]}") if versions else None
-
-
-def save(df: DataFrame, path: str, pk: str | None, overwrite: bool = False, write_empty: bool = False) -> bool:
-    """Upsert ``df`` into the table at ``path`` and say whether anything was written.
-
-    Nothing is written without a key name, without rows, or when either side lacks the key
-    column. The result becomes a new version, so a failed job leaves the old one readable.
-    """
-    spark = df.sparkSession
-    if not pk or pk not in df.columns:
-        return False
-    current = read_current(spark, path)
-    if current is None:
-        first = f"{path}/version=1"
-        df.write.mode("overwrite").parquet(first)
-        if not write_empty and spark.read.schema(df.schema).parquet(first).isEmpty():
-            # Without its marker a version does not count.
-            remove_path(spark, f"{first}/_SUCCESS")
-            return False
-        return True
-    if pk not in current.columns:
-        return False
-    # The upsert looks at the new rows twice, once at their keys only.
-    new = stage(df, "new-rows")
-    if new.isEmpty() and not write_empty:
-        return False
-    merged = new if current.isEmpty() else upsert(current, new, pk, overwrite)
-    merged.write.mode("overwrite").parquet(f"{path}/version={_versions(spark, path)[-1] + 1}")
-    return True
-
-
 def chunk_file_name(prefix: str, chunk, chunk_count):
     """``prefix_03_of_12``: both numbers padded to the width of the count."""
     width = F.length(chunk_count.cast("string"))
