@@ -16,18 +16,21 @@ from reviewloom.sources.declared import DAY_MS
 SAFE_TERM_RATIO = 0.8
 
 
-def fingerprint_pages(pages: DataFrame, payload: str, record_path: Sequence[str], pk: str) -> DataFrame:
-    """Record count and fingerprint per landed page. A page is one row, so nothing is shuffled."""
-    array = records_array(F.col(payload), record_path)
+def fingerprint_pages(pages: DataFrame, payload: str, record_path: Sequence[str], pk: str, records: str | None = None) -> DataFrame:
+    """Record count and fingerprint per landed page. A page is one row, so nothing is shuffled.
+
+    A payload is parsed once; ``records`` names a column for what was found in it.
+    """
+    listed = pages.withColumn("_records", records_array(F.col(payload), record_path))
     ids = F.transform(
-        F.coalesce(array, F.array().cast("array<variant>")),
+        F.coalesce("_records", F.array().cast("array<variant>")),
         lambda record: F.try_variant_get(record, variant_path(pk), "string"),
     )
-    listed = pages.withColumn("_ids", ids)
-    return listed.withColumns({"record_count": F.size("_ids"), "fingerprint": page_fingerprint(F.col("_ids"))}).drop("_ids")
+    marked = listed.withColumn("_ids", ids).withColumns({"record_count": F.size("_ids"), "fingerprint": page_fingerprint(F.col("_ids"))}).drop("_ids")
+    return marked.withColumnRenamed("_records", records) if records else marked.drop("_records")
 
 
-def pages_before_stop(pages: DataFrame) -> DataFrame:
+def pages_before_stop(pages: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Pages of each term before its first empty or repeated page.
 
     ``pages`` has ``term, page, record_count, fingerprint``. A page is repeated when an earlier
@@ -35,8 +38,9 @@ def pages_before_stop(pages: DataFrame) -> DataFrame:
     shuffles carry page numbers only, and their keys are single pages or combined aggregates, so
     a last page that a source repeats forever stays harmless. The stops are staged: with their
     real size known, the planner broadcasts them when they are small, and payloads stay put.
+    ``facts`` has the four columns once per page where ``pages`` has several rows of one.
     """
-    facts = pages.select("term", "page", "record_count", "fingerprint")
+    facts = (pages if facts is None else facts).select("term", "page", "record_count", "fingerprint")
     firsts = (
         facts.where("record_count > 0").groupBy("term", "fingerprint").agg(F.min("page").alias("page")).select("term", "page")
     )

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewloom.plans.finalize import export_chunks, split_outcomes
-from reviewloom.plans.ingest import ingest
+from reviewloom.plans.ingest import ingest_with_report, source_terms
 from reviewloom.plans.postprocess import Labeller, postprocess
 from reviewloom.plans.preprocess import preprocess
 from reviewloom.session import staging
@@ -31,9 +32,17 @@ class Workspace:
 
 
 def run_ingest(spark: SparkSession, space: Workspace, source: Source, landing: str, name: str = "reviews") -> None:
-    """Landed pages to the source table; rows already there win."""
+    """Landed pages to the source table; rows already there win.
+
+    Beside it go the terms of the period with the pages that landed of each, and the report of missing keys.
+    """
     with staging(spark):
-        rows = ingest(read_pages(spark, landing), source)
+        pages = read_pages(spark, landing)
+        landed = pages.groupBy("term").agg(F.countDistinct("page").alias("landed_pages"))
+        terms = source_terms(spark, source, space.start, space.end).join(landed, "term", "left")
+        terms.withColumn("landed_pages", F.coalesce("landed_pages", F.lit(0).cast("bigint"))).write.mode("overwrite").parquet(space.table(f"{name}_terms"))
+        rows, missing = ingest_with_report(pages, source)
+        missing.write.mode("overwrite").parquet(space.table(f"{name}_missing_keys"))
         _save(rows, space.table(name), source.pk_column())
 
 

@@ -28,6 +28,7 @@ class Source:
     embedded_keys: tuple[str, ...] = ()
     term_limit_ms: int | None = None
     first_page: int = 0
+    last_wins: bool = True
 
     def key_map(self) -> dict[str, str]:
         """Flat JSON key to physical column."""
@@ -109,6 +110,7 @@ SOURCE_A_ORDERS = Source(
         required=frozenset({"ORDER_ID", "PRODUCT_ID"}),
     ),
     first_page=1,
+    last_wins=False,
 )
 
 SOURCE_B_REVIEWS = Source(

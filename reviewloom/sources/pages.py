@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PAGE_SCHEMA = T.StructType(
@@ -25,3 +26,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_pages(spark: SparkSession, path: str, **options) -> DataFrame:
     return spark.readStream.schema(PAGE_SCHEMA).options(**options).json(path)
+
+
+def pages_of_offsets(answers: DataFrame, size: int, first_page: int = 0) -> DataFrame:
+    """Pages of a source that is asked by offset: ``(term, offset, payload)`` with offsets that are whole pages of ``size`` records."""
+    offset = F.col("offset").cast("bigint")
+    error = F.raise_error(F.concat(F.lit(f"no multiple of {size}: offset "), offset.cast("string"))).cast("bigint")
+    page = F.when(offset % size == 0, F.floor(offset / size) + first_page).otherwise(error)
+    return answers.select("term", page.alias("page"), "payload")

@@ -589,7 +589,30 @@ op AS (SELECT CAST(export_product_id AS VARCHAR) AS eid, product_name, option_na
         f"""SELECT series, interval_count, forecast AS max_text_length, last_interval,
         round(CAST({RATIO} AS DOUBLE), 6) AS memory_usage_ratio FROM fc, oc""",
     ),
+    "job_ingest_orders": """WITH o AS (SELECT o_custkey % 4 AS term, o_orderkey // 400 + 1 AS page, o_orderkey AS id, o_orderdate AS ordered FROM orders)
+        SELECT CAST(id AS VARCHAR) AS "주문_id", CAST(id % 97 AS VARCHAR) AS "상품_id", 'first-' || id AS "구매자명", CAST(NULL AS VARCHAR) AS "구매자_번호",
+               CAST(NULL AS VARCHAR) AS "구매자_이메일", CAST(NULL AS VARCHAR) AS "수취인명", CAST(NULL AS VARCHAR) AS "수취인_주소",
+               CAST(NULL AS VARCHAR) AS "판매명", CAST(NULL AS VARCHAR) AS "상품_코드", CAST(NULL AS VARCHAR) AS "옵션_정보",
+               strftime(ordered, '%Y-%m-%d') AS "주문_일시" FROM o""",
+    "job_ingest_target": sql(
+        CV,
+        """qa AS (SELECT conv_id, turn // 2 + 1 AS k, max(cleaned) FILTER (turn % 2 = 0) AS q, max(cleaned) FILTER (turn % 2 = 1) AS a FROM cv GROUP BY ALL)""",
+        """SELECT CAST(conv_id AS VARCHAR) AS "리뷰_id", 'review ' || conv_id AS "리뷰_내용", CAST(NULL AS VARCHAR) AS "리뷰_작성_일시",
+        'author ' || conv_id % 11 AS "작성자명", CAST(conv_id % 97 AS VARCHAR) AS "상품_내부_id", CASE WHEN conv_id % 2 = 0 THEN 'true' ELSE 'false' END AS "리뷰_노출_여부",
+        'r' || conv_id % 97 AS "상품_노출_id", CAST(NULL AS VARCHAR) AS "상품명", CASE WHEN conv_id % 3 = 0 THEN CAST(conv_id % 5 AS VARCHAR) END AS "그룹_id",
+        CASE WHEN conv_id % 3 = 0 THEN 'group ' || conv_id % 5 END AS "그룹명", """
+        + ", ".join(f'max(q) FILTER (k = {k}) AS "고객정보_정보명{k}", max(a) FILTER (k = {k}) AS "고객정보_답변값{k}"' for k in range(1, 11))
+        + " FROM qa GROUP BY conv_id",
+    ),
     "stream_ingest": INGESTED,
+    "stream_ingest_pages": sql(
+        PI,
+        """repeated AS (SELECT term, page, row_number() OVER (PARTITION BY term, fingerprint ORDER BY page) AS seen FROM pg),
+stops AS (SELECT term, min(page) AS stop FROM repeated WHERE seen > 1 GROUP BY term),
+used AS (SELECT DISTINCT id FROM pi LEFT JOIN stops USING (term) WHERE stop IS NULL OR page < stop)""",
+        """SELECT CAST(id AS VARCHAR) AS "리뷰_id", 'v=' || value AS "리뷰_내용", strftime(ts, '%Y-%m-%d %H:%M:%S') AS "리뷰_작성_일시",
+        CAST(id % 97 AS VARCHAR) AS "상품_id" FROM used JOIN events ON event_id = id""",
+    ),
     "stream_interval_stats": sql(
         TL,
         INFERRED,

@@ -25,6 +25,7 @@ from reviewloom.sources.declared import (
     SOURCE_A_REVIEWS,
     SOURCE_B_ID_MAP,
     SOURCE_B_REVIEWS,
+    TARGET_REVIEWS,
 )
 from reviewloom.streaming import ingest as page_stream
 from reviewloom.streaming import interval_stats as statistics_stream
@@ -845,6 +846,19 @@ def job_ingest(spark, d):
     return ingest.ingest(landed, SOURCE_B_REVIEWS)
 
 
+@query
+def job_ingest_orders(spark, d):
+    v.apply_required_conf(spark)
+    return ingest.ingest(v.landed_order_pages(spark, d), SOURCE_A_ORDERS)
+
+
+@query
+def job_ingest_target(spark, d):
+    v.apply_required_conf(spark)
+    pages_of = page_source.pages_of_offsets(v.landed_target_answers(spark, d), 20, TARGET_REVIEWS.first_page)
+    return ingest.ingest(pages_of, TARGET_REVIEWS)
+
+
 @query
 def job_tune(spark, d):
     hourly = _log(spark, d).withColumns({"series": F.lit("all"), "hour": F.date_trunc("HOUR", "timestamp").cast("timestamp_ntz")})
@@ -862,6 +876,16 @@ def stream_ingest(spark, d):
     return page_stream.read_ingested(spark, table, SOURCE_B_REVIEWS)
 
 
+@query
+def stream_ingest_pages(spark, d):
+    # repeated and past-end pages, over several batches in no order
+    v.apply_required_conf(spark)
+    table, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-checkpoint")
+    page_stream.ingest_stream(spark, v.landed_items_path(spark, d), table, checkpoint, SOURCE_A_REVIEWS, maxFilesPerTrigger=4)
+    rows = page_stream.read_ingested(spark, table, SOURCE_A_REVIEWS)
+    return rows.select(*[SOURCE_A_REVIEWS.dataset[k] for k in ("REVIEW_ID", "REVIEW_CONTENTS", "REVIEW_CREATED_DATETIME", "PRODUCT_ID")])
+
+
 @query
 def stream_interval_stats(spark, d):
     v.apply_required_conf(spark)

@@ -138,6 +138,51 @@ def landed_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("term", "page", F.to_json(F.struct("reviews")).alias("payload"))
 
 
+def landed_items_path(spark: SparkSession, sf_dir: str, files: int = 12) -> str:
+    """The item pages in several landing files, so that a stream takes several batches to read them."""
+    return _once(spark, sf_dir, "item-landing", lambda path: pages.land(landed_item_pages(spark, sf_dir).repartition(files, "page"), path))
+
+
+def landed_order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as landed pages from page 1 on. An order comes again on the next page under another name; each term repeats its last page."""
+    o = table(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 4).alias("term"), (F.floor(F.col("o_orderkey") / 400) + 1).alias("page"), F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderdate"
+    )
+    again = o.where("o_orderstatus = 'F'").withColumn("page", F.col("page") + 1)
+    items = o.withColumn("seen", F.lit("first")).unionByName(again.withColumn("seen", F.lit("again")))
+    last = items.groupBy("term").agg(F.max("page").alias("last"))
+    repeated = items.join(last, "term").where("page = last").withColumns({"page": F.col("page") + 1, "seen": F.lit("late")}).drop("last")
+    record = F.struct(
+        F.col("id").alias("sno"),
+        F.concat_ws("-", "seen", F.col("id").cast("string")).alias("buyer_name"),
+        (F.col("id") % 97).alias("goods_sno"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("ordered_at"),
+    )
+    listed = items.unionByName(repeated).groupBy("term", "page").agg(F.sort_array(F.collect_list(record)).alias("order_items"))
+    return listed.select("term", "page", F.to_json(F.struct("order_items")).alias("payload"))
+
+
+def landed_target_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as reviews of the target, 20 to an answer, asked by offset. Two turns are a question and its answer."""
+    c = table(spark, sf_dir, "conversations").withColumn("pair", F.floor(F.col("turn") / 2))
+    text = lambda odd: F.max(F.when(F.col("turn") % 2 == odd, F.col("text")))
+    pairs = c.groupBy("conv_id", "pair").agg(text(0).alias("question"), text(1).alias("answer"))
+    review = pairs.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pair", "question", "answer"))), lambda e: F.struct(e["question"].alias("question"), e["answer"].alias("answer"))).alias("questions"))
+    grouped = F.when(F.col("conv_id") % 3 == 0, F.struct((F.col("conv_id") % 5).alias("id"), F.concat(F.lit("group "), F.col("conv_id") % 5).alias("name")))
+    record = F.struct(
+        F.col("conv_id").alias("id"),
+        F.concat(F.lit("author "), F.col("conv_id") % 11).alias("author_name"),
+        F.concat(F.lit("review "), F.col("conv_id")).alias("text"),
+        (F.col("conv_id") % 2 == 0).alias("is_visible"),
+        F.struct((F.col("conv_id") % 97).alias("id"), F.concat(F.lit("r"), F.col("conv_id") % 97).alias("remote_id")).alias("product"),
+        grouped.alias("review_group"),
+        "questions",
+    )
+    offset = F.floor(F.col("conv_id") / 40) * 20
+    listed = review.groupBy((F.col("conv_id") % 2).alias("term"), offset.alias("offset")).agg(F.sort_array(F.collect_list(F.struct("conv_id", record.alias("r")))).alias("l"))
+    return listed.select("term", "offset", F.to_json(F.struct(F.col("l.r").alias("results"))).alias("payload"))
+
+
 def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of conversations as nested records; one member is a JSON text."""
     c = table(spark, sf_dir, "conversations")

@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from reviewloom.operators import rules
 from reviewloom.operators.labels import train_classifier
 from reviewloom.operators.stats import dated_statistics as stats_of
 from reviewloom.plans import pipeline, tune
-from reviewloom.plans.ingest import ingest, missing_key_report
+from reviewloom.plans.ingest import ingest, missing_key_report, only, source_terms
 from reviewloom.plans.postprocess import given_labels, predicted_labels
 from reviewloom.plans.preprocess import preprocess
 from reviewloom.sources import event_log, sinks, tables
@@ -23,8 +24,9 @@ from reviewloom.sources.declared import (
     SOURCE_A_REVIEWS,
     SOURCE_B_ID_MAP,
     SOURCE_B_REVIEWS,
+    TARGET_REVIEWS,
 )
-from reviewloom.sources.pages import land, read_pages
+from reviewloom.sources.pages import land, pages_of_offsets, read_pages
 from reviewloom.streaming import ingest as stream_ingest
 from reviewloom.streaming import interval_stats as stream_stats
 
@@ -275,6 +277,70 @@ def test_stream_ingest(spark, tmp_path):
     assert stream_ingest.read_ingested(spark, f"{tmp_path}/compact", SOURCE_A_REVIEWS).count() == 3
 
 
+@pytest.mark.parametrize("source", [SOURCE_A_REVIEWS, replace(SOURCE_A_REVIEWS, last_wins=False)], ids=["last", "first"])
+def test_stream_finds_stops_over_batches(spark, tmp_path, source):
+    """Pages in no order, one to a batch: repeated pages, an empty one, one landed twice, and pages behind the stop."""
+    landing, table, checkpoint = (f"{tmp_path}/{n}" for n in ("landing", "table", "checkpoint"))
+    listed = [
+        page(0, 3, a_review(1, "behind"), a_review(90)),
+        page(0, 0, a_review(1, "first"), a_review(2)),
+        page(0, 2, a_review(2, "again"), a_review(1, "again")),  # the ids of page 0: the stop
+        page(0, 1, a_review(2, "later"), a_review(3)),
+        page(1, 1),
+        page(1, 2, a_review(4, "behind")),
+        page(1, 0, a_review(4), a_review(1, "other term")),
+        page(1, 0, a_review(4), a_review(1, "landed twice")),
+        page(2, 0, a_review(7)),
+    ]
+    for k, one in enumerate(listed):
+        land(pages_frame(spark, [one]), landing)
+        if k % 3 != 1:
+            stream_ingest.ingest_stream(spark, landing, table, checkpoint, source, maxFilesPerTrigger=1)
+        if k in (2, 5, 8):
+            batch = ingest(read_pages(spark, landing), source)
+            streamed = stream_ingest.read_ingested(spark, table, source)
+            assert streamed.columns == batch.columns and sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
+    assert {r["리뷰_id"] for r in batch.collect()} == {"1", "2", "3", "4", "7"}
+    stream_ingest.compact(spark, table, f"{tmp_path}/compact", source)
+    merged = stream_ingest.read_ingested(spark, f"{tmp_path}/compact", source)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, batch.collect()))
+    assert spark.read.parquet(f"{tmp_path}/compact").where("`리뷰_id` = '90'").count() == 0
+
+
+def test_orders_keep_their_first_row(spark, tmp_path):
+    order = lambda sno, name: {"sno": sno, "buyer_name": name, "goods_sno": 5}
+    pages = [(0, 1, json.dumps({"order_items": [order(1, "a"), order(2, "b")]})), (0, 2, json.dumps({"order_items": [order(2, "c"), order(3, "d")]}))]
+    land(pages_frame(spark, pages), f"{tmp_path}/landing")
+    space = pipeline.Workspace(f"{tmp_path}/out", "2024-01-01", "2024-03-01")
+    pipeline.run_ingest(spark, space, SOURCE_A_ORDERS, f"{tmp_path}/landing", "orders")
+    rows = sinks.read_current(spark, space.table("orders")).collect()
+    assert {(r["주문_id"], r["구매자명"]) for r in rows} == {("1", "a"), ("2", "b"), ("3", "d")}
+    missing = {r.missing_key: r.records_without for r in spark.read.parquet(space.table("orders_missing_keys")).collect()}
+    assert missing["buyer_tel"] == 4 and "sno" not in missing
+    (term,) = spark.read.parquet(space.table("orders_terms")).collect()
+    assert (term.term, term.landed_pages, str(term.term_end)) == (0, 2, "2024-03-01 00:00:00")
+    # a source with a limit is asked in terms of four fifths of it
+    terms = source_terms(spark, SOURCE_B_REVIEWS, "2024-01-01", "2024-03-01").orderBy("term").collect()
+    assert [str(t.term_start)[:10] for t in terms] == ["2024-01-01", "2024-01-25", "2024-02-18"]
+
+
+def test_target_answers(spark):
+    review = {"id": 5, "text": "t", "product": {"remote_id": "r1"}, "questions": [{"question": f"q{i}", "answer": f"a{i}"} for i in range(12)]}
+    other = {"id": 6, "review_group": {"id": 3}, "questions": [{"answer": "only"}]}
+    answers = spark.createDataFrame([(0, 0, json.dumps({"results": [review]})), (0, 20, json.dumps({"results": [other]}))], "term long, offset long, payload string")
+    rows = ingest(pages_of_offsets(answers, 20), TARGET_REVIEWS)
+    found = {r["리뷰_id"]: r for r in rows.collect()}
+    assert (found["5"]["고객정보_정보명10"], found["5"]["고객정보_답변값1"]) == ("q9", "a0")
+    assert (found["6"]["고객정보_정보명1"], found["6"]["고객정보_답변값1"], found["6"]["고객정보_답변값2"]) == (None, "only", None)
+    assert [r["리뷰_id"] for r in only(rows, TARGET_REVIEWS, products=["r1"]).collect()] == ["5"]
+    assert [r["리뷰_id"] for r in only(rows, TARGET_REVIEWS, groups=["3"]).collect()] == ["6"]
+    assert only(rows, TARGET_REVIEWS).count() == 2
+    with pytest.raises(ValueError):
+        only(rows, TARGET_REVIEWS, products=[], groups=[])
+    with pytest.raises(Exception, match="no multiple of 20"):
+        pages_of_offsets(answers.withColumn("offset", F.col("offset") + 1), 20).collect()
+
+
 def event(i, day, lengths):
     size = len(lengths)
     return json.dumps(
