@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.text import clean_text
+from reviewloom.session import stage
 
 # Fixed value: an array position inside a dotted key, and what it is folded to.
 INDEX_IN_KEY = r"\.\d+(\.|$)"
@@ -135,47 +137,60 @@ def records_array(payload: Column, path: Sequence[str]) -> Column:
     return F.try_variant_get(F.try_parse_json(payload), variant_path(".".join(path)), "array<variant>")
 
 
-def flatten(df: DataFrame, record: str, keep: Sequence[str], max_depth: int = 6) -> DataFrame:
-    """Long form ``(keep…, path, value)`` of every leaf, dotted keys, 1-based array positions.
+# Levels that one pass of `flatten` descends before it looks whether any value is still open.
+LEVELS_PER_PASS = 4
+
+
+def _is_open(value: str, member: str) -> Column:
+    """An object, or an array that does not sit directly in an array."""
+    kind = F.schema_of_variant(value)
+    return F.coalesce(kind.startswith("OBJECT<") | (kind.startswith("ARRAY<") & F.col(member)), F.lit(False))
+
+
+def _descend(level: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Each open value replaced by its children; finished ones go through unchanged."""
+    stepped = level.withColumn("_open", _is_open("_v", "_member")).withColumn("_parent", F.when(F.col("_open"), F.col("_v")))
+    exploded = stepped.lateralJoin(level.sparkSession.tvf.variant_explode_outer(F.col("_parent").outer()))
+    in_object = F.col("key").isNotNull()
+    child = F.when(in_object, embedded(F.col("value"))).otherwise(F.col("value"))
+    step = F.coalesce(F.col("key"), (F.col("pos") + 1).cast("string"))
+    return exploded.where(~F.col("_open") | F.col("pos").isNotNull()).select(
+        *keep,
+        F.when(F.col("_open"), child).otherwise(F.col("_v")).alias("_v"),
+        F.when(F.col("_open"), F.concat_ws(".", "_path", step)).otherwise(F.col("_path")).alias("_path"),
+        F.when(F.col("_open"), in_object).otherwise(F.col("_member")).alias("_member"),
+    )
+
+
+def flatten(df: DataFrame, record: str, keep: Sequence[str]) -> DataFrame:
+    """Long form ``(keep…, path, value)`` of every leaf, dotted keys, 1-based array positions, at whatever depth.
 
     Texts that hold JSON are descended into when they are object members. An array inside an
-    array stays one value. Records nested deeper than ``max_depth`` raise an error instead of
-    losing leaves.
+    array stays one value. A pass goes some levels down and writes what it found: finished leaves are set
+    aside as text, and only values that are still open are read by the next pass.
     """
-    spark = df.sparkSession
-    level = df.select(
+    frontier = df.select(
         *keep,
         F.col(record).alias("_v"),
         F.lit(None).cast("string").alias("_path"),
         F.lit(True).alias("_member"),
     )
-    for _ in range(max_depth):
-        # Scalars, and arrays that sit directly in an array, go through unchanged.
-        kind = F.schema_of_variant("_v")
-        is_open = kind.startswith("OBJECT<") | (kind.startswith("ARRAY<") & F.col("_member"))
-        stepped = level.withColumn("_open", F.coalesce(is_open, F.lit(False)))
-        stepped = stepped.withColumn("_parent", F.when(F.col("_open"), F.col("_v")))
-        exploded = stepped.lateralJoin(spark.tvf.variant_explode_outer(F.col("_parent").outer()))
-        in_object = F.col("key").isNotNull()
-        child = F.when(in_object, embedded(F.col("value"))).otherwise(F.col("value"))
-        step = F.coalesce(F.col("key"), (F.col("pos") + 1).cast("string"))
-        level = exploded.where(~F.col("_open") | F.col("pos").isNotNull()).select(
-            *keep,
-            F.when(F.col("_open"), child).otherwise(F.col("_v")).alias("_v"),
-            F.when(F.col("_open"), F.concat_ws(".", "_path", step)).otherwise(F.col("_path")).alias("_path"),
-            F.when(F.col("_open"), in_object).otherwise(F.col("_member")).alias("_member"),
+    finished = []
+    while True:
+        level = frontier
+        for _ in range(LEVELS_PER_PASS):
+            level = _descend(level, keep)
+        is_open = _is_open("_v", "_member")
+        text = F.try_variant_get("_v", "$", "string")
+        leaf = F.when(F.schema_of_variant("_v").startswith("ARRAY<"), text).otherwise(clean_text(text))
+        found = level.select(
+            *keep, "_path", "_member", is_open.alias("_open"), F.when(is_open, F.col("_v")).alias("_v"), F.when(~is_open, leaf).alias("_text")
         )
-    kind = F.schema_of_variant("_v")
-    too_deep = kind.startswith("OBJECT<") | (kind.startswith("ARRAY<") & F.col("_member"))
-    text = F.try_variant_get("_v", "$", "string")
-    return level.select(
-        *keep,
-        F.col("_path").alias("path"),
-        F.when(too_deep, F.raise_error(F.lit(f"record nested deeper than {max_depth} levels")).cast("string"))
-        .when(kind.startswith("ARRAY<"), text)
-        .otherwise(clean_text(text))
-        .alias("value"),
-    )
+        found = stage(found, "flat-levels")
+        finished.append(found.where("NOT _open").select(*keep, F.col("_path").alias("path"), F.col("_text").alias("value")))
+        frontier = found.where("_open").select(*keep, "_v", "_path", "_member")
+        if frontier.isEmpty():
+            return reduce(DataFrame.unionAll, finished)
 
 
 def flat_key_map(nested: dict[str, object]) -> dict[str, str]:

@@ -311,7 +311,8 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT record_id, 'goods.sno', CAST(conv_id AS VARCHAR) FROM cv
         UNION ALL SELECT record_id, 'images.1', role FROM cv
         UNION ALL SELECT record_id, 'images.2', 'x' FROM cv
-        UNION ALL SELECT record_id, 'attachment.imageAttachments.1.imgSrc', url FROM cv""",
+        UNION ALL SELECT record_id, 'attachment.imageAttachments.1.imgSrc', url FROM cv
+        UNION ALL SELECT record_id, 'deep.n1.1.n2.n3.1.n4.n5.1.n6.n7.1.n8.n9.1.n10.n11.1.role', role FROM cv""",
     ),
     "json_embedded": sql(
         CV, "SELECT CAST(record_id AS VARCHAR) AS review_id, url AS image1, CAST(NULL AS VARCHAR) AS image2 FROM cv"

@@ -253,7 +253,12 @@ def _parsed(spark, d):
 
 @query
 def json_flatten(spark, d):
-    return js.flatten(_parsed(spark, d), "record", ["record_id"], max_depth=5)
+    # every record also has a member twelve levels down
+    inner = F.struct(F.col("record.memberName").alias("role"))
+    for level in range(11, 0, -1):
+        inner = F.struct(F.array(inner).alias(f"n{level}")) if level % 2 else F.struct(inner.alias(f"n{level}"))
+    deep = v.conversation_records(spark, d).withColumn("record", F.col("record").withField("deep", inner))
+    return js.flatten(deep.select("record_id", F.parse_json(F.to_json("record")).alias("record")), "record", ["record_id"])
 
 
 @query

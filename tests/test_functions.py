@@ -1,5 +1,6 @@
 """Scalar functions on small literal cases."""
 
+import json
 import datetime
 import hashlib
 
@@ -136,13 +137,25 @@ def records(spark):
 
 
 def test_flatten(spark):
-    got = {r.path: r.value for r in js.flatten(records(spark), "r", ["id"], 5).collect()}
+    got = {r.path: r.value for r in js.flatten(records(spark), "r", ["id"]).collect()}
     assert got == {
         "reviewId": "1", "attachment.imageAttachments.1.imgSrc": "u", "goods.sno": "7", "images.1": "x",
         "images.2": '{"a":1}', "none": None, "list.1": "[1,2]", "list.2": "3", "text": "a b", "flag": "true", "open": "{not json",
     }
-    with pytest.raises(Exception, match="deeper"):
-        js.flatten(records(spark), "r", ["id"], 3).collect()
+
+
+@pytest.mark.parametrize("levels", [1, 3, 4, 5, 12, 40])
+def test_flatten_at_any_depth(spark, levels):
+    nested, path = {"leaf": 1, "list": [[2, {"x": 3}], []]}, []
+    for k in range(levels):
+        nested, path = ({f"k{k}": nested}, [f"k{k}", *path]) if k % 3 else ({f"k{k}": ["s", nested]}, [f"k{k}", "2", *path])
+    texts = [json.dumps({"deep": nested, "text": json.dumps({"in": nested})}), json.dumps({"flat": 1}), "5", "{}", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, j string").select("id", F.try_parse_json("j").alias("r"))
+    at = ".".join(path)
+    want = {(0, f"{head}.{at}.{leaf}", value) for head in ("deep", "text.in") for leaf, value in (("leaf", "1"), ("list.1", '[2,{"x":3}]'), ("list.2", "[]"))}
+    got = {tuple(r) for r in js.flatten(df, "r", ["id"]).collect()}
+    assert want | {(1, "flat", "1"), (2, None, "5"), (4, None, None)} == {g for g in got if g[2] != "s"}
+    assert sum(g[2] == "s" for g in got) == 2 * len(range(0, levels, 3))
 
 
 def test_target_keys(spark):
