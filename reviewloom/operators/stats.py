@@ -123,9 +123,10 @@ def dated_statistics(events: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def dated_histogram(events: DataFrame, by: Sequence[str]) -> DataFrame:
-    """What the statistics of events come from, in a form that can be merged: by, name, length, n, last_timestamp."""
+    """What the statistics and outcomes of events come from, in a form that can be merged: by, name, length, n, last_timestamp."""
     own = F.when(F.col("event_type") == INFERRED, _batch_entries()).otherwise(F.array().cast(_ENTRY_TYPE))
-    entries = F.concat(own, F.array(_entry("event", F.lit(0), F.lit(1))))
+    outcomes = [_entry(name, F.lit(0), (F.col("event_type") == kind).cast("bigint")) for name, kind in _OUTCOMES.items()]
+    entries = F.concat(own, F.array(_entry("event", F.lit(0), F.lit(1)), *outcomes))
     return _histogram(events.select(*by, "timestamp", F.explode(entries).alias("_e")), by, {"last_timestamp": "timestamp"})
 
 
@@ -136,7 +137,20 @@ def statistics_of_histograms(histograms: DataFrame, by: Sequence[str]) -> DataFr
     return rows.select(*by, F.col("count_event").alias("event_count"), "last_timestamp", *_statistics())
 
 
+def inferred_statistics(histograms: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What :func:`interval_statistics` gives, from histograms: a row per interval that has an inferred batch."""
+    merged = histograms.where(F.col("name").isin(*_STATISTICS)).groupBy(*by, "name", "length").agg(F.sum("n").alias("n"))
+    return _from_histogram(merged, by, _STATISTICS).select(*by, *_statistics())
+
+
+def outcomes_of_histograms(histograms: DataFrame, by: Sequence[str]) -> DataFrame:
+    """What :func:`outcome_counts` gives, from histograms."""
+    count = lambda name: F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0))
+    return histograms.where(F.col("name").isin(*_OUTCOMES)).groupBy(*by).agg(*[count(name).alias(f"{name}_count") for name in _OUTCOMES])
+
+
 _STATISTICS = ("text_length", "token_length", "batch", "positive", "negative")
+_OUTCOMES = {"inferred": INFERRED, "oom": OOM_FALLBACK}
 _ENTRY_TYPE = "array<struct<name:string,length:bigint,weight:bigint>>"
 
 

@@ -2,21 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.operators.stats import dated_statistics, interval_statistics, outcome_counts, stale_statistics
+from reviewloom.files import path_exists, remove_path
+from reviewloom.operators.stats import dated_histogram, dated_statistics, inferred_statistics, outcomes_of_histograms, stale_statistics
 from reviewloom.operators.tuning import trend_forecast, updated_ratio
+from reviewloom.session import stage
+from reviewloom.sources.event_log import EVENT_DATE, listed_dates, scan_dates
 
 
 def tune(events: DataFrame, series: Sequence[str], interval: str, previous_ratio: float) -> DataFrame:
-    """Both settings straight from the event log."""
+    """Both settings straight from the event log, which is read once: lengths and outcomes share a histogram."""
     by = [*series, interval]
-    return tune_recorded(
-        interval_statistics(events, by), outcome_counts(events, by), series, interval, previous_ratio
-    )
+    return tune_histograms(stage(dated_histogram(events, by), "tune-histogram"), series, interval, previous_ratio)
+
+
+def tune_histograms(histograms: DataFrame, series: Sequence[str], interval: str, previous_ratio: float) -> DataFrame:
+    """Both settings from written histograms, which may hold an interval in several parts."""
+    by = [*series, interval]
+    return tune_recorded(inferred_statistics(histograms, by), outcomes_of_histograms(histograms, by), series, interval, previous_ratio)
+
+
+def refresh_histograms(
+    spark: SparkSession, log: str, table: str, by: Sequence[str], prepare: Callable[[DataFrame], DataFrame] = lambda events: events
+) -> list[str]:
+    """Bring the recorded histograms below ``table`` up to date with a dated log, and name the dates that were read again.
+
+    Beside the histograms of a date stand the file count, bytes and newest time that its folder had. A date whose folder looks different now is
+    read again as a whole, and one that is gone is forgotten; the folders of all other dates stay closed. The listing is taken before
+    the events, so what arrives in between is found by the next run, and a run that fails leaves its dates stale.
+    """
+    facts, histograms = f"{table}/facts", f"{table}/histograms"
+    listed = stage(listed_dates(spark, log), "listed-dates")
+    known = spark.read.schema(listed.schema).parquet(facts) if path_exists(spark, facts) else listed.limit(0)
+    columns = [c for c in listed.columns if c != EVENT_DATE]
+    both = listed.join(known.withColumnsRenamed({c: f"known_{c}" for c in columns}), EVENT_DATE, "full")
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"known_{c}"))
+    # one row per date of the log
+    differing = both.where(~same).select(EVENT_DATE, F.col("file_count").isNotNull().alias("there")).collect()
+    stale = sorted(r[EVENT_DATE] for r in differing if r["there"])
+    for row in differing:
+        remove_path(spark, f"{facts}/{EVENT_DATE}={row[EVENT_DATE]}")
+    dated = set()
+    if stale:
+        events = prepare(scan_dates(spark, log, stale))
+        found = stage(dated_histogram(events, [EVENT_DATE, *by]), "dated-histograms")
+        dated = {r[0] for r in found.select(EVENT_DATE).distinct().collect()}
+        _overwrite_dates(found, histograms)
+    for row in differing:
+        if row[EVENT_DATE] not in dated:
+            remove_path(spark, f"{histograms}/{EVENT_DATE}={row[EVENT_DATE]}")
+    if stale:
+        _overwrite_dates(listed.where(F.col(EVENT_DATE).isin(stale)), facts)
+    return stale
+
+
+def _overwrite_dates(rows: DataFrame, path: str) -> None:
+    """Replace the folders of the dates in ``rows``, and no others."""
+    written = rows.hint("rebalance", EVENT_DATE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written.partitionBy(EVENT_DATE).parquet(path)
+
+
+def tune_refreshed(
+    spark: SparkSession,
+    log: str,
+    table: str,
+    series: Sequence[str],
+    interval: str,
+    previous_ratio: float,
+    prepare: Callable[[DataFrame], DataFrame] = lambda events: events,
+) -> DataFrame:
+    """Both settings per series from recorded histograms, after those of stale dates have been made anew."""
+    refresh_histograms(spark, log, table, [*series, interval], prepare)
+    return tune_histograms(spark.read.parquet(f"{table}/histograms"), series, interval, previous_ratio)
 
 
 def tune_recorded(

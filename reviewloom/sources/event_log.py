@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +81,28 @@ def scan_events(
     return _between(_events(spark.read.text(path), schema, strict), start, end).drop(EVENT_DATE)
 
 
+def _date_name() -> Column:
+    """The date a folder of the log is named after, as text."""
+    return F.coalesce(F.col(EVENT_DATE).cast("string"), F.lit(_NO_DATE))
+
+
+def listed_dates(spark: SparkSession, path: str) -> DataFrame:
+    """event_date (as its folder is named), file_count, byte_count, newest: what the files of each date look like from outside.
+
+    Only the listing is read. A log that grew, shrank or was written anew looks different.
+    """
+    files = spark.read.format("binaryFile").load(path).select(_date_name().alias(EVENT_DATE), "length", "modificationTime")
+    return files.groupBy(EVENT_DATE).agg(
+        F.count(F.lit(1)).alias("file_count"), F.sum("length").alias("byte_count"), F.max("modificationTime").alias("newest")
+    )
+
+
+def scan_dates(spark: SparkSession, path: str, dates: Sequence[str], schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
+    """Events of the folders of some dates, with the folder's name in ``event_date``. Other folders are not opened."""
+    lines = spark.read.text(path).where(_date_name().isin(list(dates))).withColumn(EVENT_DATE, _date_name())
+    return _events(lines, schema)
+
+
 def rejected_lines(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """file, line, reason of the lines that are no events: ``torn``, ``misfit`` (a value of another type) or ``untyped``."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))

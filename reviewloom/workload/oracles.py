@@ -590,6 +590,19 @@ op AS (SELECT CAST(export_product_id AS VARCHAR) AS eid, product_name, option_na
         f"""SELECT series, interval_count, forecast AS max_text_length, last_interval,
         round(CAST({RATIO} AS DOUBLE), 6) AS memory_usage_ratio FROM fc, oc""",
     ),
+    "job_tune_refreshed": sql(
+        TL,
+        INFERRED,
+        f"""se AS (SELECT batch_id, unnest(CASE WHEN batch_id % 5 <> 0 THEN ['all', 'most'] ELSE ['all'] END) AS series FROM (SELECT DISTINCT batch_id FROM tl)),
+            ds AS (SELECT series, timestamp AS hour, {p95("text_length")} AS p95_text_length FROM inferred JOIN se USING (batch_id) GROUP BY 1, 2)""",
+        chunked("ds", "series", "hour", "p95_text_length"),
+        TREND,
+        """oc AS (SELECT series, timestamp AS last_interval, count(*) FILTER (event_type = 'inferred') AS inferred_count,
+                 count(*) FILTER (event_type = 'oom_fallback') AS oom_count FROM ev JOIN se ON batch_id = event_id GROUP BY 1, 2
+                 QUALIFY row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) = 1)""",
+        f"""SELECT series, interval_count, forecast AS max_text_length, last_interval,
+        round(CAST({RATIO} AS DOUBLE), 6) AS memory_usage_ratio FROM fc JOIN oc USING (series)""",
+    ),
     "job_ingest_orders": """WITH o AS (SELECT o_custkey % 4 AS term, o_orderkey // 400 + 1 AS page, o_orderkey AS id, o_orderdate AS ordered FROM orders)
         SELECT CAST(id AS VARCHAR) AS "주문_id", CAST(id % 97 AS VARCHAR) AS "상품_id", 'first-' || id AS "구매자명", CAST(NULL AS VARCHAR) AS "구매자_번호",
                CAST(NULL AS VARCHAR) AS "구매자_이메일", CAST(NULL AS VARCHAR) AS "수취인명", CAST(NULL AS VARCHAR) AS "수취인_주소",

@@ -870,6 +870,26 @@ def job_tune(spark, d):
     return tune.tune(hourly, ["series"], "hour", 0.7)
 
 
+def _in_series(events):
+    """Every event in the series of all, and most of them in a second one; intervals are hours."""
+    series = F.when(F.col("event_id") % 5 != 0, F.array(F.lit("all"), F.lit("most"))).otherwise(F.array(F.lit("all")))
+    return events.withColumns({"series": F.explode(series), "hour": F.date_trunc("HOUR", "timestamp").cast("timestamp_ntz")})
+
+
+@query
+def job_tune_refreshed(spark, d):
+    # A first run sees every third date in part and every fourth one not at all; the second run reads those again.
+    v.apply_required_conf(spark)
+    log, table = scratch_path(spark, "growing-log"), scratch_path(spark, "histograms")
+    events = v.events(spark, d)
+    day = F.dayofyear("timestamp")
+    early = (day % 4 != 0) & ((day % 3 != 0) | (F.col("event_id") % 2 == 0))
+    event_log.append_events(events.where(early), log)
+    tune.refresh_histograms(spark, log, table, ["series", "hour"], _in_series)
+    event_log.append_events(events.where(~early), log)
+    return tune.tune_refreshed(spark, log, table, ["series"], "hour", 0.7, _in_series)
+
+
 # Streams
 
 

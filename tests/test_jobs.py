@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 from dataclasses import replace
 
 import pytest
@@ -11,6 +12,7 @@ from reviewloom import session
 from reviewloom.operators import rules
 from reviewloom.operators.labels import train_classifier
 from reviewloom.operators.stats import dated_statistics as stats_of
+from reviewloom.operators.stats import inferred_statistics, interval_statistics, outcome_counts, outcomes_of_histograms
 from reviewloom.plans import pipeline, tune
 from reviewloom.plans.ingest import ingest, missing_key_report, only, source_terms
 from reviewloom.plans.postprocess import given_labels, predicted_labels
@@ -376,6 +378,45 @@ def test_stream_statistics(spark, tmp_path):
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, stats_of(by_day(event_log.scan_events(spark, log)), ["day"]).collect()))
 
 
+def test_refresh_reads_stale_dates_only(spark, tmp_path, monkeypatch):
+    log, table = f"{tmp_path}/log", f"{tmp_path}/table"
+    by_day = lambda e: e.withColumn("day", F.to_date("timestamp"))
+    opened = []
+    plain = tune.scan_dates
+    monkeypatch.setattr(tune, "scan_dates", lambda s, path, dates: opened.append(list(dates)) or plain(s, path, dates))
+    refresh = lambda: tune.refresh_histograms(spark, log, table, ["day"], by_day)
+
+    def put(*events):
+        event_log.append_events(spark.read.schema(event_log.EVENT_SCHEMA).json(spark.sparkContext.parallelize(events)), log)
+
+    def same_as_the_log():
+        histograms, events = spark.read.parquet(f"{table}/histograms"), by_day(event_log.scan_events(spark, log))
+        assert sorted(map(tuple, inferred_statistics(histograms, ["day"]).collect())) == sorted(map(tuple, interval_statistics(events, ["day"]).collect()))
+        assert sorted(map(tuple, outcomes_of_histograms(histograms, ["day"]).collect())) == sorted(map(tuple, outcome_counts(events, ["day"]).collect()))
+
+    put(event(1, 1, [10, 20]), event(2, 2, [30]), event(3, 3, [5]), json.dumps({"event_type": "oom_fallback", "event_id": 4, "timestamp": "2024-01-03T01:00:00"}))
+    assert refresh() == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    same_as_the_log()
+    assert refresh() == [] and len(opened) == 1
+    put(event(5, 2, [70, 80]), event(6, 4, [1]))
+    assert refresh() == ["2024-01-02", "2024-01-04"] == opened[-1]
+    same_as_the_log()
+    # a date that shrank, and one that is gone
+    spark.createDataFrame([(event(2, 2, [30]),)], "value string").write.mode("overwrite").text(f"{log}/event_date=2024-01-02")
+    shutil.rmtree(f"{log}/event_date=2024-01-03")
+    assert refresh() == ["2024-01-02"]
+    same_as_the_log()
+    # a date whose events are gone, and a run that fails half way
+    spark.createDataFrame([("",)], "value string").write.mode("overwrite").text(f"{log}/event_date=2024-01-04")
+    put(event(7, 1, [3]))
+    monkeypatch.setattr(tune, "scan_dates", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh()
+    monkeypatch.setattr(tune, "scan_dates", plain)
+    assert refresh() == ["2024-01-01", "2024-01-04"]
+    same_as_the_log()
+
+
 def test_inconsistent_batch_is_an_error(spark, tmp_path):
     broken = event(1, 1, [10, 20]).replace('"batch_size": 2', '"batch_size": 3')
     spark.createDataFrame([(broken,)], "value string").write.text(f"{tmp_path}/log")
