@@ -70,7 +70,9 @@ def is_number(col: Column, data_type: T.DataType) -> Column:
         return col.isNotNull()
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return col.isNotNull() & ~F.isnan(col)
-    return F.coalesce(strip(col.cast("string")).rlike(_NUMBER), F.lit(False))
+    source = strip(col.cast("string"))
+    # plain digits, which is nearly every id, need no pattern
+    return F.when(source.try_cast("bigint").isNotNull(), True).otherwise(F.coalesce(source.rlike(_NUMBER), F.lit(False)))
 
 
 def int_string_id(col: Column, data_type: T.DataType) -> Column:

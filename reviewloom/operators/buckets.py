@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.operators.ordering import number_rows
@@ -76,30 +76,33 @@ def token_buckets(df: DataFrame, tokens: str, ordinal: str, cap: int, ratio: flo
 def resplit_buckets(bucketed: DataFrame, tokens: str, ordinal: str, ratio: float = RESPLIT_RATIO) -> DataFrame:
     """Split every bucket again with ``max(int(total * ratio), 1)`` tokens as cap and no padding rule.
 
-    Adds the 0-based ``part`` inside the old bucket. A bucket holds at most its token cap of
-    rows, so its rows may be gathered; the greedy step is one fold over that short array.
+    Adds the 0-based ``part`` inside the old bucket. The greedy step is a fold over the bucket's histogram of token counts: the rows of one
+    count fill the open part first, and then parts of equal size, so a row's part follows from its place among the rows of its count. Rows are never
+    gathered, and the work is linear in them.
     """
-    entry = F.struct(F.col(tokens).cast("bigint").alias("t"), F.col(ordinal).alias("o"))
-    gathered = bucketed.groupBy("bucket").agg(
-        F.array_sort(F.collect_list(entry)).alias("_rows"), F.sum(F.col(tokens).cast("bigint")).alias("_total")
-    )
-    cap = F.greatest(F.floor(F.col("_total") * ratio), F.lit(1).cast("bigint"))
-    start = F.struct(
-        F.lit(-1).cast("bigint").alias("part"),
-        F.lit(0).cast("bigint").alias("filled"),
-        F.array().cast("array<bigint>").alias("parts"),
-    )
-
-    def place(state, row):
-        fits = (state["part"] >= 0) & (row["t"] * (state["filled"] + 1) <= F.col("_cap"))
-        part = F.when(fits, state["part"]).otherwise(state["part"] + 1)
-        filled = F.when(fits, state["filled"] + 1).otherwise(F.lit(1).cast("bigint"))
-        return F.struct(part.alias("part"), filled.alias("filled"), F.concat(state["parts"], F.array(part)).alias("parts"))
-
-    parts = F.aggregate("_rows", start, place, lambda state: state["parts"])
-    return (
-        gathered.withColumn("_cap", cap)
-        .withColumn("_parts", parts)
-        .select("bucket", F.explode(F.arrays_zip("_rows", "_parts")).alias("_e"))
-        .select("bucket", F.col("_e._rows.t").alias(tokens), F.col("_e._rows.o").alias(ordinal), F.col("_e._parts").alias("part"))
-    )
+    size, big = F.col(tokens).cast("bigint"), lambda n: F.lit(n).cast("bigint")
+    counts = bucketed.groupBy("bucket", size.alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    of_bucket = counts.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("t", "n"))).alias("_counts"), F.sum(F.col("t") * F.col("n")).alias("_total"))
+    capped = of_bucket.withColumn("_cap", F.greatest(F.floor(F.col("_total") * ratio).cast("bigint"), big(1)))
+    run = "array<struct<t:bigint,open:bigint,first:bigint,next:bigint,per:bigint>>"
+    start = F.struct(big(-1).alias("part"), big(0).alias("filled"), F.array().cast(run).alias("runs"))
+
+    def place(state, entry):
+        # integer division throughout: token counts are at least one
+        fitting = F.call_function("div", F.col("_cap"), entry["t"])
+        first = F.when(state["part"] < 0, big(0)).otherwise(F.least(entry["n"], F.greatest(big(0), fitting - state["filled"])))
+        per, rest = F.greatest(big(1), fitting), entry["n"] - first
+        opened = F.call_function("div", rest + per - 1, per)
+        placed = F.struct(entry["t"].alias("t"), state["part"].alias("open"), first.alias("first"), (state["part"] + 1).alias("next"), per.alias("per"))
+        return F.struct(
+            (state["part"] + opened).alias("part"),
+            F.when(opened > 0, rest - (opened - 1) * per).otherwise(state["filled"] + first).alias("filled"),
+            F.concat(state["runs"], F.array(placed)).alias("runs"),
+        )
+
+    runs = capped.select("bucket", F.explode(F.aggregate("_counts", start, place, lambda state: state["runs"])).alias("_r")).select("bucket", "_r.*")
+    ranked = bucketed.select("bucket", size.alias(tokens), ordinal, (F.row_number().over(Window.partitionBy("bucket", size).orderBy(ordinal)) - 1).alias("_j"))
+    j = F.col("_j").cast("bigint")
+    part = F.when(j < F.col("first"), F.col("open")).otherwise(F.col("next") + F.call_function("div", j - F.col("first"), F.col("per")))
+    joined = ranked.withColumnRenamed(tokens, "t").join(runs, ["bucket", "t"])
+    return joined.select("bucket", F.col("t").alias(tokens), ordinal, part.alias("part"))

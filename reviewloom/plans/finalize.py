@@ -30,11 +30,12 @@ def manifest(numbered: DataFrame, prefix: str) -> DataFrame:
 
 
 def split_outcomes(numbered: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of chunks that went through, and all others. A chunk without an outcome failed."""
+    """Rows of chunks that went through, and all others."""
     joined = with_outcome(numbered, outcomes)
     return joined.where("succeeded").drop("succeeded"), joined.where("NOT succeeded").drop("succeeded")
 
 
 def with_outcome(numbered: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Adds ``succeeded``. A chunk without an outcome failed."""
     known = outcomes.groupBy("chunk").agg(F.bool_or("succeeded").alias("succeeded"))
     return numbered.join(known, "chunk", "left").withColumn("succeeded", F.coalesce("succeeded", F.lit(False)))

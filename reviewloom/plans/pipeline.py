@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.plans.finalize import export_chunks, split_outcomes
+from reviewloom.plans.finalize import export_chunks, with_outcome
 from reviewloom.plans.ingest import ingest_with_report, source_terms
 from reviewloom.plans.postprocess import Labeller, postprocess
 from reviewloom.plans.preprocess import preprocess
@@ -15,7 +15,7 @@ from reviewloom.session import staging
 from reviewloom.sources.dataset import Dataset
 from reviewloom.sources.declared import EXPORT_LAYOUT, OPTION_MAP, Source
 from reviewloom.sources.pages import read_pages
-from reviewloom.sources.sinks import period_path, read_current, save, write_chunks, write_outcomes
+from reviewloom.sources.sinks import period_path, read_chunks, read_current, save, write_chunks, write_outcomes
 from reviewloom.sources.tables import load
 
 
@@ -78,21 +78,20 @@ def run_postprocess(spark: SparkSession, space: Workspace, option_map: str, labe
         _save(rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"])
 
 
-def run_chunks(spark: SparkSession, space: Workspace, size: int) -> DataFrame:
+def run_chunks(spark: SparkSession, space: Workspace, size: int, prefix: str = "upload") -> DataFrame:
     """Write the chunk files to upload and return their rows."""
     rows = _current(spark, space.table("postprocessed"))
     with staging(spark):
-        write_chunks(export_chunks(rows, EXPORT_LAYOUT["PRODUCT_ID"], size=size, scanned=True), space.table("chunks"))
-    return spark.read.parquet(space.table("chunks"))
+        write_chunks(export_chunks(rows, EXPORT_LAYOUT["PRODUCT_ID"], size=size), space.table("chunks"), prefix)
+    return read_chunks(spark, space.table("chunks"))
 
 
 def run_finalize(spark: SparkSession, space: Workspace, outcomes: DataFrame) -> None:
     """Split the uploaded chunks by their ``(chunk, succeeded)`` outcome."""
-    numbered = spark.read.parquet(space.table("chunks")).drop("row_number", "chunk_count")
-    success, failed = split_outcomes(numbered, outcomes)
+    numbered = read_chunks(spark, space.table("chunks")).drop("row_number", "chunk_count")
     with staging(spark):
         write_outcomes(
-            success.drop("chunk"), failed.drop("chunk"), space.table("success"), space.table("failed"), EXPORT_LAYOUT["REVIEW_ID"]
+            with_outcome(numbered, outcomes).drop("chunk"), space.table("success"), space.table("failed"), EXPORT_LAYOUT["REVIEW_ID"]
         )
 
 

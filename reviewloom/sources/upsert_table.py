@@ -147,17 +147,19 @@ def _next(spark: SparkSession, path: str, base: Version, new: DataFrame, overwri
     return Version(base.number + 1, pk, count, schema.json(), live)
 
 
-def save(df: DataFrame, path: str, pk: str | None, overwrite: bool = False, write_empty: bool = False, buckets: int = BUCKETS) -> bool:
+def save(
+    df: DataFrame, path: str, pk: str | None, overwrite: bool = False, write_empty: bool = False, buckets: int = BUCKETS, staged: bool = False
+) -> bool:
     """Upsert ``df`` into the table at ``path`` and say whether anything was written.
 
     Nothing is written without a key name, without rows, or when either side lacks the key column. Into an empty table the rows go as they are;
-    otherwise keys become text. ``buckets`` counts when the table is made.
+    otherwise keys become text. ``buckets`` counts when the table is made. ``staged`` says that ``df`` is a scan of written files.
     """
     spark = df.sparkSession
     if not pk or pk not in df.columns:
         return False
     # a retry, and the upsert itself, look at the new rows more than once
-    new = stage(df, "new-rows")
+    new = df if staged else stage(df, "new-rows")
     if not write_empty and new.isEmpty():
         return False
     while True:

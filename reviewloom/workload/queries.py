@@ -829,8 +829,8 @@ def _outcomes(numbered: DataFrame) -> DataFrame:
 @query
 def finalize_split(spark, d):
     numbered = _chunked(spark, d).select("product_id", *_FACT_TIES, "chunk")
-    success, failed = finalize.split_outcomes(numbered, _outcomes(numbered))
-    return success.withColumn("outcome", F.lit("success")).unionByName(failed.withColumn("outcome", F.lit("failed")))
+    done = finalize.with_outcome(numbered, _outcomes(numbered))
+    return done.withColumn("outcome", F.when(F.col("succeeded"), "success").otherwise("failed")).drop("succeeded")
 
 
 @query
@@ -915,6 +915,6 @@ def stream_ingest_pages(spark, d):
 def stream_interval_stats(spark, d):
     v.apply_required_conf(spark)
     table, checkpoint = scratch_path(spark, "statistics"), scratch_path(spark, "statistics-checkpoint")
-    # a few files a batch, so that days arrive in several batches
-    statistics_stream.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily, maxFilesPerTrigger=16)
+    # several batches, in which days arrive in parts
+    statistics_stream.statistics_stream(spark, v.event_log_path(spark, d), table, checkpoint, ["day"], _daily, maxFilesPerTrigger=128)
     return statistics_stream.read_statistics(spark, table, ["day"])

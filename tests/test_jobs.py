@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom import session
 from reviewloom.operators import rules
 from reviewloom.operators.labels import train_classifier
+from reviewloom.operators.ordering import number_chunks
 from reviewloom.operators.stats import dated_statistics as stats_of
 from reviewloom.operators.stats import inferred_statistics, interval_statistics, outcome_counts, outcomes_of_histograms
 from reviewloom.plans import pipeline, tune
@@ -30,6 +31,7 @@ from reviewloom.sources.declared import (
 )
 from reviewloom.sources.pages import land, pages_of_offsets, read_pages
 from reviewloom.streaming import ingest as stream_ingest
+from reviewloom.session import stage
 from reviewloom.streaming import interval_stats as stream_stats
 
 SPEC = Dataset("t", {"ID": "id", "V": "v"}, required=frozenset({"ID"}))
@@ -116,13 +118,58 @@ def test_upsert_table(spark, tmp_path):
 
 def test_outcome_tables(spark, tmp_path):
     rows = spark.createDataFrame([("1", "a")], "id string, v string")
-    sinks.write_outcomes(rows.limit(0), rows, f"{tmp_path}/ok", f"{tmp_path}/bad", "id")
+    outcome = lambda value: rows.withColumn("succeeded", F.lit(value))
+    sinks.write_outcomes(outcome(False), f"{tmp_path}/ok", f"{tmp_path}/bad", "id")
     assert sinks.read_current(spark, f"{tmp_path}/ok").columns == ["id", "v"]
     assert sinks.read_current(spark, f"{tmp_path}/bad").count() == 1
-    sinks.write_outcomes(rows, rows.limit(0), f"{tmp_path}/ok2", f"{tmp_path}/bad2", "id")
+    sinks.write_outcomes(outcome(True), f"{tmp_path}/ok2", f"{tmp_path}/bad2", "id")
     assert sinks.read_current(spark, f"{tmp_path}/bad2") is None
 
 
+def test_chunk_files_have_the_names_of_the_manifest(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/out/chunks"
+    files = lambda: sorted(f for f in os.listdir(path) if not f.startswith(("_", ".")))
+    numbered = number_chunks(spark.range(0, 105, 1, 7), [F.col("id")], 10)
+    sinks.write_chunks(numbered, path, "upload")
+    manifest = {r.file_name: (r.chunk, r.row_count) for r in sinks.read_manifest(spark, path).collect()}
+    assert files() == sorted(manifest) == [f"upload_{i:02d}_of_11.parquet" for i in range(1, 12)]
+    for name, (chunk, count) in manifest.items():
+        rows = spark.read.parquet(f"{path}/{name}").collect()
+        assert len(rows) == count and {(r.chunk, (r.id // 10) + 1) for r in rows} == {(chunk, chunk)}
+    # a task that fails once changes nothing, a job that fails leaves what was there
+    marker = f"{tmp_path}/failed-once"
+
+    def fails_once(batches):
+        for batch in batches:
+            if not os.path.exists(marker):
+                open(marker, "w").close()
+                raise RuntimeError("lost")
+            yield batch
+
+    small = stage(number_chunks(spark.range(25), [F.col("id")], 10), "numbered-rows")
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_chunks(small.mapInArrow(fails_once, small.schema), path, "upload")
+    assert len(files()) == 11 and os.listdir(f"{tmp_path}/out") == ["chunks"]
+    sinks.write_chunks(small.mapInArrow(fails_once, small.schema), path, "upload")
+    assert files() == [f"upload_{i}_of_3.parquet" for i in (1, 2, 3)] and sinks.read_chunks(spark, path).count() == 25
+    sinks.write_chunks(small.limit(0), path, "upload")
+    assert files() == [] and sinks.read_manifest(spark, path).count() == 0
+
+
+def test_outcomes_run_their_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 100, 1, 4).selectExpr("CAST(id AS STRING) AS id", "id % 3 > 0 AS succeeded")
+    sinks.write_outcomes(rows.mapInArrow(counted, rows.schema), f"{tmp_path}/ok", f"{tmp_path}/bad", "id")
+    assert seen.value == 100
+    assert (sinks.read_current(spark, f"{tmp_path}/ok").count(), sinks.read_current(spark, f"{tmp_path}/bad").count()) == (66, 34)
+
+
 def test_event_log(spark, tmp_path):
     path, dated = f"{tmp_path}/log", f"{tmp_path}/dated"
     line = lambda i: json.dumps({"event_type": "inferred", "event_id": i, "timestamp": f"2024-01-0{i}T00:00:00"})
@@ -254,8 +301,7 @@ def test_pipeline(spark, tmp_path, labelled):
     post = sinks.read_current(spark, space.table("postprocessed"))
     assert post.select("`리뷰_id`").distinct().count() == 7 and post.count() == 28
     numbered = pipeline.run_chunks(spark, space, 10)
-    assert sorted(os.listdir(space.table("chunks")))[-3:] == ["chunk=1", "chunk=2", "chunk=3"]
-    assert all(len([f for f in os.listdir(f"{space.table('chunks')}/chunk={i}") if f.endswith("parquet")]) == 1 for i in (1, 2, 3))
+    assert sorted(f for f in os.listdir(space.table("chunks")) if not f.startswith(("_", "."))) == [f"upload_{i}_of_3.parquet" for i in (1, 2, 3)]
     outcomes = spark.createDataFrame([(1, True), (2, False), (3, True)], "chunk bigint, succeeded boolean")
     pipeline.run_finalize(spark, space, outcomes)
     assert numbered.count() == 28

@@ -326,6 +326,34 @@ def test_token_buckets(spark):
     assert by_bucket == {0: [(2, 0), (2, 0), (3, 1)], 1: [(5, 0), (5, 1)], 2: [(9, 0)]}
 
 
+def greedy_parts(tokens):
+    cap, parts, filled = max(int(sum(tokens) * 0.7), 1), [], 0
+    for t in tokens:
+        if parts and t * (filled + 1) <= cap:
+            parts.append(parts[-1])
+            filled += 1
+        else:
+            parts.append(parts[-1] + 1 if parts else 0)
+            filled = 1
+    return parts
+
+
+@quick
+@given(st.lists(st.lists(st.integers(1, 40), min_size=1, max_size=60), min_size=1, max_size=4))
+def test_resplit_equals_greedy(spark, lists):
+    rows = [(b, t, b * 100 + i) for b, tokens in enumerate(lists) for i, t in enumerate(sorted(tokens))]
+    parts = buckets.resplit_buckets(spark.createDataFrame(rows, "bucket long, t long, id long"), "t", "id")
+    got = [r.part for r in parts.orderBy("bucket", "t", "id").collect()]
+    assert got == [p for tokens in lists for p in greedy_parts(sorted(tokens))]
+
+
+def test_resplit_of_a_large_bucket(spark):
+    one = spark.range(0, 300_000, 1, 4).selectExpr("0L AS bucket", "1 + id % 3 AS t", "id")
+    sizes = buckets.resplit_buckets(one, "t", "id").groupBy("part").agg(F.count("id").alias("n"), F.max("t").alias("t")).orderBy("part").collect()
+    # 600000 tokens, so 420000 to a part: 140000 rows of three do not join 200000 of less
+    assert [(r.n, r.t) for r in sizes] == [(200_000, 2), (100_000, 3)]
+
+
 # Statistics
 
 
