@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.plans.finalize import export_chunks, with_outcome
 from reviewloom.plans.ingest import ingest_with_report, source_terms
-from reviewloom.plans.postprocess import Labeller, postprocess
+from reviewloom.plans.postprocess import Labeller, postprocess_with_report
 from reviewloom.plans.preprocess import preprocess
 from reviewloom.session import staging
 from reviewloom.sources.dataset import Dataset
@@ -72,10 +72,14 @@ def run_preprocess(
 
 
 def run_postprocess(spark: SparkSession, space: Workspace, option_map: str, labeller: Labeller) -> None:
+    """The export table to positive reviews under hashed ids, beside the ids that occur twice and the row counts of the steps."""
     options = load(spark, option_map, OPTION_MAP, required=True)
     with staging(spark):
-        rows = postprocess(_current(spark, space.table("preprocessed")), options, OPTION_MAP, labeller)
-        _save(rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"])
+        done = postprocess_with_report(_current(spark, space.table("preprocessed")), options, OPTION_MAP, labeller)
+        done.duplicates.write.mode("overwrite").parquet(space.table("postprocessed_duplicates"))
+        steps = spark.createDataFrame(list(done.steps.items()), "step string, row_count bigint")
+        steps.write.mode("overwrite").parquet(space.table("postprocessed_steps"))
+        _save(done.rows, space.table("postprocessed"), EXPORT_LAYOUT["REVIEW_ID"])
 
 
 def run_chunks(spark: SparkSession, space: Workspace, size: int, prefix: str = "upload") -> DataFrame:

@@ -516,6 +516,10 @@ a AS (SELECT series, n, avg(delta) FILTER (i >= 0 AND i >= n - 4) - avg(delta) F
         make_timestamp(CAST(round(value * 1000000) AS BIGINT)) AS from_double FROM events""",
     "split_datetime": "SELECT event_id, CAST(ts AS DATE) AS created_date, strftime(ts, '%H:%M:%S') AS created_time FROM events",
     "parse_date_time": "SELECT event_id, CAST(ts AS DATE) AS created_date, strftime(ts, '%H:%M:%S') AS created_time FROM events",
+    "parse_by_format": """SELECT event_id, CAST(strptime(strftime(ts, '%Y/%m/%d'), '%Y/%m/%d') AS DATE) AS slashed,
+        CAST(strptime(strftime(ts, '%d.%m.%y'), '%d.%m.%y') AS DATE) AS short, CAST(strptime(strftime(ts, '%b %d, %Y'), '%b %d, %Y') AS DATE) AS named,
+        strftime(strptime(strftime(ts, '%H%M%S'), '%H%M%S'), '%H:%M:%S') AS packed,
+        strftime(strptime(strftime(ts, '%I:%M:%S %p'), '%I:%M:%S %p'), '%H:%M:%S') AS halved FROM events""",
     "date_time_text": """SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_text, strftime(ts, '%H:%M:%S') AS time_text,
         strftime(ts, '%H:%M:%S') AS serial_time_text FROM events""",
     "join_date_time": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS joined FROM events",
@@ -559,6 +563,17 @@ op AS (SELECT CAST(export_product_id AS VARCHAR) AS eid, product_name, option_na
         WHERE product_id IS NOT NULL AND trim(coalesce(contents, ''), '{WS}') <> ''""",
     ),
     "job_postprocess": sql(RV, OH, PM, OM, LB, PRE_A, POST_A, "SELECT * FROM post"),
+    "postprocess_duplicates": sql(
+        RV,
+        OH,
+        PM,
+        OM,
+        PRE_A,
+        f"""ids AS (
+          SELECT strftime("리뷰_작성_일자", '%Y%m%d') || replace(left("리뷰_작성_시간", 5), ':', '') || {hashed('"리뷰_id"')} AS "리뷰_id"
+          FROM pre p JOIN op ON p."상품_id" = op.eid WHERE p."구매옵션_옵션명1" IS NOT NULL AND p."구매옵션_옵션값1" IS NOT NULL)""",
+        """SELECT "리뷰_id", count(*) AS row_count FROM ids GROUP BY 1 HAVING count(*) > 1""",
+    ),
     "finalize_split": sql(
         RF,
         CHUNKS,

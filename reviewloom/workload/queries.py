@@ -670,6 +670,22 @@ def parse_date_time(spark, d):
     )
 
 
+@query
+def parse_by_format(spark, d):
+    e = v.table(spark, d, "events").select(
+        "event_id",
+        *[F.date_format("ts", f).alias(n) for n, f in {"a": "yyyy/M/d", "b": "dd.MM.yy", "c": "MMM d,  yyyy", "t": "HHmmss", "u": "h:mm:ss a"}.items()],
+    )
+    return e.select(
+        "event_id",
+        time.parse_date_by_format(F.col("a"), "%Y/%m/%d").alias("slashed"),
+        time.parse_date_by_format(F.col("b"), "%d.%m.%y").alias("short"),
+        time.parse_date_by_format(F.col("c"), "%b %d, %Y").alias("named"),
+        time.parse_time_by_format(F.col("t"), "%H%M%S").alias("packed"),
+        time.parse_time_by_format(F.col("u"), "%I:%M:%S %p").alias("halved"),
+    )
+
+
 @query
 def date_time_text(spark, d):
     e = v.table(spark, d, "events")
@@ -820,6 +836,12 @@ def job_postprocess(spark, d):
     return _postprocessed(spark, d)
 
 
+@query
+def postprocess_duplicates(spark, d):
+    given = postprocess.given_labels(v.labels(spark, d), "review_id")
+    return postprocess.postprocess_with_report(job_preprocess(spark, d), v.declared_option_map(spark, d), OPTION_MAP, given).duplicates
+
+
 def _outcomes(numbered: DataFrame) -> DataFrame:
     """Upload outcomes as they would come back: every fourth chunk fails, every ninth has no answer."""
     known = numbered.select("chunk").distinct()

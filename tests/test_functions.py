@@ -189,3 +189,74 @@ def test_flat_key_map():
 def test_whitespace_tokens(spark):
     assert one(spark, ["a b　c", " ", None, "x"], "string", lambda c, k: text.whitespace_tokens(c)) == [3, 0, 0, 1]
     assert one(spark, ["a b c"], "string", lambda c, k: text.whitespace_tokens(c, 2)) == [2]
+
+
+@pytest.mark.parametrize(
+    "fmt,texts",
+    [
+        ("%Y-%m-%d", ["2024-02-29", "2024-2-9", "1999-12-31", None]),
+        ("%d.%m.%y", ["1.1.69", "31.12.68", "01.02.00"]),
+        ("%B %d, %Y", ["March 5,   2021", "may 31, 1900"]),
+        ("%a %d %b %Y", ["Mon 4 Mar 2024", "sun 03 DEC 2023"]),
+        ("%Y%j", ["2024366", "2023001", "2023366"]),
+        ("%m/%d", ["12/25", "1/2"]),
+        ("100%% %Y", ["100% 2020"]),
+    ],
+)
+def test_dates_by_format(spark, fmt, texts):
+    got = one(spark, texts, "string", lambda c, _: time.parse_date_by_format(c, fmt))
+    assert got == [t and dt.strptime(t, fmt).date() for t in texts]
+
+
+@pytest.mark.parametrize(
+    "fmt,texts",
+    [
+        ("%H:%M:%S", ["01:02:03", "1:2:3", "23:59:59", None]),
+        ("%I:%M %p", ["12:00 AM", "12:30 pm", "1:05 PM", "11:59 am"]),
+        ("%H%M%S.%f", ["010203.5", "235959.000001"]),
+        ("%H", ["7"]),
+    ],
+)
+def test_times_by_format(spark, fmt, texts):
+    got = one(spark, texts, "string", lambda c, _: time.parse_time_by_format(c, fmt))
+    shown = "%H:%M:%S.%f" if "%f" in fmt else "%H:%M:%S"
+    assert got == [t and dt.strptime(t, fmt).strftime(shown) for t in texts]
+
+
+@pytest.mark.parametrize("fmt,text", [("%Y-%m-%d", "2023-02-29"), ("%Y-%m-%d", "2023-1-1 "), ("%Y-%m-%d", ""), ("%d/%m/%Y", "13/13/2020")])
+def test_texts_without_the_format_are_errors(spark, fmt, text):
+    with pytest.raises(ValueError):
+        dt.strptime(text, fmt)
+    with pytest.raises(Exception, match="invalid date"):
+        one(spark, [text], "string", lambda c, _: time.parse_date_by_format(c, fmt))
+
+
+def test_formats_are_checked():
+    for fmt in ("%Q", "%", "%Y %Y"):
+        with pytest.raises(ValueError):
+            time._compiled(fmt)
+
+
+def test_postprocess_report(spark):
+    from reviewloom.plans.postprocess import given_labels, postprocess_with_report
+    from reviewloom.sources.declared import EXPORT_LAYOUT, OPTION_MAP
+
+    name = EXPORT_LAYOUT.columns
+    columns = [name["REVIEW_ID"], name["PRODUCT_ID"], name["REVIEW_CONTENTS"], name["REVIEW_CREATED_DATE"], name["REVIEW_CREATED_TIME"]]
+    option = [f"{name['PRODUCT_OPTION_NAME']}1", f"{name['PRODUCT_OPTION_VALUE']}1"]
+    rows = [
+        ("1", "700", "good", "2024-01-02", "03:04:05", "a", "b"),
+        ("2", "700", "good", "2024-01-02", "late", "a", "b"),  # unreadable, and without a label
+        ("3", "700", "bad", "2024-01-02", "03:04:05", "a", "b"),
+        ("4", "701", "good", "2024-01-02", "03:04:05", "a", "b"),
+        ("5", "700", " ", "2024-01-02", "03:04:05", "a", "b"),
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns + option))
+    options = spark.createDataFrame([("700", "bag", "red"), ("700", "bag", "blue")], ", ".join(f"`{c}` string" for c in ("브이리뷰_상품_id", "상품명", "옵션명")))
+    labels = spark.createDataFrame([("1", 1), ("3", 0)], "id string, label int")
+    done = postprocess_with_report(df, options, OPTION_MAP, given_labels(labels, "id"))
+    assert done.steps == {"remapped": 6, "readable": 4} and done.removed == 2
+    assert sorted(r.row_count for r in done.duplicates.collect()) == [2, 2]
+    kept = done.rows.collect()
+    assert len(kept) == 2 and all(r[name["REVIEW_ID"]].startswith("202401020304") for r in kept)
+    assert done.rows.columns == df.columns
