@@ -20,7 +20,7 @@ own, in the class of their text; null ids count only where no other id is in the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -91,16 +91,21 @@ def fingerprints(text_of: np.ndarray, hashes: np.ndarray, count: int) -> tuple[n
     return np.diff(cut), sums[0], sums[1]
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, fp, fp2 of every row."""
+def _sets(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """doc_id and the carried columns, n_shingles, fp, fp2 and a number of every row."""
+    names = ["doc_id", *carry]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in text_steps(batch):
                 arrays = map(pa.array, fingerprints(*shingles(texts), len(texts)))
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), *arrays], ["doc_id", "n_shingles", "fp", "fp2"])
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), *arrays], [*names, "n_shingles", "fp", "fp2"])
 
-    return stage(docs.select("doc_id", "text").mapInArrow(found, "doc_id long, n_shingles long, fp long, fp2 long"), "shingle-sets")
+    source = docs.select(*names, "text")
+    made = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in names)
+    sets = source.mapInArrow(found, f"{made}, n_shingles long, fp long, fp2 long")
+    # the numbers are written with the rows, so they are the same whenever they are read
+    return stage(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
 
 
 def _repeated_shingles(docs: DataFrame, total: int) -> tuple[ProbeFilter, np.ndarray]:
@@ -358,22 +363,27 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar. Only the sets of their classes are made."""
     either = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    wanted = stage(classes.join(either, "rep", "left_semi"), f"{label}-classes")
+    wanted = stage(classes.join(either, "rep", "left_semi").drop("first_id"), f"{label}-classes")
     sets = _once_each(docs, wanted, "array<long>", lambda hashes: hashes.view(np.int64), f"{label}-sets")
     sides = [sets.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("made").alias(f"s{s}")) for s in "ab"]
     overlap = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(sides[0], "a").join(sides[1], "b").where(7 * overlap >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, rep) of every row with shingles, and (rep, label) of linked classes; both staged."""
-    sets = _sets(docs)
+def similar_classes(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, carried columns, n_shingles, rep) of every row, and (rep, first_id, label) of every class; both from staged tables.
+
+    ``rep`` is the number of one of the rows with a class's set, so rows that share an id are in the classes of their texts; ``label`` is one of the
+    numbers of its component, and ``first_id`` the smallest doc_id of the class. Rows without shingles have no class.
+    """
+    sets = _sets(docs, carry)
     key = ["fp", "fp2", "n_shingles"]
-    reps = stage(sets.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
+    reps = sets.where("n_shingles > 0").groupBy(*key).agg(F.min("row").alias("rep"), F.min("doc_id").alias("first_id"))
+    reps = stage(reps, "classes")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     shared = _blocks(docs, total // 4, _repeated_shingles(docs, total))
-    blocks = stage(shared.join(reps.where("rep is not null").select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
-    wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi")
+    blocks = stage(shared.join(reps.select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
+    wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi").drop("first_id")
     both = _once_each(docs, stage(wanted, "block-classes"), "binary", lambda x: np.concatenate([point(x).view(np.uint8), fine_point(x)]), "points")
     points = both.select("rep", "n", F.substring("made", 1, 2 * GROUPS).alias("made"))
     fine = both.select("rep", "n", F.expr(f"substring(made, {2 * GROUPS + 1})").alias("made"))
@@ -394,11 +404,20 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = _verified(docs, pairs, reps, "tree").select(F.col("a").alias("u"), F.col("b").alias("v"))
     links = links.union(near.select(F.col("node").alias("u"), F.col("root").alias("v")))
     groups = stage(connected(links).select(F.col("node").alias("rep"), F.col("root").alias("label")), "components")
-    return sets.join(reps, key, "left").select("doc_id", "n_shingles", "rep"), groups
+    labelled = reps.select("rep", "first_id").join(groups, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    return sets.join(reps.select(*key, "rep"), key, "left").select("doc_id", *carry, "n_shingles", "rep"), stage(labelled, "class-labels")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id that links reach."""
-    rows, groups = similar_classes(docs)
-    joined = rows.join(groups, "rep", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
+    rows, classes = similar_classes(docs)
+    smallest = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    named = stage(classes.join(smallest, "label").select("rep", "component_id"), "component-ids")
+    joined = rows.join(named, "rep", "left")
+    return joined.select("doc_id", "n_shingles", F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def similar_groups(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, the carried columns, and ``group``: a number that the rows of a component share, null for rows without shingles."""
+    rows, classes = similar_classes(docs, carry)
+    return rows.join(classes.select("rep", F.col("label").alias("group")), "rep", "left").select("doc_id", *carry, "group")
