@@ -3,18 +3,21 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next one's docs. All but the last return the
 columns of documents.
 
-Cases: rows with null ids pass all stages, each on its own; of rows that repeat an id one stays; a document that loses all its text goes.
+Cases: every row is judged by its own text, so rows with null ids and rows that share an id pass the stages like all others; of rows that are equal in
+id and text one stays, if the text has words; a document that loses all its text goes; an empty table gives none. Extra columns go along, whatever they are called.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import byte_cnn
 from reviewloom.llm.common import table
-from reviewloom.llm.jaccard_join import jaccard_components
+from reviewloom.llm.jaccard_join import similar_groups
 from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.substring_dedup import cut_texts
 from reviewloom.llm.word_tokens import encode_documents
@@ -24,40 +27,89 @@ from reviewloom.session import stage
 MIN_LANGUAGE_SCORE = 0.35
 
 
+# Bytes of an Arrow batch: a Python worker and its JVM hold a few batches each.
+ARROW_BATCH_BYTES = 8 << 20
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network tells; it learns from the documents that name theirs."""
-    found = byte_cnn.detect(docs, byte_cnn.train(docs, F.lit(True)))
-    sure = (F.col("lang_pred") != byte_cnn.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return found.where(sure).select(*docs.columns)
+    _bound_batches(spark)
+    network = byte_cnn.train(docs, F.lit(True))
+    known = byte_cnn.known(docs, network, MIN_LANGUAGE_SCORE)
+    return known.select(*docs.columns)
+
+
+def _hashes() -> dict[str, Column]:
+    """Two 64-bit hashes tell texts apart: with one alone, different texts would meet at the size of a large corpus."""
+    return {"_hash1": F.xxhash64("text"), "_hash2": F.xxhash64(F.lit(1), "text")}
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``docs`` with ``keys``: the two hashes of the text, and doc_id where that is to match as well."""
+    mark = "_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    of_row = {**_hashes(), "doc_id": F.col("doc_id")}
+    named = keys.select(*[F.col(c).alias(f"{mark}{c}") for c in keys.columns])
+    same = reduce(Column.__and__, [of_row[c].eqNullSafe(F.col(f"{mark}{c}")) for c in keys.columns])
+    return docs.join(named, same, how).select(*docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar documents."""
-    groups = stage(jaccard_components(docs), "near-copies")
-    dropped = stage(groups.where("component_id <> doc_id").select("doc_id").distinct(), "dropped-copies")
-    repeated = stage(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    """One row of each group of similar texts: the one with the smallest id, null ids last, then with the smallest hashes.
+
+    Rows are judged by their own texts, so rows that share an id go their own ways. Rows without words resemble nothing and stay.
+    """
+    _bound_batches(spark)
+    plain = docs.select("doc_id", "text")
+    hashes = list(_hashes())
+    groups = stage(similar_groups(plain.withColumns(_hashes()), carry=hashes), "near-copies").where(F.col("group").isNotNull())
+    key = [F.col("doc_id").isNull().alias("none"), "doc_id", *hashes]
+    winners = groups.groupBy("group").agg(F.min(F.struct(*key)).alias("w"))
+    judged = groups.join(winners, "group").withColumn("_wins", F.struct(*key) == F.col("w"))
+    rows = stage(judged.groupBy("doc_id", *hashes).agg(F.bool_and("_wins").alias("wins"), F.count(F.lit(1)).alias("n")), "judged-copies")
+    losers = rows.where("NOT wins").select("doc_id", *hashes)
+    # a winner may stand in the table more than once
+    repeated = rows.where("wins AND n > 1").select("doc_id", *hashes)
+    once = _by_key(docs, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return _by_key(docs, losers.unionAll(repeated), "left_anti").unionByName(once)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what an earlier document holds; n_chars follows, and emptied documents go."""
-    cut = cut_texts(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.where("text is null or text <> ''").select(*docs.columns)
+    _bound_batches(spark)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    # further columns go along in one, so that none of them meets a name of the operator
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")) if others else docs.select("doc_id", "text")
+    cut = cut_texts(packed).where("text is null or text <> ''")
+    length = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return cut.select("doc_id", "text", length, *[F.col(f"others.`{c}`").alias(c) for c in others]).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that don't hold too much of a benchmark."""
-    # contamination is a matter of the text alone, so texts are told apart by their hash: ids may be null
-    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    found = contamination(texts, table(spark, sf_dir, "benchmark"))
-    dropped = stage(found.where("contaminated").select(F.col("doc_id").alias("_text")).distinct(), "contaminated")
-    return docs.join(dropped, F.xxhash64("text") == F.col("_text"), "left_anti").select(*docs.columns)
+    """Documents that don't hold too much of a benchmark.
+
+    Contamination is a matter of the text alone, so texts are judged under a hash. Texts whose hash is found are few; they are judged again
+    under numbers of their own, so that no clean text goes because it shares the hash of another.
+    """
+    _bound_batches(spark)
+    items = table(spark, sf_dir, "benchmark")
+    first, second = _hashes().values()
+    found = contamination(docs.select(first.alias("doc_id"), "text"), items)
+    suspect = stage(found.where("contaminated").select(F.col("doc_id").alias("_found")).distinct(), "suspect-texts")
+    texts = docs.select("text").withColumns(_hashes()).join(suspect, F.col("_hash1") == F.col("_found"), "left_semi").dropDuplicates(list(_hashes()))
+    numbered = stage(texts.withColumn("doc_id", F.monotonically_increasing_id()), "numbered-texts")
+    sure = contamination(numbered, items).where("contaminated").select("doc_id")
+    return _by_key(docs, stage(numbered.join(sure, "doc_id").select(*_hashes()), "contaminated"), "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the decoded text, and the ids as little-endian u32."""
+    _bound_batches(spark)
     coded = encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 
