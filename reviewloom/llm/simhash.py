@@ -34,52 +34,49 @@ from reviewloom.session import stage
 BITS = 128
 RADIUS, BLOCKS = 3, 5
 
-# Text that one step hashes, and terms whose votes one numpy step counts: terms times 64 are in memory.
-VOTE_BYTES, VOTE_TERMS = 256 << 10, 1 << 15
+# Text that one step counts.
+VOTE_BYTES = 256 << 10
 
-# Hashes of pairs and of the further 64-bit parts of a term start from these odd numbers.
-_PAIR, _PART = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+# Bits of a term's hash, and the odd numbers that pairs and the 64-bit parts of a fingerprint start from.
+_TERM_BITS = 48
+_PAIR = np.uint64(0xD6E8FEB86659FD93)
+_PARTS = np.random.default_rng(20240613).integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
 
 
 def _weighted_terms(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, hash and weight of the distinct terms of each text, by text."""
-    h, text = words.hashes, words.text_of
+    h, text = words.hashes, words.text_of.astype(np.uint64)
     paired = text[1:] == text[:-1]
     pairs = mixed(h[:-1] * _PAIR + h[1:])[paired]
-    terms, texts = np.concatenate([h, pairs]), np.concatenate([text, text[1:][paired]])
-    order = np.lexsort((terms, texts))
-    terms, texts = terms[order], texts[order]
-    new = np.ones(len(terms), bool)
-    new[1:] = (terms[1:] != terms[:-1]) | (texts[1:] != texts[:-1])
-    first = np.flatnonzero(new)
-    counts = np.diff(np.append(first, len(terms)))
-    return texts[first], terms[first], np.frexp(counts)[1].astype(np.int32)
+    # one sort by text and term: the text's number takes the place of the lowest bits of the hash
+    low = np.uint64(_TERM_BITS)
+    keys = (np.concatenate([text, text[1:][paired]]) << low) | (np.concatenate([h, pairs]) >> np.uint64(64 - _TERM_BITS))
+    keys.sort()
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    counts, keys = np.diff(np.append(first, len(keys))), keys[first]
+    return (keys >> low).astype(np.int64), keys & np.uint64((1 << _TERM_BITS) - 1), np.frexp(counts)[1]
 
 
 def _fingerprints_of_step(texts: list[bytes], bits: int) -> np.ndarray:
     of_text, terms, weights = _weighted_terms(Words(texts, BLANKS))
+    row, weights = of_text * 256, weights.astype(np.float64)
+    totals = np.bincount(of_text, weights, len(texts))[:, None]
     out = np.zeros((len(texts), bits), bool)
-    if not len(terms):
-        return np.packbits(out, axis=1)
-    first = np.flatnonzero(np.append(True, of_text[1:] != of_text[:-1]))
-    totals = np.zeros(len(texts), np.int64)
-    totals[of_text[first]] = np.add.reduceat(weights, first)
     for part in range(bits // 64):
-        hashes = mixed(terms + np.uint64(part) * _PART)
-        ones = np.zeros((len(texts), 64), np.int64)
-        for low in range(0, len(terms), VOTE_TERMS):
-            span = slice(low, low + VOTE_TERMS)
-            begins = np.flatnonzero(np.append(True, of_text[span][1:] != of_text[span][:-1]))
-            said = np.unpackbits(hashes[span].view(np.uint8).reshape(-1, 8), axis=1) * weights[span, None]
-            ones[of_text[span][begins]] += np.add.reduceat(said, begins)
-        # weights of the ones against those of the zeros
-        out[:, 64 * part : 64 * part + 64] = 2 * ones > totals[:, None]
+        hashes = mixed((terms + np.uint64(1)) * _PARTS[part]).astype(">u8").view(np.uint8).reshape(-1, 8)
+        for at in range(8):
+            # terms that agree in a byte vote alike: their weights are summed first
+            sums = np.bincount(row + hashes[:, at], weights, 256 * len(texts)).reshape(-1, 256)
+            ones = 64 * part + 8 * at
+            out[:, ones : ones + 8] = 2 * (sums @ _BITS_OF_BYTE) > totals
     return np.packbits(out, axis=1)
 
 
 def fingerprints_of(texts: list[bytes], bits: int = BITS) -> np.ndarray:
     """One row of ``bits`` / 8 bytes per text."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    # a few bytes for every text: a step has sums for each of them, and numbers them in 16 bits
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 64
     parts = [_fingerprints_of_step(texts[low:high], bits) for low, high in steps(sizes, VOTE_BYTES)]
     return np.concatenate(parts) if parts else np.zeros((0, bits // 8), np.uint8)
 

@@ -134,16 +134,16 @@ def slow_mark(text, bits=simhash.BITS):
     """Votes term by term; the hashes of the words come from the library."""
     words = simhash.Words([text], simhash.BLANKS).hashes
     with np.errstate(over="ignore"):
-        terms = Counter(words.tolist())
+        terms = Counter(int(w) >> 16 for w in words)
         for a, b in zip(words[:-1], words[1:]):
-            terms[int(simhash.mixed(np.array([a * simhash._PAIR + b]))[0])] += 1
+            terms[int(simhash.mixed(np.array([a * simhash._PAIR + b]))[0]) >> 16] += 1
         out = []
         for part in range(bits // 64):
             votes = [0] * 64
             for term, count in terms.items():
-                h = simhash.mixed(np.array([term], np.uint64) + np.uint64(part) * simhash._PART).tobytes()
+                h = int(simhash.mixed((np.array([term], np.uint64) + np.uint64(1)) * simhash._PARTS[part])[0])
                 for at in range(64):
-                    votes[at] += count.bit_length() * (1 if h[at // 8] >> (7 - at % 8) & 1 else -1)
+                    votes[at] += count.bit_length() * (1 if h >> (63 - at) & 1 else -1)
             out += [v > 0 for v in votes]
     return np.packbits(out).tobytes()
 
@@ -156,7 +156,6 @@ def test_marks_are_signed_votes(monkeypatch):
     texts = [(t or "").encode() for t in TEXTS if len(t or "") < 5000]
     want = [slow_mark(t) for t in texts]
     assert [f.tobytes() for f in simhash.fingerprints_of(texts)] == want
-    monkeypatch.setattr(simhash, "VOTE_TERMS", 7)
     monkeypatch.setattr(simhash, "VOTE_BYTES", 100)
     assert [f.tobytes() for f in simhash.fingerprints_of(texts)] == want
 
