@@ -10,7 +10,7 @@ the lists of the other terms, moved alike, are intersected with them from the ra
 are 64-bit hashes of words.
 
 The searched items come in blocks of a bounded number of words; each block is broadcast, and every segment is searched for
-all of them. With one block, the index keeps only the terms that the items hold.
+all of them.
 
 Cases: null or wordless texts have no words, no hit and are not contaminated; wordless items are never found; an item with
 fewer words than a window is one window; items that repeat an id count once under it; a null item_id hits words but is no
@@ -58,11 +58,10 @@ def item_blocks(items: DataFrame, limit: int = BLOCK_WORDS) -> list[Broadcast]:
     return blocks
 
 
-def build_index(docs: DataFrame, vocabulary: Broadcast | None = None) -> DataFrame:
-    """Segments of ``doc_id, text``. ``vocabulary`` is a block of items whose terms alone are kept."""
+def build_index(docs: DataFrame) -> DataFrame:
+    """Segments of ``doc_id, text`` with the postings of all their words."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = None if vocabulary is None else np.unique(np.concatenate([w for _, w in vocabulary.value]))
         for batch in batches:
             for rows, texts in text_steps(batch):
                 words = Words(texts, NO_ALNUM)
@@ -70,9 +69,6 @@ def build_index(docs: DataFrame, vocabulary: Broadcast | None = None) -> DataFra
                 firsts = words.first[:-1] + np.arange(len(texts))
                 at = np.arange(len(words.hashes)) + words.text_of
                 hashes = words.hashes
-                if known is not None:
-                    keep = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
-                    hashes, at = hashes[keep], at[keep]
                 order = np.argsort(hashes, kind="stable")
                 terms, sizes = np.unique(hashes, return_counts=True)
                 columns = [firsts, counts, terms.view(np.int64), np.cumsum(sizes)]
@@ -200,7 +196,7 @@ def _windows(block: list) -> list[tuple[np.ndarray, np.ndarray]]:
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256 and contaminated, for windows of ``items``."""
     blocks = item_blocks(items)
-    index = build_index(docs, blocks[0] if len(blocks) == 1 else None)
+    index = build_index(docs)
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
