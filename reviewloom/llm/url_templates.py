@@ -5,17 +5,16 @@ The rules label the urls they fit. The tree learns from those labels:
 1. Each host's paths are cut into segments. Level by level, a segment becomes a wildcard where it is variable: it has digits, or its
    parent has more than ``MAX_BRANCHES`` different children there.
 2. Sibling branches merge when both have labels, their shares of blocked urls do not differ significantly (two-proportion z-test) and their
-   shapes below agree: they then pool their labels.
+   shapes below agree: they then pool their labels, and whatever is below them has one parent.
 3. A template's purity is its blocked share, smoothed towards its parent's, whose own is smoothed towards the
    host's and that towards a lenient prior. A url without a rule is blocked when the purity of its deepest template reaches
    ``REJECT_AT``.
 
 Everything is counted with aggregates over (host, template), combined before the shuffle, so a host
-with a third of the urls costs no more than its number of templates. The loop runs over levels of the tree, not over rows.
+with a third of the urls costs no more than its number of templates. The loop runs over levels of the tree, down to the deepest label, not over rows.
 
-Cases: null urls and urls without ``://`` have an empty host and path, no rule, and are allowed; paths
-deeper than ``MAX_DEPTH`` segments share the template of their first ones; repeated rows keep their own rows; an empty table
-gives an empty one; other columns are ignored.
+Cases: null urls and urls without ``://`` have an empty host and path, no rule, and are allowed; a path of any length is looked at down to the
+last level that a label of its branch reaches; repeated rows keep their own rows; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +28,6 @@ from pyspark.sql import functions as F
 
 from reviewloom.session import stage
 
-# Depth of the tree: deeper segments are left to the template above them, which counts them all.
-MAX_DEPTH = 4
-
 # A parent with more children than this has a wildcard there.
 MAX_BRANCHES = 32
 
@@ -76,75 +72,85 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
-def _segment(path: Column, level: int) -> Column:
-    """Segment of a level, null beyond the path's end. Digits make it a wildcard."""
-    segment = F.get(F.split(F.regexp_replace(path, "^/", ""), "/"), level)
-    return F.when(segment.rlike("[0-9]"), F.lit("*")).otherwise(segment)
-
-
-def _child(level: int) -> Column:
-    return F.concat(F.col(f"t{level}"), F.lit("/"), F.col(f"s{level}"))
+def _segments(path: Column) -> Column:
+    """All segments of a path; digits make one a wildcard."""
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), lambda s: F.when(s.rlike("[0-9]"), F.lit("*")).otherwise(s))
 
 
-def templates(facts: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Adds the templates ``t0`` (host) to ``t<MAX_DEPTH>`` of each (host, path segments) row; null below a path's end."""
-    out = facts.withColumn("t0", F.col("host"))
-    for level in range(MAX_DEPTH):
-        wide = (
-            out.where(F.col(f"s{level}").isNotNull()).select(f"t{level}", f"s{level}").distinct()
-            .groupBy(f"t{level}").count().where(F.col("count") > MAX_BRANCHES).select(f"t{level}", F.lit(True).alias("_wide"))
-        )
-        star = F.concat(F.col(f"t{level}"), F.lit("/*"))
-        named = F.when(F.col("_wide") & F.col(f"s{level}").isNotNull(), star).otherwise(_child(level))
-        out = out.join(wide, f"t{level}", "left").withColumn(f"t{level + 1}", named).drop("_wide")
-    return out, [f"t{level}" for level in range(MAX_DEPTH + 1)]
+def _branches(nodes: DataFrame) -> DataFrame:
+    """parent, child, branch, labelled, blocked: children that do not differ become one branch, with their labels in common.
 
-
-def _merged(nodes: DataFrame) -> DataFrame:
-    """Pools the labels of sibling branches that do not differ: parent, node, labelled, blocked become those of the pool.
-
-    A parent has at most ``MAX_BRANCHES`` + 1 children by construction, so a sibling's array is small.
+    The labelled children of a parent are taken in order of their shares, those of one shape together; each joins the branch before it unless it
+    differs from all of that branch's labels. A parent has at most ``MAX_BRANCHES`` + 1 children by construction, so its array is small.
+    """
+    child = F.struct("shape", F.try_divide("blocked", "labelled").alias("share"), "child", "labelled", "blocked")
+    families = nodes.groupBy("parent").agg(F.array_sort(F.collect_list(child)).alias("family"))
+    kind = "array<struct<shape:int,names:array<string>,labelled:bigint,blocked:bigint>>"
+
+    def joins(branch: Column, one: Column) -> Column:
+        n, m = branch["labelled"], one["labelled"]
+        pooled = F.try_divide(branch["blocked"] + one["blocked"], n + m)
+        gap = F.abs(F.try_divide(branch["blocked"], n) - F.try_divide(one["blocked"], m))
+        error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), m)))
+        # a child without labels has no share, and joins nothing
+        return F.coalesce((branch["shape"] == one["shape"]) & (gap <= Z * error), F.lit(False))
+
+    def add(branches: Column, one: Column) -> Column:
+        last = F.element_at(branches, -1)
+        alone = F.struct(one["shape"].alias("shape"), F.array(one["child"]).alias("names"), one["labelled"].alias("labelled"), one["blocked"].alias("blocked"))
+        both = F.struct(
+            last["shape"].alias("shape"),
+            F.concat(last["names"], F.array(one["child"])).alias("names"),
+            (last["labelled"] + one["labelled"]).alias("labelled"),
+            (last["blocked"] + one["blocked"]).alias("blocked"),
+        )
+        some = F.size(branches) > 0
+        return F.when(some & joins(last, one), F.concat(F.slice(branches, 1, F.size(branches) - 1), F.array(both))).otherwise(F.concat(branches, F.array(alone)))
+
+    merged = families.select("parent", F.explode(F.aggregate("family", F.array().cast(kind), add)).alias("b"))
+    names = F.array_sort("b.names")
+    name = F.when(F.size(names) == 1, names[0]).otherwise(F.concat(F.lit("("), F.array_join(names, "|"), F.lit(")")))
+    branch = F.concat("parent", F.lit("/"), name)
+    return merged.select("parent", F.explode("b.names").alias("child"), branch.alias("branch"), F.col("b.labelled").alias("labelled"), F.col("b.blocked").alias("blocked"))
+
+
+def _purity(prior: Column) -> Column:
+    return (F.col("blocked") + SMOOTHING * prior) / (F.col("labelled") + SMOOTHING)
+
+
+def template_scores(urls: DataFrame) -> DataFrame:
+    """For ``host, key, segments, label`` (1 blocked, 0 allowed, null unknown): host, key, template, purity of each distinct path.
+
+    A pass goes one level down and keeps the paths that end there, or below which no label is left: all labels that concern those are known. The
+    others, fewer from pass to pass, are written and read by the next one, down to the deepest label.
     """
-    mine = F.struct("node", "labelled", "blocked", "shape")
-    families = nodes.groupBy("parent").agg(F.collect_list(mine).alias("family"))
-
-    def alike(other: Column) -> Column:
-        n, m = F.col("labelled"), other["labelled"]
-        pooled = (F.col("blocked") + other["blocked"]) / (n + m)
-        gap = F.abs(F.col("blocked") / n - other["blocked"] / m)
-        error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
-        return (n > 0) & (m > 0) & (F.col("shape") == other["shape"]) & (gap <= Z * error)
-
-    joined = nodes.join(families, "parent").withColumn("pool", F.filter("family", lambda o: (o["node"] == F.col("node")) | alike(o)))
-    total = lambda field: F.aggregate("pool", F.lit(0).cast("long"), lambda a, o: a + o[field])
-    return joined.select("parent", "node", total("labelled").alias("labelled"), total("blocked").alias("blocked"))
-
-
-def template_scores(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For ``host, path, label`` (1 blocked, 0 allowed, null unknown): each distinct (host, segments) with its purity."""
-    segments = {f"s{level}": _segment(F.col("path"), level) for level in range(MAX_DEPTH)}
-    keys = ["host", *segments]
-    counted = urls.where(F.col("host") != "").withColumns(segments).groupBy(*keys).agg(F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked"))
-    facts, levels = templates(stage(counted, "url-facts"))
-    facts = stage(facts, "url-templates")
-    scored = None
-    for level, name in enumerate(levels):
-        parent = F.lit("") if level == 0 else F.col(levels[level - 1])
-        below = F.lit(0) if level == MAX_DEPTH else F.max(F.when(F.col(levels[level + 1]).isNotNull(), 1).otherwise(0))
-        nodes = facts.where(F.col(name).isNotNull()).groupBy(parent.alias("parent"), F.col(name).alias("node"))
-        nodes = nodes.agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"), below.alias("shape"))
-        if level == 0:
-            prior = F.lit(PRIOR)
-            scored = nodes.select("node", ((F.col("blocked") + SMOOTHING * prior) / (F.col("labelled") + SMOOTHING)).alias("purity"))
-        else:
-            above = before.select(F.col("node").alias("parent"), F.col("purity").alias("prior"))
-            pooled = _merged(nodes).join(above, "parent")
-            scored = pooled.select("node", ((F.col("blocked") + SMOOTHING * F.col("prior")) / (F.col("labelled") + SMOOTHING)).alias("purity"))
-        before = stage(scored, f"url-level-{level}")
-        facts = facts.join(before.select(F.col("node").alias(name), F.col("purity").alias(f"p{level}")), name, "left")
-    deepest = F.coalesce(*[F.col(f"p{level}") for level in range(MAX_DEPTH, -1, -1)])
-    template = F.coalesce(*[F.col(name) for name in reversed(levels)])
-    return facts.select(*keys, template.alias("template"), deepest.alias("purity")), segments
+    counted = urls.where(F.col("host") != "").groupBy("host", "key", "segments")
+    facts = stage(counted.agg(F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).alias("blocked")), "url-facts")
+    hosts = facts.groupBy("host").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    hosts = hosts.select("host", _purity(F.lit(PRIOR)).alias("purity"))
+    level, found = 0, []
+    rows = stage(facts.join(hosts, "host").withColumn("template", F.col("host")), "url-level-0")
+    result = ["host", "key", "template", "purity"]
+    while True:
+        deeper = F.size("segments") > level
+        learning = rows.where(deeper & (F.col("labelled") > 0)).select("template").distinct().withColumn("_learns", F.lit(True))
+        marked = rows.join(learning, "template", "left").withColumn("_open", deeper & F.coalesce("_learns", F.lit(False))).drop("_learns")
+        marked = stage(marked, "url-open")
+        found.append(marked.where("NOT _open").select(*result))
+        rows = marked.where("_open").drop("_open")
+        if rows.isEmpty():
+            return reduce(DataFrame.unionAll, found)
+        segment = F.get("segments", F.lit(level))
+        wide = rows.select("template", segment.alias("s")).distinct().groupBy("template").count().where(F.col("count") > MAX_BRANCHES)
+        named = rows.join(wide.select("template", F.lit(True).alias("_wide")), "template", "left")
+        named = stage(named.withColumn("child", F.when(F.col("_wide"), F.lit("*")).otherwise(segment)).drop("_wide"), "url-children")
+        ends_below = F.max(F.when(F.size("segments") > level + 1, 1).otherwise(0)).alias("shape")
+        nodes = named.groupBy(F.col("template").alias("parent"), "child").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"), ends_below)
+        above = named.select(F.col("template").alias("parent"), F.col("purity").alias("prior")).distinct()
+        branches = _branches(nodes).join(above, "parent").select(F.col("parent").alias("template"), "child", "branch", _purity(F.col("prior")).alias("_purity"))
+        moved = named.join(branches, ["template", "child"])
+        level += 1
+        rows = stage(moved.select("host", "key", "segments", "labelled", "blocked", F.col("branch").alias("template"), F.col("_purity").alias("purity")), f"url-level-{level}")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -154,10 +160,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     parts = parts.withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     blocked = reduce(lambda a, r: a | (F.col("rule") == r.text), [r for r in rules if r.block], F.lit(False))
     label = F.when(F.col("rule").isNotNull(), blocked.cast("int"))
-    urls = parts.withColumn("label", label)
-    scores, segments = template_scores(urls)
-    renamed = scores.select(*[F.col(c).alias(f"_{c}") for c in ("host", *segments)], "template", "purity")
-    same = [F.col("host") == F.col("_host")] + [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in segments]
-    joined = urls.withColumns(segments).join(renamed, same, "left")
+    urls = parts.withColumns({"label": label, "segments": _segments(F.col("path"))}).withColumn("key", F.array_join("segments", "/"))
+    joined = urls.join(template_scores(urls), ["host", "key"], "left")
     block = F.coalesce(F.col("label") == 1, F.coalesce(F.col("purity") >= REJECT_AT, F.lit(False)))
     return joined.select("page_id", "host", "path", "rule", F.when(block, "block").otherwise("allow").alias("verdict"), "template", "purity")
