@@ -4,8 +4,8 @@ Bytes are folded (A-Z lowered; digits, marks and control characters to blanks),
 Each filter's maximum over a window of ``WINDOW_BYTES`` feeds a softmax over the languages. A text is cut into such
 windows, the last one padded; its probabilities are the means over all its windows.
 
-The network is trained on windows of at most ``MAX_TRAIN`` labelled texts, the ones with the smallest hash of their id. It has a fixed
-size and is broadcast.
+The network is trained on windows of at most ``MAX_TRAIN`` labelled texts, ``WINDOWS_PER_TEXT`` of each: of every language in turn the ones with the
+smallest hash of their id. It has a fixed size and is broadcast.
 
 Cases: null texts and texts without a letter are ``und`` with score 0, and so is everything when no labelled text was found; rows that
 repeat an id are predicted each; an empty table gives an empty one; other columns are ignored.
@@ -13,13 +13,13 @@ repeat an id are predicted each; an empty table gives an empty one; other column
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,7 @@ _RATE = 0.01
 _SEED = 5
 _CHUNK = 64
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
 
@@ -170,9 +170,17 @@ def fit(texts: list[bytes], labels: list[str]) -> Network:
 
 
 def train(docs: DataFrame, learnable: Column) -> Network:
-    """Fit to documents with a language that are ``learnable`` (a condition on doc_id): at most ``MAX_TRAIN`` of them."""
+    """Fit to documents with a language that are ``learnable`` (a condition on doc_id): at most ``MAX_TRAIN`` of them.
+
+    The languages take turns, so each has its share of the texts, or all that it has, however rare it is.
+    """
     named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & learnable).select("doc_id", "lang", "text")
-    chosen = named.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
+    ids = named.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # of a frequent language about twice as many ids as could be asked for meet in a task: those with the smallest draws
+    few = ids.join(counts, "lang").where(F.col("draw").cast("double") * F.col("n") <= 2.0 * MAX_TRAIN * (1 << 40))
+    turns = few.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id")))
+    chosen = turns.orderBy("turn", "draw", "doc_id").limit(MAX_TRAIN).select("doc_id")
     # a long text is thinned to evenly spread stretches before it is moved; the windows are cut from those
     stretch, count = 2 * WINDOW_BYTES, F.floor(F.length("text") / WINDOWS_PER_TEXT).cast("int")
     spread = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS_PER_TEXT - 1)), lambda k: F.substring(F.col("text"), k * count + 1, F.lit(stretch)))
@@ -197,6 +205,19 @@ def detect(docs: DataFrame, network: Network) -> DataFrame:
     return source.mapInArrow(predicted, T.StructType(list(source.schema.fields)).add("lang_pred", "string").add("score", "double"))
 
 
+def known(docs: DataFrame, network: Network, least: float) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose text has a language of which the network is as sure as ``least``."""
+    held = docs.sparkSession.sparkContext.broadcast(network)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, texts in text_steps(batch):
+                names, scores = held.value.predict(texts)
+                yield rows.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(chosen, docs.schema)
+
+
 def language_id(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred, score; held-out documents teach nothing."""
     found = detect(docs.select("doc_id", "text"), train(docs, ~held_out)).drop("text")

@@ -257,6 +257,78 @@ def test_url_templates_learn_from_labels(spark):
     assert url_templates.judge_urls(pages.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize("depth", [1, 4, 5, 9, 30])
+def test_url_templates_of_any_depth(spark, depth):
+    """Paths that differ at their last segment only; the labels below each other level are mixed."""
+    head = "/".join("abcdefgh"[k % 8] for k in range(depth))
+    rows = [f"http://deep.org/{head}/{kind}/{i}" for kind in ("spam", "news") for i in range(40)] + [f"http://deep.org/{head}/{kind}/later" for kind in ("spam", "news")]
+    rules = [url_templates.Rule(f"deep.org/{head}/{kind}/{i}", block=kind == "spam") for kind in ("spam", "news") for i in range(1, 10)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in url_templates.judge_urls(pages, rules).collect()}
+    assert [found[i] for i in range(len(rows))] == ["block" if "/spam/" in u else "allow" for u in rows]
+
+
+def slow_templates(rows):
+    """The same tree with dicts: purity of every (host, segments) given with its labels."""
+    z, branches, smoothing = url_templates.Z, url_templates.MAX_BRANCHES, url_templates.SMOOTHING
+    out = {}
+
+    def below(rows, level, purity):
+        for key, _ in rows:
+            out[key] = purity
+        rows = [(k, v) for k, v in rows if len(k[1]) > level]
+        if not any(v for _, v in rows):
+            return
+        wide = len({k[1][level] for k, _ in rows}) > branches
+        children = defaultdict(list)
+        for k, v in rows:
+            children["*" if wide else k[1][level]].append((k, v))
+        listed = []
+        for name, own in children.items():
+            n, b = sum(len(v) for _, v in own), sum(sum(v) for _, v in own)
+            listed.append((int(any(len(k[1]) > level + 1 for k, _ in own)), b / n if n else None, name, n, b, own))
+        listed.sort(key=lambda c: (c[0], c[1] is not None, c[1] or 0, c[2]))
+        merged = []
+        for shape, _, name, n, b, own in listed:
+            if merged and merged[-1][0] == shape and n and merged[-1][1]:
+                m, d = merged[-1][1:3]
+                share = (b + d) / (n + m)
+                if abs(b / n - d / m) <= z * (share * (1 - share) * (1 / n + 1 / m)) ** 0.5:
+                    merged[-1] = (shape, n + m, b + d, merged[-1][3] + own)
+                    continue
+            merged.append((shape, n, b, own))
+        for _, n, b, own in merged:
+            below(own, level + 1, (b + smoothing * purity) / (n + smoothing))
+
+    hosts = defaultdict(list)
+    for key, labels in rows.items():
+        hosts[key[0]].append((key, labels))
+    for own in hosts.values():
+        n, b = sum(len(v) for _, v in own), sum(sum(v) for _, v in own)
+        below(own, 0, (b + smoothing * url_templates.PRIOR) / (n + smoothing))
+    return out
+
+
+def test_url_purities_equal_a_tree_of_dicts(spark):
+    rng = np.random.default_rng(8)
+    words = ["news", "spam", "shop", "a1", "x", "", "b-2"] + [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(5) for j in range(10)]
+    rows = []
+    for i in range(1500):
+        path = "/".join(rng.choice(words, int(rng.integers(0, 7)), p=[0.1] * 7 + [0.3 / 50] * 50))
+        label = None if rng.random() < 0.4 else int(rng.random() < (0.9 if "spam" in path else 0.1))
+        rows.append((i, f"h{i % 4}", "/" + path, label))
+    frame = spark.createDataFrame(rows, "page_id long, host string, path string, label int")
+    urls = frame.withColumn("segments", url_templates._segments(F.col("path"))).withColumn("key", F.array_join("segments", "/"))
+    want = defaultdict(list)
+    for _, host, path, label in rows:
+        segments = tuple("*" if re.search("[0-9]", s) else s for s in path[1:].split("/"))
+        want[(host, segments)] += [] if label is None else [label]
+    found = {(r["host"], tuple(r["key"].split("/"))): r["purity"] for r in url_templates.template_scores(urls).collect()}
+    expected = slow_templates(dict(want))
+    assert set(found) == set(expected)
+    assert all(abs(found[k] - expected[k]) < 1e-9 for k in expected)
+
+
 # 5: BPE through words
 
 
@@ -453,12 +525,20 @@ def test_jaccard_components(spark, odd, empty, monkeypatch, small):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert bag(jaccard_join.jaccard_components(frame), *names) == components_of(rows)
     if small:
-        found = bag(jaccard_join.jaccard_components(odd.where("doc_id is not null")), *names)
-        assert found == components_of([r for r in texts_of(odd) if r[0] is not None])
-        assert jaccard_join.jaccard_components(odd).count() == odd.count()
+        assert bag(jaccard_join.jaccard_components(odd), *names) == components_of(texts_of(odd))
         assert jaccard_join.jaccard_components(empty).count() == 0
 
 
+def test_rows_of_one_id_are_in_the_classes_of_their_texts(spark):
+    text = lambda name, *changed: " ".join("new" if i in changed else f"{name}{i}" for i in range(60))
+    rows = [(5, text("a")), (2, text("a", 0)), (5, text("b")), (8, text("b", 0)), (None, text("c")), (9, text("c", 0)), (None, text("d")), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("doc_id", "n_shingles", "component_id")
+    found = bag(jaccard_join.jaccard_components(frame), *names)
+    assert found == components_of(rows)
+    assert found[(8, 56, 5)] == 1 and found[(5, 56, 2)] == 1 and found[(None, 56, 9)] == 1 and found[(None, 56, None)] == 1
+
+
 def test_tree_finds_all_pairs_of_the_bound():
     rng = np.random.default_rng(0)
     points = rng.poisson(1.0, (300, jaccard_join.GROUPS)).astype(np.uint16)
@@ -546,6 +626,55 @@ def test_language_of_held_out_documents(spark, sf_dir, documents):
     assert found.where("score between 0 and 1").count() == documents.count()
 
 
+def test_marks_and_digits_are_no_letters(spark):
+    texts = ["½ ² Ⅷ", "①", "٣", "", None, "___ 12", "ª", "ь"]
+    rows = [(i, t, None) for i, t in enumerate(texts)] + [(100 + i, "plain words of a text", "en") for i in range(20)] + [(200, "kaksi sanaa vain", "fi")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = byte_cnn.train(docs, F.lit(True))
+    # a rare language is learned too
+    assert network.languages == ["en", "fi"]
+    found = {r["doc_id"]: r["lang_pred"] for r in byte_cnn.detect(docs, network).collect()}
+    assert {i for i in range(len(texts)) if found[i] == "und"} == {i for i, t in enumerate(texts) if not any(c.isalpha() for c in t or "")}
+
+
+def test_rare_languages_have_their_turn(spark, monkeypatch):
+    monkeypatch.setattr(byte_cnn, "MAX_TRAIN", 10)
+    rows = [(i, f"words {i}", "en") for i in range(500)] + [(1000 + i, f"sanat {i}", "fi") for i in range(3)]
+    seen = []
+    monkeypatch.setattr(byte_cnn, "fit", lambda texts, labels: seen.extend(labels))
+    byte_cnn.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert Counter(seen) == {"en": 7, "fi": 3}
+
+
+def slow_probabilities(net, text):
+    """The network window by window, place by place, filter by filter."""
+    folded = [byte_cnn._FOLD[b] for b in text] or []
+    total = np.zeros(len(net.languages))
+    pieces = range(0, max(1, len(text)), byte_cnn.WINDOW_BYTES)
+    for low in pieces:
+        window = (folded[low : low + byte_cnn.WINDOW_BYTES] + [32] * byte_cnn.WINDOW_BYTES)[: byte_cnn.WINDOW_BYTES]
+        vectors = [net.embedding[b] for b in window]
+        peaks = []
+        for f in range(net.kernels.shape[1]):
+            width = byte_cnn.WIDTHS[f // byte_cnn.FILTERS]
+            kernel = net.kernels[: width * byte_cnn.EMBEDDING, f].reshape(width, -1)
+            places = range(byte_cnn.WINDOW_BYTES - max(byte_cnn.WIDTHS) + 1)
+            peaks.append(max(sum(float(vectors[p + k] @ kernel[k]) for k in range(width)) for p in places))
+        hidden = np.maximum(np.array(peaks) + net.kernel_bias, 0)
+        odds = np.exp(hidden @ net.dense + net.dense_bias)
+        total += odds / odds.sum()
+    return total / len(pieces)
+
+
+def test_network_equals_a_plain_one():
+    texts = ["the words of a short text", "die Wörter eines Textes über Größe " * 8, "1 2 x"]
+    net = byte_cnn.fit([t.encode() for t in texts[:2]] * 4, ["en", "de"] * 4)
+    names, scores = net.predict([t.encode() for t in texts])
+    for text, name, score in zip(texts, names, scores):
+        odds = slow_probabilities(net, text.encode())
+        assert name == net.languages[int(odds.argmax())] and abs(score - odds.max()) < 1e-4
+
+
 def test_language_of_odd_rows(spark, odd, empty):
     held = id_crc() % 3 == 1
     found = byte_cnn.language_id(odd, held)
@@ -589,10 +718,40 @@ def test_pipeline_stages(spark, sf_dir, documents):
         before = after
 
 
+def test_near_copies_are_judged_row_by_row(spark):
+    text = lambda name, *changed: " ".join("new" if i in changed else f"{name}{i}" for i in range(60))
+    rows = [(1, text("a")), (5, text("a", 0)), (5, text("b")), (5, text("b")), (7, text("c")), (7, text("d")), (None, text("e")), (None, text("e", 0)), (None, text("f"))]
+    rows += [(None, text("f")), (2, ""), (2, ""), (3, None), (9, text("e"))]
+    clashing = ["_id", "_key", "_runs", "_found", "_hash1", "__hash1", "_doc_id", "group", "wins", "score", "lang_pred", "others", "_text", "row", "fp", "rep"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars"), *[F.lit("x").alias(c) for c in clashing]
+    )
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, None)
+    assert kept.columns == docs.columns
+    want = [(1, text("a")), (5, text("b")), (7, text("c")), (7, text("d")), (9, text("e")), (None, text("f")), (2, ""), (2, ""), (3, None)]
+    assert Counter(texts_of(kept)) == Counter(want)
+    cut = corpus_pipeline.cut_repeated_passages(spark, docs, None)
+    assert cut.columns == docs.columns and cut.where("others <> 'x' OR _key <> 'x'").count() == 0
+
+
 def test_pipeline_of_odd_rows(spark, odd, sf_dir):
-    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    docs, columns = odd, odd.columns
+    for name, stage_of in corpus_pipeline.STAGES:
+        before, docs = docs, stage_of(spark, docs, sf_dir)
+        if name == "language_id":
+            assert {t for _, t in texts_of(docs)} <= {t for t in ODD_TEXTS if any(c.isalpha() for c in t or "")}
+        elif name == "jaccard_join":
+            groups = defaultdict(list)
+            for d, _, c in components_of(texts_of(before)).elements():
+                groups[c].append(d)
+            assert docs.count() == len([g for g in groups if g is not None]) + sum(c is None for c in groups)
+        if name != "bpe":
+            assert docs.columns == columns and docs.where("score <> 'x' OR fp <> 'x'").count() == 0
+    assert docs.count() == before.count() > 0
+
+
+def test_pipeline_of_an_empty_table(spark, documents, sf_dir):
+    docs = documents.limit(0)
     for _, stage_of in corpus_pipeline.STAGES:
         docs = stage_of(spark, docs, sf_dir)
-    rows = docs.collect()
-    ids = [r["doc_id"] for r in rows if r["doc_id"] is not None]
-    assert len(ids) == len(set(ids)) and None in {r["doc_id"] for r in rows}
+        assert docs.count() == 0
