@@ -68,8 +68,10 @@ def _repeat_words(prepared: DataFrame) -> DataFrame:
     """
     count = F.size("words")
     starts = F.when(count >= WINDOW, F.sequence(F.lit(1), count - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, WINDOW)))
-    hashed = prepared.withColumn("_hashes", hashes)
+    # words are hashed once each, windows from the hashes of their words; what is used twice is computed in a step of its own
+    numbered = prepared.withColumn("_numbers", F.transform("words", lambda w: F.xxhash64(w)))
+    places = F.when(F.size("_numbers") >= WINDOW, F.sequence(F.lit(1), F.size("_numbers") - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
+    hashed = numbered.withColumn("_hashes", F.transform(places, lambda i: F.xxhash64(F.slice("_numbers", i, WINDOW)))).drop("_numbers")
     suspect = hashed.withColumn("_suspect", F.size(F.array_distinct("_hashes")) < F.size("_hashes")).drop("_hashes")
     window = lambda i: F.struct(F.array_join(F.slice("words", i, WINDOW), " ").alias("w"), i.alias("i"))
     nothing = F.array().cast("array<struct<w:string,i:int>>")
@@ -94,7 +96,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     counted = docs.withColumns({"words": _words(F.col("text")), "_lines": lines}).withColumns(
         {
             "n_words": F.size("words").cast("long"),
-            "word_chars": (F.length(text) - _dropped(text, _BLANKS)).cast("long"),
+            "word_chars": F.length(F.array_join("words", "")).cast("long"),
             "n_symbols": _dropped(text, SYMBOLS).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         }
