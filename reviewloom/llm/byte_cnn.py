@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.common import text_steps
+from reviewloom.llm.common import clean_worker, text_steps
 
 # Labelled texts that the training reads, at most, and windows of each.
 MAX_TRAIN = 3000
@@ -210,6 +210,7 @@ def known(docs: DataFrame, network: Network, least: float) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(network)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("byte_cnn")
         for batch in batches:
             for rows, texts in text_steps(batch):
                 names, scores = held.value.predict(texts)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,27 @@ _P_INVERSE = pow(_P, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+# What the operators keep in a Python worker for their next tasks, and how to drop it: by operator.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep_in_worker(operator: str, forget: Callable[[], None]) -> None:
+    _kept[operator] = forget
+
+
+def clean_worker(operator: str) -> None:
+    """Give back the memory that tasks of other operators left in this worker, which runs the tasks of a whole application."""
+    for other, forget in _kept.items():
+        if other != operator:
+            forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # freed blocks of numpy stay with the C library until it is told; not every C library can be
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import BLANKS, Words, mixed, text_steps
+from reviewloom.llm.common import BLANKS, Words, clean_worker, mixed, text_steps
 from reviewloom.llm.components import connected
 from reviewloom.llm.substring_dedup import ProbeFilter, packed_rows, unpacked
 from reviewloom.session import stage
@@ -96,6 +96,7 @@ def _sets(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
     names = ["doc_id", *carry]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("jaccard_join")
         for batch in batches:
             for rows, texts in text_steps(batch):
                 arrays = map(pa.array, fingerprints(*shingles(texts), len(texts)))
@@ -116,6 +117,7 @@ def _repeated_shingles(docs: DataFrame, total: int) -> tuple[ProbeFilter, np.nda
     out = ProbeFilter(min(FILTER_SHIFT, max(4, (-(-total // BUCKET_POSTINGS) - 1).bit_length())))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("jaccard_join")
         for batch in batches:
             for _, texts in text_steps(batch):
                 text_of, hashes = shingles(texts)
@@ -165,6 +167,7 @@ def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndar
     held = spark.sparkContext.broadcast(repeated)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("jaccard_join")
         known, hot = held.value
         for batch in batches:
             for _, texts in text_steps(batch):
@@ -229,6 +232,7 @@ def _once_each(docs: DataFrame, wanted: DataFrame, kind: str, made: Callable[[np
     key = ["fp", "fp2", "n_shingles"]
 
     def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("jaccard_join")
         for batch in batches:
             for _, texts in text_steps(batch):
                 text_of, hashes = shingles(texts)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.common import mixed, prefix_hashes, span_hashes, text_steps
+from reviewloom.llm.common import clean_worker, mixed, prefix_hashes, span_hashes, text_steps
 from reviewloom.llm.suffix_grouping import suffix_array
 from reviewloom.session import stage
 
@@ -177,6 +177,7 @@ def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
     out = ProbeFilter(min(FILTER_BITS - 6, max(4, (-(-spans // TASK_ANCHORS) - 1).bit_length())))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(batch, limit=STEP_BYTES):
                 cut = Spans(texts)
@@ -345,6 +346,7 @@ def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFram
     names = ["spans", "anchors", "low", "high", "left", "length"]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(batch, limit=STEP_BYTES):
                 cut = Spans(texts)
@@ -374,6 +376,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(probes)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(batch, limit=STEP_BYTES):
                 cut = Spans(texts)
@@ -426,15 +429,18 @@ def _map_with_runs(docs: DataFrame, function: Callable[[pa.RecordBatch, list, li
         return batch.filter(pa.array(found == wanted))
 
     def to_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("substring_dedup")
         for batch in batches:
             yield marked(batch, True)
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(marked(batch, False)):
                 yield function(rows, texts, [[]] * len(texts))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(batch):
                 yield function(rows, texts, [merged(r) for r in rows.column("_runs").to_pylist()])

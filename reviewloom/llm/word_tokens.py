@@ -24,7 +24,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import text_steps
+from reviewloom.llm.common import keep_in_worker, text_steps
 from reviewloom.session import stage
 
 # Words of the table that every task holds, at most.
@@ -132,6 +132,14 @@ class _WordTable:
 _tables: dict[str, _WordTable] = {}
 
 
+def _forget() -> None:
+    _tables.clear()
+    _tokenizer.cache_clear()
+
+
+keep_in_worker("word_tokens", _forget)
+
+
 def _table_of(key: str, held: Broadcast, tokenizer_file: str) -> _WordTable:
     """The worker's table of a broadcast; a worker runs many tasks and keeps the last one."""
     if key not in _tables:
