@@ -70,8 +70,6 @@ class Spans:
             self.has_left = self.has_right = np.zeros(0, bool)
             self.left_probes = self.right_probes = np.zeros(0, np.uint64)
             return
-        if n > int(_POSITION):
-            raise ValueError("a step of texts is too long for its positions")
         sums = prefix_hashes(self.data)
         at = np.arange(n - ANCHOR + 1)
         anchors = span_hashes(sums, at, at + ANCHOR)
@@ -129,6 +127,20 @@ def unpacked(group: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(group.column(name).to_pylist()), kind)
 
 
+def text_pieces(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes], int]]:
+    """Slices of a batch, their texts, and where these begin in the whole texts.
+
+    A text above ``limit`` bytes comes in pieces that share ``LENGTH - 1`` bytes with the next, so every window is in one of them. A span that is cut
+    in two is two spans; its windows keep their anchor and their probes.
+    """
+    for rows, texts in text_steps(batch, limit=limit):
+        if len(texts) == 1 and len(texts[0]) > limit:
+            for at in range(0, len(texts[0]) - LENGTH + 1, limit):
+                yield rows, [texts[0][at : at + limit + LENGTH - 1]], at
+        else:
+            yield rows, texts, 0
+
+
 def _ids_of(rows: pa.RecordBatch) -> np.ndarray:
     return rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -179,7 +191,7 @@ def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean_worker("substring_dedup")
         for batch in batches:
-            for rows, texts in text_steps(batch, limit=STEP_BYTES):
+            for rows, texts, _ in text_pieces(batch, STEP_BYTES):
                 cut = Spans(texts)
                 ids = _ids_of(rows)[cut.text_of]
                 probes, ids = np.concatenate([cut.left_probes, cut.right_probes]), np.concatenate([ids[cut.has_left], ids[cut.has_right]])
@@ -348,7 +360,7 @@ def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFram
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean_worker("substring_dedup")
         for batch in batches:
-            for rows, texts in text_steps(batch, limit=STEP_BYTES):
+            for rows, texts, _ in text_pieces(batch, STEP_BYTES):
                 cut = Spans(texts)
                 kept = held.value.may_repeat(cut)
                 first, low, high = _distinct(cut, kept, _ids_of(rows)[cut.text_of])
@@ -378,11 +390,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean_worker("substring_dedup")
         for batch in batches:
-            for rows, texts in text_steps(batch, limit=STEP_BYTES):
+            for rows, texts, at in text_pieces(batch, STEP_BYTES):
                 cut = Spans(texts)
                 kept = held.value.may_repeat(cut)
                 text = pa.array(cut.text_of[kept])
-                arrays = [rows.column("doc_id").take(text), rows.column("key").take(text), pa.array(cut.place[kept]), pa.array(cut.hashes[kept].view(np.int64))]
+                arrays = [rows.column("doc_id").take(text), rows.column("key").take(text), pa.array(cut.place[kept] + at), pa.array(cut.hashes[kept].view(np.int64))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "place", "span"])
 
     keyed = known.withColumn("key", F.xxhash64("text"))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -588,8 +589,11 @@ def test_removed_bytes(documents, odd, empty):
     assert substring_dedup.removed_bytes(empty).count() == 0
 
 
-def test_removed_bytes_of_random_overlaps(spark, monkeypatch):
+@pytest.mark.parametrize("step", [substring_dedup.STEP_BYTES, 64, 7])
+def test_removed_bytes_of_random_overlaps(spark, monkeypatch, step):
+    """Also where every text is longer than a step and comes in pieces."""
     monkeypatch.setattr(substring_dedup, "SUFFIX_SPANS", 5)
+    monkeypatch.setattr(substring_dedup, "STEP_BYTES", step)
     rng = np.random.default_rng(5)
     pool = ["".join(rng.choice(list("abé "), int(rng.integers(30, 160)))) for _ in range(12)]
     rows = []
@@ -601,6 +605,18 @@ def test_removed_bytes_of_random_overlaps(spark, monkeypatch):
     assert bag(substring_dedup.removed_bytes(frame), *REMOVED) == removed_from(rows)
 
 
+@pytest.mark.parametrize("size", [0, 49, 50, 63, 64, 65, 113, 114, 500])
+def test_pieces_hold_every_window_once(size):
+    text = bytes(np.random.default_rng(size).integers(1, 255, size, dtype=np.uint8))
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([b"short", text, None, text], pa.binary())})
+    found = Counter()
+    for rows, texts, at in substring_dedup.text_pieces(batch, 64):
+        assert rows.num_rows == len(texts) and sum(map(len, texts)) <= 64 + 49
+        for piece in texts:
+            found.update((at + k, piece[k : k + 50]) for k in range(len(piece) - 49))
+    assert found == {(k, text[k : k + 50]): 2 for k in range(size - 49)}
+
+
 def test_suffix_array():
     rng = np.random.default_rng(2)
     for _ in range(300):
