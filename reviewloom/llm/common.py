@@ -72,9 +72,12 @@ def text_steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BY
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that all bits of a hash depend on all bits of its input."""
-    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return values ^ (values >> np.uint64(31))
+    values = values ^ (values >> np.uint64(30))
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    values ^= values >> np.uint64(27)
+    values *= np.uint64(0x94D049BB133111EB)
+    values ^= values >> np.uint64(31)
+    return values
 
 
 _powers_cache = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
@@ -103,6 +106,14 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[starts]) * scale[starts] + (ends - starts).astype(np.uint64))
 
 
+def window_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """``span_hashes`` of the spans of ``size`` bytes at every place."""
+    values = sums[size:] - sums[:-size]
+    values *= _powers("down", len(sums))[: len(values)]
+    values += np.uint64(size)
+    return mixed(values)
+
+
 class Words:
     """Words of some texts: hash and text number of each, in order.
 

@@ -8,7 +8,7 @@ some 1/18 as many spans as it has bytes.
 1. A window holds its anchor and at least 17 more bytes to its left or to its right. Where neither of these two strings of 33 bytes, the span's
    probes, is in another document, no window of the span repeats. Hashes of probes are counted in packed rows, and a bitmap of fixed size keeps those that may repeat.
 2. Spans with such a probe go to the task of their anchor, each distinct span of a step once, with the smallest and largest doc_id that has it.
-3. A task lines the spans of each anchor up and cuts them where any of them differ; the pieces become symbols. The suffix array of all the
+3. A task lines the spans of each anchor up and cuts them where any of them differ; the pieces become symbols. Symbols that only occur together are one. The suffix array of all the
    symbols, with the lengths of common prefixes, puts equal windows next to each other, and gives each window the smallest document that has it.
 4. What was found for a span is joined to all its occurrences, which stay rows of their own, so a span that a third of all documents share is no hot group.
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.common import clean_worker, mixed, prefix_hashes, span_hashes, text_steps
+from reviewloom.llm.common import clean_worker, mixed, prefix_hashes, span_hashes, text_steps, window_hashes
 from reviewloom.llm.suffix_grouping import suffix_array
 from reviewloom.session import stage
 
@@ -71,9 +71,9 @@ class Spans:
             self.left_probes = self.right_probes = np.zeros(0, np.uint64)
             return
         sums = prefix_hashes(self.data)
-        at = np.arange(n - ANCHOR + 1)
-        anchors = span_hashes(sums, at, at + ANCHOR)
-        low = (anchors & ~_POSITION) | at.astype(np.uint64)
+        anchors = window_hashes(sums, ANCHOR)
+        low = anchors & ~_POSITION
+        low |= np.arange(len(anchors), dtype=np.uint64)
         # minimum over PLACES neighbours by doubling
         width = 1
         while 2 * width <= PLACES:
@@ -81,17 +81,16 @@ class Spans:
             width *= 2
         if rest := PLACES - width:
             low = np.minimum(low[:-rest], low[rest:])
-        anchor_at = (low & _POSITION).astype(np.int64)
-        text_of = np.repeat(np.arange(len(texts)), sizes)
-        inside = np.arange(n - LENGTH + 1) + LENGTH <= ends[text_of[: n - LENGTH + 1]]
+        inside = np.arange(LENGTH, n + 1) <= np.repeat(ends, sizes)[: n - LENGTH + 1]
         change = np.ones(len(inside), bool)
-        change[1:] = (anchor_at[1:] != anchor_at[:-1]) | ~inside[:-1]
+        change[1:] = (low[1:] != low[:-1]) | ~inside[:-1]
         starts = np.flatnonzero(change & inside)
         closes = np.ones(len(inside), bool)
         closes[:-1] = change[1:] | ~inside[1:]
         lasts = np.flatnonzero(closes & inside)
-        where = anchor_at[starts]
-        self._set(np.stack([text_of[starts], starts, where - starts, lasts + LENGTH - starts, starts - (ends - sizes)[text_of[starts]]]), sums)
+        where = (low[starts] & _POSITION).astype(np.int64)
+        text_of = np.searchsorted(ends, starts, "right")
+        self._set(np.stack([text_of, starts, where - starts, lasts + LENGTH - starts, starts - (ends - sizes)[text_of]]), sums)
         self.anchors = anchors[where]
         self.has_left, self.has_right = self.left >= BESIDE, self.length - self.left >= ANCHOR + BESIDE
         self.left_probes = mixed(span_hashes(sums, where[self.has_left] - BESIDE, where[self.has_left] + ANCHOR) ^ np.uint64(1))
@@ -307,11 +306,19 @@ def _family_windows(lines, left, length, family, low, high) -> tuple[np.ndarray,
     last = np.append(line[1:] != line[:-1], True)
     stop[last] = end[line[last]]
     sums = prefix_hashes(lines.astype(np.uint8).reshape(-1))
-    pieces = span_hashes(sums, line * width + start, line * width + stop)
+    # a window holds its anchor, so a piece is told by its column and by all that is between the anchor and the piece's far end
+    near, far = line * width + np.minimum(start, middle), line * width + np.maximum(stop, middle)
+    pieces = span_hashes(sums, near, far) ^ mixed((head_of[line] * width + start).astype(np.uint64))
+    _, symbol, times = np.unique(pieces, return_inverse=True, return_counts=True)
+    # two pieces that only occur one behind the other are one
+    _, pair, pair_times = np.unique(symbol[:-1] * len(times) + symbol[1:], return_inverse=True, return_counts=True)
+    joined = ~last[:-1] & (pair_times[pair] == times[symbol[:-1]]) & (pair_times[pair] == times[symbol[1:]])
+    opens, closes = np.concatenate([[True], ~joined]), np.concatenate([~joined, [True]])
+    line, start, stop, symbol = line[opens], start[opens], stop[closes], symbol[opens]
     # a zero behind each line; the sequence of symbols and, beside it, what each stands for
     place = np.arange(len(line)) + line
     symbols = np.zeros(len(line) + count, np.int64)
-    symbols[place] = np.unique(pieces, return_inverse=True)[1] + 1
+    symbols[place] = symbol + 1
     piece_of = np.full(len(symbols), -1)
     piece_of[place] = np.arange(len(line))
     bytes_of = np.zeros(len(symbols), np.int64)
