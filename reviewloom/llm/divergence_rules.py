@@ -5,9 +5,9 @@ its histogram of character classes and its histogram of common words are compare
 Jensen-Shannon distance; a document far from every language goes. Short documents, and languages with
 little text, are not compared.
 
-References cover all documents: one aggregate of classes and one of words per language. They hold 7 shares and ``COMMON_WORDS`` words for every
-language with ``MIN_REFERENCE`` words, and meet the documents as one literal that is looped over, so the plan does not grow with the
-languages. Everything about a document is computed in its own row, without a shuffle.
+References cover all documents. One aggregate finds the ``COMMON_WORDS`` of every language with ``MIN_REFERENCE`` words; then each text is read once for
+all its counts, those of the common words included; the written counts give the 7 class shares of each language. The references meet the counts as one
+literal that is looped over, so the plan does not grow with the languages. Everything about a document is computed in its own row, without a shuffle.
 
 Cases: a null text has no words and fails the base rules; documents without lang are compared with all references; repeated rows are
 judged alike; ties between common words go to the smaller word; an empty table gives an empty one; other columns are ignored.
@@ -56,7 +56,7 @@ _CLASS_NAMES = [*CLASSES, "rest"]
 
 def _words(text: Column) -> Column:
     """Runs without ASCII white space; a null text has none."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), "^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$", "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _BLANKS))
 
 
@@ -68,10 +68,12 @@ def _repeat_words(prepared: DataFrame) -> DataFrame:
     """
     count = F.size("words")
     starts = F.when(count >= WINDOW, F.sequence(F.lit(1), count - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    # words are hashed once each, windows from the hashes of their words; what is used twice is computed in a step of its own
-    numbered = prepared.withColumn("_numbers", F.transform("words", lambda w: F.xxhash64(w)))
-    places = F.when(F.size("_numbers") >= WINDOW, F.sequence(F.lit(1), F.size("_numbers") - (WINDOW - 1))).otherwise(F.array().cast("array<int>"))
-    hashed = numbered.withColumn("_hashes", F.transform(places, lambda i: F.xxhash64(F.slice("_numbers", i, WINDOW)))).drop("_numbers")
+    # words are hashed once each, then pairs of neighbours to windows of 2, 4 and 8 words
+    hashed = prepared.withColumn("_hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    for width in (1, 2, 4):
+        left = F.greatest(F.size("_hashes") - width, F.lit(0))
+        pairs = F.zip_with(F.slice("_hashes", 1, left), F.slice("_hashes", width + 1, left), lambda a, b: F.xxhash64(a, b))
+        hashed = hashed.withColumn("_hashes", pairs)
     suspect = hashed.withColumn("_suspect", F.size(F.array_distinct("_hashes")) < F.size("_hashes")).drop("_hashes")
     window = lambda i: F.struct(F.array_join(F.slice("words", i, WINDOW), " ").alias("w"), i.alias("i"))
     nothing = F.array().cast("array<struct<w:string,i:int>>")
@@ -90,14 +92,13 @@ def _dropped(text: Column, runs: str) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to ``text``."""
+    """Adds ``words``, n_words, word_chars, n_dup_lines, n_repeat_words and base_failed to ``text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_VISIBLE))
     counted = docs.withColumns({"words": _words(F.col("text")), "_lines": lines}).withColumns(
         {
             "n_words": F.size("words").cast("long"),
             "word_chars": F.length(F.array_join("words", "")).cast("long"),
-            "n_symbols": _dropped(text, SYMBOLS).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         }
     )
@@ -107,40 +108,39 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 
 def _with_class_counts(rows: DataFrame) -> DataFrame:
-    """Adds the number of characters of each class in ``text``.
+    """Adds n_symbols and the number of characters of each class in ``text``.
 
-    Each class is taken out of what the ones before left, so only the first, most frequent one reads the whole text.
+    Each class is taken out of what the ones before left, so only the first, most frequent one reads the whole text. No class takes
+    a symbol, so the symbols are counted in what is left at the end.
     """
     rows = rows.withColumn("_left", F.coalesce(F.col("text"), F.lit("")))
     for name, pattern in CLASSES.items():
         rows = rows.withColumn("_rest", F.regexp_replace("_left", pattern + "+", ""))
         rows = rows.withColumn(name, (F.length("_left") - F.length("_rest")).cast("long")).drop("_left").withColumnRenamed("_rest", "_left")
-    return rows.withColumn("rest", F.length("_left").cast("long")).drop("_left")
+    return rows.withColumns({"rest": F.length("_left").cast("long"), "n_symbols": _dropped(F.col("_left"), SYMBOLS).cast("long")}).drop("_left")
 
 
-def references(docs: DataFrame) -> list[dict]:
-    """Per language with enough words: share of each character class and of each common word."""
-    labelled = docs.where(F.col("lang").isNotNull())
-    words = labelled.select("lang", F.explode(_words(F.col("text"))).alias("word"))
-    by_word = stage(words.groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n")), "language-words")
+def common_words(docs: DataFrame) -> dict[str, dict[str, float]]:
+    """Per language with enough words: its common words with their shares. Larger languages come first."""
+    words = docs.where(F.col("lang").isNotNull()).select("lang", F.explode(_words(F.lower("text"))).alias("word"))
+    by_word = stage(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "language-words")
     enough = by_word.groupBy("lang").agg(F.sum("n").alias("n_words")).where(F.col("n_words") >= MIN_REFERENCE)
-    enough = enough.orderBy(F.desc("n_words"), "lang").collect()
-    names = [r["lang"] for r in enough]
-    sums = [F.sum(name).alias(name) for name in _CLASS_NAMES]
-    classes = {r["lang"]: r for r in _with_class_counts(labelled.where(F.col("lang").isin(names))).groupBy("lang").agg(*sums).collect()}
+    sizes = {r["lang"]: r["n_words"] for r in enough.orderBy(F.desc("n_words"), "lang").collect()}
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    placed = by_word.where(F.col("lang").isin(names)).withColumn("place", F.row_number().over(by_count))
-    common = defaultdict(dict)
+    placed = by_word.where(F.col("lang").isin(list(sizes))).withColumn("place", F.row_number().over(by_count))
+    out: dict[str, dict[str, float]] = {lang: {} for lang in sizes}
     for row in placed.where(F.col("place") <= COMMON_WORDS).collect():
-        common[row["lang"]][row["word"]] = row["n"]
-    out = []
-    for row in enough:
-        letters = sum(classes[row["lang"]][name] for name in _CLASS_NAMES)
-        shares = {word: n / row["n_words"] for word, n in common[row["lang"]].items()}
-        out.append({"lang": row["lang"], "classes": [classes[row["lang"]][name] / letters for name in _CLASS_NAMES], "words": shares})
+        out[row["lang"]][row["word"]] = row["n"] / sizes[row["lang"]]
     return out
 
 
+def class_shares(measured: DataFrame, languages: list[str]) -> dict[str, list[float]]:
+    """Share of each character class in all texts of each language."""
+    sums = [F.sum(name).alias(name) for name in _CLASS_NAMES]
+    rows = measured.where(F.col("lang").isin(languages)).groupBy("lang").agg(*sums).collect()
+    return {r["lang"]: [r[name] / sum(r[n] for n in _CLASS_NAMES) for name in _CLASS_NAMES] for r in rows}
+
+
 def _part(p: Column, q: Column) -> Column:
     """What a bin adds to twice the divergence: p log p/m + q log q/m, with 0 log 0 = 0."""
     m = (p + q) / 2
@@ -196,7 +196,7 @@ def _word_distance(known: Column) -> tuple[Column, Column]:
 def _with_runs(rows: DataFrame, listed: list[str]) -> DataFrame:
     """Adds ``_runs``: place in ``listed`` and count of every listed word in ``words``."""
     hits = F.array_sort(F.filter(F.transform("words", F.lower), lambda w: w.isin(listed)))
-    place = F.array(*map(F.lit, listed))
+    place = F.array(*map(F.lit, listed)).cast("array<string>")
     rows = rows.withColumn("_hits", hits)
     begins = F.filter(F.sequence(F.lit(0), F.size("_hits")), lambda i: (i == 0) | (F.get(F.col("_hits"), i) != F.get(F.col("_hits"), i - 1)))
     rows = rows.withColumn("_begins", F.when(F.size("_hits") > 0, begins).otherwise(F.array().cast("array<int>")))
@@ -211,21 +211,23 @@ def divergence_rules(docs: DataFrame) -> DataFrame:
     The distances, to the nearest reference each, are null where a document is not compared; then the base rules decide alone.
     """
     source = docs.select("doc_id", "lang", "text")
-    found = references(source)
-    counted = _with_class_counts(base_counts(source)).drop("text")
-    if found:
-        compared = (F.col("n_words") >= MIN_COMPARED) & (F.col("lang").isNull() | F.col("lang").isin([r["lang"] for r in found]))
-        listed = sorted({word for r in found for word in r["words"]})
-        runs = _with_runs(counted, listed)
-        known = _literal(found, listed)
+    words = common_words(source)
+    listed = sorted({word for of in words.values() for word in of})
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    counted = _with_runs(_with_class_counts(base_counts(source)), listed)
+    # written, so that no text is read again for the class shares
+    measured = stage(counted.select("doc_id", "lang", *counts, *_CLASS_NAMES, "_runs"), "measured")
+    if words:
+        classes = class_shares(measured, list(words))
+        compared = (F.col("n_words") >= MIN_COMPARED) & (F.col("lang").isNull() | F.col("lang").isin(list(words)))
+        known = _literal([{"classes": classes[lang], "words": of} for lang, of in words.items()], listed)
         gains, word_distance = _word_distance(known)
         nearest = {"class_distance": F.least(F.lit(1.0), _class_distance(known)), "word_distance": F.least(F.lit(1.0), word_distance)}
-        measured = runs.withColumn("_gains", F.when(compared, gains))
+        measured = measured.withColumn("_gains", F.when(compared, gains))
         judged = measured.withColumns({name: F.when(compared, distance) for name, distance in nearest.items()})
     else:
-        judged = counted.withColumns({name: F.lit(None).cast("double") for name in ("class_distance", "word_distance")})
+        judged = measured.withColumns({name: F.lit(None).cast("double") for name in ("class_distance", "word_distance")})
     far = (F.col("class_distance") > MAX_CLASS_DISTANCE) | (F.col("word_distance") > MAX_WORD_DISTANCE)
     judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     # written, so that a filter on the result is not pushed into the nested expressions above
     return stage(judged.select("doc_id", *counts, "kept", "class_distance", "word_distance"), "quality")
