@@ -8,10 +8,14 @@ in a global order can be similar; the order puts shingles that several classes h
 2. Blocks whose classes have several labels are joined by a count-vector R-tree: shingles are hashed into ``GROUPS`` groups, a class is the
    point of its counts per group, and a node holds the maxima below it. The overlap of two classes, or of anything below two nodes, is at most the summed minima of
    their coordinates; node pairs whose bound is too small, or that have one label, are not entered. A block that is too
-   large for a task is dealt into tiles, and every pair of tiles is a task.
-3. Surviving pairs are bound once more by points of as many groups as they have shingles, verified by their shingles, and the links joined into components.
-
-No link between classes is lost by this: pairs of one label need no comparison to stay together. Shingles are 64-bit hashes. Postings travel in packed rows; those of
+   large for a task is dealt into tiles, and every pair of tiles is a task. A pair belongs to the first of its common blocks, as far as the first
+   ``SKETCH`` blocks of both classes tell, and only that one gives it.
+3. A block first gives a forest: of the pairs that may be similar, those that do not close a circle. They are bound once more by points of as many
+   groups as they have shingles, verified by their shingles, and the links joined into components, which are the new labels. Blocks of which a pair was refuted
+   go on, after ``FORESTS`` rounds with all their pairs of different labels.
+
+No link between classes is lost by this: pairs of one label need no comparison to stay together, and a block goes on until each of its pairs is
+verified, refuted, or joined by verified ones. Shingles are 64-bit hashes. Postings travel in packed rows; those of
 very frequent shingles are spread by class.
 
 Cases: documents without words, or null, have no shingles and stay alone; fewer than five words are one shingle; repeated rows and ids are rows of their
@@ -20,7 +24,7 @@ own, in the class of their text; null ids count only where no other id is in the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,10 @@ GROUPS = 256
 LEAF = 32
 TILE = 2048
 
+# Blocks of a class that tell which block a pair belongs to, and rounds in which blocks give forests only.
+SKETCH = 16
+FORESTS = 1
+
 _MOST = np.iinfo(np.uint16).max
 
 # Postings of a task, frequent shingles that every task knows, and the largest number of the bitmap's segments, as a power of two.
@@ -212,24 +220,28 @@ def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndar
     return stage(rows.groupBy("bucket").applyInArrow(shared, "shingle long, fp long"), "shared-shingles")
 
 
-def _filter_bits(fps: DataFrame) -> np.ndarray:
-    """A bitmap of the fingerprints' first bits: of fixed size, whatever their number."""
+def _bit_words(values: DataFrame) -> DataFrame:
+    """word, bits: a bitmap of the first bits of ``fp``, of fixed size, whatever the number of rows."""
     bits = F.shiftrightunsigned("fp", 64 - FILTER_BITS)
-    words = fps.groupBy(F.shiftright(bits, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - FILTER_BITS}) & 63 as int))")).alias("bits"))
+    marks = F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - FILTER_BITS}) & 63 as int))"))
+    return values.groupBy(F.shiftright(bits, 6).alias("word")).agg(marks.alias("bits"))
+
+
+def _filter_bits(fps: DataFrame) -> np.ndarray:
+    """The bitmap of the fingerprints as an array."""
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    found = words.toArrow()
+    found = _bit_words(fps).toArrow()
     out[found.column("word").to_numpy().astype(np.int64)] = found.column("bits").to_numpy()
     return out
 
 
-def _once_each(docs: DataFrame, wanted: DataFrame, kind: str, made: Callable[[np.ndarray], np.ndarray], label: str) -> DataFrame:
-    """rep, n and what ``made`` gives for the shingles of each class in ``wanted`` (fp, fp2, n_shingles, rep), once.
+def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, n, point, fine and shingles of each class in ``wanted`` (fp, fp2, n_shingles, rep), once.
 
     The texts are read where they lie; only rows that the bitmap lets pass are moved.
     """
     held = docs.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
-    arrow = pa.binary() if kind == "binary" else pa.list_(pa.int64())
-    key = ["fp", "fp2", "n_shingles"]
+    key, made = ["fp", "fp2", "n_shingles"], ["point", "fine", "shingles"]
 
     def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         clean_worker("jaccard_join")
@@ -241,15 +253,16 @@ def _once_each(docs: DataFrame, wanted: DataFrame, kind: str, made: Callable[[np
                 maybe = (held.value[(bits >> np.uint64(6)).astype(np.int64)].view(np.uint64) >> (bits & np.uint64(63))) & np.uint64(1) > 0
                 chosen = np.flatnonzero(maybe & _first_of_each(fp) & (sizes > 0))
                 cut = np.searchsorted(text_of, np.arange(len(texts) + 1))
-                for low in range(0, len(chosen), 256):
-                    part = chosen[low : low + 256]
-                    values = [made(hashes[cut[t] : cut[t + 1]]) for t in part]
-                    values = [v.tobytes() for v in values] if kind == "binary" else values
-                    yield pa.RecordBatch.from_arrays([*(pa.array(x[part]) for x in (fp, fp2, sizes)), pa.array(values, arrow)], [*key, "made"])
+                for low in range(0, len(chosen), 64):
+                    part = chosen[low : low + 64]
+                    sets = [hashes[cut[t] : cut[t + 1]] for t in part]
+                    points = [pa.array([f(s).tobytes() for s in sets], pa.binary()) for f in (point, fine_point)]
+                    lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x[part]) for x in (fp, fp2, sizes)), *points, lists], [*key, *made])
 
-    rows = docs.select("text").mapInArrow(picked, f"fp long, fp2 long, n_shingles long, made {kind}")
-    once = rows.groupBy(*key).agg(F.first("made").alias("made")).join(wanted, key)
-    return stage(once.select("rep", F.col("n_shingles").alias("n"), "made"), label)
+    rows = docs.select("text").mapInArrow(picked, "fp long, fp2 long, n_shingles long, point binary, fine binary, shingles array<long>")
+    once = rows.groupBy(*key).agg(*[F.first(c).alias(c) for c in made]).join(wanted, key)
+    return stage(once.select("rep", F.col("n_shingles").alias("n"), *made), "class-sets")
 
 
 def point(hashes: np.ndarray) -> np.ndarray:
@@ -274,12 +287,13 @@ def fine_overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class Node:
-    """A node of the R-tree: maxima of its points, range of their sizes, and their label if they have one only."""
+    """A node of the R-tree: maxima of its points, range of their sizes, their label if they have one only, and the earlier blocks that all of them are in."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, members: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, members: np.ndarray, earlier: Sequence[frozenset] | None = None):
         self.members = members
         self.high = points[members].max(0)
         self.smallest, self.largest = int(sizes[members].min()), int(sizes[members].max())
+        self.earlier = frozenset.intersection(*[earlier[m] for m in members]) if earlier else frozenset()
         own = labels[members]
         self.label = int(own[0]) if (own == own[0]).all() else None
         self.children: list[Node] = []
@@ -293,31 +307,47 @@ class Node:
                 low = points[members].min(0)
                 order = members[np.argsort(points[members, (self.high - low).argmax()], kind="stable")]
                 middle = len(order) // 2
-            self.children = [Node(points, sizes, labels, part) for part in (order[:middle], order[middle:])]
+            self.children = [Node(points, sizes, labels, part, earlier) for part in (order[:middle], order[middle:])]
 
 
-def candidate_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs of different labels whose overlap may be enough. ``side`` (0, 1) asks for pairs across the sides only."""
+def candidate_pairs(
+    points: np.ndarray,
+    sizes: np.ndarray,
+    labels: np.ndarray,
+    side: np.ndarray | None = None,
+    earlier: Sequence[frozenset] | None = None,
+    forest: bool = False,
+) -> list[tuple[int, int]]:
+    """Pairs of different labels whose overlap may be enough. ``side`` (0, 1) asks for pairs across the sides only.
+
+    Pairs that share one of their ``earlier`` blocks are left to it. ``forest`` leaves out pairs between which the pairs found before them make a path.
+    """
     if len(points) < 2:
         return []
     everything = np.arange(len(points))
     if side is None:
-        root = Node(points, sizes, labels, everything)
+        root = Node(points, sizes, labels, everything, earlier)
         waiting = [(root, root)]
     else:
         parts = [everything[side == s] for s in (0, 1)]
         if not len(parts[0]) or not len(parts[1]):
             return []
-        waiting = [tuple(Node(points, sizes, labels, p) for p in parts)]
+        waiting = [tuple(Node(points, sizes, labels, p, earlier) for p in parts)]
+    joined = np.array(labels)
     out: list[tuple[int, int]] = []
     while waiting:
         a, b = waiting.pop()
         if a.label is not None and a.label == b.label or 4 * a.largest < 3 * b.smallest or 4 * b.largest < 3 * a.smallest:
             continue
+        if not a.earlier.isdisjoint(b.earlier):
+            continue
         if 7 * int(np.minimum(a.high, b.high).sum(dtype=np.int64)) < 3 * (a.smallest + b.smallest):
             continue
+        if forest and (joined[a.members] == joined[b.members[0]]).all() and (joined[b.members] == joined[b.members[0]]).all():
+            continue
         if a is b and a.children:
-            waiting += [(a.children[0], a.children[0]), (a.children[1], a.children[1]), (a.children[0], a.children[1])]
+            # the halves come before what lies between them: what they join is not looked at again
+            waiting += [(a.children[0], a.children[1]), (a.children[1], a.children[1]), (a.children[0], a.children[0])]
         elif a.children and (not b.children or len(a.members) >= len(b.members)):
             waiting += [(child, b) for child in a.children]
         elif b.children:
@@ -325,33 +355,44 @@ def candidate_pairs(points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, s
         else:
             for i in a.members:
                 others = b.members[b.members > i] if a is b else b.members
+                others = others[joined[others] != joined[i]]
                 overlap = np.minimum(points[i], points[others]).sum(1, dtype=np.int64)
-                fits = (labels[others] != labels[i]) & (7 * overlap >= 3 * (sizes[i] + sizes[others]))
-                out += [(int(i), int(j)) for j in others[fits]]
+                near = 7 * overlap - 3 * (sizes[i] + sizes[others])
+                # the likeliest first, so that a forest has few pairs that are refuted
+                order = np.argsort(-near, kind="stable")
+                for j in others[order[near[order] >= 0]]:
+                    if forest and joined[i] == joined[j] or earlier and not earlier[i].isdisjoint(earlier[j]):
+                        continue
+                    out.append((int(i), int(j)))
+                    if forest:
+                        joined[joined == joined[j]] = joined[i]
     return out
 
 
-def _tree_pairs(rows: DataFrame) -> DataFrame:
-    """a, b: candidate pairs of each block in ``rows`` (shingle, rep, label, n, point, tiles)."""
+def _tree_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """shingle, a, b: candidate pairs of each block in ``rows`` (shingle, rep, label, n, point, earlier, tiles), a forest of them in early turns."""
 
     def pairs(group: pa.Table) -> pa.Table:
+        # another order, and so another forest, each turn
+        group = group.take(pa.array(np.random.default_rng(turn).permutation(len(group))))
         points = np.frombuffer(b"".join(group.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
         n, label, rep, tile = (group.column(c).to_numpy() for c in ("n", "label", "rep", "tile"))
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        found = candidate_pairs(points, n, label, None if i == j else (tile == j).astype(int))
+        shingle, i, j = (group.column(c)[0].as_py() for c in ("shingle", "i", "j"))
+        earlier = [frozenset(e) for e in group.column("earlier").to_pylist()]
+        found = candidate_pairs(points, n, label, None if i == j else (tile == j).astype(int), earlier, turn < FORESTS)
         a, b = (np.array([rep[p[k]] for p in found], np.int64) for k in (0, 1))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pa.table({"shingle": np.full(len(found), shingle, np.int64), "a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     # a member of tile t meets all tiles: the pairs (t, k) and (k, t)
     dealt = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.withColumns({"i": F.least("tile", "k").cast("long"), "j": F.greatest("tile", "k").cast("long"), "tile": F.col("tile").cast("long")})
-    narrow = dealt.select("shingle", "i", "j", "tile", "rep", "label", "n", "point")
-    return narrow.groupBy("shingle", "i", "j").applyInArrow(pairs, "a long, b long")
+    narrow = dealt.select("shingle", "i", "j", "tile", "rep", "label", "n", "point", "earlier")
+    return narrow.groupBy("shingle", "i", "j").applyInArrow(pairs, "shingle long, a long, b long")
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sizes and fine points leave them a chance."""
-    sides = [points.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("made").alias(f"p{s}")) for s in "ab"]
+    sides = [points.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("fine").alias(f"p{s}")) for s in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na").select("a", "b", "na", "nb", "pa", "pb")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,16 +405,54 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return both.mapInArrow(kept, "a long, b long")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar. Only the sets of their classes are made."""
-    either = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    wanted = stage(classes.join(either, "rep", "left_semi").drop("first_id"), f"{label}-classes")
-    sets = _once_each(docs, wanted, "array<long>", lambda hashes: hashes.view(np.int64), f"{label}-sets")
-    sides = [sets.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("made").alias(f"s{s}")) for s in "ab"]
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sets are similar. Sets that the bitmap of their classes leaves out are not moved."""
+    place, at = f"shiftrightunsigned(xxhash64(rep), {64 - FILTER_BITS})", f"cast(shiftrightunsigned(xxhash64(rep), {64 - FILTER_BITS}) & 63 as int)"
+    either = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep")))
+    words = F.broadcast(_bit_words(either.select(F.xxhash64("rep").alias("fp"))))
+    maybe = sets.select("rep", "n", "shingles", F.expr(f"shiftright({place}, 6)").alias("word")).join(words, "word").where(f"shiftright(bits, {at}) & 1 = 1")
+    sides = [maybe.select(F.col("rep").alias(s), F.col("n").alias(f"n{s}"), F.col("shingles").alias(f"s{s}")) for s in "ab"]
     overlap = F.size(F.array_intersect("sa", "sb"))
     return pairs.join(sides[0], "a").join(sides[1], "b").where(7 * overlap >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
+def _relabelled(blocks: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members of blocks with the labels of ``groups`` (node, root); classes in no group are their own."""
+    return blocks.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("root", "rep")).drop("root")
+
+
+def _linked(blocks: DataFrame, sets: DataFrame, near: DataFrame) -> DataFrame:
+    """node, root of the classes that links join, from the blocks (shingle, rep) and what is joined already."""
+    labelled = stage(_relabelled(blocks, near), "labelled-blocks")
+    # blocks of the same members are one; their sums of hashes tell
+    marks = [F.sum(F.xxhash64("rep", F.lit(k)).cast("decimal(20,0)")).alias(f"mark{k}") for k in (0, 1)]
+    mixed_blocks = labelled.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m"), *marks).where("l <> h")
+    single = mixed_blocks.groupBy("m", "mark0", "mark1").agg(F.min("shingle").alias("shingle"))
+    single = single.select("shingle", F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
+    members = stage(labelled.drop("label").join(single, "shingle"), "mixed-blocks")
+    first = members.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, SKETCH).alias("first"))
+    classes = stage(first.join(sets.select("rep", "n", "point"), "rep"), "members")
+    tried: DataFrame | None = None
+    for turn in range(FORESTS + 1):
+        rows = _relabelled(members, near).join(classes, "rep").withColumn("earlier", F.filter("first", lambda s: s < F.col("shingle"))).drop("first")
+        given = stage(_tree_pairs(rows, turn), "tree-pairs")
+        pairs = given.select("a", "b").distinct()
+        new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        links = stage(_verified(sets, stage(_bounded(new, sets), "likely-pairs")), "links")
+        near = stage(connected(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(near.select(F.col("node").alias("u"), F.col("root").alias("v")))), "components")
+        if turn == FORESTS:
+            break
+        tried = pairs if tried is None else tried.union(new)
+        # where all pairs of a forest are joined, so is what they left out
+        root = lambda c: near.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+        apart = given.join(root("a"), "a", "left").join(root("b"), "b", "left").where(~F.coalesce("root_a", "a").eqNullSafe(F.coalesce("root_b", "b")))
+        left = stage(apart.select("shingle").distinct(), "refuted-blocks")
+        if left.isEmpty():
+            break
+        members = stage(members.join(left, "shingle", "left_semi"), "mixed-blocks")
+    return near
+
+
 def similar_classes(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(doc_id, carried columns, n_shingles, rep) of every row, and (rep, first_id, label) of every class; both from staged tables.
 
@@ -388,26 +467,13 @@ def similar_classes(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFra
     shared = _blocks(docs, total // 4, _repeated_shingles(docs, total))
     blocks = stage(shared.join(reps.select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
     wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi").drop("first_id")
-    both = _once_each(docs, stage(wanted, "block-classes"), "binary", lambda x: np.concatenate([point(x).view(np.uint8), fine_point(x)]), "points")
-    points = both.select("rep", "n", F.substring("made", 1, 2 * GROUPS).alias("made"))
-    fine = both.select("rep", "n", F.expr(f"substring(made, {2 * GROUPS + 1})").alias("made"))
+    class_sets = _class_sets(docs, stage(wanted, "block-classes"))
     # one comparison a class: with the smallest class of all its blocks
     centres = blocks.groupBy("shingle").agg(F.min("rep").alias("b"))
     star = blocks.join(centres, "shingle").groupBy(F.col("rep").alias("a")).agg(F.min("b").alias("b")).where("a <> b")
-    likely = stage(_bounded(star, fine), "star-pairs")
-    near = stage(connected(_verified(docs, likely, reps, "star").select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-labels")
-    labelled = blocks.join(near.withColumnRenamed("node", "rep"), "rep", "left").select("shingle", "rep", F.coalesce("root", "rep").alias("label"))
-    labelled = stage(labelled, "labelled-blocks")
-    # blocks of the same members are one; their sums of hashes tell
-    marks = [F.sum(F.xxhash64("rep", F.lit(k)).cast("decimal(20,0)")).alias(f"mark{k}") for k in (0, 1)]
-    mixed_blocks = labelled.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m"), *marks).where("l <> h")
-    single = mixed_blocks.groupBy("m", "mark0", "mark1").agg(F.min("shingle").alias("shingle"))
-    single = single.select("shingle", F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
-    rows = labelled.join(single, "shingle").join(points.select("rep", "n", F.col("made").alias("point")), "rep")
-    pairs = stage(_bounded(stage(_tree_pairs(rows).distinct(), "tree-pairs"), fine), "likely-pairs")
-    links = _verified(docs, pairs, reps, "tree").select(F.col("a").alias("u"), F.col("b").alias("v"))
-    links = links.union(near.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    groups = stage(connected(links).select(F.col("node").alias("rep"), F.col("root").alias("label")), "components")
+    likely = stage(_bounded(star, class_sets), "star-pairs")
+    near = stage(connected(_verified(class_sets, likely).select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-labels")
+    groups = _linked(blocks, class_sets, near).select(F.col("node").alias("rep"), F.col("root").alias("label"))
     labelled = reps.select("rep", "first_id").join(groups, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     return sets.join(reps.select(*key, "rep"), key, "left").select("doc_id", *carry, "n_shingles", "rep"), stage(labelled, "class-labels")
 

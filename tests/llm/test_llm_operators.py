@@ -551,6 +551,42 @@ def test_tree_finds_all_pairs_of_the_bound():
     assert {(min(p), max(p)) for p in found} == want and len(found) == len(want)
 
 
+def test_forest_joins_what_all_pairs_join_and_leaves_pairs_to_earlier_blocks():
+    rng = np.random.default_rng(1)
+    near = rng.poisson(2.0, jaccard_join.GROUPS).astype(np.uint16)
+    points = np.concatenate([near + (rng.random((150, jaccard_join.GROUPS)) < 0.1), rng.poisson(2.0, (150, jaccard_join.GROUPS))]).astype(np.uint16)
+    sizes, labels = points.sum(1).astype(np.int64), np.arange(300)
+    everything, forest = (jaccard_join.candidate_pairs(points, sizes, labels, forest=f) for f in (False, True))
+    assert set(forest) <= set(everything) and len(everything) == 150 * 149 // 2 and len(forest) == 149
+    joined = labels.copy()
+    for i, j in forest:
+        joined[joined == joined[j]] = joined[i]
+    assert len(set(joined[:150])) == 1
+    # the first hundred share an earlier block
+    earlier = [frozenset([-7, k] if k < 100 else [k]) for k in range(300)]
+    found = jaccard_join.candidate_pairs(points, sizes, labels, earlier=earlier)
+    assert {tuple(sorted(p)) for p in found} == {tuple(sorted(p)) for p in everything if max(p) >= 100}
+
+
+def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    # the smallest class that a text of the second group meets is one of the first, so the one comparison with it joins nothing
+    group = lambda c: [" ".join(f"{c}{k}" for k in range(90)) + f" lonesome{i} q{i} q{i} q{i} sentence{i}" for i in range(60)]
+    rows = list(enumerate(group("a") + group("b")))
+    given = []
+
+    def stage(df, label):
+        out = session_stage(df, label)
+        given.append(out.count() if label == "tree-pairs" else 0)
+        return out
+
+    session_stage = jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", stage)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = bag(jaccard_join.jaccard_components(frame), "doc_id", "n_shingles", "component_id")
+    assert found == components_of(rows) and found[(119, 91, 60)] == 1
+    assert 59 <= sum(given) < 4 * 60
+
+
 def test_connected(spark):
     edges = [(i, i + 1) for i in range(40) if i % 10] + [(50, 41), (7, 7), (99, 3)]
     found = dict(tuple(r) for r in connected(spark.createDataFrame(edges, "u long, v long")).collect())
