@@ -166,13 +166,14 @@ def tail(events: DataFrame, n: int, newest_first: bool = True) -> DataFrame:
 def tail_of_log(spark: SparkSession, path: str, n: int, newest_first: bool = True) -> DataFrame:
     """The last ``n`` events of a dated log, from its newest folders only.
 
-    The number of folders looked at doubles until they hold ``n`` events.
+    The number of folders looked at doubles until they hold ``n`` events. The files of other folders are not listed.
     """
     folders = [f.split("=", 1)[1] for f in list_names(spark, path) if f.startswith(f"{EVENT_DATE}=")]
     dates = sorted((f for f in folders if f != _NO_DATE), reverse=True)
     taken = 1
     while taken < len(dates):
-        recent = scan_events(spark, path, start=dates[taken - 1])
+        newest = spark.read.option("basePath", path).text([f"{path}/{EVENT_DATE}={d}" for d in dates[:taken]])
+        recent = _between(_events(newest, EVENT_SCHEMA), dates[taken - 1], None).drop(EVENT_DATE)
         if recent.limit(n).count() == n:
             return tail(recent, n, newest_first)
         taken *= 2

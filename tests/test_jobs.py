@@ -170,6 +170,18 @@ def test_outcomes_run_their_input_once(spark, tmp_path):
     assert (sinks.read_current(spark, f"{tmp_path}/ok").count(), sinks.read_current(spark, f"{tmp_path}/bad").count()) == (66, 34)
 
 
+def test_tail_lists_the_newest_folders_only(spark, tmp_path, monkeypatch):
+    log, looked_at = f"{tmp_path}/log", []
+    events = spark.range(20).select(
+        F.lit(event_log.INFERRED).alias("event_type"), F.col("id").alias("event_id"), F.expr("timestampadd(DAY, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("timestamp")
+    )
+    event_log.append_events(events, log)
+    whole = event_log.tail
+    monkeypatch.setattr(event_log, "tail", lambda found, *args: (looked_at.append(found.inputFiles()), whole(found, *args))[1])
+    assert [r.event_id for r in event_log.tail_of_log(spark, log, 3).collect()] == [19, 18, 17]
+    assert {f.split("event_date=")[1][:10] for f in looked_at[0]} == {f"2024-01-{day}" for day in (17, 18, 19, 20)}
+
+
 def test_event_log(spark, tmp_path):
     path, dated = f"{tmp_path}/log", f"{tmp_path}/dated"
     line = lambda i: json.dumps({"event_type": "inferred", "event_id": i, "timestamp": f"2024-01-0{i}T00:00:00"})
