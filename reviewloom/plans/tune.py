@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.files import path_exists, remove_path
+from reviewloom.files import list_names, path_exists, remove_path
 from reviewloom.operators.stats import dated_histogram, dated_statistics, inferred_statistics, outcomes_of_histograms, stale_statistics
 from reviewloom.operators.tuning import trend_forecast, updated_ratio
-from reviewloom.session import stage
+from reviewloom.session import small_tasks, stage
 from reviewloom.sources.event_log import EVENT_DATE, listed_dates, scan_dates
 
 
@@ -34,38 +35,60 @@ def refresh_histograms(
     Beside the histograms of a date stand the file count, bytes and newest time that its folder had. A date whose folder looks different now is
     read again as a whole, and one that is gone is forgotten; the folders of all other dates stay closed. The listing is taken before
     the events, so what arrives in between is found by the next run, and a run that fails leaves its dates stale.
+
+    Histograms are kept in a folder per month and the facts of all dates in one table, since a file per date would take longer than its few rows. The
+    rows that other dates of a month have are copied when the month is written again; until that is done, the facts know none of its dates.
     """
-    facts, histograms = f"{table}/facts", f"{table}/histograms"
+    facts, histograms = f"{table}/dates", f"{table}/histograms"
     listed = stage(listed_dates(spark, log), "listed-dates")
-    known = spark.read.schema(listed.schema).parquet(facts) if path_exists(spark, facts) else listed.limit(0)
+    recorded = path_exists(spark, facts)
+    known = stage(spark.read.schema(listed.schema).parquet(facts), "known-dates") if recorded else listed.limit(0)
     columns = [c for c in listed.columns if c != EVENT_DATE]
     both = listed.join(known.withColumnsRenamed({c: f"known_{c}" for c in columns}), EVENT_DATE, "full")
     same = F.lit(True)
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"known_{c}"))
     # one row per date of the log
-    differing = both.where(~same).select(EVENT_DATE, F.col("file_count").isNotNull().alias("there")).collect()
+    differing = both.where(~same).select(EVENT_DATE, F.col("file_count").isNotNull().alias("there"), _month().alias(_MONTH)).collect()
+    if not differing:
+        return []
     stale = sorted(r[EVENT_DATE] for r in differing if r["there"])
-    for row in differing:
-        remove_path(spark, f"{facts}/{EVENT_DATE}={row[EVENT_DATE]}")
-    dated = set()
-    if stale:
-        events = prepare(scan_dates(spark, log, stale))
-        found = stage(dated_histogram(events, [EVENT_DATE, *by]), "dated-histograms")
-        dated = {r[0] for r in found.select(EVENT_DATE).distinct().collect()}
-        _overwrite_dates(found, histograms)
-    for row in differing:
-        if row[EVENT_DATE] not in dated:
-            remove_path(spark, f"{histograms}/{EVENT_DATE}={row[EVENT_DATE]}")
+    touched = sorted({r[_MONTH] for r in differing})
+    parts = []
     if stale:
-        _overwrite_dates(listed.where(F.col(EVENT_DATE).isin(stale)), facts)
+        parts.append(dated_histogram(prepare(scan_dates(spark, log, stale)), [EVENT_DATE, *by]).withColumn(_MONTH, _month()))
+    folders = {m: f"{histograms}/{_MONTH}={m}" for m in touched}
+    there = set(list_names(spark, histograms)) if recorded and path_exists(spark, histograms) else set()
+    old = [folder for folder in folders.values() if folder.rsplit("/", 1)[1] in there]
+    if old:
+        months = spark.read.option("basePath", histograms).parquet(*old)
+        parts.append(months.join(both.where(same).select(EVENT_DATE), EVENT_DATE, "left_semi"))
+    filled = set()
+    if parts:
+        merged = stage(reduce(DataFrame.unionByName, parts), "dated-histograms")
+        filled = {r[0] for r in merged.select(_MONTH).distinct().collect()}
+    if recorded:
+        known.where(~_month().isin(touched)).write.mode("overwrite").parquet(facts)
+    else:
+        remove_path(spark, histograms)
+    if parts:
+        with small_tasks(spark):
+            written = merged.hint("rebalance", _MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            written.partitionBy(_MONTH).parquet(histograms)
+    for month in touched:
+        if month not in filled:
+            remove_path(spark, folders[month])
+    listed.write.mode("overwrite").parquet(facts)
     return stale
 
 
-def _overwrite_dates(rows: DataFrame, path: str) -> None:
-    """Replace the folders of the dates in ``rows``, and no others."""
-    written = rows.hint("rebalance", EVENT_DATE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    written.partitionBy(EVENT_DATE).parquet(path)
+# Folder of the histograms of a month.
+_MONTH = "event_month"
+
+
+def _month() -> Column:
+    """The month of a date's name, behind a letter, so that Spark takes the folder's name for nothing but text."""
+    return F.concat(F.lit("m"), F.substring(EVENT_DATE, 1, 7))
 
 
 def tune_refreshed(

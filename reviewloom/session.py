@@ -93,3 +93,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Set a session setting inside the block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def small_tasks(spark: SparkSession):
+    """Rebalanced writes inside the block use tasks of 4 MB of shuffled rows.
+
+    By default few tasks would write all the folders of rows that take little room, and each file takes its time however small it is.
+    """
+    return setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+
+
+def few_listings(spark: SparkSession):
+    """Paths read inside the block are listed by some tasks for each core, not by one for each folder."""
+    tasks = 8 * spark.sparkContext.defaultParallelism
+    return setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewloom.files import list_names
+from reviewloom.session import few_listings, small_tasks
 
 _SUMMARY = T.StructType(
     [
@@ -91,7 +92,9 @@ def listed_dates(spark: SparkSession, path: str) -> DataFrame:
 
     Only the listing is read. A log that grew, shrank or was written anew looks different.
     """
-    files = spark.read.format("binaryFile").load(path).select(_date_name().alias(EVENT_DATE), "length", "modificationTime")
+    with few_listings(spark):
+        found = spark.read.format("binaryFile").load(path)
+    files = found.select(_date_name().alias(EVENT_DATE), "length", "modificationTime")
     return files.groupBy(EVENT_DATE).agg(
         F.count(F.lit(1)).alias("file_count"), F.sum("length").alias("byte_count"), F.max("modificationTime").alias("newest")
     )
@@ -99,8 +102,12 @@ def listed_dates(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_dates(spark: SparkSession, path: str, dates: Sequence[str], schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """Events of the folders of some dates, with the folder's name in ``event_date``. Other folders are not opened."""
-    lines = spark.read.text(path).where(_date_name().isin(list(dates))).withColumn(EVENT_DATE, _date_name())
-    return _events(lines, schema)
+    # as one text: as many literals, handed over one by one, take longer than the listing
+    quoted = ", ".join("'" + d.replace("\\", "\\\\").replace("'", "\\'") + "'" for d in dates)
+    with few_listings(spark):
+        lines = spark.read.text(path)
+    named = lines.withColumn(EVENT_DATE, _date_name())
+    return _events(named.where(f"{EVENT_DATE} IN ({quoted})" if dates else "false"), schema)
 
 
 def rejected_lines(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
@@ -187,7 +194,8 @@ def append_events(events: DataFrame, path: str) -> None:
     most of them.
     """
     dated = events.withColumn(EVENT_DATE, F.to_date("timestamp")).hint("rebalance", EVENT_DATE)
-    dated.write.mode("append").partitionBy(EVENT_DATE).json(path)
+    with small_tasks(events.sparkSession):
+        dated.write.mode("append").partitionBy(EVENT_DATE).json(path)
 
 
 def clear_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> None:

@@ -475,6 +475,47 @@ def test_refresh_reads_stale_dates_only(spark, tmp_path, monkeypatch):
     same_as_the_log()
 
 
+def test_refresh_writes_few_files(spark, tmp_path):
+    log, table = f"{tmp_path}/log", f"{tmp_path}/table"
+    by_day = lambda e: e.withColumn("day", F.to_date("timestamp"))
+    refresh = lambda: tune.refresh_histograms(spark, log, table, ["day"], by_day)
+    files = lambda part="": {str(p) for p in (tmp_path / "table").rglob(f"*{part}*/*.parquet")}
+    dated = lambda i, month, day: event(i, day, [i, 2 * i]).replace("2024-01-", f"2024-{month:02d}-")
+
+    def put(*events):
+        event_log.append_events(spark.read.schema(event_log.EVENT_SCHEMA).json(spark.sparkContext.parallelize(events)), log)
+
+    def same_as_the_log():
+        histograms, events = spark.read.parquet(f"{table}/histograms"), by_day(event_log.scan_events(spark, log))
+        assert sorted(map(tuple, inferred_statistics(histograms, ["day"]).collect())) == sorted(map(tuple, interval_statistics(events, ["day"]).collect()))
+
+    put(*[dated(day, month, day) for month in (1, 2, 3) for day in range(1, 29)])
+    assert len(refresh()) == 84
+    # neither the histograms nor the facts have a file per date
+    assert len(files()) < 20
+    same_as_the_log()
+    # only the month of a changed date is written again, and its other dates stay
+    others = files("m2024-01") | files("m2024-03")
+    put(dated(50, 2, 5))
+    assert refresh() == ["2024-02-05"]
+    assert others and files("m2024-01") | files("m2024-03") == others
+    same_as_the_log()
+    # a date that is gone beside others, and a month that is gone
+    shutil.rmtree(f"{log}/event_date=2024-01-07")
+    for day in range(1, 29):
+        shutil.rmtree(f"{log}/event_date=2024-03-{day:02d}")
+    assert refresh() == [] and not files("m2024-03")
+    same_as_the_log()
+    # a run that fails while it writes leaves the dates of its months stale
+    put(dated(51, 2, 6))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tune, "small_tasks", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh()
+    assert refresh() == [f"2024-02-{day:02d}" for day in range(1, 29)]
+    same_as_the_log()
+
+
 def test_inconsistent_batch_is_an_error(spark, tmp_path):
     broken = event(1, 1, [10, 20]).replace('"batch_size": 2', '"batch_size": 3')
     spark.createDataFrame([(broken,)], "value string").write.text(f"{tmp_path}/log")
