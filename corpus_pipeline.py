@@ -21,7 +21,7 @@ from reviewloom.llm.jaccard_join import similar_groups
 from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.substring_dedup import cut_texts
 from reviewloom.llm.word_tokens import encode_documents
-from reviewloom.session import stage
+from reviewloom.session import scratch_path, stage, staging
 
 # A language of which the network is less sure than this is no language. Clean texts of mixed passages stay above it.
 MIN_LANGUAGE_SCORE = 0.35
@@ -67,11 +67,16 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     _bound_batches(spark)
     plain = docs.select("doc_id", "text")
     hashes = list(_hashes())
-    groups = stage(similar_groups(plain.withColumns(_hashes()), carry=hashes), "near-copies").where(F.col("group").isNotNull())
     key = [F.col("doc_id").isNull().alias("none"), "doc_id", *hashes]
-    winners = groups.groupBy("group").agg(F.min(F.struct(*key)).alias("w"))
-    judged = groups.join(winners, "group").withColumn("_wins", F.struct(*key) == F.col("w"))
-    rows = stage(judged.groupBy("doc_id", *hashes).agg(F.bool_and("_wins").alias("wins"), F.count(F.lit(1)).alias("n")), "judged-copies")
+    path = scratch_path(spark, "judged-copies")
+    # the tables behind the groups take more room than the texts
+    with staging(spark):
+        groups = stage(similar_groups(plain.withColumns(_hashes()), carry=hashes), "near-copies").where(F.col("group").isNotNull())
+        winners = groups.groupBy("group").agg(F.min(F.struct(*key)).alias("w"))
+        judged = groups.join(winners, "group").withColumn("_wins", F.struct(*key) == F.col("w"))
+        by_row = judged.groupBy("doc_id", *hashes).agg(F.bool_and("_wins").alias("wins"), F.count(F.lit(1)).alias("n"))
+        by_row.write.parquet(path)
+    rows = spark.read.schema(by_row.schema).parquet(path)
     losers = rows.where("NOT wins").select("doc_id", *hashes)
     # a winner may stand in the table more than once
     repeated = rows.where("wins AND n > 1").select("doc_id", *hashes)

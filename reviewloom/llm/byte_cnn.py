@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.common import clean_worker, text_steps
+from reviewloom.llm.common import text_steps, tidy
 
 # Labelled texts that the training reads, at most, and windows of each.
 MAX_TRAIN = 3000
@@ -202,7 +202,7 @@ def detect(docs: DataFrame, network: Network) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(names, pa.string()), pa.array(scores)], [*columns, "lang_pred", "score"])
 
     source = docs.select(*columns)
-    return source.mapInArrow(predicted, T.StructType(list(source.schema.fields)).add("lang_pred", "string").add("score", "double"))
+    return source.mapInArrow(tidy(predicted), T.StructType(list(source.schema.fields)).add("lang_pred", "string").add("score", "double"))
 
 
 def known(docs: DataFrame, network: Network, least: float) -> DataFrame:
@@ -210,13 +210,12 @@ def known(docs: DataFrame, network: Network, least: float) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(network)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("byte_cnn")
         for batch in batches:
             for rows, texts in text_steps(batch):
                 names, scores = held.value.predict(texts)
                 yield rows.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(chosen, docs.schema)
+    return docs.mapInArrow(tidy(chosen), docs.schema)
 
 
 def language_id(docs: DataFrame, held_out: Column) -> DataFrame:

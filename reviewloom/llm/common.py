@@ -21,19 +21,9 @@ _P_INVERSE = pow(_P, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-# What the operators keep in a Python worker for their next tasks, and how to drop it: by operator.
-_kept: dict[str, Callable[[], None]] = {}
-
-
-def keep_in_worker(operator: str, forget: Callable[[], None]) -> None:
-    _kept[operator] = forget
-
-
-def clean_worker(operator: str) -> None:
-    """Give back the memory that tasks of other operators left in this worker, which runs the tasks of a whole application."""
-    for other, forget in _kept.items():
-        if other != operator:
-            forget()
+def clean_worker() -> None:
+    """Give back the memory that tasks left in this worker, which runs the tasks of a whole application."""
+    _powers_cache.update(_no_powers())
     gc.collect()
     pa.default_memory_pool().release_unused()
     # freed blocks of numpy stay with the C library until it is told; not every C library can be
@@ -42,6 +32,19 @@ def clean_worker(operator: str) -> None:
         trim(0)
 
 
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``function``, whose tasks give back their memory when they end: while stages without Python run, idle workers still count for their executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clean_worker()
+        try:
+            yield from function(batches)
+        finally:
+            clean_worker()
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,7 +83,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-_powers_cache = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+def _no_powers() -> dict[str, np.ndarray]:
+    return {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+_powers_cache = _no_powers()
 
 
 def _powers(kind: str, count: int) -> np.ndarray:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import BLANKS, Words, clean_worker, mixed, text_steps
+from reviewloom.llm.common import BLANKS, Words, mixed, text_steps, tidy
 from reviewloom.llm.components import connected
 from reviewloom.llm.substring_dedup import ProbeFilter, packed_rows, unpacked
 from reviewloom.session import stage
@@ -104,7 +104,6 @@ def _sets(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
     names = ["doc_id", *carry]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("jaccard_join")
         for batch in batches:
             for rows, texts in text_steps(batch):
                 arrays = map(pa.array, fingerprints(*shingles(texts), len(texts)))
@@ -112,7 +111,7 @@ def _sets(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
 
     source = docs.select(*names, "text")
     made = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in names)
-    sets = source.mapInArrow(found, f"{made}, n_shingles long, fp long, fp2 long")
+    sets = source.mapInArrow(tidy(found), f"{made}, n_shingles long, fp long, fp2 long")
     # the numbers are written with the rows, so they are the same whenever they are read
     return stage(sets.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
 
@@ -125,7 +124,6 @@ def _repeated_shingles(docs: DataFrame, total: int) -> tuple[ProbeFilter, np.nda
     out = ProbeFilter(min(FILTER_SHIFT, max(4, (-(-total // BUCKET_POSTINGS) - 1).bit_length())))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("jaccard_join")
         for batch in batches:
             for _, texts in text_steps(batch):
                 text_of, hashes = shingles(texts)
@@ -138,7 +136,7 @@ def _repeated_shingles(docs: DataFrame, total: int) -> tuple[ProbeFilter, np.nda
         hot = values[counts > SPREAD_AT].tobytes()
         return pa.table({"bucket": [group.column("bucket")[0].as_py()], "packed": pa.array([marks], pa.binary()), "hot": pa.array([hot], pa.binary())})
 
-    rows = docs.select("text").mapInArrow(packed, "bucket long, shingles binary")
+    rows = docs.select("text").mapInArrow(tidy(packed), "bucket long, shingles binary")
     keys: list[np.ndarray] = [np.zeros(0, np.int64)]
     for row in rows.groupBy("bucket").applyInArrow(several, "bucket long, packed binary, hot binary").toLocalIterator():
         out.put(row["bucket"], bytes(row["packed"]))
@@ -175,7 +173,6 @@ def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndar
     held = spark.sparkContext.broadcast(repeated)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("jaccard_join")
         known, hot = held.value
         for batch in batches:
             for _, texts in text_steps(batch):
@@ -216,7 +213,7 @@ def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndar
         many |= _lookup(hot, _key_of(known, hashes))[1]
         return pa.table({"shingle": hashes[many].view(np.int64), "fp": owners[many].view(np.int64)})
 
-    rows = docs.select("text").mapInArrow(packed, "bucket long, hashes binary, owners binary")
+    rows = docs.select("text").mapInArrow(tidy(packed), "bucket long, hashes binary, owners binary")
     return stage(rows.groupBy("bucket").applyInArrow(shared, "shingle long, fp long"), "shared-shingles")
 
 
@@ -244,7 +241,6 @@ def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     key, made = ["fp", "fp2", "n_shingles"], ["point", "fine", "shingles"]
 
     def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("jaccard_join")
         for batch in batches:
             for _, texts in text_steps(batch):
                 text_of, hashes = shingles(texts)
@@ -260,7 +256,7 @@ def _class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
                     yield pa.RecordBatch.from_arrays([*(pa.array(x[part]) for x in (fp, fp2, sizes)), *points, lists], [*key, *made])
 
-    rows = docs.select("text").mapInArrow(picked, "fp long, fp2 long, n_shingles long, point binary, fine binary, shingles array<long>")
+    rows = docs.select("text").mapInArrow(tidy(picked), "fp long, fp2 long, n_shingles long, point binary, fine binary, shingles array<long>")
     once = rows.groupBy(*key).agg(*[F.first(c).alias(c) for c in made]).join(wanted, key)
     return stage(once.select("rep", F.col("n_shingles").alias("n"), *made), "class-sets")
 
@@ -402,7 +398,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
             overlap = np.fromiter(map(fine_overlap, *points), np.int64, batch.num_rows)
             yield batch.select(["a", "b"]).filter(pa.array(7 * overlap >= 3 * total))
 
-    return both.mapInArrow(kept, "a long, b long")
+    return both.mapInArrow(tidy(kept), "a long, b long")
 
 
 def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:

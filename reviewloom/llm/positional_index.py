@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from reviewloom.llm.common import NO_ALNUM, Words, text_steps
+from reviewloom.llm.common import NO_ALNUM, Words, text_steps, tidy
 from reviewloom.session import stage
 
 # Words of a window, and of the items in one broadcast block.
@@ -77,7 +77,7 @@ def build_index(docs: DataFrame) -> DataFrame:
                 arrays.append(pa.array([at[order].astype(np.int32)], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _SEGMENT.split(", ")])
 
-    return stage(docs.select("doc_id", "text").mapInArrow(segments, _SEGMENT), "positional-index")
+    return stage(docs.select("doc_id", "text").mapInArrow(tidy(segments), _SEGMENT), "positional-index")
 
 
 class Segment:
@@ -180,7 +180,7 @@ def search(index: DataFrame, items: DataFrame, slop: int = 0) -> DataFrame:
                     arrays = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "item_id", "first_word", "last_word"])
 
-    return index.mapInArrow(matches, "doc_id long, item_id long, first_word long, last_word long")
+    return index.mapInArrow(tidy(matches), "doc_id long, item_id long, first_word long, last_word long")
 
 
 def _windows(block: list) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -229,4 +229,4 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return index.mapInArrow(judged, schema)
+    return index.mapInArrow(tidy(judged), schema)

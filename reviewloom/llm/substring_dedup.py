@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewloom.llm.common import clean_worker, mixed, prefix_hashes, span_hashes, text_steps, window_hashes
+from reviewloom.llm.common import mixed, prefix_hashes, span_hashes, text_steps, tidy, window_hashes
 from reviewloom.llm.suffix_grouping import suffix_array
 from reviewloom.session import stage
 
@@ -188,7 +188,6 @@ def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
     out = ProbeFilter(min(FILTER_BITS - 6, max(4, (-(-spans // TASK_ANCHORS) - 1).bit_length())))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts, _ in text_pieces(batch, STEP_BYTES):
                 cut = Spans(texts)
@@ -207,7 +206,7 @@ def repeated_probes(docs: DataFrame, spans: int) -> ProbeFilter:
         twice = values[1:][values[1:] == values[:-1]].astype(np.uint64)
         return pa.table({"bucket": [group.column("bucket")[0].as_py()], "packed": pa.array([out.segment(twice)], pa.binary())})
 
-    rows = docs.select("doc_id", "text").mapInArrow(packed, "bucket long, probes binary")
+    rows = docs.select("doc_id", "text").mapInArrow(tidy(packed), "bucket long, probes binary")
     for row in rows.groupBy("bucket").applyInArrow(several, "bucket long, packed binary").toLocalIterator():
         out.put(row["bucket"], bytes(row["packed"]))
     return out
@@ -365,7 +364,6 @@ def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFram
     names = ["spans", "anchors", "low", "high", "left", "length"]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts, _ in text_pieces(batch, STEP_BYTES):
                 cut = Spans(texts)
@@ -379,7 +377,7 @@ def repeated_spans(docs: DataFrame, probes: ProbeFilter, spans: int) -> DataFram
                 yield packed_rows(bucket, dict(zip(names, columns, strict=True)), _gather(cut.data, cut.starts[first], lengths), lengths)
 
     schema = "bucket long, " + ", ".join(f"{n} binary" for n in [*names, "data"])
-    rows = docs.select("doc_id", "text").mapInArrow(packed, schema)
+    rows = docs.select("doc_id", "text").mapInArrow(tidy(packed), schema)
     return stage(rows.groupBy("bucket").applyInArrow(_windows_of, "span long, lo int, hi int, first_doc long"), "repeated-spans")
 
 
@@ -395,7 +393,6 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(probes)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts, at in text_pieces(batch, STEP_BYTES):
                 cut = Spans(texts)
@@ -405,7 +402,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "place", "span"])
 
     keyed = known.withColumn("key", F.xxhash64("text"))
-    rows = keyed.mapInArrow(occurrences, "doc_id long, key long, place long, span long")
+    rows = keyed.mapInArrow(tidy(occurrences), "doc_id long, key long, place long, span long")
     hits = rows.join(found, "span").where("first_doc < doc_id")
     run = F.struct((F.col("place") + F.col("lo")).cast("int").alias("begin"), (F.col("place") + F.col("hi") + LENGTH).cast("int").alias("end"))
     # a text's ranges are no more than its spans
@@ -448,26 +445,23 @@ def _map_with_runs(docs: DataFrame, function: Callable[[pa.RecordBatch, list, li
         return batch.filter(pa.array(found == wanted))
 
     def to_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("substring_dedup")
         for batch in batches:
             yield marked(batch, True)
 
     def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(marked(batch, False)):
                 yield function(rows, texts, [[]] * len(texts))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean_worker("substring_dedup")
         for batch in batches:
             for rows, texts in text_steps(batch):
                 yield function(rows, texts, [merged(r) for r in rows.column("_runs").to_pylist()])
 
     of_key = runs.select(F.col("doc_id").alias("_id"), F.col("key").alias("_found"), F.col("runs").alias("_runs"))
     same = (F.col("doc_id") == F.col("_id")) & (F.col("_key") == F.col("_found"))
-    met = keyed.mapInArrow(to_join, keyed.schema).join(of_key, same, "left").select(*docs.columns, "_runs")
-    return met.mapInArrow(joined, schema).union(keyed.mapInArrow(without, schema))
+    met = keyed.mapInArrow(tidy(to_join), keyed.schema).join(of_key, same, "left").select(*docs.columns, "_runs")
+    return met.mapInArrow(tidy(joined), schema).union(keyed.mapInArrow(tidy(without), schema))
 
 
 def removed_bytes(docs: DataFrame) -> DataFrame:

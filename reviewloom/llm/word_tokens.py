@@ -13,23 +13,25 @@ an empty table gives an empty one; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import uuid
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import keep_in_worker, text_steps
+from reviewloom.llm.common import text_steps, tidy
 from reviewloom.session import stage
 
 # Words of the table that every task holds, at most.
 SHARED_WORDS = 1 << 17
 
+# Rarer words that a task remembers before it starts anew. They seldom come again within a few megabytes.
+RARE_WORDS = 50_000
+
 # Counts are compared in steps of 2^(1/4).
 _STEPS_PER_DOUBLING = 4
 
@@ -40,6 +42,8 @@ _BLANKS = "[ \\t\\n\\x0B\\f\\r]+"
 def _tokenizer(tokenizer_file: str):
     from tokenizers import Tokenizer
 
+    # a task has one core, and each thread of its own would keep memory
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(tokenizer_file)
     tokenizer.no_truncation()
     tokenizer.no_padding()
@@ -71,12 +75,13 @@ def encode_words(words: DataFrame, tokenizer_file: str) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_file)
+        _tokenizer.cache_clear()
         for batch in batches:
             found = tokenizer.encode_batch_fast(batch.column("word").to_pylist(), add_special_tokens=False)
             ids = pa.array([e.ids for e in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("word"), ids], ["word", "ids"])
 
-    return words.select("word").mapInArrow(encoded, "word string, ids array<int>")
+    return words.select("word").mapInArrow(tidy(encoded), "word string, ids array<int>")
 
 
 def piece_table(spark: SparkSession, tokenizer_file: str) -> DataFrame:
@@ -111,13 +116,13 @@ class _WordTable:
         self.texts: dict[bytes, bytes] = {}
         for batch in pa.ipc.open_stream(shared):
             words = batch.column("word").cast(pa.binary()).to_pylist()
-            self.ids.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(words, batch.column("ids").to_pylist(), strict=True))
+            self.ids.update(zip(words, batch.column("ids").to_pylist(), strict=True))
             self.texts.update(zip(words, batch.column("decoded").cast(pa.binary()).to_pylist(), strict=True))
         self.shared = len(self.ids)
 
     def learn(self, split: list[list[bytes]]) -> None:
         """Encode the words that the table lacks."""
-        if len(self.ids) > 2 * self.shared + 50_000:
+        if len(self.ids) > self.shared + RARE_WORDS:
             for word in list(self.ids)[self.shared :]:
                 del self.ids[word], self.texts[word]
         new = list(set(chain.from_iterable(split)).difference(self.ids))
@@ -129,37 +134,21 @@ class _WordTable:
                 self.texts[word] = " ".join(map(self.pieces.__getitem__, encoding.ids)).encode()
 
 
-_tables: dict[str, _WordTable] = {}
-
-
-def _forget() -> None:
-    _tables.clear()
-    _tokenizer.cache_clear()
-
-
-keep_in_worker("word_tokens", _forget)
-
-
-def _table_of(key: str, held: Broadcast, tokenizer_file: str) -> _WordTable:
-    """The worker's table of a broadcast; a worker runs many tasks and keeps the last one."""
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = _WordTable(held.value, tokenizer_file)
-    return _tables[key]
-
-
 def encode_documents(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids (binary, little-endian u32) and decoded text of every row."""
     spark = docs.sparkSession
     shared = word_table(docs, tokenizer_file, limit).toArrow()
+    # every task makes its table anew, so the ids go as bytes, which it only has to copy
+    as_bytes = [np.array(i, "<u4").tobytes() for i in shared.column("ids").to_pylist()]
+    shared = shared.set_column(shared.schema.get_field_index("ids"), "ids", pa.array(as_bytes, pa.binary()))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, shared.schema) as writer:
         writer.write_table(shared, max_chunksize=10_000)
     held = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    key = uuid.uuid4().hex
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _table_of(key, held, tokenizer_file)
+        known = _WordTable(held.value, tokenizer_file)
+        _tokenizer.cache_clear()
         for batch in batches:
             for rows, texts in text_steps(batch):
                 split = [t.split() for t in texts]
@@ -175,7 +164,7 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_W
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
 
-    return docs.select("doc_id", "text").mapInArrow(joined, "doc_id long, n_tokens long, ids binary, decoded string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(joined), "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def word_tokens(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_WORDS) -> DataFrame:

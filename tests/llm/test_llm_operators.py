@@ -1,6 +1,7 @@
 """The operators of the llm folder against brute force, on the small tables and on rows with every odd case."""
 
 import base64
+import gc
 import hashlib
 import re
 import zlib
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from reviewloom.llm import byte_cnn, factorization, jaccard_join, positional_index, substring_dedup, token_records, url_templates, warc, word_tokens  # noqa: E402
+from reviewloom.llm import byte_cnn, common, factorization, jaccard_join, positional_index, substring_dedup, token_records, url_templates, warc, word_tokens  # noqa: E402
 from reviewloom.llm.common import id_crc, table  # noqa: E402
 from reviewloom.llm.components import connected  # noqa: E402
 from reviewloom.llm.divergence_rules import divergence_rules  # noqa: E402
@@ -770,6 +771,21 @@ def test_pipeline_stages(spark, sf_dir, documents):
         before = after
 
 
+def test_tasks_leave_no_memory_in_workers(spark, documents):
+    some = documents.limit(400).repartition(4)
+    substring_dedup.cut_texts(some).write.format("noop").mode("overwrite").save()
+    word_tokens.encode_documents(some, public_tokenizers.path("word_bpe_49k.json")).write.format("noop").mode("overwrite").save()
+
+    def left(batches):
+        for _ in batches:
+            pass
+        tables = sum(type(x).__name__ == "_WordTable" for x in gc.get_objects())
+        powers = sum(len(a) > 1 for a in common._powers_cache.values())
+        yield pa.RecordBatch.from_arrays([pa.array([tables + powers + word_tokens._tokenizer.cache_info().currsize], pa.int64())], ["n"])
+
+    assert {r["n"] for r in spark.range(0, 8, 1, 8).mapInArrow(left, "n long").collect()} == {0}
+
+
 def test_near_copies_are_judged_row_by_row(spark):
     text = lambda name, *changed: " ".join("new" if i in changed else f"{name}{i}" for i in range(60))
     rows = [(1, text("a")), (5, text("a", 0)), (5, text("b")), (5, text("b")), (7, text("c")), (7, text("d")), (None, text("e")), (None, text("e", 0)), (None, text("f"))]
