@@ -16,12 +16,14 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import AddedToken
 
 from reviewloom.llm.common import text_steps, tidy
 from reviewloom.session import stage
@@ -29,8 +31,12 @@ from reviewloom.session import stage
 # Words of the table that every task holds, at most.
 SHARED_WORDS = 1 << 17
 
-# Rarer words that a task remembers before it starts anew. They seldom come again within a few megabytes.
-RARE_WORDS = 50_000
+# Rarer words that a task remembers before it starts anew.
+RARE_WORDS = 300_000
+
+# Words that the tokenizer gets as one text, and what stands behind each.
+LINE_WORDS = 250
+_END = "\n"
 
 # Counts are compared in steps of 2^(1/4).
 _STEPS_PER_DOUBLING = 4
@@ -106,38 +112,86 @@ def word_table(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_WORDS)
     return coded.join(decode(coded, "word", tokenizer_file), "word")
 
 
+def _joined(values: pa.Array, at: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The binary values at the places ``at``, those from ``first[k]`` to ``first[k + 1]`` in one."""
+    taken = values.take(pa.array(at))
+    offsets = np.frombuffer(taken.buffers()[1], np.int32, len(at) + 1) if len(at) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets[first]), taken.buffers()[2] or pa.py_buffer(b"")])
+
+
 class _WordTable:
-    """Ids and decoded text of words: the shared ones for good, rarer ones until there are too many."""
+    """Places of words in two arrays, of their ids and of their decoded texts: the shared ones for good, rarer ones until there are too many.
+
+    A decoded text ends with a blank here, unless it is empty.
+    """
 
     def __init__(self, shared: bytes, tokenizer_file: str):
         self.tokenizer = _tokenizer(tokenizer_file)
-        self.pieces = {i: p for p, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.ids: dict[bytes, bytes] = {}
-        self.texts: dict[bytes, bytes] = {}
-        for batch in pa.ipc.open_stream(shared):
-            words = batch.column("word").cast(pa.binary()).to_pylist()
-            self.ids.update(zip(words, batch.column("ids").to_pylist(), strict=True))
-            self.texts.update(zip(words, batch.column("decoded").cast(pa.binary()).to_pylist(), strict=True))
-        self.shared = len(self.ids)
-
-    def learn(self, split: list[list[bytes]]) -> None:
-        """Encode the words that the table lacks."""
-        if len(self.ids) > self.shared + RARE_WORDS:
-            for word in list(self.ids)[self.shared :]:
-                del self.ids[word], self.texts[word]
-        new = list(set(chain.from_iterable(split)).difference(self.ids))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        pieces = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for piece, i in vocabulary.items():
+            pieces[i] = piece.encode() + b" "
+        self.pieces = pa.array(pieces, pa.binary())
+        # a token of its own ends a word, so that many words are encoded as one text; no word has a line break
+        self.tokenizer.add_special_tokens([AddedToken(_END, normalized=False)])
+        self.end = self.tokenizer.token_to_id(_END)
+        table = pa.ipc.open_stream(shared).read_all()
+        self.ids, self.texts = (pa.concat_arrays([pa.array([], pa.binary()), *table.column(c).cast(pa.binary()).chunks]) for c in ("ids", "decoded"))
+        self.place = {w: k for k, w in enumerate(table.column("word").cast(pa.binary()).to_pylist())}
+        self.shared = len(self.place)
+
+    def learn(self, new: list[bytes]) -> None:
+        """Encode words that the table lacks."""
+        ids, texts = [self.ids], [self.texts]
         for low in range(0, len(new), 5000):
-            part = new[low : low + 5000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, encoding in zip(part, found, strict=True):
-                self.ids[word] = np.array(encoding.ids, "<u4").tobytes()
-                self.texts[word] = " ".join(map(self.pieces.__getitem__, encoding.ids)).encode()
+            coded, counts = self._encoded(new[low : low + 5000])
+            first = np.concatenate([[0], np.cumsum(counts)])
+            ids.append(pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer((4 * first).astype(np.int32)), pa.py_buffer(coded)]))
+            texts.append(_joined(self.pieces, coded, first))
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        self.ids, self.texts = pa.concat_arrays(ids), pa.concat_arrays(texts)
+
+    def forget(self) -> None:
+        """Drop the rarer words."""
+        for word in list(self.place)[self.shared :]:
+            del self.place[word]
+        self.ids, self.texts = self.ids[: self.shared], self.texts[: self.shared]
+
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has."""
+        end = _END.encode()
+        lines = [(end.join(words[k : k + LINE_WORDS]) + end).decode() for k in range(0, len(words), LINE_WORDS)]
+        ids = self._flat(lines)[0]
+        ends = np.flatnonzero(ids == self.end)
+        if len(ends) == len(words):
+            return ids[ids != self.end], np.diff(ends, prepend=-1) - 1
+        # some token of the tokenizer takes the white space around it, and the ends with it
+        return self._flat([w.decode() for w in words])
+
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+
+    def encode(self, texts: list[bytes]) -> tuple[pa.Array, pa.Array]:
+        """Ids and decoded text of each text."""
+        if len(self.place) > self.shared + RARE_WORDS:
+            self.forget()
+        split = [t.split() for t in texts]
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        self.learn(list(dict.fromkeys(map(words.__getitem__, missing))))
+        at[missing] = [self.place[words[i]] for i in missing]
+        first = np.concatenate([[0], np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))])
+        # a word of characters that the tokenizer drops has no pieces and no place in the text
+        return _joined(self.ids, at, first), pc.binary_slice(_joined(self.texts, at, first), 0, -1)
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids (binary, little-endian u32) and decoded text of every row."""
     spark = docs.sparkSession
-    shared = word_table(docs, tokenizer_file, limit).toArrow()
+    shared = word_table(docs, tokenizer_file, limit)
+    shared = shared.withColumn("decoded", F.when(F.col("decoded") == "", "").otherwise(F.concat("decoded", F.lit(" ")))).toArrow()
     # every task makes its table anew, so the ids go as bytes, which it only has to copy
     as_bytes = [np.array(i, "<u4").tobytes() for i in shared.column("ids").to_pylist()]
     shared = shared.set_column(shared.schema.get_field_index("ids"), "ids", pa.array(as_bytes, pa.binary()))
@@ -151,18 +205,9 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, limit: int = SHARED_W
         _tokenizer.cache_clear()
         for batch in batches:
             for rows, texts in text_steps(batch):
-                split = [t.split() for t in texts]
-                known.learn(split)
-                ids = [b"".join(map(known.ids.__getitem__, words)) for words in split]
-                # a word of characters that the tokenizer drops has no pieces and no place in the text
-                decoded = [b" ".join(filter(None, map(known.texts.__getitem__, words))) for words in split]
-                columns = [
-                    rows.column("doc_id"),
-                    pa.array([len(i) // 4 for i in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.array(decoded, pa.binary()).cast(pa.string()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+                ids, decoded = known.encode(texts)
+                n_tokens = pa.array(pc.binary_length(ids).to_numpy().astype(np.int64) // 4)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), n_tokens, ids, decoded.cast(pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(tidy(joined), "doc_id long, n_tokens long, ids binary, decoded string")
 

@@ -15,7 +15,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 import oracle_check  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from tokenizers import Tokenizer  # noqa: E402
+from tokenizers import AddedToken, Tokenizer  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from reviewloom.llm import byte_cnn, common, factorization, jaccard_join, positional_index, substring_dedup, token_records, url_templates, warc, word_tokens  # noqa: E402
@@ -352,6 +352,46 @@ def test_word_tokens(documents, odd, empty, limit):
     assert word_tokens.word_tokens(empty, WORD_BPE, limit).count() == 0
 
 
+def no_shared_words():
+    sink = pa.BufferOutputStream()
+    schema = pa.schema([("word", pa.string()), ("ids", pa.binary()), ("decoded", pa.string())])
+    with pa.ipc.new_stream(sink, schema):
+        pass
+    return sink.getvalue().to_pybytes()
+
+
+def test_rare_words_reach_the_tokenizer_many_at_a_time(monkeypatch):
+    monkeypatch.setattr(word_tokens, "RARE_WORDS", 1500)
+    known = word_tokens._WordTable(no_shared_words(), WORD_BPE)
+    word_tokens._tokenizer.cache_clear()
+    given = []
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    tokenizer, known.tokenizer = known.tokenizer, Recorder()
+    plain = Tokenizer.from_file(WORD_BPE)
+    for low in (0, 1000, 500, 4000):
+        texts = [f"W{i} x{i}'ll \u0301é{i}ß\t{'<|endoftext|>' * (i % 3)} W{i}\n" for i in range(low, low + 1000)] + ["", " \x0b", "\x00 \ufeff"]
+        ids, decoded = known.encode([t.encode() for t in texts])
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.to_pylist() == [u32(w) for w in want]
+        assert decoded.to_pylist() == [plain.decode(w, skip_special_tokens=False).encode() for w in want]
+    assert 0 < len(given) < 100
+
+
+def test_words_of_tokens_that_take_white_space(tmp_path):
+    plain = Tokenizer.from_file(WORD_BPE)
+    plain.add_special_tokens([AddedToken("<gap>", lstrip=True, rstrip=True)])
+    plain.save(str(tmp_path / "gap.json"))
+    known = word_tokens._WordTable(no_shared_words(), str(tmp_path / "gap.json"))
+    word_tokens._tokenizer.cache_clear()
+    texts = ["one <gap> two", "<gap>", "a<gap>b three"]
+    assert known.encode([t.encode() for t in texts])[0].to_pylist() == [u32(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_decode_joins_pieces(spark):
     tokenizer = Tokenizer.from_file(WORD_BPE)
     ids = tokenizer.encode("a strange catamaran").ids
