@@ -63,30 +63,58 @@ _FACTORS = np.random.default_rng(77).integers(1, 1 << 63, SHINGLE_WORDS, dtype=n
 _SALTS = np.random.default_rng(78).integers(1, 1 << 63, 2, dtype=np.uint64)
 
 
-def sized_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text numbers and hashes of the distinct shingles, sorted by both, and the bytes of their words."""
+def _places(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts; of every shingle, repeats included, the text, first word, number of words and hash, by text."""
     words = Words(texts, BLANKS)
     places = np.maximum(words.counts - (SHINGLE_WORDS - 1), (words.counts > 0).astype(np.int64))
     text_of = np.repeat(np.arange(len(texts)), places)
     start = words.first[text_of] + np.arange(len(text_of)) - np.repeat(np.cumsum(places) - places, places)
     size = np.minimum(words.counts[text_of], SHINGLE_WORDS)
     padded = np.concatenate([words.hashes, np.zeros(SHINGLE_WORDS, np.uint64)])
-    total = size.astype(np.uint64)
+    rolled = sum((padded[k : k + len(words.hashes)] * _FACTORS[k] for k in range(SHINGLE_WORDS)), np.zeros(len(words.hashes), np.uint64))
+    total = rolled[start] + size.astype(np.uint64)
+    # a text of fewer words is one shingle, without the words behind it
+    short = np.flatnonzero(size < SHINGLE_WORDS)
+    total[short] = size[short]
     for k in range(SHINGLE_WORDS):
-        total = total + np.where(size > k, padded[start + k] * _FACTORS[k], np.uint64(0))
-    hashes = mixed(total)
-    running = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
-    sizes = running[start + size] - running[start]
-    order = np.lexsort((hashes, text_of))
-    text_of, hashes, sizes = text_of[order], hashes[order], sizes[order]
+        total[short] += np.where(size[short] > k, padded[start[short] + k] * _FACTORS[k], np.uint64(0))
+    return words, text_of, start, size, mixed(total)
+
+
+def _ranges(text_of: np.ndarray, count: int) -> Iterator[tuple[int, int]]:
+    """Where each text's shingles begin and end."""
+    cut = np.searchsorted(text_of, np.arange(count + 1)).tolist()
+    return zip(cut[:-1], cut[1:], strict=True)
+
+
+def _distinct(text_of: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Marks the first of equal shingles of a text, which stand together."""
     first = np.ones(len(hashes), bool)
     first[1:] = (text_of[1:] != text_of[:-1]) | (hashes[1:] != hashes[:-1])
+    return first
+
+
+def sized_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text numbers and hashes of the distinct shingles, sorted by both, and the bytes of their words."""
+    words, text_of, start, size, hashes = _places(texts)
+    running = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
+    sizes = running[start + size] - running[start]
+    order = np.empty(len(hashes), np.int64)
+    # sorting text by text is faster than sorting all by two keys
+    for low, high in _ranges(text_of, len(texts)):
+        np.add(np.argsort(hashes[low:high]), low, out=order[low:high])
+    hashes, sizes = hashes[order], sizes[order]
+    first = _distinct(text_of, hashes)
     return text_of[first], hashes[first], sizes[first]
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Text numbers and hashes of the distinct shingles, sorted by both."""
-    return sized_shingles(texts)[:2]
+    _, text_of, _, _, hashes = _places(texts)
+    for low, high in _ranges(text_of, len(texts)):
+        hashes[low:high].sort()
+    first = _distinct(text_of, hashes)
+    return text_of[first], hashes[first]
 
 
 def fingerprints(text_of: np.ndarray, hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,10 +210,13 @@ def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndar
                 keep = _first_of_each(fp)[text_of]
                 text_of, hashes, size = text_of[keep], hashes[keep], size[keep]
                 several = known.holds(hashes)
-                order = np.lexsort((hashes, -size, several, text_of))
-                text_of, hashes, several = text_of[order], hashes[order], several[order]
-                place = np.arange(len(text_of)) - np.searchsorted(text_of, text_of)
-                sent = several & (place <= sizes[text_of] - -(-3 * sizes[text_of] // 4))
+                # those of one set alone take the first places, in whatever order
+                alone = np.bincount(text_of[~several], minlength=len(texts))
+                text_of, hashes, size = text_of[several], hashes[several], size[several]
+                order = np.lexsort((hashes, -size, text_of))
+                text_of, hashes = text_of[order], hashes[order]
+                place = alone[text_of] + np.arange(len(text_of)) - np.searchsorted(text_of, text_of)
+                sent = place <= sizes[text_of] - -(-3 * sizes[text_of] // 4)
                 text_of, hashes = text_of[sent], hashes[sent]
                 owner = fp[text_of].view(np.uint64)
                 salt = np.where(_lookup(hot, _key_of(known, hashes))[1], mixed(owner), np.uint64(0))

@@ -571,6 +571,29 @@ def test_jaccard_components(spark, odd, empty, monkeypatch, small):
         assert jaccard_join.jaccard_components(empty).count() == 0
 
 
+def test_shingles_are_sorted_within_their_texts_only(monkeypatch):
+    def no_sort_by_two_keys(*_):
+        raise AssertionError
+
+    monkeypatch.setattr(np, "lexsort", no_sort_by_two_keys)
+    rng = np.random.default_rng(11)
+    texts = ["", "one", " a B\tc d ", "a b c d e", "a b c d e a b c d e", "\n"]
+    texts += [" ".join(("x", "Yy", "zé")[i] for i in rng.integers(3, size=n)) for n in rng.integers(0, 400, 60)]
+    texts = [t.encode() for t in texts]
+    text_of, hashes, sizes = jaccard_join.sized_shingles(texts)
+    assert all(np.array_equal(x, y) for x, y in zip(jaccard_join.shingles(texts), (text_of, hashes), strict=True))
+    hash_of = {}
+    for k, text in enumerate(texts):
+        words = text.lower().split()
+        want = {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, bool(words)))}
+        own = text_of == k
+        assert len(want) == own.sum() and (np.diff(hashes[own].astype(object)) > 0).all()
+        for shingle in want:
+            hash_of.setdefault(shingle, int(jaccard_join.shingles([b" ".join(shingle)])[1][0]))
+        assert {(hash_of[x], sum(map(len, x))) for x in want} == set(zip(hashes[own].tolist(), sizes[own].tolist(), strict=True))
+    assert len(set(hash_of.values())) == len(hash_of)
+
+
 def test_rows_of_one_id_are_in_the_classes_of_their_texts(spark):
     text = lambda name, *changed: " ".join("new" if i in changed else f"{name}{i}" for i in range(60))
     rows = [(5, text("a")), (2, text("a", 0)), (5, text("b")), (8, text("b", 0)), (None, text("c")), (9, text("c", 0)), (None, text("d")), (None, "")]
