@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import byte_cnn
-from reviewloom.llm.common import table
+from reviewloom.llm.common import clean_worker, table
 from reviewloom.llm.jaccard_join import similar_groups
 from reviewloom.llm.positional_index import contamination
 from reviewloom.llm.substring_dedup import cut_texts
@@ -31,13 +31,15 @@ MIN_LANGUAGE_SCORE = 0.35
 ARROW_BATCH_BYTES = 8 << 20
 
 
-def _bound_batches(spark: SparkSession) -> None:
+def _bound_memory(spark: SparkSession) -> None:
+    """Bound the batches of the step that begins, and give back what the step before it left in the driver's Python."""
+    clean_worker()
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network tells; it learns from the documents that name theirs."""
-    _bound_batches(spark)
+    _bound_memory(spark)
     network = byte_cnn.train(docs, F.lit(True))
     known = byte_cnn.known(docs, network, MIN_LANGUAGE_SCORE)
     return known.select(*docs.columns)
@@ -64,7 +66,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Rows are judged by their own texts, so rows that share an id go their own ways. Rows without words resemble nothing and stay.
     """
-    _bound_batches(spark)
+    _bound_memory(spark)
     plain = docs.select("doc_id", "text")
     hashes = list(_hashes())
     key = [F.col("doc_id").isNull().alias("none"), "doc_id", *hashes]
@@ -86,7 +88,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what an earlier document holds; n_chars follows, and emptied documents go."""
-    _bound_batches(spark)
+    _bound_memory(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     # further columns go along in one, so that none of them meets a name of the operator
     packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")) if others else docs.select("doc_id", "text")
@@ -101,7 +103,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Contamination is a matter of the text alone, so texts are judged under a hash. Texts whose hash is found are few; they are judged again
     under numbers of their own, so that no clean text goes because it shares the hash of another.
     """
-    _bound_batches(spark)
+    _bound_memory(spark)
     items = table(spark, sf_dir, "benchmark")
     first, second = _hashes().values()
     found = contamination(docs.select(first.alias("doc_id"), "text"), items)
@@ -114,7 +116,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the decoded text, and the ids as little-endian u32."""
-    _bound_batches(spark)
+    _bound_memory(spark)
     coded = encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")
 

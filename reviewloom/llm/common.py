@@ -22,7 +22,7 @@ _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=n
 
 
 def clean_worker() -> None:
-    """Give back the memory that tasks left in this worker, which runs the tasks of a whole application."""
+    """Give back the memory that tasks left in this worker, which runs the tasks of a whole application, or an operator in the driver's Python."""
     _powers_cache.update(_no_powers())
     gc.collect()
     pa.default_memory_pool().release_unused()

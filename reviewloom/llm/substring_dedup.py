@@ -20,6 +20,7 @@ bytes, not at characters; ``cut_texts`` widens what stays to whole characters.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -145,7 +146,10 @@ def _ids_of(rows: pa.RecordBatch) -> np.ndarray:
 
 
 class ProbeFilter:
-    """Bitmap of probes: their first bits name a task's segment, the last 32 two places in it."""
+    """Bitmap of probes: their first bits name a task's segment, the last 32 two places in it.
+
+    Segments and pickled filters are compressed, since most bitmaps are sparse and the driver's heap holds several copies of what passes through it.
+    """
 
     def __init__(self, bits: int):
         self.bits, self.inner = bits, FILTER_BITS - bits
@@ -158,11 +162,19 @@ class ProbeFilter:
         marks = np.zeros(1 << self.inner, np.uint8)
         for places in self._places(low_bits):
             marks[places] = 1
-        return np.packbits(marks, bitorder="little").tobytes()
+        return zlib.compress(np.packbits(marks, bitorder="little"), 1)
 
     def put(self, segment: int, packed: bytes) -> None:
-        size = len(packed)
-        self.packed[segment * size : (segment + 1) * size] = np.frombuffer(packed, np.uint8)
+        size = 1 << (self.inner - 3)
+        self.packed[segment * size : (segment + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
+
+    def __getstate__(self) -> tuple[int, list[bytes]]:
+        return self.bits, [zlib.compress(self.packed[low : low + STEP_BYTES], 1) for low in range(0, len(self.packed), STEP_BYTES)]
+
+    def __setstate__(self, state: tuple[int, list[bytes]]) -> None:
+        self.__init__(state[0])
+        for low, packed in zip(range(0, len(self.packed), STEP_BYTES), state[1], strict=True):
+            self.packed[low : low + STEP_BYTES] = np.frombuffer(zlib.decompress(packed), np.uint8)
 
     def _places(self, low_bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         spread = (low_bits * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)

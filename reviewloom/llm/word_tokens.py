@@ -93,6 +93,8 @@ def encode_words(words: DataFrame, tokenizer_file: str) -> DataFrame:
 def piece_table(spark: SparkSession, tokenizer_file: str) -> DataFrame:
     """id, piece of the whole vocabulary, which is as small as the tokenizer's file."""
     vocabulary = _tokenizer(tokenizer_file).get_vocab(with_added_tokens=True)
+    # the driver needs the tokenizer for nothing else
+    _tokenizer.cache_clear()
     return spark.createDataFrame([(i, p) for p, i in vocabulary.items()], "id int, piece string")
 
 

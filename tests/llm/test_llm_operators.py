@@ -3,6 +3,7 @@
 import base64
 import gc
 import hashlib
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -657,6 +658,17 @@ def test_connected(spark):
     assert found[99] == 1 and found[10] == 1 and found[20] == 11 and found[50] == 41 and found[40] == 31
 
 
+def test_connected_asks_for_no_job_but_its_writes(spark, monkeypatch):
+    asked = []
+    frame = type(spark.range(0))
+    monkeypatch.setattr(frame, "collect", lambda self, f=frame.collect: asked.append(self) or f(self))
+    path = spark.createDataFrame([(i, i + 1) for i in range(20)], "u long, v long")
+    found = connected(path)
+    assert not asked
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(21)}
+    assert connected(path.where("u < 0")).count() == connected(spark.createDataFrame([(7, 7)], "u long, v long")).count() == 0
+
+
 # 9: repeated substrings
 
 
@@ -834,6 +846,26 @@ def test_pipeline_stages(spark, sf_dir, documents):
         before = after
 
 
+@pytest.mark.parametrize("bits", [4, 12, 20])
+def test_filters_take_little_of_the_drivers_heap(bits):
+    probes = np.random.default_rng(bits).integers(0, 1 << 64, 3000, dtype=np.uint64)
+    some = substring_dedup.ProbeFilter(bits)
+    segments = some.segment_of(probes)
+    for segment in np.unique(segments):
+        marks = some.segment(probes[segments == segment] & np.uint64(0xFFFFFFFF))
+        assert bits > 4 or len(marks) < 100_000  # a sixteenth of the bitmap: 1 MB
+        some.put(segment, marks)
+    state = pickle.dumps(some, 5)
+    again = pickle.loads(state)
+    assert len(state) < 1_000_000 and (again.packed == some.packed).all() and again.segment_of(probes).tolist() == segments.tolist()
+    assert some.holds(probes).all() and again.holds(probes).all() and again.holds(probes ^ np.uint64(0x5555555555555555)).mean() < 0.1
+
+
+def test_the_driver_keeps_no_tokenizer(spark, documents):
+    word_tokens.encode_documents(documents.limit(50), WORD_BPE)
+    assert word_tokens._tokenizer.cache_info().currsize == 0
+
+
 def test_tasks_leave_no_memory_in_workers(spark, documents):
     some = documents.limit(400).repartition(4)
     substring_dedup.cut_texts(some).write.format("noop").mode("overwrite").save()
