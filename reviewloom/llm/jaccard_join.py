@@ -3,13 +3,14 @@
 Documents with equal sets are one class from the start. Of the classes, only those that share a shingle among their first n - ceil(3n/4) + 1
 in a global order can be similar; the order puts shingles that several classes have last, and of those the ones of short words, which meet by chance. A shingle there that several classes have makes a block.
 
-1. Each class is compared with one other class of its blocks; what is similar gets one label. This takes large groups of near copies together at the
+1. Each class is compared with the centre of most of its blocks; what is similar gets one label. This takes large groups of near copies together at the
    cost of one comparison a class.
 2. Blocks whose classes have several labels are joined by a count-vector R-tree: shingles are hashed into ``GROUPS`` groups, a class is the
    point of its counts per group, and a node holds the maxima below it. The overlap of two classes, or of anything below two nodes, is at most the summed minima of
    their coordinates; node pairs whose bound is too small, or that have one label, are not entered. A block that is too
-   large for a task is dealt into tiles, and every pair of tiles is a task. A pair belongs to the first of its common blocks, as far as the first
-   ``SKETCH`` blocks of both classes tell, and only that one gives it.
+   large for a task is dealt into tiles, and every pair of tiles is a task. A pair belongs to the first of its common blocks in the order, as far as the first
+   ``SKETCH`` blocks of both classes tell, and only that one gives it. There the two have no more in common than either has shingles from the block's
+   on, so classes that meet late in their prefixes are no pair.
 3. A block first gives a forest: of the pairs that may be similar, those that do not close a circle. They are bound once more by points of as many
    groups as they have shingles, verified by their shingles, and the links joined into components, which are the new labels. Blocks of which a pair was refuted
    go on, after ``FORESTS`` rounds with all their pairs of different labels.
@@ -25,6 +26,7 @@ own, in the class of their text; null ids count only where no other id is in the
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -192,7 +194,7 @@ def _lookup(sorted_values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray,
 
 
 def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndarray]) -> DataFrame:
-    """shingle, fp: prefix shingles that several sets have.
+    """shingle, fp, place: prefix shingles that several sets have, and how many shingles of the set come before in the order.
 
     In the order, shingles of one set alone come first; they make no block, so only the others of a prefix are sent.
     """
@@ -217,35 +219,34 @@ def _blocks(docs: DataFrame, postings: int, repeated: tuple[ProbeFilter, np.ndar
                 text_of, hashes = text_of[order], hashes[order]
                 place = alone[text_of] + np.arange(len(text_of)) - np.searchsorted(text_of, text_of)
                 sent = place <= sizes[text_of] - -(-3 * sizes[text_of] // 4)
-                text_of, hashes = text_of[sent], hashes[sent]
+                text_of, hashes, place = text_of[sent], hashes[sent], place[sent].astype(np.int32)
                 owner = fp[text_of].view(np.uint64)
                 salt = np.where(_lookup(hot, _key_of(known, hashes))[1], mixed(owner), np.uint64(0))
                 bucket = ((mixed(hashes ^ _SALTS[0]) + salt) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
                 full = np.flatnonzero(np.diff(cut))
-                hashes, owner = hashes[order], owner[order]
-                parts = [[x[cut[b] : cut[b + 1]].tobytes() for b in full] for x in (hashes, owner)]
-                yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(p, pa.binary()) for p in parts)], ["bucket", "hashes", "owners"])
+                columns = hashes[order], owner[order], place[order]
+                parts = [[x[cut[b] : cut[b + 1]].tobytes() for b in full] for x in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(full), *(pa.array(p, pa.binary()) for p in parts)], ["bucket", "hashes", "owners", "places"])
 
     def shared(group: pa.Table) -> pa.Table:
         known, hot = held.value
-        join = lambda name: np.frombuffer(b"".join(group.column(name).to_pylist()), np.uint64)
-        hashes, owners = join("hashes"), join("owners")
+        hashes, owners, places = unpacked(group, "hashes", "<u8"), unpacked(group, "owners", "<u8"), unpacked(group, "places", "<i4")
         order = np.lexsort((owners, hashes))
-        hashes, owners = hashes[order], owners[order]
+        hashes, owners, places = hashes[order], owners[order], places[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
-        hashes, owners = hashes[new], owners[new]
+        hashes, owners, places = hashes[new], owners[new], places[new]
         many = np.zeros(len(hashes), bool)
         many[1:] = hashes[1:] == hashes[:-1]
         many[:-1] |= many[1:]
         # spread shingles have their other owners elsewhere
         many |= _lookup(hot, _key_of(known, hashes))[1]
-        return pa.table({"shingle": hashes[many].view(np.int64), "fp": owners[many].view(np.int64)})
+        return pa.table({"shingle": hashes[many].view(np.int64), "fp": owners[many].view(np.int64), "place": places[many]})
 
-    rows = docs.select("text").mapInArrow(tidy(packed), "bucket long, hashes binary, owners binary")
-    return stage(rows.groupBy("bucket").applyInArrow(shared, "shingle long, fp long"), "shared-shingles")
+    rows = docs.select("text").mapInArrow(tidy(packed), "bucket long, hashes binary, owners binary, places binary")
+    return stage(rows.groupBy("bucket").applyInArrow(shared, "shingle long, fp long, place int"), "shared-shingles")
 
 
 def _bit_words(values: DataFrame) -> DataFrame:
@@ -313,28 +314,64 @@ def fine_overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.minimum(a, b).sum())
 
 
+class Tree:
+    """What the nodes of an R-tree are made of: points, sizes, labels, reaches and earlier blocks of all members."""
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, reach: np.ndarray, earlier: Sequence[frozenset] | None):
+        self.points, self.sizes, self.labels, self.reach, self.earlier = points, sizes, labels, reach, earlier
+
+
 class Node:
-    """A node of the R-tree: maxima of its points, range of their sizes, their label if they have one only, and the earlier blocks that all of them are in."""
-
-    def __init__(self, points: np.ndarray, sizes: np.ndarray, labels: np.ndarray, members: np.ndarray, earlier: Sequence[frozenset] | None = None):
-        self.members = members
-        self.high = points[members].max(0)
-        self.smallest, self.largest = int(sizes[members].min()), int(sizes[members].max())
-        self.earlier = frozenset.intersection(*[earlier[m] for m in members]) if earlier else frozenset()
-        own = labels[members]
+    """A node of the R-tree: maxima of its points, range of their sizes, their largest reach, their label if they have one only, and the earlier blocks that all of them are in.
+
+    Points, blocks and children are only made of nodes that are entered: most of a large group of one label never is.
+    """
+
+    def __init__(self, tree: Tree, members: np.ndarray):
+        self.tree, self.members = tree, members
+        own, sizes = tree.labels[members], tree.sizes[members]
         self.label = int(own[0]) if (own == own[0]).all() else None
-        self.children: list[Node] = []
-        if len(members) > LEAF:
-            # by label first, so that a large group of one label is a subtree that is never entered from itself
-            if self.label is None:
-                order = members[np.argsort(own, kind="stable")]
-                ends = np.flatnonzero(np.diff(labels[order])) + 1
-                middle = int(ends[np.abs(ends - len(order) // 2).argmin()])
-            else:
-                low = points[members].min(0)
-                order = members[np.argsort(points[members, (self.high - low).argmax()], kind="stable")]
-                middle = len(order) // 2
-            self.children = [Node(points, sizes, labels, part, earlier) for part in (order[:middle], order[middle:])]
+        self.smallest, self.largest, self.reach = int(sizes.min()), int(sizes.max()), int(tree.reach[members].max())
+
+    @cached_property
+    def high(self) -> np.ndarray:
+        return self.tree.points[self.members].max(0)
+
+    @cached_property
+    def earlier(self) -> frozenset:
+        if not self.tree.earlier:
+            return frozenset()
+        out = self.tree.earlier[self.members[0]]
+        for member in self.members[1:]:
+            if not out:
+                break
+            out &= self.tree.earlier[member]
+        return out
+
+    @cached_property
+    def children(self) -> list[Node]:
+        if len(self.members) <= LEAF:
+            return []
+        # by label first, so that a large group of one label is a subtree that is never entered from itself
+        if self.label is None:
+            order = self.members[np.argsort(self.tree.labels[self.members], kind="stable")]
+            ends = np.flatnonzero(np.diff(self.tree.labels[order])) + 1
+            middle = int(ends[np.abs(ends - len(order) // 2).argmin()])
+        else:
+            points = self.tree.points[self.members]
+            order = self.members[np.argsort(points[:, (self.high - points.min(0)).argmax()], kind="stable")]
+            middle = len(order) // 2
+        return [Node(self.tree, part) for part in (order[:middle], order[middle:])]
+
+
+def _by_size(labels: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The labels as numbers in the order of their smallest sets, so that the nodes of a tree hold sets of like sizes."""
+    names, number = np.unique(labels, return_inverse=True)
+    smallest = np.full(len(names), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, number, sizes)
+    rank = np.empty(len(names), np.int64)
+    rank[np.argsort(smallest, kind="stable")] = np.arange(len(names))
+    return rank[number]
 
 
 def candidate_pairs(
@@ -344,29 +381,32 @@ def candidate_pairs(
     side: np.ndarray | None = None,
     earlier: Sequence[frozenset] | None = None,
     forest: bool = False,
+    reach: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Pairs of different labels whose overlap may be enough. ``side`` (0, 1) asks for pairs across the sides only.
 
     Pairs that share one of their ``earlier`` blocks are left to it. ``forest`` leaves out pairs between which the pairs found before them make a path.
+    ``reach`` is the number of a set's shingles from the block's on: two sets of which that is the first common one have no more in common.
     """
     if len(points) < 2:
         return []
-    everything = np.arange(len(points))
+    everything, labels, reach = np.arange(len(points)), _by_size(labels, sizes), sizes if reach is None else reach
+    tree = Tree(points, sizes, labels, reach, earlier)
     if side is None:
-        root = Node(points, sizes, labels, everything, earlier)
+        root = Node(tree, everything)
         waiting = [(root, root)]
     else:
         parts = [everything[side == s] for s in (0, 1)]
         if not len(parts[0]) or not len(parts[1]):
             return []
-        waiting = [tuple(Node(points, sizes, labels, p, earlier) for p in parts)]
+        waiting = [tuple(Node(tree, p) for p in parts)]
     joined = np.array(labels)
     out: list[tuple[int, int]] = []
     while waiting:
         a, b = waiting.pop()
         if a.label is not None and a.label == b.label or 4 * a.largest < 3 * b.smallest or 4 * b.largest < 3 * a.smallest:
             continue
-        if not a.earlier.isdisjoint(b.earlier):
+        if 7 * min(a.reach, b.reach) < 3 * (a.smallest + b.smallest) or not a.earlier.isdisjoint(b.earlier):
             continue
         if 7 * int(np.minimum(a.high, b.high).sum(dtype=np.int64)) < 3 * (a.smallest + b.smallest):
             continue
@@ -380,40 +420,42 @@ def candidate_pairs(
         elif b.children:
             waiting += [(a, child) for child in b.children]
         else:
-            for i in a.members:
-                others = b.members[b.members > i] if a is b else b.members
-                others = others[joined[others] != joined[i]]
-                overlap = np.minimum(points[i], points[others]).sum(1, dtype=np.int64)
-                near = 7 * overlap - 3 * (sizes[i] + sizes[others])
-                # the likeliest first, so that a forest has few pairs that are refuted
-                order = np.argsort(-near, kind="stable")
-                for j in others[order[near[order] >= 0]]:
-                    if forest and joined[i] == joined[j] or earlier and not earlier[i].isdisjoint(earlier[j]):
-                        continue
-                    out.append((int(i), int(j)))
-                    if forest:
-                        joined[joined == joined[j]] = joined[i]
+            i, j = np.repeat(a.members, len(b.members)), np.tile(b.members, len(a.members))
+            keep = (joined[i] != joined[j]) & (7 * np.minimum(reach[i], reach[j]) >= 3 * (sizes[i] + sizes[j]))
+            if a is b:
+                keep &= i < j
+            i, j = i[keep], j[keep]
+            near = 7 * np.minimum(points[i], points[j]).sum(1, dtype=np.int64) - 3 * (sizes[i] + sizes[j])
+            # the likeliest first, so that a forest has few pairs that are refuted
+            order = np.argsort(-near, kind="stable")
+            order = order[near[order] >= 0]
+            for i, j in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                if forest and joined[i] == joined[j] or earlier and not earlier[i].isdisjoint(earlier[j]):
+                    continue
+                out.append((i, j))
+                if forest:
+                    joined[joined == joined[j]] = joined[i]
     return out
 
 
 def _tree_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """shingle, a, b: candidate pairs of each block in ``rows`` (shingle, rep, label, n, point, earlier, tiles), a forest of them in early turns."""
+    """shingle, a, b: candidate pairs of each block in ``rows`` (shingle, rep, place, label, n, point, earlier, tiles), a forest of them in early turns."""
 
     def pairs(group: pa.Table) -> pa.Table:
         # another order, and so another forest, each turn
         group = group.take(pa.array(np.random.default_rng(turn).permutation(len(group))))
         points = np.frombuffer(b"".join(group.column("point").to_pylist()), np.uint16).reshape(-1, GROUPS)
-        n, label, rep, tile = (group.column(c).to_numpy() for c in ("n", "label", "rep", "tile"))
+        n, label, rep, tile, place = (group.column(c).to_numpy() for c in ("n", "label", "rep", "tile", "place"))
         shingle, i, j = (group.column(c)[0].as_py() for c in ("shingle", "i", "j"))
         earlier = [frozenset(e) for e in group.column("earlier").to_pylist()]
-        found = candidate_pairs(points, n, label, None if i == j else (tile == j).astype(int), earlier, turn < FORESTS)
+        found = candidate_pairs(points, n, label, None if i == j else (tile == j).astype(int), earlier, turn < FORESTS, n - place)
         a, b = (np.array([rep[p[k]] for p in found], np.int64) for k in (0, 1))
         return pa.table({"shingle": np.full(len(found), shingle, np.int64), "a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     # a member of tile t meets all tiles: the pairs (t, k) and (k, t)
     dealt = rows.withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.withColumns({"i": F.least("tile", "k").cast("long"), "j": F.greatest("tile", "k").cast("long"), "tile": F.col("tile").cast("long")})
-    narrow = dealt.select("shingle", "i", "j", "tile", "rep", "label", "n", "point", "earlier")
+    narrow = dealt.select("shingle", "i", "j", "tile", "rep", "place", "label", "n", "point", "earlier")
     return narrow.groupBy("shingle", "i", "j").applyInArrow(pairs, "shingle long, a long, b long")
 
 
@@ -449,19 +491,21 @@ def _relabelled(blocks: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _linked(blocks: DataFrame, sets: DataFrame, near: DataFrame) -> DataFrame:
-    """node, root of the classes that links join, from the blocks (shingle, rep) and what is joined already."""
+    """node, root of the classes that links join, from the blocks (shingle, rep, place) and what is joined already."""
     labelled = stage(_relabelled(blocks, near), "labelled-blocks")
     # blocks of the same members are one; their sums of hashes tell
     marks = [F.sum(F.xxhash64("rep", F.lit(k)).cast("decimal(20,0)")).alias(f"mark{k}") for k in (0, 1)]
-    mixed_blocks = labelled.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m"), *marks).where("l <> h")
-    single = mixed_blocks.groupBy("m", "mark0", "mark1").agg(F.min("shingle").alias("shingle"))
+    counts = F.count(F.lit(1)).alias("m"), F.sum("place").alias("places")
+    mixed_blocks = labelled.groupBy("shingle").agg(F.min("label").alias("l"), F.max("label").alias("h"), *counts, *marks).where("l <> h")
+    # of these the first in the order, which every member has before the others
+    single = mixed_blocks.groupBy("m", "mark0", "mark1").agg(F.min_by("shingle", F.struct("places", "shingle")).alias("shingle"))
     single = single.select("shingle", F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
     members = stage(labelled.drop("label").join(single, "shingle"), "mixed-blocks")
-    first = members.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list("shingle")), 1, SKETCH).alias("first"))
+    first = members.groupBy("rep").agg(F.slice(F.array_sort(F.collect_list(F.struct("place", "shingle"))), 1, SKETCH).alias("first"))
     classes = stage(first.join(sets.select("rep", "n", "point"), "rep"), "members")
     tried: DataFrame | None = None
     for turn in range(FORESTS + 1):
-        rows = _relabelled(members, near).join(classes, "rep").withColumn("earlier", F.filter("first", lambda s: s < F.col("shingle"))).drop("first")
+        rows = _relabelled(members, near).join(classes, "rep").withColumn("earlier", F.filter("first", lambda s: s["place"] < F.col("place"))["shingle"]).drop("first")
         given = stage(_tree_pairs(rows, turn), "tree-pairs")
         pairs = given.select("a", "b").distinct()
         new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
@@ -480,6 +524,19 @@ def _linked(blocks: DataFrame, sets: DataFrame, near: DataFrame) -> DataFrame:
     return near
 
 
+def _star(blocks: DataFrame) -> DataFrame:
+    """a, b: for each class the centre of most of its blocks, unless it is that itself.
+
+    The centre of a block is its class of most blocks: edits put shingles of their own into a prefix, so of near copies the least edited one has most
+    shared ones, and that one resembles more of the others than any.
+    """
+    degree = blocks.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
+    centres = blocks.join(degree, "rep").groupBy("shingle").agg(F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("c"))
+    met = blocks.join(centres, "shingle").groupBy("rep", "c").agg(F.count(F.lit(1)).alias("times"))
+    best = met.groupBy("rep").agg(F.max(F.struct("times", "c")).alias("best"))
+    return best.select(F.col("rep").alias("a"), (-F.col("best.c.rep")).alias("b")).where("a <> b")
+
+
 def similar_classes(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(doc_id, carried columns, n_shingles, rep) of every row, and (rep, first_id, label) of every class; both from staged tables.
 
@@ -492,13 +549,11 @@ def similar_classes(docs: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFra
     reps = stage(reps, "classes")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     shared = _blocks(docs, total // 4, _repeated_shingles(docs, total))
-    blocks = stage(shared.join(reps.select("fp", "rep"), "fp").select("shingle", "rep"), "blocks")
+    blocks = stage(shared.join(reps.select("fp", "rep"), "fp").select("shingle", "rep", "place"), "blocks")
     wanted = reps.join(blocks.select("rep").distinct(), "rep", "left_semi").drop("first_id")
     class_sets = _class_sets(docs, stage(wanted, "block-classes"))
-    # one comparison a class: with the smallest class of all its blocks
-    centres = blocks.groupBy("shingle").agg(F.min("rep").alias("b"))
-    star = blocks.join(centres, "shingle").groupBy(F.col("rep").alias("a")).agg(F.min("b").alias("b")).where("a <> b")
-    likely = stage(_bounded(star, class_sets), "star-pairs")
+    # one comparison a class
+    likely = stage(_bounded(stage(_star(blocks), "tree-pairs"), class_sets), "likely-pairs")
     near = stage(connected(_verified(class_sets, likely).select(F.col("a").alias("u"), F.col("b").alias("v"))), "near-labels")
     groups = _linked(blocks, class_sets, near).select(F.col("node").alias("rep"), F.col("root").alias("label"))
     labelled = reps.select("rep", "first_id").join(groups, "rep", "left").withColumn("label", F.coalesce("label", "rep"))

@@ -652,6 +652,69 @@ def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
     assert 59 <= sum(given) < 4 * 60
 
 
+def given_pairs(monkeypatch):
+    given = []
+
+    def stage(df, label):
+        out = session_stage(df, label)
+        given.append(out.count() if label == "tree-pairs" else 0)
+        return out
+
+    session_stage = jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", stage)
+    return given
+
+
+def test_a_large_group_is_joined_by_its_least_edited_text(spark, monkeypatch):
+    # the smallest class is edited most, so few of the others are similar to it
+    rng = np.random.default_rng(12)
+    rows = []
+    for i in range(240):
+        words = [f"w{k}" for k in range(124)]
+        for _ in range(4 if i == 0 else int(rng.integers(0, 5))):
+            words[int(rng.integers(124))] = f"edit{rng.integers(1 << 40)}"
+        rows.append((i, " ".join(words)))
+    given = given_pairs(monkeypatch)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert bag(jaccard_join.jaccard_components(frame), "doc_id", "n_shingles", "component_id") == components_of(rows)
+    assert sum(given) < 2 * len(rows)
+
+
+def sentence_texts(count, seed):
+    """Texts of shared sentences: most of their shingles several of them have, and few are similar."""
+    rng = np.random.default_rng(seed)
+    pool = [" ".join(f"{'abcdefgh'[k % 8] * int(rng.integers(1, 9))}{k}x{i}" for i in range(int(rng.integers(5, 30)))) for k in range(40)]
+    rows = []
+    while len(rows) < count:
+        picked = rng.permutation(40)[: int(rng.integers(4, 9))].tolist()
+        for _ in range(int(rng.integers(1, 4))):
+            own = list(picked)
+            if rng.random() < 0.7:
+                own[int(rng.integers(len(own)))] = int(rng.integers(40))
+            rows.append((len(rows), " ".join(pool[k] for k in own)))
+    return rows
+
+
+@pytest.mark.parametrize("sketch, tile", [(16, 2048), (1, 20)])
+def test_texts_of_shared_sentences(spark, monkeypatch, sketch, tile):
+    monkeypatch.setattr(jaccard_join, "SKETCH", sketch)
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    rows = sentence_texts(260, seed=tile)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert bag(jaccard_join.jaccard_components(frame), "doc_id", "n_shingles", "component_id") == components_of(rows)
+
+
+def test_pairs_out_of_reach_are_not_given():
+    rng = np.random.default_rng(4)
+    points = (rng.poisson(1.0, jaccard_join.GROUPS) + (rng.random((200, jaccard_join.GROUPS)) < 0.05)).astype(np.uint16)
+    sizes = points.sum(1).astype(np.int64)
+    reach = sizes - rng.integers(0, sizes // 4)
+    found = jaccard_join.candidate_pairs(points, sizes, np.arange(200), reach=reach)
+    overlap = np.minimum(np.minimum(points[:, None], points[None]).sum(2), np.minimum(reach[:, None], reach[None]))
+    want = {(i, j) for i in range(200) for j in range(i + 1, 200) if 7 * overlap[i, j] >= 3 * (sizes[i] + sizes[j])}
+    assert {(min(p), max(p)) for p in found} == want and 0 < len(want) < 200 * 199 // 4
+
+
 def test_connected(spark):
     edges = [(i, i + 1) for i in range(40) if i % 10] + [(50, 41), (7, 7), (99, 3)]
     found = dict(tuple(r) for r in connected(spark.createDataFrame(edges, "u long, v long")).collect())
