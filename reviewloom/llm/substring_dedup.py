@@ -173,8 +173,12 @@ class ProbeFilter:
 
     def __setstate__(self, state: tuple[int, list[bytes]]) -> None:
         self.__init__(state[0])
-        for low, packed in zip(range(0, len(self.packed), STEP_BYTES), state[1], strict=True):
-            self.packed[low : low + STEP_BYTES] = np.frombuffer(zlib.decompress(packed), np.uint8)
+        low = 0
+        # a worker may have other steps than the driver
+        for packed in state[1]:
+            part = np.frombuffer(zlib.decompress(packed), np.uint8)
+            self.packed[low : low + len(part)] = part
+            low += len(part)
 
     def _places(self, low_bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         spread = (low_bits * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
