@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from reviewloom.llm import byte_cnn
 from reviewloom.llm.common import clean_worker, table
 from reviewloom.llm.jaccard_join import similar_groups
-from reviewloom.llm.positional_index import contamination
+from reviewloom.llm.positional_index import ARROW_BATCH_BYTES, contamination
 from reviewloom.llm.substring_dedup import cut_texts
 from reviewloom.llm.word_tokens import encode_documents
 from reviewloom.session import scratch_path, stage, staging
@@ -27,9 +27,6 @@ from reviewloom.session import scratch_path, stage, staging
 MIN_LANGUAGE_SCORE = 0.35
 
 
-# Bytes of an Arrow batch: a Python worker and its JVM hold a few batches each.
-ARROW_BATCH_BYTES = 8 << 20
-
 
 def _bound_memory(spark: SparkSession) -> None:
     """Bound the batches of the step that begins, and give back what the step before it left in the driver's Python."""

@@ -1,6 +1,6 @@
 """Distributed positional inverted index, and benchmark decontamination by phrase search in it.
 
-Documents are indexed in segments of about ``STEP_BYTES`` of text. A segment is one row: its documents with the position
+Documents are indexed in segments of about ``SEGMENT_BYTES`` of text. A segment is one row: its documents with the position
 of their first word, its terms in order, and each term's positions as one ascending list. Positions count through the segment,
 with one free position between documents, so no phrase reaches from one into the next. Segments are built where the documents lie: no posting is shuffled,
 and a frequent term is no hot key.
@@ -10,7 +10,7 @@ the lists of the other terms, moved alike, are intersected with them from the ra
 are 64-bit hashes of words.
 
 The searched items come in blocks of a bounded number of words; each block is broadcast, and every segment is searched for
-all of them.
+all of them. A segment looks up each distinct word of a block once; only windows of which it has all words are looked at.
 
 Cases: null or wordless texts have no words, no hit and are not contaminated; wordless items are never found; an item with
 fewer words than a window is one window; items that repeat an id count once under it; a null item_id hits words but is no
@@ -34,8 +34,19 @@ from reviewloom.session import stage
 WINDOW = 13
 BLOCK_WORDS = 1_000_000
 
-# Candidate places that one numpy step compares.
+# Text of a segment. A segment passes Spark as one row, of which its executor holds several copies, so it is no larger than a search pays for.
+SEGMENT_BYTES = 1 << 19
+
+# Candidate places, and windows, that one numpy step compares.
 _STEP_CANDIDATES = 1 << 20
+_STEP_WINDOWS = 1 << 16
+
+# Row groups of some segments: a task holds one while it writes, and one while it reads, in and outside of the heap. Their size is looked at after each
+# few rows, since by default a hundred go into one at least.
+_INDEX_FILES = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "4"}
+
+# Bytes of an Arrow batch of texts or segments: a Python worker and its JVM hold a few batches each.
+ARROW_BATCH_BYTES = 8 << 20
 
 _SEGMENT = "doc_ids array<long>, firsts array<long>, counts array<long>, terms array<long>, ends array<long>, positions array<int>"
 
@@ -63,7 +74,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, texts in text_steps(batch):
+            for rows, texts in text_steps(batch, limit=SEGMENT_BYTES):
                 words = Words(texts, NO_ALNUM)
                 counts = words.counts
                 firsts = words.first[:-1] + np.arange(len(texts))
@@ -77,7 +88,7 @@ def build_index(docs: DataFrame) -> DataFrame:
                 arrays.append(pa.array([at[order].astype(np.int32)], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _SEGMENT.split(", ")])
 
-    return stage(docs.select("doc_id", "text").mapInArrow(tidy(segments), _SEGMENT), "positional-index")
+    return stage(docs.select("doc_id", "text").mapInArrow(tidy(segments), _SEGMENT), "positional-index", **_INDEX_FILES)
 
 
 class Segment:
@@ -110,20 +121,26 @@ class Segment:
         """Window numbers and start positions of all occurrences of equally long windows (rows of hashes)."""
         lists = self.lists_of(windows)
         alive = np.flatnonzero((lists >= 0).all(axis=1))
-        lists = lists[alive]
-        sizes = (self.ends - self.starts)[lists] if len(alive) else np.zeros(lists.shape, np.int64)
+        for which, start in self.phrases_of(lists[alive]):
+            yield alive[which], start
+
+    def phrases_of(self, lists: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for windows given as rows of the numbers of their terms' lists."""
+        if not len(lists):
+            return
+        sizes = (self.ends - self.starts)[lists]
         by_rarity = np.argsort(sizes, axis=1, kind="stable")
-        first = np.take_along_axis(sizes, by_rarity[:, :1], 1)[:, 0] if len(alive) else np.zeros(0, np.int64)
+        first = np.take_along_axis(sizes, by_rarity[:, :1], 1)[:, 0]
         total = np.cumsum(first)
         low = 0
-        while low < len(alive):
+        while low < len(lists):
             done = total[low - 1] if low else 0
             high = max(low + 1, int(np.searchsorted(total, done + _STEP_CANDIDATES, "right")))
             which = np.repeat(np.arange(low, high), first[low:high])
             inner = np.arange(len(which)) - np.repeat(total[low:high] - first[low:high] - done, first[low:high])
             offset = by_rarity[which, 0]
             start = self.positions[self.starts[lists[which, offset]] + inner] - offset
-            for k in range(1, windows.shape[1]):
+            for k in range(1, lists.shape[1]):
                 offset = by_rarity[which, k]
                 keep = self.has(lists[which, offset], start + offset)
                 which, start = which[keep], start[keep]
@@ -132,7 +149,7 @@ class Segment:
             if len(which):
                 # the rarest term may stand before the segment's first position
                 keep = start >= 0
-                yield alive[which[keep]], start[keep]
+                yield which[keep], start[keep]
             low = high
 
     def document_of(self, positions: np.ndarray) -> np.ndarray:
@@ -183,39 +200,56 @@ def search(index: DataFrame, items: DataFrame, slop: int = 0) -> DataFrame:
     return index.mapInArrow(tidy(matches), "doc_id long, item_id long, first_word long, last_word long")
 
 
-def _windows(block: list) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Windows of a block by length: (window hashes, item number)."""
-    by_length: dict[int, list] = {}
-    for number, (_, words) in enumerate(block):
-        length = min(WINDOW, len(words))
-        cut = np.lib.stride_tricks.sliding_window_view(words, length)
-        by_length.setdefault(length, []).append((cut, np.full(len(cut), number)))
-    return [tuple(map(np.concatenate, zip(*parts, strict=True))) for parts in by_length.values()]
+class ItemWindows:
+    """Windows of a block: its distinct terms, the number of each word's term, and by length where windows begin and the item they are of."""
+
+    def __init__(self, block: list):
+        sizes = np.array([len(words) for _, words in block])
+        self.terms, self.numbers = np.unique(np.concatenate([words for _, words in block]), return_inverse=True)
+        ends = np.cumsum(sizes)
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length in np.unique(np.minimum(sizes, WINDOW)).tolist():
+            items = np.flatnonzero(np.minimum(sizes, WINDOW) == length)
+            count = sizes[items] - length + 1
+            begin = np.repeat((ends - sizes)[items] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            self.by_length[length] = begin, np.repeat(items, count)
+
+    def found_in(self, segment: Segment) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Length, items and start positions of the windows' occurrences."""
+        lists = segment.lists_of(self.terms)[self.numbers]
+        missing = np.concatenate([[0], np.cumsum(lists < 0)])
+        for length, (begin, item_of) in self.by_length.items():
+            alive = np.flatnonzero(missing[begin + length] == missing[begin])
+            for low in range(0, len(alive), _STEP_WINDOWS):
+                part = alive[low : low + _STEP_WINDOWS]
+                for which, start in segment.phrases_of(lists[begin[part][:, None] + np.arange(length)]):
+                    yield length, item_of[part[which]], start
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256 and contaminated, for windows of ``items``."""
+    # the segments are searched when the result is asked for, so the setting stays
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     blocks = item_blocks(items)
     index = build_index(docs)
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = [_windows(b.value) for b in blocks] if len(blocks) == 1 else None
+        windows = [ItemWindows(b.value) for b in blocks] if len(blocks) == 1 else None
         for batch in batches:
             for row in range(batch.num_rows):
                 segment = Segment(batch, row)
                 edges = np.zeros(segment.size + WINDOW + 1, np.int64)
                 found: list[set] = [set() for _ in segment.doc_ids]
                 for number, block in enumerate(blocks):
-                    for cut, item_of in windows[number] if windows else _windows(block.value):
-                        for which, start in segment.phrases(cut):
-                            np.add.at(edges, start, 1)
-                            np.add.at(edges, start + cut.shape[1], -1)
-                            pairs = np.unique(np.stack([segment.document_of(start), item_of[which]], 1), axis=0)
-                            for doc, item in pairs.tolist():
-                                if (item_id := block.value[item][0]) is not None:
-                                    found[doc].add(item_id)
+                    for length, items_of, start in (windows[number] if windows else ItemWindows(block.value)).found_in(segment):
+                        np.add.at(edges, start, 1)
+                        np.add.at(edges, start + length, -1)
+                        pairs = np.unique(np.stack([segment.document_of(start), items_of], 1), axis=0)
+                        for doc, item in pairs.tolist():
+                            if (item_id := block.value[item][0]) is not None:
+                                found[doc].add(item_id)
                 covered = np.concatenate([[0], np.cumsum(np.cumsum(edges) > 0)])
                 hit = covered[segment.firsts + segment.counts] - covered[segment.firsts]
                 lists = [",".join(sorted(map(str, ids))) for ids in found]

@@ -84,15 +84,15 @@ def staging(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 
     This cuts the lineage: what was written survives lost executors and is not recomputed,
-    and later steps read only the columns they need.
+    and later steps read only the columns they need. ``options`` are those of the writer and of the reader.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).options(**options).parquet(path)
 
 
 @contextmanager

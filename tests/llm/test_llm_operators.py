@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -525,6 +526,23 @@ def test_phrases_and_proximity(spark):
     assert positional_index.search(index, items.where("item_id = 2")).count() == 5
 
 
+def test_tasks_hold_little_of_an_index(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, " ".join(f"w{w}" for w in rng.integers(0, 30_000, 8_000))) for k in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = positional_index.build_index(docs)
+    longest = index.select(F.max(F.size("positions") * 4 + F.size("terms") * 16 + F.size("doc_ids") * 24)).first()[0]
+    assert longest < 1_500_000 and index.select(F.sum(F.size("doc_ids"))).first()[0] == 250
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(k).total_byte_size for m in files for k in range(m.num_row_groups)]
+    assert len(groups) > 1 and max(groups) < 12 << 20
+    items = [(1, rows[7][1]), (2, " ".join(rows[9][1].split()[5:30]) + " none"), (3, "none " * 20), (4, rows[3][1][:40].rsplit(" ", 1)[0]), (None, rows[5][1])]
+    found = positional_index.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).where("n_hit > 0").collect()
+    hits = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in found}
+    assert hits[7] == (8000, 1, True) and hits[9] == (25, 1, False) and hits[5] == (8000, 0, True) and hits[3][1] == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
 # 8: Jaccard join
 
 
