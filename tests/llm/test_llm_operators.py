@@ -683,16 +683,20 @@ def given_pairs(monkeypatch):
     return given
 
 
-def test_a_large_group_is_joined_by_its_least_edited_text(spark, monkeypatch):
-    # the smallest class is edited most, so few of the others are similar to it
+def edited_copies(count):
+    """Near copies of one text; the first is edited most, so few of the others are similar to it."""
     rng = np.random.default_rng(12)
     rows = []
-    for i in range(240):
+    for i in range(count):
         words = [f"w{k}" for k in range(124)]
         for _ in range(4 if i == 0 else int(rng.integers(0, 5))):
             words[int(rng.integers(124))] = f"edit{rng.integers(1 << 40)}"
         rows.append((i, " ".join(words)))
-    given = given_pairs(monkeypatch)
+    return rows
+
+
+def test_a_large_group_is_joined_by_its_least_edited_text(spark, monkeypatch):
+    rows, given = edited_copies(240), given_pairs(monkeypatch)
     frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     assert bag(jaccard_join.jaccard_components(frame), "doc_id", "n_shingles", "component_id") == components_of(rows)
     assert sum(given) < 2 * len(rows)
@@ -978,6 +982,14 @@ def test_near_copies_are_judged_row_by_row(spark):
     assert cut.columns == docs.columns and cut.where("others <> 'x' OR _key <> 'x'").count() == 0
 
 
+def test_near_copies_of_the_pipeline_give_pairs_by_their_number(spark, monkeypatch):
+    rows, given = edited_copies(200), given_pairs(monkeypatch)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, frame, None)
+    assert Counter(d for d, _ in texts_of(kept)) == Counter({c for _, _, c in components_of(rows)})
+    assert 0 < sum(given) < 2 * len(rows)
+
+
 def test_pipeline_of_odd_rows(spark, odd, sf_dir):
     docs, columns = odd, odd.columns
     for name, stage_of in corpus_pipeline.STAGES:
